@@ -1 +1,135 @@
-"""Query keys (filled in as operators land)."""
+"""Sequence query keys: EMA anomalies, trailing windows, scoring, features.
+
+Stand-ins: a device is a ``user_id``; its temperature is ``value``; the
+reading time is ``ts`` with ``event_id`` as tie-break; humidity is the
+``k`` field of ``props``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from layercake.operators import ml, sequences
+from layercake.plans.registry import register
+from layercake.session import configure, scratch_path, table
+
+KEYS = ["device_id"]
+ORDER = ["ts", "event_id"]
+
+
+def readings(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("device_id"),
+        "event_id",
+        "ts",
+        F.col("value").alias("temperature"),
+        F.get_json_object("props", "$.k").cast("double").alias("humidity"),
+    )
+
+
+def _w(n: int, partition: str = "PARTITION BY user_id") -> str:
+    return f"({partition} ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+EMA_SQL = f"""SELECT device_id, event_id, ts, temperature, ROUND(ema, 6) AS ema,
+       abs(temperature - ema) > 5 AS alert
+FROM (SELECT user_id AS device_id, event_id, ts, value AS temperature,
+        list_reduce(list_prepend(CAST(0.0 AS DOUBLE), list(value) OVER {_w(400)}),
+                    lambda acc, x: acc * CAST(0.9 AS DOUBLE) + x * CAST(0.1 AS DOUBLE)) AS ema
+      FROM events WHERE value IS NOT NULL)"""
+
+
+@register("ema_anomaly", EMA_SQL, group="sequence")
+def q_ema_anomaly(spark, sf_dir):
+    configure(spark)
+    df = readings(spark, sf_dir).drop("humidity")
+    return sequences.ema_anomalies(df, KEYS, ORDER, "temperature", digits=6)
+
+
+@register(
+    "sequence_windows",
+    f"""SELECT user_id AS device_id, event_id, ts,
+           CAST(COUNT(*) OVER {_w(20)} AS INTEGER) AS window_len,
+           COUNT(*) OVER {_w(20)} = 20 AS prediction_ready,
+           FIRST_VALUE(value) OVER {_w(20)} AS window_first,
+           value AS window_last,
+           MAX(value) OVER {_w(20)} AS window_max
+    FROM events""",
+    group="sequence",
+)
+def q_sequence_windows(spark, sf_dir):
+    configure(spark)
+    df = readings(spark, sf_dir).drop("humidity")
+    out = sequences.trailing_window(df, KEYS, ORDER, "temperature")
+    return out.select(
+        "device_id",
+        "event_id",
+        "ts",
+        "window_len",
+        "prediction_ready",
+        F.col("window")[0].alias("window_first"),
+        F.element_at("window", -1).alias("window_last"),
+        F.array_max("window").alias("window_max"),
+    )
+
+
+def _score_sql() -> str:
+    lags = " + ".join(
+        f"{float(j + 1)} * LAG(value, {19 - j}) OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+        for j in range(20)
+    )
+    return f"""WITH s AS (
+      SELECT user_id AS device_id, event_id, ts, value AS observed,
+             CAST(COUNT(*) OVER {_w(20)} AS INTEGER) AS window_len,
+             ({lags}) / 210.0 AS p
+      FROM events),
+    t AS (SELECT *, CASE WHEN window_len = 20 THEN p END AS prediction FROM s)
+    SELECT device_id, event_id, ts, window_len, ROUND(prediction, 6) AS prediction, observed,
+           CASE WHEN window_len = 20 THEN 'prediction' ELSE 'warmup' END AS kind FROM t
+    UNION ALL
+    SELECT device_id, event_id, ts, window_len, ROUND(prediction, 6), observed, 'alert' FROM t
+    WHERE window_len = 20 AND abs(observed - prediction) > 5.0"""
+
+
+@register("sequence_score", _score_sql(), group="sequence")
+def q_sequence_score(spark, sf_dir):
+    configure(spark)
+    df = readings(spark, sf_dir).drop("humidity")
+    out = sequences.score_sequences(df, KEYS, ORDER, "temperature", digits=6)
+    return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
+
+
+TEMP_FEATURES_SQL = f"""SELECT * FROM (
+  SELECT user_id AS device_id, event_id, value AS temperature,
+         LAG(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS temp_lag_1,
+         ROUND(AVG(value) OVER {_w(5)}, 6) AS temp_roll_mean_5,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity
+  FROM events) WHERE temp_lag_1 IS NOT NULL AND humidity IS NOT NULL"""
+
+
+def temp_features_frame(spark, sf_dir):
+    df = sequences.lag_features(readings(spark, sf_dir), KEYS, ORDER, "temperature")
+    feats = ml.assemble(df, ["temp_lag_1", "temp_roll_mean_5", "humidity"])
+    return feats.withColumn("temp_roll_mean_5", F.round("temp_roll_mean_5", 6))
+
+
+@register("temp_features", TEMP_FEATURES_SQL, group="sequence")
+def q_temp_features(spark, sf_dir):
+    """Lag and 5-row mean per device, assembled; rows with a missing feature skipped."""
+    configure(spark)
+    return temp_features_frame(spark, sf_dir).select(
+        "device_id", "event_id", "temperature", "temp_lag_1", "temp_roll_mean_5", "humidity"
+    )
+
+
+@register("linear_predict", None, group="sequence")
+def q_linear_predict(spark, sf_dir):
+    """Fit, save and reload a linear model on the features, then score every row."""
+    configure(spark)
+    feats = temp_features_frame(spark, sf_dir)
+    path = scratch_path(spark, "temperature_model")
+    ml.fit_linear(feats, "temperature").save(path)
+    model = ml.load_linear(path)
+    return ml.predict(model, feats).select(
+        "device_id", "event_id", "temperature", F.round("prediction", 6).alias("prediction")
+    )
