@@ -1 +1,179 @@
-"""Query keys (filled in as operators land)."""
+"""Event, point and serving query keys.
+
+Stand-in events are built from ``events`` rows by
+:func:`layercake.functions.events.sensor_messages`; serving reads the
+point table derived from them at a fixed ``asof``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from layercake.functions import events as ev
+from layercake.operators import serving
+from layercake.plans.registry import register
+from layercake.session import configure, table
+
+ASOF = "2024-01-31 00:00:00"
+# Wider than the endpoints' own look-backs (1 h / 10 min / 5 min): the
+# supplied data holds few events in the last hour.
+DEVICES_LOOKBACK = "1 day"
+DEVICE_LOOKBACK = "1 day"
+TEMPERATURE_LOOKBACK = "6 hours"
+
+POINTS_SQL = """WITH e AS (
+    SELECT CAST(user_id AS VARCHAR) AS device_id, event_type AS device_type,
+           'loc_' || event_type AS location_id, ts AS time, value,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+    FROM events),
+  p AS (
+    SELECT device_id, device_type, location_id, time, 'temperature' AS field,
+           value AS value_num, CAST(NULL AS VARCHAR) AS value_str FROM e WHERE value IS NOT NULL
+    UNION ALL SELECT device_id, device_type, location_id, time, 'humidity',
+           CAST(k AS DOUBLE), NULL FROM e WHERE k IS NOT NULL
+    UNION ALL SELECT device_id, device_type, location_id, time, 'motion',
+           CASE WHEN value > 100 THEN 1.0 ELSE 0.0 END, NULL FROM e WHERE value IS NOT NULL
+    UNION ALL SELECT device_id, device_type, location_id, time, 'status', NULL,
+           CASE WHEN value > 100 THEN 'ALERT' ELSE 'OK' END FROM e),
+  pts AS (SELECT 'iot_measurements' AS measurement, * FROM p)"""
+
+
+def points(spark, sf_dir):
+    return ev.event_points(ev.sensor_messages(table(spark, sf_dir, "events")))
+
+
+def _window_sql(lookback_sql: str) -> str:
+    return (f"time >= TIMESTAMP '{ASOF}' - INTERVAL {lookback_sql} "
+            f"AND time < TIMESTAMP '{ASOF}'")
+
+
+@register(
+    "parse_events",
+    """SELECT CAST(user_id AS VARCHAR) AS device_id, event_type AS device_type,
+              'loc_' || event_type AS location_id, ts AS event_time, value AS temperature,
+              CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity,
+              CASE WHEN value > 100 THEN 'ALERT' ELSE 'OK' END AS status
+       FROM events""",
+    group="stream",
+)
+def q_parse_events(spark, sf_dir):
+    configure(spark)
+    parsed = ev.parse_events(ev.sensor_messages(table(spark, sf_dir, "events")))
+    return parsed.select("device_id", "device_type", "location_id", "event_time",
+                         "temperature", "humidity", "status")
+
+
+@register(
+    "event_to_points",
+    POINTS_SQL + " SELECT * FROM pts",
+    group="stream",
+)
+def q_event_to_points(spark, sf_dir):
+    configure(spark)
+    return points(spark, sf_dir)
+
+
+@register(
+    "serve_devices",
+    POINTS_SQL + " SELECT DISTINCT device_id FROM pts WHERE " + _window_sql("'1 day'"),
+    group="serving",
+)
+def q_serve_devices(spark, sf_dir):
+    configure(spark)
+    return serving.devices_seen(points(spark, sf_dir), ASOF, DEVICES_LOOKBACK)
+
+
+@register(
+    "serve_device_last",
+    POINTS_SQL
+    + f""" SELECT measurement, device_id, device_type, location_id, field, time, value_num, value_str
+      FROM (SELECT *, row_number() OVER (
+               PARTITION BY measurement, device_id, device_type, location_id, field
+               ORDER BY time DESC, value_num DESC NULLS LAST, value_str DESC NULLS LAST) AS rn
+            FROM pts WHERE {_window_sql("'1 day'")}) WHERE rn = 1""",
+    group="serving",
+)
+def q_serve_device_last(spark, sf_dir):
+    configure(spark)
+    return serving.latest_per_series(points(spark, sf_dir), ASOF, DEVICE_LOOKBACK)
+
+
+@register(
+    "serve_temperature",
+    POINTS_SQL
+    + f""" SELECT time, value_num AS value, device_id AS device FROM pts
+      WHERE measurement = 'iot_measurements' AND field = 'temperature' AND {_window_sql("'6 hours'")}""",
+    group="serving",
+)
+def q_serve_temperature(spark, sf_dir):
+    configure(spark)
+    return serving.field_points(points(spark, sf_dir), ASOF, TEMPERATURE_LOOKBACK)
+
+
+# ----------------------------------------------------------- window text
+def sensor_rows(events):
+    """Stand-in silver sensor rows derived from ``events``; humidity is absent."""
+    return events.select(
+        F.col("user_id").alias("id"),
+        F.col("event_type").alias("kind"),
+        F.col("ts").alias("timestamp"),
+        F.lit(230.0).alias("voltage"),
+        (F.col("value") * 0.5).alias("current"),
+        (F.col("value") * 2).alias("power"),
+        F.col("value").alias("temperature"),
+    )
+
+
+def hourly_averages(rows):
+    """Tumbling one-hour averages per kind, exact to 6 decimals (fixed point)."""
+    w = F.window(F.col("timestamp").cast("timestamp"), "1 hour")
+    return (
+        rows.groupBy(w.alias("w"), F.col("kind").alias("id"))
+        .agg(
+            F.avg(F.col("temperature").cast("decimal(18,2)")).alias("avg_temp"),
+            F.avg(F.col("power").cast("decimal(18,2)")).alias("avg_power"),
+        )
+        .select(
+            "id",
+            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            "avg_temp",
+            "avg_power",
+        )
+    )
+
+
+def _exact_avg_sql(col: str) -> str:
+    """Micro-units of avg(col) rounded HALF_UP (non-negative fixed-point input)."""
+    return f"((SUM(CAST(ROUND({col} * 100) AS BIGINT)) * 20000 + COUNT(*)) // (2 * COUNT(*)))"
+
+
+HOURLY_SQL = f"""WITH h AS (
+    SELECT event_type AS id, date_trunc('hour', ts) AS window_start,
+           date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+           {_exact_avg_sql("value")} AS t_micro, {_exact_avg_sql("value * 2")} AS p_micro
+    FROM events GROUP BY event_type, date_trunc('hour', ts))"""
+
+
+def _micro_text(c: str) -> str:
+    return f"printf('%d.%06d', {c} // 1000000, {c} % 1000000)"
+
+
+@register(
+    "row_to_text",
+    HOURLY_SQL
+    + f""" SELECT id, window_start, window_end,
+         'Sensor ' || id || ': avg_temp=' || {_micro_text("t_micro")}
+           || ', avg_power=' || {_micro_text("p_micro")} AS text
+    FROM h""",
+    group="vectors",
+)
+def q_row_to_text(spark, sf_dir):
+    configure(spark)
+    avgs = hourly_averages(sensor_rows(table(spark, sf_dir, "events")))
+    out = ev.row_text(
+        avgs,
+        ["Sensor ", F.col("id"), ": avg_temp=", F.col("avg_temp").cast("string"),
+         ", avg_power=", F.col("avg_power").cast("string")],
+    )
+    return out.select("id", "window_start", "window_end", "text")
