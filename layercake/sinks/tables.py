@@ -83,6 +83,18 @@ def read_snapshot(spark: SparkSession, base: str, schema: StructType | None = No
     return reader.parquet(path)
 
 
+# ------------------------------------------------------------------ JSON/K6
+# Spark's JSON default keeps milliseconds only; bronze keeps microseconds.
+TS_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_OPTIONS = {"timestampNTZFormat": TS_MICROS, "timestampFormat": TS_MICROS + "XXX"}
+
+
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """JSON Lines, timestamps at full microsecond precision."""
+    df.write.mode(mode).options(**JSON_OPTIONS).json(path)
+    return path
+
+
 # ------------------------------------------------------------------------ K5
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with header and comma delimiter; one file per task by default.
@@ -138,3 +150,26 @@ def schema_snapshots(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).distinct().withColumn(
         "schema_ddl", F.lit(df.schema.simpleString())
     )
+
+
+# ----------------------------------------------------------------------- K13
+def store_objects(objects: DataFrame, dest: str, key_prefix: str = "") -> DataFrame:
+    """Copy binary objects (``binaryFile`` rows) into an object table at ``dest``.
+
+    Each task writes its own files, so bytes never pass through the driver.
+    Returns a lazy status frame over the written table (one row per object
+    with its key and size) for the caller to check or log.
+    """
+    keyed = objects.select(
+        F.concat(F.lit(key_prefix), F.element_at(F.split("path", "/"), -1)).alias("key"),
+        "path",
+        "length",
+        "modificationTime",
+        "content",
+        *[c for c in objects.columns if c not in {"path", "length", "modificationTime", "content"}],
+    )
+    keyed.write.mode("append").parquet(dest)
+    spark = objects.sparkSession
+    return spark.read.parquet(dest).select(
+        *[c for c in keyed.columns if c != "content"], F.lit("uploaded").alias("status")
+    )
