@@ -1 +1,197 @@
-"""Query keys (filled in as operators land)."""
+"""Streaming query keys.
+
+Each key lands data derived from the supplied tables as files in arrival
+waves (time ordered, several files per wave), runs the stream with an
+``availableNow`` trigger, a few files per micro-batch and a checkpoint in
+shared storage, writes each micro-batch idempotently, and reads the
+result back.  The oracle is the batch answer.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from layercake.functions import events as ev
+from layercake.plans.event_keys import POINTS_SQL, sensor_rows
+from layercake.plans.registry import register
+from layercake.plans.sequence_keys import EMA_SQL, TEMP_FEATURES_SQL, _score_sql, readings
+from layercake.session import configure, scratch_path, table
+from layercake.streaming import cdc, io, stateful
+from layercake.streaming.windows import tumbling
+
+WAVES = 4
+FILES_PER_TRIGGER = 2
+# Waves of eight days: a watermark delay of one wave never drops a row.
+WATERMARK_DELAY = "8 days"
+
+
+def _wave(ts: str = "ts"):
+    return F.floor((F.dayofmonth(ts) - 1) / 8).cast("int")
+
+
+def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str = "ts"):
+    path = scratch_path(df.sparkSession, name)
+    columns = ["value"] if fmt == "text" else df.columns
+    staged = df.withColumn("_lc_wave", _wave(ts))
+    io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns)
+    return path
+
+
+def _run(stream, name: str, spark):
+    out, ck = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ckpt")
+    io.run_available(stream, io.parquet_batch_writer(out), ck, name=None)
+    return io.read_batches(spark, out)
+
+
+@register(
+    "stream_scan",
+    "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    group="stream",
+)
+def q_stream_scan(spark, sf_dir):
+    """Streaming Parquet directory (explicit schema), event time cast and cast back."""
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    path = _land(events, "events_stream")
+    stream = io.file_source(spark, path, "parquet", events.schema, FILES_PER_TRIGGER)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")
+    )
+    return _run(stream, "events_stream", spark).select(*events.columns)
+
+
+@register("stream_points", POINTS_SQL + " SELECT * FROM pts", group="stream")
+def q_stream_points(spark, sf_dir):
+    """JSON messages (a topic stand-in) -> points -> idempotent batch writes."""
+    configure(spark)
+    msgs = ev.sensor_messages(table(spark, sf_dir, "events"))
+    path = _land(msgs, "sensor_topic", fmt="text")
+    stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
+    return _run(ev.event_points(stream), "sensor_points_stream", spark)
+
+
+_SENSOR_POINTS_SQL = " UNION ALL ".join(
+    f"""SELECT 'sensor_data' AS measurement, CAST(user_id AS VARCHAR) AS device_id,
+               date_trunc('second', ts) AS time, '{f}' AS field, {expr} AS value FROM events"""
+    for f, expr in [
+        ("voltage", "230.0"),
+        ("current", "value * 0.5"),
+        ("power", "value * 2"),
+        ("temperature", "value"),
+        ("humidity", "0.0"),
+    ]
+)
+
+
+@register("sensor_points", _SENSOR_POINTS_SQL, group="stream")
+def q_sensor_points(spark, sf_dir):
+    """Silver sensor rows streamed from Parquet; five fields, missing ones 0.0."""
+    configure(spark)
+    rows = sensor_rows(table(spark, sf_dir, "events"))
+    path = _land(rows, "silver_sensor", ts="timestamp")
+    stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
+    return _run(ev.sensor_points(stream), "sensor_rows_stream", spark)
+
+
+def _landed_readings(spark, sf_dir, name: str):
+    df = readings(spark, sf_dir)
+    path = _land(df, name, key="device_id")
+    return io.file_source(spark, path, "parquet", df.schema, FILES_PER_TRIGGER)
+
+
+@register("stream_ema_anomaly", EMA_SQL, group="stream")
+def q_stream_ema_anomaly(spark, sf_dir):
+    """Keyed EMA state per device across micro-batches."""
+    configure(spark)
+    stream = _landed_readings(spark, sf_dir, "readings_ema").drop("humidity")
+    out = stateful.stream_ema_anomalies(
+        stream, "device_id", ["ts", "event_id"], "temperature",
+        ["device_id", "event_id", "ts", "temperature"],
+    )
+    res = _run(out, "ema_stream", spark)
+    return res.withColumn("ema", F.round("ema", 6))
+
+
+@register("stream_sequence_score", _score_sql(), group="stream")
+def q_stream_sequence_score(spark, sf_dir):
+    """Last-20-readings state per device; warm-up, prediction and alert records."""
+    configure(spark)
+    stream = _landed_readings(spark, sf_dir, "readings_seq").drop("humidity")
+    out = stateful.stream_score_sequences(
+        stream, "device_id", ["ts", "event_id"], "temperature", ["device_id", "event_id", "ts"]
+    )
+    res = _run(out, "sequence_stream", spark)
+    return res.withColumn("prediction", F.round("prediction", 6)).select(
+        "device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind"
+    )
+
+
+@register("stream_temp_features", TEMP_FEATURES_SQL, group="stream")
+def q_stream_temp_features(spark, sf_dir):
+    """Lag and rolling mean from per-device state, assembled into vectors on the stream."""
+    configure(spark)
+    stream = _landed_readings(spark, sf_dir, "readings_feat")
+    feats = stateful.stream_lag_features(
+        stream, "device_id", ["ts", "event_id"], "temperature",
+        ["device_id", "event_id", "temperature", "humidity"],
+    )
+    assembled = VectorAssembler(
+        inputCols=["temp_lag_1", "temp_roll_mean_5", "humidity"], outputCol="features", handleInvalid="skip"
+    ).transform(feats)
+    res = _run(assembled.drop("features"), "features_stream", spark)
+    return res.select(
+        "device_id", "event_id", "temperature", "temp_lag_1",
+        F.round("temp_roll_mean_5", 6).alias("temp_roll_mean_5"), "humidity",
+    )
+
+
+@register(
+    "tumbling_sensor_avg",
+    """SELECT event_type AS id, date_trunc('hour', ts) AS window_start,
+              date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+              CAST(COUNT(*) AS BIGINT) AS n,
+              ROUND(AVG(value), 6) AS avg_temp, ROUND(AVG(value * 2), 6) AS avg_power
+       FROM events GROUP BY event_type, date_trunc('hour', ts)
+       HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
+              <= (SELECT MAX(ts) FROM events) - INTERVAL 8 DAY""",
+    group="stream",
+)
+def q_tumbling_sensor_avg(spark, sf_dir):
+    """Hourly averages per kind with a watermark; only closed windows are emitted."""
+    configure(spark)
+    rows = sensor_rows(table(spark, sf_dir, "events"))
+    path = _land(rows, "sensor_windows", ts="timestamp")
+    stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
+    windows = tumbling(
+        stream, "timestamp", {"id": "kind"},
+        {"n": F.count(F.lit(1)), "avg_temp": F.avg("temperature"), "avg_power": F.avg("power")},
+        size="1 hour", delay=WATERMARK_DELAY,
+    )
+    res = _run(windows, "windows_stream", spark)
+    return res.withColumns({"avg_temp": F.round("avg_temp", 6), "avg_power": F.round("avg_power", 6)})
+
+
+@register(
+    "cdc_explode",
+    """SELECT 'insert' AS kind, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
+       FROM orders""",
+    group="stream",
+)
+def q_cdc_explode(spark, sf_dir):
+    """Orders packed into change messages (both key spellings), streamed and exploded."""
+    configure(spark)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        F.floor(F.col("o_orderkey") / 16).alias("grp"),
+    )
+    msgs = cdc.pack_changes(orders, "orders", "grp")
+    path = scratch_path(spark, "cdc_topic")
+    msgs.select("value").write.text(path)
+    stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
+    typed = cdc.typed_columns(
+        cdc.explode_changes(stream),
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz",
+    )
+    return _run(typed, "cdc_stream", spark)
