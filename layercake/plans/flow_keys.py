@@ -1 +1,164 @@
-"""Query keys (filled in as operators land)."""
+"""End-to-end layer flows and the vector mart as query keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from layercake.operators import vectors
+from layercake.plans import flows
+from layercake.plans.bronze_keys import EVENTS_DDL
+from layercake.plans.event_keys import sensor_rows
+from layercake.plans.gold_keys import PRICE_THRESHOLD, RULES_SQL
+from layercake.plans.registry import register
+from layercake.plans.silver_keys import _indicator_sql
+from layercake.session import configure, scratch_path, table
+from layercake.sinks import tables
+from layercake.sources import files
+
+# Width of the test vectors (the collection itself is 1536 wide).
+TEST_DIM = 64
+
+
+@register(
+    "source_gate",
+    """SELECT CAST(MIN(user_id) AS VARCHAR) AS canary_symbol,
+              (SELECT COUNT(*) FROM events WHERE CAST(user_id AS VARCHAR) =
+                  (SELECT CAST(MIN(user_id) AS VARCHAR) FROM events)) AS canary_rows,
+              CASE WHEN (SELECT COUNT(*) FROM events WHERE CAST(user_id AS VARCHAR) =
+                  (SELECT CAST(MIN(user_id) AS VARCHAR) FROM events)) > 0
+                   THEN 'CONTINUE' ELSE 'STOP' END AS status
+       FROM events""",
+    group="flow",
+)
+def q_source_gate(spark, sf_dir):
+    """Universe from a landed CSV; its first symbol is the canary for the run."""
+    configure(spark)
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "gate_universe")
+    events.select(F.col("user_id").cast("string").alias("Symbol")).distinct().write.option(
+        "header", True
+    ).csv(path)
+    universe = files.csv_column(spark, path, "Symbol")
+    return flows.source_gate(events, universe.selectExpr("CAST(Symbol AS BIGINT) AS s"), "s",
+                             F.col("user_id")).select(
+        F.col("canary_symbol").cast("string").alias("canary_symbol"), "canary_rows", "status"
+    )
+
+
+_BRONZE_COLS = ["event_id", "event_user", "kind", "time", "value", "props_k"]
+
+
+def _bronze_health_sql() -> str:
+    cols = _BRONZE_COLS
+    base = """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type AS kind_p,
+                     event_id, user_id AS event_user, event_type AS kind,
+                     date_trunc('second', ts) AS time, value,
+                     CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k FROM events"""
+    parts = ["SELECT dt, kind_p, 'row_count' AS metric, CAST(NULL AS VARCHAR) AS column_name, "
+             "COUNT(*) AS value FROM e GROUP BY dt, kind_p"]
+    for c in cols:
+        cond = f"{c} IS NULL" + (f" OR isnan({c})" if c == "value" else "")
+        parts.append(f"SELECT dt, kind_p, 'null_count', '{c}', COUNT(*) FILTER (WHERE {cond}) "
+                     "FROM e GROUP BY dt, kind_p")
+    parts.append(
+        "SELECT dt, kind_p, 'duplicate_rows', CAST(NULL AS VARCHAR), CAST(SUM(c - 1) AS BIGINT) FROM "
+        f"(SELECT dt, kind_p, {', '.join(cols)}, COUNT(*) AS c FROM e GROUP BY ALL) GROUP BY dt, kind_p"
+    )
+    return (f"WITH e AS ({base}) SELECT dt, kind_p AS dataset, metric, column_name, "
+            f"CAST(value AS BIGINT) AS value FROM ({' UNION ALL '.join(parts)})")
+
+
+@register("flow_bronze", _bronze_health_sql(), group="flow")
+def q_flow_bronze(spark, sf_dir):
+    """Raw nested JSON with epoch times -> flatten, time detection, NaN->NULL ->
+    day/dataset layout, schema history, health stats (returned)."""
+    configure(spark)
+    ev = table(spark, sf_dir, "events")
+    raw_path, root = scratch_path(spark, "raw_landing"), scratch_path(spark, "bronze_flow")
+    raw = ev.select(
+        F.to_json(
+            F.struct(
+                F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("user")).alias("event"),
+                F.col("event_type").alias("kind"),
+                F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"),
+                F.col("value"),
+                F.from_json("props", "k bigint").alias("props"),
+            )
+        ).alias("value")
+    )
+    raw.write.text(raw_path)
+    landed = files.read_json(spark, raw_path, "auto")
+    health = flows.bronze(
+        landed, root,
+        group_cols=[F.date_format("time", "yyyy-MM-dd").alias("dt"),
+                    F.col("kind").alias("dataset")],
+        layout_cols=["dt", "dataset"], unix_candidates=["time"],
+    )
+    return health.select("dt", "dataset", "metric", "column_name", F.col("value").cast("bigint"))
+
+
+@register("flow_silver", _indicator_sql("PARTITION BY event_type"), group="flow")
+def q_flow_silver(spark, sf_dir):
+    """Existing raw snapshot + newly landed JSON -> indicators, verdict, swap."""
+    configure(spark)
+    ev = table(spark, sf_dir, "events")
+    base, new_path = scratch_path(spark, "silver_flow"), scratch_path(spark, "silver_new_json")
+    tables.write_snapshot(ev.filter("ts < TIMESTAMP '2024-01-16'"), base)
+    tables.write_json(ev.filter("ts >= TIMESTAMP '2024-01-16'"), new_path)
+    result, verdict = flows.silver(
+        spark, new_path, base, EVENTS_DDL, keys=["event_type"], date_col="ts",
+        close_col="value", tie_break=["event_id"],
+    )
+    if verdict.first()["validation_status"] != "VALID":
+        raise ValueError("silver validation failed: NULL Close")
+    return result
+
+
+@register(
+    "flow_gold",
+    f"""SELECT event_type AS name, COUNT(*) AS total_orders, ROUND(SUM(value), 6) AS total_sales,
+           (SELECT COUNT(*) FROM events f LEFT JOIN customer d ON f.user_id = d.c_custkey
+            WHERE d.c_custkey IS NULL AND f.value > {PRICE_THRESHOLD}) AS invalid_references
+        FROM events WHERE value > {PRICE_THRESHOLD} GROUP BY event_type""",
+    group="flow",
+)
+def q_flow_gold(spark, sf_dir):
+    """Fact rule -> metrics -> integrity against customers -> CSV export."""
+    configure(spark)
+    metrics = ["event_type AS name", "COUNT(*) AS total_orders", "ROUND(SUM(value), 6) AS total_sales"]
+    out = flows.gold_flow(
+        spark, table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), RULES_SQL,
+        ["event_type"], metrics, "user_id", "c_custkey", scratch_path(spark, "gold_csv"),
+    )
+    return out.drop("event_type") if "event_type" in out.columns else out
+
+
+@register(
+    "embed_rows",
+    """SELECT user_id AS id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS timestamp,
+              64 AS dim, CAST(4.0 AS FLOAT) AS n_tokens
+       FROM events GROUP BY user_id, date_trunc('hour', ts)""",
+    group="vectors",
+)
+def q_embed_rows(spark, sf_dir):
+    """Device-hour averages -> text -> hashed embedding -> vector rows stored and read back."""
+    configure(spark)
+    rows = sensor_rows(table(spark, sf_dir, "events"))
+    hourly = rows.groupBy(F.window(F.col("timestamp").cast("timestamp"), "1 hour").alias("w"), "id").agg(
+        F.avg(F.col("temperature").cast("decimal(18,2)")).alias("avg_temp"),
+        F.avg(F.col("power").cast("decimal(18,2)")).alias("avg_power"),
+    )
+    text = hourly.select(
+        "id",
+        F.col("w.start").alias("window_start"),
+        F.concat(F.lit("Sensor "), F.col("id").cast("string"), F.lit(": avg_temp="),
+                 F.col("avg_temp").cast("string"), F.lit(", avg_power="),
+                 F.col("avg_power").cast("string")).alias("text"),
+    )
+    vec = vectors.vector_rows(vectors.embed(text, dim=TEST_DIM), "id", "embedding", "window_start", TEST_DIM)
+    path = vectors.write_vectors(vec, scratch_path(spark, "sensor_embeddings"))
+    stored = spark.read.parquet(path)
+    return stored.select(
+        "id", "timestamp", F.size("embedding").alias("dim"),
+        F.aggregate("embedding", F.lit(0.0).cast("float"), lambda a, x: a + x).alias("n_tokens"),
+    )
