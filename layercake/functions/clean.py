@@ -73,7 +73,10 @@ def cast_columns(
             failed.append(F.col(name).isNotNull() & src.try_cast(target).isNull())
     out = df.withColumns(exprs) if exprs else df
     if reject_col and failed:
-        out = df.withColumn(reject_col, F.greatest(*[c.cast("int") for c in failed]) > 0).withColumns(exprs)
+        any_failed = failed[0]
+        for c in failed[1:]:
+            any_failed = any_failed | c
+        out = df.withColumn(reject_col, any_failed).withColumns(exprs)
     return out
 
 

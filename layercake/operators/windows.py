@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -63,8 +64,12 @@ def block_layout(
 
     ``order`` must make rows unique within a key (add an id tie-break),
     otherwise a ROWS frame is not deterministic in any engine.
-    ``pin`` is ``"checkpoint"`` (reliable, lineage cut) or ``"none"``
-    (recompute the range exchange; deterministic for a deterministic source).
+    ``pin`` is ``"checkpoint"`` (reliable, lineage cut in the shared
+    checkpoint folder) or ``"persist"`` (one range exchange, cached; a lost
+    block is recomputed through the same shuffle dependency, whose range
+    bounds are fixed).  There is deliberately no unpinned mode: the range
+    sampler is seeded per RDD, so two recomputations of the exchange can
+    choose different bounds and the counts would not match the rows.
     """
     keys, order = list(keys), list(order)
     block_rows = int(block_rows or max(DEFAULT_BLOCK_ROWS, 8 * halo))
@@ -82,6 +87,10 @@ def block_layout(
     )
     if pin == "checkpoint":
         tagged = tagged.checkpoint(eager=True)
+    elif pin == "persist":
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        raise ValueError(f"unknown pin {pin!r}")
     # One row per range: proven bound, safe to broadcast.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
