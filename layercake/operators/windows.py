@@ -118,7 +118,7 @@ def rolling(
     keys: Sequence[str],
     order: Sequence[str],
     halo: int,
-    make_columns: Callable[[WindowSpec], dict[str, Column]],
+    make_columns: Callable[[WindowSpec], dict[str, Column] | list[dict[str, Column]]],
     block_rows: int | None = None,
     ranges: int | None = None,
     pin: str = "checkpoint",
@@ -127,7 +127,9 @@ def rolling(
     """Add window columns whose frames reach at most ``halo`` rows back.
 
     ``make_columns(w)`` receives the ordered window spec (partitioned by the
-    keys) and returns ``{name: column}``; frames are set by the caller with
+    keys) and returns ``{name: column}``, or a list of such dicts applied in
+    turn (a later stage may window over an earlier one; all stages share one
+    exchange and sort); frames are set by the caller with
     ``w.rowsBetween(-n, 0)`` (``n <= halo``).  Running aggregates
     (``unboundedPreceding``) start at the block's halo, which is exact for
     anything that forgets history older than ``halo`` rows.
@@ -138,10 +140,29 @@ def rolling(
     keys, order = list(keys), list(order)
     if method == "partition":
         w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-        return df.withColumns(make_columns(w))
+        return _apply(df, make_columns(w))
     laid = block_layout(df, keys, order, halo, block_rows, ranges, pin)
     w = Window.partitionBy(*keys, BLK).orderBy(POS)
-    return laid.withColumns(make_columns(w)).filter(~F.col(HALO)).drop(*_INTERNAL)
+    return _apply(laid, make_columns(w)).filter(~F.col(HALO)).drop(*_INTERNAL)
+
+
+def _apply(df: DataFrame, stages) -> DataFrame:
+    for stage in stages if isinstance(stages, list) else [stages]:
+        df = df.withColumns(stage)
+    return df
+
+
+def fixed_point_avg(total: Column, count: Column, unit: int, digits: int) -> Column:
+    """``total / (count * unit)`` rounded HALF_UP to ``digits``, exactly.
+
+    ``total`` is an integer sum of values scaled by ``unit``.  The rounding
+    is integer arithmetic on decimal(38,0), so no summation order or float
+    error can move a value across a rounding boundary.
+    """
+    num = F.abs(total).cast("decimal(38,0)") * F.lit(2 * 10**digits) + count * F.lit(unit)
+    mag = F.floor(num / (count * F.lit(2 * unit)).cast("decimal(38,0)"))
+    signed = F.when(total < 0, -mag).otherwise(mag)
+    return F.when(count > 0, signed.cast("double") / F.lit(float(10**digits)))
 
 
 # --------------------------------------------------------------- indicators
@@ -167,21 +188,36 @@ def indicators(
     (NULL for a one-row frame).  ``keys`` makes one series per key; with no
     keys the whole table is one series (exact, without a one-task sort).
 
-    ``decimal_scale`` treats prices as fixed-point with that many decimals:
-    the moving averages are then exact decimal sums divided with HALF_UP
-    rounding (no dependence on summation order), returned as doubles.
+    ``decimal_scale`` treats prices as fixed-point with that many decimals.
+    The moving averages then come from one running integer sum per block:
+    ``sum(last n) = C_t - C_(t-n)`` with ``lag`` -- O(1) per row for any n,
+    exact (integers cannot cancel), rounded HALF_UP to ``digits`` (default
+    6) independently of summation order.  Without it, averages are sliding
+    double frames.
     """
     close = F.col(close_col)
-    avg_in = close.cast(f"decimal(18,{decimal_scale})") if decimal_scale is not None else close
+    bb_frame = (-(BB_LENGTH - 1), 0)
 
-    def cols(w: WindowSpec) -> dict[str, Column]:
-        out = {
-            f"MA{n}": F.avg(avg_in).over(w.rowsBetween(-(n - 1), 0)).cast("double")
-            for n in MA_LENGTHS
-        }
-        out["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(-(BB_LENGTH - 1), 0))
+    def sliding(w: WindowSpec) -> dict[str, Column]:
+        out = {f"MA{n}": F.avg(close).over(w.rowsBetween(-(n - 1), 0)) for n in MA_LENGTHS}
+        out["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(*bb_frame))
         return out
 
+    def running(w: WindowSpec) -> list[dict[str, Column]]:
+        unit, d = 10**decimal_scale, 6 if digits is None else digits
+        scaled = F.round(close * F.lit(unit)).cast("long")
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        first = {"_lc_c": F.sum(scaled).over(upto), "_lc_k": F.count(scaled).over(upto)}
+        second = {}
+        for n in MA_LENGTHS:
+            total = F.col("_lc_c") - F.coalesce(F.lag("_lc_c", n).over(w), F.lit(0))
+            count = F.col("_lc_k") - F.coalesce(F.lag("_lc_k", n).over(w), F.lit(0))
+            second[f"MA{n}"] = fixed_point_avg(total, count, unit, d)
+        second["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(*bb_frame))
+        return [first, second]
+
+    cols = sliding if decimal_scale is None else running
+
     halo = max(MA_LENGTHS + (BB_LENGTH,)) - 1
     out = rolling(df, keys, [date_col, *tie_break], halo, cols, **layout)
     mid = F.col(f"MA{BB_LENGTH}")
@@ -192,6 +228,7 @@ def indicators(
             "BB_Lower": mid - BB_WIDTH * F.col("BB_Std"),
         }
     )
+    out = out.drop("_lc_c", "_lc_k")
     names = ["MA20", "MA50", "MA200", "BB_Mid", "BB_Std", "BB_Upper", "BB_Lower"]
     if digits is not None:
         out = out.withColumns({n: F.round(n, digits) for n in names})

@@ -21,7 +21,8 @@ from layercake.streaming import cdc, io, stateful
 from layercake.streaming.windows import tumbling
 
 WAVES = 4
-FILES_PER_TRIGGER = 2
+# Several micro-batches per run, so state is carried across batches.
+FILES_PER_TRIGGER = 16
 # Waves of eight days: a watermark delay of one wave never drops a row.
 WATERMARK_DELAY = "8 days"
 

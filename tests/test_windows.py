@@ -112,3 +112,22 @@ def test_score_records(spark):
     alerts = out.filter("kind = 'alert'")
     assert alerts.filter("abs(observed - prediction) <= 5").count() == 0
     assert abs(sum(sequences.linear_weights()) - 1.0) < 1e-12
+
+
+def test_fixed_point_averages_exact_across_blocks(spark):
+    from fractions import Fraction
+
+    df = _events(spark).select("event_id", "event_type", F.col("ts").alias("Date"), F.col("value").alias("Close"))
+    got = windows.indicators(df, keys=["event_type"], tie_break=["event_id"], digits=6, decimal_scale=2,
+                             block_rows=256, ranges=3).collect()
+    rows = sorted(df.collect(), key=lambda r: (r["event_type"], r["Date"], r["event_id"]))
+    hist: dict[str, list[int]] = {}
+    want = {}
+    for r in rows:
+        h = hist.setdefault(r["event_type"], [])
+        h.append(round(r["Close"] * 100))
+        win = h[-50:]
+        q = Fraction(sum(win), 100 * len(win))
+        m = (q * 10**6 * 2 + 1) // 2  # HALF_UP for non-negative
+        want[r["event_id"]] = float(m) / 10**6
+    assert {r["event_id"]: r["MA50"] for r in got} == want
