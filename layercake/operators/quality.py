@@ -258,44 +258,37 @@ HEALTH_SCHEMA = StructType(
 def health(df: DataFrame, group_cols: Sequence[str | Column], data_cols: Sequence[str] | None = None) -> DataFrame:
     """Tall health stats per group: ``row_count``, ``duplicate_rows``, ``null_count`` per column.
 
-    ``group_cols`` are expressions over ``df`` (e.g. ``to_date(ts)``),
-    named by their alias.  Row and null counts come from one grouped
-    aggregate (partial aggregation map-side).  Duplicate rows (rows beyond
-    the first copy) come from a grouping on the full row, which spreads a
-    hot group over many tasks by the row hash, then a per-group sum.  Empty
-    groups produce no rows.
+    ``group_cols`` are expressions over ``df`` (e.g. ``to_date(ts)``), named
+    by their alias.  One scan, one shuffle: rows are first counted per
+    distinct full row (partial aggregation map-side; the full-row hash
+    spreads a hot group over many tasks), and every statistic follows from
+    those copies -- rows = sum(copies), duplicates = sum(copies - 1),
+    nulls of c = sum(copies where c is NULL/NaN).  Empty groups produce no
+    rows.
     """
     data_cols = list(data_cols or df.columns)
     gcols = [F.col(g) if isinstance(g, str) else g for g in group_cols]
     keyed = df.select(*gcols, *[F.col(f"`{c}`") for c in data_cols])
     gnames = keyed.columns[: len(gcols)]
-    counts = keyed.groupBy(*gnames).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(_is_missing(keyed, c)).alias(f"__null_{c}") for c in data_cols],
+    copies = keyed.groupBy(*gnames, *[F.col(f"`{c}`") for c in data_cols]).agg(
+        F.count(F.lit(1)).alias("__copies")
     )
-    tall_counts = counts.select(
-        *gnames,
-        F.explode(
-            F.array(
-                F.struct(F.lit("row_count").alias("metric"), F.lit(None).cast("string").alias("column_name"),
-                         F.col("__rows").alias("value")),
-                *[
-                    F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("column_name"),
-                             F.col(f"`__null_{c}`").alias("value"))
-                    for c in data_cols
-                ],
-            )
-        ).alias("m"),
-    ).select(*gnames, "m.*")
-    dups = (
-        keyed.groupBy(*gnames, *data_cols)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-        .groupBy(*gnames)
-        .agg(F.sum(F.col("__copies") - 1).alias("value"))
-        .select(*gnames, F.lit("duplicate_rows").alias("metric"),
-                F.lit(None).cast("string").alias("column_name"), "value")
+    n = F.col("__copies")
+    per_group = copies.groupBy(*gnames).agg(
+        F.sum(n).alias("__rows"),
+        F.sum(n - 1).alias("__dups"),
+        *[F.sum(F.when(_is_missing(keyed, c), n).otherwise(F.lit(0))).alias(f"__null_{c}") for c in data_cols],
     )
-    return tall_counts.unionByName(dups)
+    def metric(name: str, column: str | None, value: str) -> Column:
+        return F.struct(F.lit(name).alias("metric"), F.lit(column).cast("string").alias("column_name"),
+                        F.col(f"`{value}`").cast("bigint").alias("value"))
+
+    metrics = [
+        metric("row_count", None, "__rows"),
+        metric("duplicate_rows", None, "__dups"),
+        *[metric("null_count", c, f"__null_{c}") for c in data_cols],
+    ]
+    return per_group.select(*gnames, F.inline(F.array(*metrics)))
 
 
 def merge_health(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def block_layout(
     )
     pos = F.col(_OFF) + F.col(_LOCAL)
     placed = tagged.join(F.broadcast(offsets), _PID).withColumn(POS, pos)
-    blk = F.floor(F.col(POS) / F.lit(block_rows)).cast("long")
+    blk = F.expr(f"{POS} div {block_rows}")  # exact integer division
     own = F.struct(blk.alias("b"), F.lit(False).alias("h"))
     nxt = F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))
     in_tail = (F.col(POS) % F.lit(block_rows)) >= F.lit(block_rows - halo)

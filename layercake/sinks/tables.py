@@ -126,13 +126,15 @@ def write_layout(
 
     Dynamic partition overwrite replaces only the partitions present in
     ``df``, so re-landing one day never deletes the others.  Rows are
-    shuffled on the partition columns first so each output folder gets few
-    large files instead of one small file per task; ``cluster_by`` sorts
-    within files (e.g. by symbol when symbols are many).
+    rebalanced on the partition columns first (``REBALANCE``): each output
+    folder gets few large files instead of one small file per task, and AQE
+    splits a hot folder (one day holding a third of the data) across many
+    writer tasks instead of one.  ``cluster_by`` sorts within files (e.g.
+    by symbol when symbols are many).
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = df.repartition(*partition_cols)
+    out = df.hint("rebalance", *partition_cols)
     if cluster_by:
         out = out.sortWithinPartitions(*cluster_by)
     out.write.mode("overwrite").partitionBy(*partition_cols).format(fmt).save(path)
