@@ -22,6 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from layercake.functions.numeric import round_half_up
 from layercake.operators.windows import BLK, HALO, POS, block_layout, rolling
 
 # Fixed values of the reference's detectors.
@@ -85,7 +86,7 @@ def ema_anomalies(
     out = ema(df, keys, order, value, alpha, **layout)
     out = out.withColumn("alert", F.abs(F.col(value) - F.col("ema")) > F.lit(threshold))
     if digits is not None:
-        out = out.withColumn("ema", F.round("ema", digits))
+        out = out.withColumn("ema", round_half_up("ema", digits))
     return out
 
 
@@ -164,7 +165,7 @@ def score_sequences(
     ready = F.col("window_len") == F.lit(length)
     pred = F.when(ready, F.col("prediction"))
     if digits is not None:
-        pred = F.round(pred, digits)
+        pred = round_half_up(pred, digits)
     alert = ready & (F.abs(F.col(value) - F.col("prediction")) > F.lit(threshold))
     kinds = F.when(alert, F.array(F.lit("prediction"), F.lit("alert"))).otherwise(
         F.array(F.when(ready, F.lit("prediction")).otherwise(F.lit("warmup")))

@@ -34,6 +34,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from layercake.functions.numeric import round_half_up
+
 POS = "_lc_pos"
 BLK = "_lc_blk"
 HALO = "_lc_halo"
@@ -231,5 +233,5 @@ def indicators(
     out = out.drop("_lc_c", "_lc_k")
     names = ["MA20", "MA50", "MA200", "BB_Mid", "BB_Std", "BB_Upper", "BB_Lower"]
     if digits is not None:
-        out = out.withColumns({n: F.round(n, digits) for n in names})
+        out = out.withColumns({n: round_half_up(n, digits) for n in names})
     return out.select(*[c for c in df.columns if c not in names], *names)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from layercake.functions.numeric import round_half_up
 from layercake.operators import ml, sequences
 from layercake.plans.registry import register
 from layercake.session import configure, scratch_path, table
@@ -110,7 +111,7 @@ TEMP_FEATURES_SQL = f"""SELECT * FROM (
 def temp_features_frame(spark, sf_dir):
     df = sequences.lag_features(readings(spark, sf_dir), KEYS, ORDER, "temperature")
     feats = ml.assemble(df, ["temp_lag_1", "temp_roll_mean_5", "humidity"])
-    return feats.withColumn("temp_roll_mean_5", F.round("temp_roll_mean_5", 6))
+    return feats.withColumn("temp_roll_mean_5", round_half_up("temp_roll_mean_5", 6))
 
 
 @register("temp_features", TEMP_FEATURES_SQL, group="sequence")
@@ -131,5 +132,5 @@ def q_linear_predict(spark, sf_dir):
     ml.fit_linear(feats, "temperature").save(path)
     model = ml.load_linear(path)
     return ml.predict(model, feats).select(
-        "device_id", "event_id", "temperature", F.round("prediction", 6).alias("prediction")
+        "device_id", "event_id", "temperature", round_half_up("prediction", 6).alias("prediction")
     )

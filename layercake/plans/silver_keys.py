@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from layercake.functions.numeric import round_half_up
 from layercake.functions import clean, reshape
 from layercake.operators import windows
 from layercake.plans.quality_keys import DOCS_WITH_LABELS_SQL, docs_with_labels
@@ -173,8 +174,8 @@ def q_unpivot_metrics(spark, sf_dir):
     configure(spark)
     wide = table(spark, sf_dir, "events").groupBy("event_type").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        F.round(F.sum("value"), 6).alias("total"),
-        F.round(F.avg("value"), 6).alias("mean"),
+        round_half_up(F.sum("value"), 6).alias("total"),
+        round_half_up(F.avg("value"), 6).alias("mean"),
         F.max("value").alias("peak"),
     )
     return reshape.unpivot(wide, ["event_type"], ["n", "total", "mean", "peak"])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from layercake.functions.numeric import round_half_up
 from layercake.functions import events as ev
 from layercake.plans.event_keys import POINTS_SQL, sensor_rows
 from layercake.plans.registry import register
@@ -31,9 +32,15 @@ def _wave(ts: str = "ts"):
     return F.floor((F.dayofmonth(ts) - 1) / 8).cast("int")
 
 
-def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str = "ts"):
+def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str = "ts",
+          ordered: bool = True):
+    """Land stream input; ``ordered`` lands time-ordered waves (needed by
+    stateful and watermarked streams), otherwise one write suffices."""
     path = scratch_path(df.sparkSession, name)
     columns = ["value"] if fmt == "text" else df.columns
+    if not ordered:
+        df.select(*columns).write.format(fmt).save(path)
+        return path
     staged = df.withColumn("_lc_wave", _wave(ts))
     io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns)
     return path
@@ -54,7 +61,7 @@ def q_stream_scan(spark, sf_dir):
     """Streaming Parquet directory (explicit schema), event time cast and cast back."""
     configure(spark)
     events = table(spark, sf_dir, "events")
-    path = _land(events, "events_stream")
+    path = _land(events, "events_stream", ordered=False)
     stream = io.file_source(spark, path, "parquet", events.schema, FILES_PER_TRIGGER)
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
         "ts", F.col("ts").cast("timestamp_ntz")
@@ -67,7 +74,7 @@ def q_stream_points(spark, sf_dir):
     """JSON messages (a topic stand-in) -> points -> idempotent batch writes."""
     configure(spark)
     msgs = ev.sensor_messages(table(spark, sf_dir, "events"))
-    path = _land(msgs, "sensor_topic", fmt="text")
+    path = _land(msgs, "sensor_topic", fmt="text", ordered=False)
     stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
     return _run(ev.event_points(stream), "sensor_points_stream", spark)
 
@@ -90,7 +97,7 @@ def q_sensor_points(spark, sf_dir):
     """Silver sensor rows streamed from Parquet; five fields, missing ones 0.0."""
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
-    path = _land(rows, "silver_sensor", ts="timestamp")
+    path = _land(rows, "silver_sensor", ts="timestamp", ordered=False)
     stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
     return _run(ev.sensor_points(stream), "sensor_rows_stream", spark)
 
@@ -111,7 +118,7 @@ def q_stream_ema_anomaly(spark, sf_dir):
         ["device_id", "event_id", "ts", "temperature"],
     )
     res = _run(out, "ema_stream", spark)
-    return res.withColumn("ema", F.round("ema", 6))
+    return res.withColumn("ema", round_half_up("ema", 6))
 
 
 @register("stream_sequence_score", _score_sql(), group="stream")
@@ -123,7 +130,7 @@ def q_stream_sequence_score(spark, sf_dir):
         stream, "device_id", ["ts", "event_id"], "temperature", ["device_id", "event_id", "ts"]
     )
     res = _run(out, "sequence_stream", spark)
-    return res.withColumn("prediction", F.round("prediction", 6)).select(
+    return res.withColumn("prediction", round_half_up("prediction", 6)).select(
         "device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind"
     )
 
@@ -143,7 +150,7 @@ def q_stream_temp_features(spark, sf_dir):
     res = _run(assembled.drop("features"), "features_stream", spark)
     return res.select(
         "device_id", "event_id", "temperature", "temp_lag_1",
-        F.round("temp_roll_mean_5", 6).alias("temp_roll_mean_5"), "humidity",
+        round_half_up("temp_roll_mean_5", 6).alias("temp_roll_mean_5"), "humidity",
     )
 
 
@@ -170,7 +177,7 @@ def q_tumbling_sensor_avg(spark, sf_dir):
         size="1 hour", delay=WATERMARK_DELAY,
     )
     res = _run(windows, "windows_stream", spark)
-    return res.withColumns({"avg_temp": F.round("avg_temp", 6), "avg_power": F.round("avg_power", 6)})
+    return res.withColumns({"avg_temp": round_half_up("avg_temp", 6), "avg_power": round_half_up("avg_power", 6)})
 
 
 @register(

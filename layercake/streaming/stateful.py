@@ -44,8 +44,17 @@ def ema_continue(x: np.ndarray, start: float, alpha: float) -> np.ndarray:
 
 
 def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(list(order), kind="mergesort").reset_index(drop=True)
+    chunks = list(rows)
+    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    # lexsort: last key is primary; numpy avoids pandas' per-call sort overhead.
+    idx = np.lexsort([pdf[c].to_numpy() for c in reversed(list(order))])
+    return pdf.take(idx).reset_index(drop=True)
+
+
+def _state_value(state, default):
+    """One round trip: ``get`` returns None when the key has no state yet."""
+    got = state.get()
+    return default if got is None else got[0]
 
 
 class EmaAnomalyProcessor(StatefulProcessor):
@@ -64,7 +73,7 @@ class EmaAnomalyProcessor(StatefulProcessor):
         pdf = pdf[pdf[self.value].notna()]
         if pdf.empty:
             return
-        prev = self.state.get()[0] if self.state.exists() else 0.0
+        prev = _state_value(self.state, 0.0)
         x = pdf[self.value].to_numpy(dtype=np.float64)
         ema = ema_continue(x, prev, self.alpha)
         self.state.update((float(ema[-1]),))
@@ -99,7 +108,7 @@ class TrailingProcessor(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        buf = list(self.state.get()[0]) if self.state.exists() else []
+        buf = list(_state_value(self.state, []))
         x = pdf[self.value].to_numpy(dtype=np.float64)
         full = np.concatenate([np.asarray(buf, dtype=np.float64), x])
         base = len(buf)
