@@ -131,3 +131,15 @@ def test_fixed_point_averages_exact_across_blocks(spark):
         m = (q * 10**6 * 2 + 1) // 2  # HALF_UP for non-negative
         want[r["event_id"]] = float(m) / 10**6
     assert {r["event_id"]: r["MA50"] for r in got} == want
+
+
+def test_ema_recurrence_bit_exact(spark):
+    df = _events(spark).select(F.col("user_id").alias("device_id"), "event_id", "ts", F.col("value").alias("temperature"))
+    got = sequences.ema(df, ["device_id"], ["ts", "event_id"], "temperature", method="recurrence",
+                        block_rows=500, ranges=3).collect()
+    state: dict[int, float] = {}
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: (r["device_id"], r["ts"], r["event_id"])):
+        s = state.get(r["device_id"], 0.0) * 0.9 + r["temperature"] * 0.1
+        state[r["device_id"]] = want[r["event_id"]] = s
+    assert {r["event_id"]: r["ema"] for r in got} == want
