@@ -119,6 +119,38 @@ def schema_errors_frame(df: DataFrame, expected: Mapping[str, str]) -> DataFrame
     )
 
 
+def schema_conformance(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """Per expected column: declared-type verdict plus values that would not
+    survive a cast to the expected type (one aggregate pass).
+
+    Columns: ``column_name, expected, actual, error`` (NULL when the declared
+    type matches) and ``bad_values`` (non-NULL values whose ``try_cast`` to
+    the expected type is NULL; 0 for a missing column, which has no values).
+    """
+    errs = schema_errors(df, expected)
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    present = [c for c in expected if c in actual]
+    counts = df.agg(
+        *[
+            F.count_if(F.col(f"`{c}`").isNotNull()
+                       & F.col(f"`{c}`").try_cast(normalise_type(expected[c])).isNull()).alias(c)
+            for c in present
+        ],
+        F.count(F.lit(1)).alias("__rows"),
+    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(expected[c]).alias("expected"),
+            F.lit(actual.get(c)).cast("string").alias("actual"),
+            F.lit(errs.get(c)).cast("string").alias("error"),
+            (F.col(f"`{c}`") if c in actual else F.lit(0)).cast("bigint").alias("bad_values"),
+        )
+        for c in expected
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 # ------------------------------------------------------------- DQ3 / DQ4
 def _is_missing(df: DataFrame, c: str) -> Column:
     col = F.col(f"`{c}`")

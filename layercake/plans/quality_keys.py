@@ -179,3 +179,28 @@ def q_health_merge(spark, sf_dir):
     return quality.merge_health(
         [morning, afternoon], ["run_date", "symbol", "dataset"]
     ).select("run_date", "symbol", "dataset", "metric", "column_name", "value")
+
+
+SCHEMA_EXPECTED = {"event_id": "int64", "user_id": "int32", "props": "float64", "device": "object"}
+
+
+@register(
+    "schema_check",
+    """SELECT 'event_id' AS column_name, 'int64' AS expected, 'bigint' AS actual,
+              CAST(NULL AS VARCHAR) AS error,
+              COUNT(*) FILTER (WHERE event_id IS NOT NULL AND TRY_CAST(event_id AS BIGINT) IS NULL) AS bad_values
+       FROM events
+       UNION ALL
+       SELECT 'user_id', 'int32', 'bigint', 'Expected int32, got bigint',
+              COUNT(*) FILTER (WHERE user_id IS NOT NULL AND TRY_CAST(user_id AS INTEGER) IS NULL) FROM events
+       UNION ALL
+       SELECT 'props', 'float64', 'string', 'Expected float64, got string',
+              COUNT(*) FILTER (WHERE props IS NOT NULL AND TRY_CAST(props AS DOUBLE) IS NULL) FROM events
+       UNION ALL
+       SELECT 'device', 'object', NULL, 'Missing column', 0""",
+    group="quality",
+)
+def q_schema_check(spark, sf_dir):
+    """Expected schema (pandas dtype names) vs the table, with non-castable value counts."""
+    configure(spark)
+    return quality.schema_conformance(table(spark, sf_dir, "events"), SCHEMA_EXPECTED)
