@@ -165,3 +165,43 @@ def test_entry_contract(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert not any(k.startswith("op") or k == "pipeline" for k in q)
+
+
+def test_model_scorer_plugin_matches_linear(spark):
+    import numpy as np
+
+    def make_predict_fn():
+        w = np.asarray(sequences.linear_weights(), dtype=np.float64)
+
+        def predict(x):
+            return x.astype(np.float64) @ w
+
+        return predict
+
+    df = _readings(spark)
+    jvm = sequences.score_sequences(df, ["device_id"], ["ts", "event_id"], "temperature", digits=4)
+    plug = sequences.score_sequences(df, ["device_id"], ["ts", "event_id"], "temperature", digits=4,
+                                     scorer=sequences.model_scorer(make_predict_fn))
+    a = {(r["event_id"], r["kind"]): r["prediction"] for r in jvm.collect()}
+    b = {(r["event_id"], r["kind"]): r["prediction"] for r in plug.collect()}
+    assert a.keys() == b.keys()
+    # float32 model inputs, like the sequence model: agree to 1e-3
+    assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-3 for k in a)
+
+
+def test_embedder_plugin_and_width_check(spark):
+    from layercake.operators import vectors
+
+    df = spark.createDataFrame([(1, "a b", "2024-01-01 00:00:00")], "id bigint, text string, t string")
+    df = df.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    emb = vectors.embed(df, dim=4, embedder=lambda texts: [[float(len(t)), 0.0, 0.0, 1.0] for t in texts])
+    row = vectors.vector_rows(emb, "id", "embedding", "t", dim=4).first()
+    assert row["embedding"] == [3.0, 0.0, 0.0, 1.0] and row["timestamp"] == 1704067200
+    hashed = vectors.vector_rows(vectors.embed(df, dim=8), "id", "embedding", "t", dim=8).first()
+    assert sum(hashed["embedding"]) == 2.0
+    try:
+        vectors.vector_rows(emb, "id", "embedding", "t", dim=5).collect()
+    except Exception as e:  # noqa: BLE001
+        assert "width mismatch" in str(e)
+    else:
+        raise AssertionError("width check must fail")
