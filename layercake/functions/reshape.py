@@ -110,6 +110,30 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = No
     return df.unpivot(list(ids), values, name_col, value_col).filter(F.col(value_col).isNotNull())
 
 
+def date_labels(df: DataFrame, fmt: str = "%Y-%m-%d") -> DataFrame:
+    """Rename columns whose names are timestamps (``2024-01-01 00:00:00``,
+    ``2024-01-01T00:00:00``) to date text; other names are kept.  Metadata only."""
+    from datetime import datetime
+
+    def relabel(name: str) -> str:
+        try:
+            return datetime.fromisoformat(name).strftime(fmt)
+        except ValueError:
+            return name
+
+    mapping = {c: relabel(c) for c in df.columns if relabel(c) != c}
+    return df.withColumnsRenamed(mapping) if mapping else df
+
+
+def wide_by(df: DataFrame, ids: Sequence[str], label: Column, agg: Column, labels: Sequence) -> DataFrame:
+    """One column per label value, aggregated with ``agg``.
+
+    The label values are an explicit list (a report's dates), so Spark plans
+    one grouped aggregation and never runs a distinct pass to find them.
+    """
+    return df.withColumn("_lc_label", label).groupBy(*ids).pivot("_lc_label", list(labels)).agg(agg)
+
+
 def expand_dates(start: str | Column, end: str | Column, step: str = "1 day") -> Column:
     """Array of dates from ``start`` to ``end`` inclusive (for ``explode``)."""
     s = F.to_date(F.lit(start) if isinstance(start, str) else start)

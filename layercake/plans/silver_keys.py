@@ -179,3 +179,29 @@ def q_unpivot_metrics(spark, sf_dir):
         F.max("value").alias("peak"),
     )
     return reshape.unpivot(wide, ["event_type"], ["n", "total", "mean", "peak"])
+
+
+@register(
+    "wide_report",
+    """SELECT event_type, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day,
+              ROUND(SUM(value), 6) AS total
+       FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
+       GROUP BY event_type, date_trunc('day', ts)""",
+    group="silver",
+)
+def q_wide_report(spark, sf_dir):
+    """Daily totals as a wide report (one column per day, labelled by
+    timestamp), relabelled to dates and turned back into records."""
+    configure(spark)
+    from datetime import datetime, timedelta
+
+    days = [datetime(2024, 1, 1) + timedelta(days=i) for i in range(31)]
+    events = table(spark, sf_dir, "events")
+    wide = reshape.wide_by(
+        events, ["event_type"], F.date_trunc("day", "ts").cast("string"), F.sum("value"),
+        [d.strftime("%Y-%m-%d %H:%M:%S") for d in days],
+    )
+    wide = reshape.date_labels(wide)
+    labels = [d.strftime("%Y-%m-%d") for d in days]
+    long = reshape.unpivot(wide, ["event_type"], labels, "day", "total")
+    return long.withColumn("total", round_half_up("total", 6))
