@@ -205,3 +205,19 @@ def test_embedder_plugin_and_width_check(spark):
         assert "width mismatch" in str(e)
     else:
         raise AssertionError("width check must fail")
+
+
+def test_state_apis_agree(spark, tmp_dir):
+    df = _readings(spark)
+    src = os.path.join(tmp_dir, "src")
+    io.land_in_order(df.withColumn("w", F.floor((F.dayofmonth("ts") - 1) / 16)), src, F.col("w"), 2,
+                     "device_id", columns=df.columns)
+    results = {}
+    for api in ("grouped", "transform"):
+        out, ck = os.path.join(tmp_dir, f"out_{api}"), os.path.join(tmp_dir, f"ck_{api}")
+        stream = io.file_source(spark, src, "parquet", df.schema, max_files_per_trigger=1)
+        scored = stateful.stream_score_sequences(stream, "device_id", ["ts", "event_id"], "temperature",
+                                                 ["device_id", "event_id"], api=api)
+        io.run_available(scored, io.parquet_batch_writer(out), ck)
+        results[api] = sorted((r["event_id"], r["kind"], r["window_len"]) for r in io.read_batches(spark, out).collect())
+    assert results["grouped"] == results["transform"] and results["grouped"]
