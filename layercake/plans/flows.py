@@ -22,14 +22,15 @@ def source_gate(source: DataFrame, universe: DataFrame, symbol_col: str, source_
     """One status row: the canary symbol (smallest of the universe), its row
     count in the source, and ``CONTINUE`` / ``STOP``.
 
-    The canary is a scalar subquery, so nothing is collected and no cross
-    join is planned; an empty universe or canary gives ``STOP``.
+    The canary is an uncorrelated scalar subquery, evaluated once and used
+    as a filter, so only the canary's rows are counted; nothing is collected
+    and no join is planned.  An empty universe or canary gives ``STOP``.
     """
     spark = source.sparkSession
+    canary = "(SELECT MIN(" + symbol_col + ") FROM {uni})"
     counted = spark.sql(
-        """SELECT c.canary AS canary_symbol,
-                  (SELECT COUNT(*) FROM {src} s WHERE s._lc_sym = c.canary) AS canary_rows
-           FROM (SELECT MIN(""" + symbol_col + """) AS canary FROM {uni}) c""",
+        "SELECT " + canary + " AS canary_symbol, COUNT(*) AS canary_rows FROM {src} "
+        "WHERE _lc_sym = " + canary,
         src=source.select(source_symbol.alias("_lc_sym")),
         uni=universe,
     )
