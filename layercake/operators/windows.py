@@ -47,12 +47,6 @@ _INTERNAL = (POS, BLK, HALO)
 DEFAULT_BLOCK_ROWS = 65536
 
 
-def _ranges(df: DataFrame, ranges: int | None) -> int:
-    if ranges:
-        return int(ranges)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def block_layout(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,9 +72,12 @@ def block_layout(
     if halo < 0 or block_rows <= halo:
         raise ValueError("block_rows must exceed halo")
     sort_cols = keys + order
+    # Without an explicit count the range exchange starts from the session's
+    # shuffle partitions and AQE merges adjacent small ranges (order is kept);
+    # positions are taken after that, inside the pinned stage.
+    ranged = df.repartitionByRange(int(ranges), *sort_cols) if ranges else df.repartitionByRange(*sort_cols)
     tagged = (
-        df.repartitionByRange(_ranges(df, ranges), *sort_cols)
-        .sortWithinPartitions(*sort_cols)
+        ranged.sortWithinPartitions(*sort_cols)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(
             _LOCAL,
