@@ -47,8 +47,10 @@ def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str =
 
 
 def _run(stream, name: str, spark):
+    """Run to completion; state partitions = the cluster's default parallelism."""
     out, ck = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ckpt")
-    io.run_available(stream, io.parquet_batch_writer(out), ck, name=None)
+    io.run_available(stream, io.parquet_batch_writer(out), ck,
+                     state_partitions=spark.sparkContext.defaultParallelism)
     return io.read_batches(spark, out)
 
 

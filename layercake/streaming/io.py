@@ -80,8 +80,16 @@ def parquet_batch_writer(path: str, partition_by: Sequence[str] = ()) -> Callabl
 
 
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-                  output_mode: str = "append", name: str | None = None) -> StreamingQuery:
-    """Process everything available now (in trigger-sized batches) and stop."""
+                  output_mode: str = "append", name: str | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
+    """Process everything available now (in trigger-sized batches) and stop.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    stateful query (AQE does not resize stateful shuffles; every micro-batch
+    commits every state partition).  The session's shuffle setting is
+    changed only while the query starts: the stream copies its conf at
+    ``start()``, and a restart reads the count back from the checkpoint.
+    """
     writer = (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
@@ -90,7 +98,15 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     )
     if name:
         writer = writer.queryName(name)
-    q = writer.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(int(state_partitions)))
+    try:
+        q = writer.start()
+    finally:
+        spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
