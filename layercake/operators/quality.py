@@ -31,6 +31,16 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Validation messages and verdicts, as the checks report them.
+MSG_MISSING_COLUMN = "Missing column"
+MSG_WRONG_TYPE = "Expected {expected}, got {actual}"
+MSG_COLUMN_NOT_FOUND = "Column not found"
+MSG_BELOW_MIN = "Values below min {bound}"
+MSG_ABOVE_MAX = "Values above max {bound}"
+MSG_JOIN = "; "
+VERDICT_VALID = "VALID"
+VERDICT_INVALID = "INVALID"
+
 # ------------------------------------------------------------------- SQ1
 # The four logical types and the fallback.
 LOGICAL_INTEGER = "INTEGER"
@@ -105,9 +115,9 @@ def schema_errors(df: DataFrame, expected: Mapping[str, str]) -> dict[str, str]:
     errors: dict[str, str] = {}
     for col, want in expected.items():
         if col not in actual:
-            errors[col] = "Missing column"
+            errors[col] = MSG_MISSING_COLUMN
         elif actual[col] != normalise_type(want):
-            errors[col] = f"Expected {want}, got {actual[col]}"
+            errors[col] = MSG_WRONG_TYPE.format(expected=want, actual=actual[col])
     return errors
 
 
@@ -211,15 +221,15 @@ def bound_errors_frame(
     rows = []
     for c, (lo, hi) in bounds.items():
         if c not in columns:
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit("Column not found").alias("error")))
+            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(MSG_COLUMN_NOT_FOUND).alias("error")))
             continue
         parts = []
         if lo is not None:
-            parts.append(F.when(F.col(f"`below__{c}`"), F.lit(f"Values below min {_fmt(lo)}")))
+            parts.append(F.when(F.col(f"`below__{c}`"), F.lit(MSG_BELOW_MIN.format(bound=_fmt(lo)))))
         if hi is not None:
-            parts.append(F.when(F.col(f"`above__{c}`"), F.lit(f"Values above max {_fmt(hi)}")))
+            parts.append(F.when(F.col(f"`above__{c}`"), F.lit(MSG_ABOVE_MAX.format(bound=_fmt(hi)))))
         if parts:
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.concat_ws("; ", *parts).alias("error")))
+            rows.append(F.struct(F.lit(c).alias("column_name"), F.concat_ws(MSG_JOIN, *parts).alias("error")))
     if not rows:
         return stats.sparkSession.createDataFrame([], "column_name string, error string")
     return stats.select(F.explode(F.array(*rows)).alias("e")).select("e.*").filter("error <> ''")
@@ -273,7 +283,7 @@ def verdict(df: DataFrame, bad: Column | str, out_col: str = "validation_status"
     """``'VALID'`` when no row matches ``bad``, else ``'INVALID'`` (one row)."""
     cond = F.expr(bad) if isinstance(bad, str) else bad
     return df.agg(
-        F.when(F.count_if(cond) == 0, F.lit("VALID")).otherwise(F.lit("INVALID")).alias(out_col)
+        F.when(F.count_if(cond) == 0, F.lit(VERDICT_VALID)).otherwise(F.lit(VERDICT_INVALID)).alias(out_col)
     )
 
 
