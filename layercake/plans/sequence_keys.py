@@ -125,14 +125,43 @@ def q_temp_features(spark, sf_dir):
     )
 
 
-@register("linear_predict", None, group="sequence")
+def _ols_sql() -> str:
+    """Closed-form OLS in SQL: 3x3 covariance system by Cramer's rule."""
+    a, b, c, e, f, i = "c11", "c12", "c13", "c22", "c23", "c33"
+    det = f"({a}*({e}*{i}-{f}*{f}) - {b}*({b}*{i}-{f}*{c}) + {c}*({b}*{f}-{e}*{c}))"
+    b1 = f"(d1*({e}*{i}-{f}*{f}) - {b}*(d2*{i}-{f}*d3) + {c}*(d2*{f}-{e}*d3)) / {det}"
+    b2 = f"({a}*(d2*{i}-{f}*d3) - d1*({b}*{i}-{f}*{c}) + {c}*({b}*d3-d2*{c})) / {det}"
+    b3 = f"({a}*({e}*d3-d2*{f}) - {b}*({b}*d3-d2*{c}) + d1*({b}*{f}-{e}*{c})) / {det}"
+    return f"""WITH f AS (
+      SELECT * FROM (
+        SELECT user_id AS device_id, event_id, value AS y,
+               LAG(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS x1,
+               AVG(value) OVER {_w(5)} AS x2,
+               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x3
+        FROM events) WHERE x1 IS NOT NULL AND x3 IS NOT NULL),
+    s AS (SELECT covar_pop(x1, x1) AS c11, covar_pop(x1, x2) AS c12, covar_pop(x1, x3) AS c13,
+                 covar_pop(x2, x2) AS c22, covar_pop(x2, x3) AS c23, covar_pop(x3, x3) AS c33,
+                 covar_pop(x1, y) AS d1, covar_pop(x2, y) AS d2, covar_pop(x3, y) AS d3,
+                 avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my FROM f),
+    k AS (SELECT {b1} AS b1, {b2} AS b2, {b3} AS b3, m1, m2, m3, my FROM s)
+    SELECT f.device_id, f.event_id, f.y AS temperature,
+           ROUND(k.my - k.b1 * k.m1 - k.b2 * k.m2 - k.b3 * k.m3
+                 + k.b1 * f.x1 + k.b2 * f.x2 + k.b3 * f.x3, 4) AS prediction
+    FROM f, k"""
+
+
+@register("linear_predict", _ols_sql(), group="sequence")
 def q_linear_predict(spark, sf_dir):
-    """Fit, save and reload a linear model on the features, then score every row."""
+    """Fit, save and reload a linear model on the features, then score every row.
+
+    The normal-equation solver gives the least-squares solution, which the
+    oracle computes in closed form.
+    """
     configure(spark)
     feats = temp_features_frame(spark, sf_dir)
     path = scratch_path(spark, "temperature_model")
     ml.fit_linear(feats, "temperature").save(path)
     model = ml.load_linear(path)
     return ml.predict(model, feats).select(
-        "device_id", "event_id", "temperature", round_half_up("prediction", 6).alias("prediction")
+        "device_id", "event_id", "temperature", round_half_up("prediction", 4).alias("prediction")
     )
