@@ -79,23 +79,23 @@ def parquet_batch_writer(path: str, partition_by: Sequence[str] = ()) -> Callabl
     return write
 
 
-def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str,
                   output_mode: str = "append", name: str | None = None,
                   state_partitions: int | None = None) -> StreamingQuery:
     """Process everything available now (in trigger-sized batches) and stop.
 
+    ``sink`` is a ``foreachBatch`` function or a built-in sink format name
+    (``"console"``, or ``"memory"`` with ``name`` as the table).
+
     ``state_partitions`` fixes the number of state-store partitions of a new
     stateful query (AQE does not resize stateful shuffles; every micro-batch
     commits every state partition).  The session's shuffle setting is
     changed only while the query starts: the stream copies its conf at
     ``start()``, and a restart reads the count back from the checkpoint.
     """
-    writer = (
-        df.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(sink)
-        .trigger(availableNow=True)
-    )
+    writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    writer = writer.format(sink) if isinstance(sink, str) else writer.foreachBatch(sink)
+    writer = writer.trigger(availableNow=True)
     if name:
         writer = writer.queryName(name)
     spark = df.sparkSession

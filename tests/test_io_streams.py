@@ -221,3 +221,13 @@ def test_state_apis_agree(spark, tmp_dir):
         io.run_available(scored, io.parquet_batch_writer(out), ck)
         results[api] = sorted((r["event_id"], r["kind"], r["window_len"]) for r in io.read_batches(spark, out).collect())
     assert results["grouped"] == results["transform"] and results["grouped"]
+
+
+def test_builtin_sinks(spark, tmp_dir):
+    df = _readings(spark)
+    src = os.path.join(tmp_dir, "src")
+    df.write.parquet(src)
+    stream = io.file_source(spark, src, "parquet", df.schema)
+    io.run_available(stream.select("event_id"), "memory", os.path.join(tmp_dir, "ck"), name="lc_mem_sink")
+    assert spark.table("lc_mem_sink").count() == df.count()
+    io.run_available(stream.groupBy().count(), "console", os.path.join(tmp_dir, "ck2"), output_mode="complete")
