@@ -132,12 +132,16 @@ def write_layout(
     writer tasks instead of one.  ``cluster_by`` sorts within files (e.g.
     by symbol when symbols are many).
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df.hint("rebalance", *partition_cols)
     if cluster_by:
         out = out.sortWithinPartitions(*cluster_by)
-    out.write.mode("overwrite").partitionBy(*partition_cols).format(fmt).save(path)
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")  # per write, not session-wide
+        .partitionBy(*partition_cols)
+        .format(fmt)
+        .save(path)
+    )
     return path
 
 

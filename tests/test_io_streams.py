@@ -231,3 +231,12 @@ def test_builtin_sinks(spark, tmp_dir):
     io.run_available(stream.select("event_id"), "memory", os.path.join(tmp_dir, "ck"), name="lc_mem_sink")
     assert spark.table("lc_mem_sink").count() == df.count()
     io.run_available(stream.groupBy().count(), "console", os.path.join(tmp_dir, "ck2"), output_mode="complete")
+
+
+def test_layout_rerun_replaces_only_its_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "layout")
+    a = spark.createDataFrame([("d1", "x", 1), ("d2", "x", 2)], "dt string, dataset string, v int")
+    tables.write_layout(a, path, ["dt", "dataset"])
+    tables.write_layout(spark.createDataFrame([("d2", "x", 9)], "dt string, dataset string, v int"), path, ["dt", "dataset"])
+    got = sorted((r["dt"], r["v"]) for r in spark.read.schema("v int, dt string, dataset string").parquet(path).collect())
+    assert got == [("d1", 1), ("d2", 9)]
