@@ -16,7 +16,6 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
-    StringType,
     StructType,
 )
 
@@ -65,10 +64,11 @@ def unix_time_columns(df: DataFrame, candidates: Sequence[str] | None = None) ->
     """Numeric columns whose every non-null value has >= 10 integer digits.
 
     One aggregate pass for all candidates (``bool_and`` per column, computed
-    map-side), returning one boolean per column to the driver.
-    An all-null column is not converted.
+    map-side), returning one boolean per column to the driver.  Only
+    numeric columns qualify (digits in a text column are not a time); an
+    all-null column is not converted.
     """
-    numeric = (IntegerType, LongType, DoubleType, FloatType, StringType)
+    numeric = (IntegerType, LongType, DoubleType, FloatType)
     names = [
         f.name
         for f in df.schema.fields

@@ -122,7 +122,9 @@ class TrailingProcessor(StatefulProcessor):
     def _features(self, pdf: pd.DataFrame, full: np.ndarray, base: int) -> pd.DataFrame:
         idx = np.arange(base, len(full))
         out = pdf[self.passthrough].copy()
-        out["temp_lag_1"] = np.where(idx > 0, full[np.maximum(idx - 1, 0)], np.nan)
+        lag = pd.array(full[np.maximum(idx - 1, 0)], dtype="Float64")
+        lag[idx == 0] = pd.NA  # a device's first reading has no lag: NULL, not NaN
+        out["temp_lag_1"] = lag
         csum = np.concatenate([[0.0], np.cumsum(full)])
         lo = np.maximum(idx + 1 - self.roll, 0)
         out[f"temp_roll_mean_{self.roll}"] = (csum[idx + 1] - csum[lo]) / (idx + 1 - lo)
@@ -137,14 +139,15 @@ class TrailingProcessor(StatefulProcessor):
         views = np.lib.stride_tricks.sliding_window_view(padded, n)[idx]
         pred = views @ weights / float(n * (n + 1) / 2)
         ready = window_len == n
-        pred = np.where(ready, pred, np.nan)
         x = full[idx]
         out = pdf[self.passthrough].copy()
         out["window_len"] = window_len.astype(np.int32)
-        out["prediction"] = pred
+        masked = pd.array(np.where(ready, pred, 0.0), dtype="Float64")
+        masked[~ready] = pd.NA  # warm-up rows have no prediction: NULL, not NaN
+        out["prediction"] = masked
         out["observed"] = x
         out["kind"] = np.where(ready, "prediction", "warmup")
-        alerts = out[ready & (np.abs(x - np.nan_to_num(pred)) > self.threshold)].copy()
+        alerts = out[ready & (np.abs(x - np.where(ready, pred, 0.0)) > self.threshold)].copy()
         alerts["kind"] = "alert"
         return pd.concat([out, alerts], ignore_index=True)
 
