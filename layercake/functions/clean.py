@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType
 
 
 def dedup(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -48,9 +48,10 @@ def cast_columns(
 ) -> DataFrame:
     """``CAST(col AS type)`` per listed column.
 
-    Spark truncates double -> integral casts; SQL engines that round
-    half-to-even do not.  ``round_half_even`` applies ``bround`` first so
-    both agree.  ``strict=False`` uses ``try_cast`` and, with
+    Spark truncates double -> integral and decimal -> integral casts; SQL
+    engines round instead (doubles half-to-even, decimals half away from
+    zero).  ``round_half_even`` applies ``bround`` to doubles and ``round``
+    (HALF_UP) to decimals first so both agree.  ``strict=False`` uses ``try_cast`` and, with
     ``reject_col``, flags rows where a non-null value failed to cast.
     """
     casts = dict(casts or {})
@@ -60,12 +61,11 @@ def cast_columns(
     integral = {"tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"}
     for name, target in casts.items():
         src = F.col(name)
-        if (
-            round_half_even
-            and target.lower() in integral
-            and isinstance(types.get(name), (DoubleType, FloatType))
-        ):
-            src = F.bround(src, 0)
+        if round_half_even and target.lower() in integral:
+            if isinstance(types.get(name), (DoubleType, FloatType)):
+                src = F.bround(src, 0)
+            elif isinstance(types.get(name), DecimalType):
+                src = F.round(src, 0)
         if strict:
             exprs[name] = src.cast(target)
         else:

@@ -252,3 +252,17 @@ def test_layout_rerun_replaces_only_its_partitions(spark, tmp_dir):
     tables.write_layout(spark.createDataFrame([("d2", "x", 9)], "dt string, dataset string, v int"), path, ["dt", "dataset"])
     got = sorted((r["dt"], r["v"]) for r in spark.read.schema("v int, dt string, dataset string").parquet(path).collect())
     assert got == [("d1", 1), ("d2", 9)]
+
+
+def test_topic_union_source(spark, tmp_dir):
+    paths = {}
+    for t in ("thermostat_topic", "water_meter_topic"):
+        p = os.path.join(tmp_dir, t)
+        os.makedirs(p)
+        with open(os.path.join(p, "m.json"), "w") as f:
+            f.write('{"device_id":"a"}\n{"device_id":"b"}\n')
+        paths[t] = p
+    stream = io.topic_files(spark, paths)
+    io.run_available(stream, "memory", os.path.join(tmp_dir, "ck"), name="lc_topics")
+    got = {r["topic"]: r["count"] for r in spark.table("lc_topics").groupBy("topic").count().collect()}
+    assert got == {"thermostat_topic": 2, "water_meter_topic": 2}

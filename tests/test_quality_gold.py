@@ -143,3 +143,8 @@ def test_verdict(spark):
     assert quality.verdict(df, F.col("Close").isNull()).first()[0] == "INVALID"
     assert quality.verdict(df.dropna(), "Close IS NULL").first()[0] == "VALID"
     assert math.isfinite(1.0)
+
+
+def test_cast_decimal_half_away(spark):
+    df = spark.createDataFrame([("2.5",), ("-2.5",), ("2.4",)], "v string").selectExpr("CAST(v AS DECIMAL(4,1)) AS v")
+    assert [r[0] for r in clean.cast_columns(df, {"v": "int"}).collect()] == [3, -3, 2]
