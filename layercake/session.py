@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +42,40 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static or locked conf in a managed session
             pass
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``layercake`` importable in Python workers (once per application).
+
+    Stateful stream processors and Arrow UDF plug-ins are pickled by
+    reference to this package, so workers must import it.  Deployments
+    normally pass it with ``--py-files`` or install it; this is the
+    in-session equivalent: the package's sources are zipped and added with
+    ``SparkContext.addPyFile``, which Spark's file server distributes to
+    every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, archive = tempfile.mkstemp(prefix="layercake-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, names in os.walk(pkg):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
