@@ -36,10 +36,13 @@ def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str =
           ordered: bool = True):
     """Land stream input; ``ordered`` lands time-ordered waves (needed by
     stateful and watermarked streams), otherwise one write suffices."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     columns = ["value"] if fmt == "text" else df.columns
     if not ordered:
-        df.select(*columns).write.format(fmt).save(path)
+        # Several files, like the partitions of a topic, so micro-batches
+        # are processed by as many tasks as the cluster has cores.
+        df.select(*columns).repartition(spark.sparkContext.defaultParallelism).write.format(fmt).save(path)
         return path
     staged = df.withColumn("_lc_wave", _wave(ts))
     io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns)
