@@ -48,12 +48,12 @@ def points(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint").cast("double")
     v = F.col("value")
-    null_s = F.lit(None).cast("string")
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+
     def field(name, num, text, keep):
         return F.struct(F.lit(name).alias("field"), num.cast("double").alias("value_num"),
                         text.cast("string").alias("value_str"), keep.alias("keep"))
 
-    null_d = F.lit(None).cast("double")
     fields = F.array(
         field("temperature", v, null_s, v.isNotNull()),
         field("humidity", k, null_s, k.isNotNull()),
