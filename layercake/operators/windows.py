@@ -71,7 +71,8 @@ def block_layout(
     block_rows = int(block_rows or max(DEFAULT_BLOCK_ROWS, 8 * halo))
     if halo < 0 or block_rows <= halo:
         raise ValueError("block_rows must exceed halo")
-    sort_cols = keys + order
+    # NULL order values sort last, as SQL's ascending ORDER BY does.
+    sort_cols = [F.col(k) for k in keys] + [F.col(o).asc_nulls_last() for o in order]
     # Without an explicit count the range exchange starts from the session's
     # shuffle partitions and AQE merges adjacent small ranges (order is kept);
     # positions are taken after that, inside the pinned stage.
@@ -138,7 +139,8 @@ def rolling(
     """
     keys, order = list(keys), list(order)
     if method == "partition":
-        w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
+        ordered = [F.col(o).asc_nulls_last() for o in order]
+        w = Window.partitionBy(*keys).orderBy(*ordered) if keys else Window.orderBy(*ordered)
         return _apply(df, make_columns(w))
     laid = block_layout(df, keys, order, halo, block_rows, ranges, pin)
     w = Window.partitionBy(*keys, BLK).orderBy(POS)

@@ -162,3 +162,15 @@ def test_hot_key_is_split_and_exact(spark):
     want = df.select("event_id", F.lag("temperature", 1).over(w).alias("temp_lag_1"),
                      F.avg("temperature").over(w.rowsBetween(-4, 0)).alias("temp_roll_mean_5"))
     _compare(got, want, ["temp_lag_1", "temp_roll_mean_5"])
+
+
+def test_null_order_values_sort_last(spark):
+    rows = [(1, i, None if i in (2, 5) else i * 10.0, float(i)) for i in range(8)]
+    df = spark.createDataFrame(rows, "k int, id int, t double, v double")
+    got = sequences.lag_features(df, ["k"], ["t", "id"], "v", block_rows=5, ranges=2)
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "id")
+    want = df.select(F.col("id").alias("event_id"), F.lag("v", 1).over(w).alias("temp_lag_1"),
+                     F.avg("v").over(w.rowsBetween(-4, 0)).alias("temp_roll_mean_5"))
+    _compare(got.withColumnRenamed("id", "event_id"), want, ["temp_lag_1", "temp_roll_mean_5"])
+    # the NULL-time rows come after every timed row
+    assert {r["event_id"]: r["temp_lag_1"] for r in want.collect()}[2] == 7.0
