@@ -7,6 +7,8 @@ the comparison covers the round trip.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from layercake.functions import reshape
@@ -43,7 +45,7 @@ def q_scan_json(spark, sf_dir):
 def q_scan_parquet(spark, sf_dir):
     configure(spark)
     return files.read_parquet(
-        spark, f"{sf_dir}/events.parquet", ["event_id", "user_id", "value"],
+        spark, os.path.join(sf_dir, "events.parquet"), ["event_id", "user_id", "value"],
         "event_type = 'purchase' AND value > 50",
     )
 
