@@ -52,12 +52,13 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
     keyed = flat.select(*group_cols, *flat.columns)
     data_cols = flat.columns
     data_path, meta_path, health_path = f"{out_root}/data", f"{out_root}/_meta", f"{out_root}/health"
+    # Every output is partitioned like the data and written with dynamic
+    # partition overwrite, so re-landing a day replaces that day's rows,
+    # snapshots and health stats instead of duplicating them.
     tables.write_layout(keyed, data_path, list(layout_cols))
     landed = keyed.sparkSession.read.parquet(data_path)
-    tables.schema_snapshots(landed, list(layout_cols)).write.mode("append").parquet(meta_path)
-    quality.health(landed, list(layout_cols), data_cols).write.mode("append").partitionBy(
-        layout_cols[0]
-    ).parquet(health_path)
+    tables.write_layout(tables.schema_snapshots(landed, list(layout_cols)), meta_path, list(layout_cols))
+    tables.write_layout(quality.health(landed, list(layout_cols), data_cols), health_path, list(layout_cols))
     return keyed.sparkSession.read.parquet(health_path)
 
 

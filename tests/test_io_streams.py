@@ -266,3 +266,19 @@ def test_topic_union_source(spark, tmp_dir):
     io.run_available(stream, "memory", os.path.join(tmp_dir, "ck"), name="lc_topics")
     got = {r["topic"]: r["count"] for r in spark.table("lc_topics").groupBy("topic").count().collect()}
     assert got == {"thermostat_topic": 2, "water_meter_topic": 2}
+
+
+def test_bronze_flow_rerun_is_idempotent(spark, tmp_dir):
+    from layercake.plans import flows
+
+    raw = spark.createDataFrame(
+        [({"id": 1}, "a", 1704067207, 1.0), ({"id": 2}, "a", 1704067208, float("nan"))],
+        "event struct<id:bigint>, kind string, time bigint, value double",
+    )
+    groups = [F.date_format("time", "yyyy-MM-dd").alias("dt"), F.col("kind").alias("dataset")]
+    root = os.path.join(tmp_dir, "bronze")
+    first = sorted(map(tuple, flows.bronze(raw, root, groups, ["dt", "dataset"], ["time"]).collect()))
+    again = sorted(map(tuple, flows.bronze(raw, root, groups, ["dt", "dataset"], ["time"]).collect()))
+    assert first == again
+    h = {(r["metric"], r["column_name"]): r["value"] for r in spark.read.parquet(os.path.join(root, "health")).collect()}
+    assert h[("row_count", None)] == 2 and h[("null_count", "value")] == 1
