@@ -282,3 +282,30 @@ def test_bronze_flow_rerun_is_idempotent(spark, tmp_dir):
     assert first == again
     h = {(r["metric"], r["column_name"]): r["value"] for r in spark.read.parquet(os.path.join(root, "health")).collect()}
     assert h[("row_count", None)] == 2 and h[("null_count", "value")] == 1
+
+
+def test_watermark_drops_late_rows_and_emits_closed_windows(spark, tmp_dir):
+    from layercake.streaming.windows import tumbling
+
+    schema = "kind string, t timestamp_ntz, v double"
+    src, out, ck = (os.path.join(tmp_dir, p) for p in ("src", "out", "ck"))
+
+    def land(rows):
+        df = spark.createDataFrame(rows, "kind string, t string, v double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        stream = io.file_source(spark, src, "parquet", schema)
+        agg = tumbling(stream, "t", {"id": "kind"}, {"n": F.count(F.lit(1))}, size="1 hour", delay="1 hour")
+        io.run_available(agg, io.parquet_batch_writer(out), ck)
+        return {(r["window_start"].hour, r["n"]) for r in io.read_batches(spark, out).collect()}
+
+    land([("a", f"2024-01-01 {h:02d}:10:00", 1.0) for h in range(0, 10)])  # 00:10 .. 09:10
+    first = run()
+    # watermark = 09:10 - 1h = 08:10: windows ending by then are final (00:00 .. 07:00 starts)
+    assert first == {(h, 1) for h in range(0, 8)}
+    land([("a", "2024-01-01 02:30:00", 1.0), ("a", "2024-01-01 12:10:00", 1.0)])  # one late, one new
+    second = run()
+    # the late row never changes the closed 02:00 window; the new row closes windows up to 10:00
+    assert (2, 1) in second and (2, 2) not in second
+    assert {h for h, _ in second} == set(range(0, 10))
