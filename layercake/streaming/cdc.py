@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+OLD_KEYS = StructType(
+    [
+        StructField("keynames", ArrayType(StringType())),
+        StructField("keyvalues", ArrayType(StringType())),
+    ]
+)
 CHANGE = StructType(
     [
         StructField("kind", StringType()),
@@ -20,6 +26,7 @@ CHANGE = StructType(
         StructField("table", StringType()),
         StructField("columnnames", ArrayType(StringType())),
         StructField("columnvalues", ArrayType(StringType())),
+        StructField("oldkeys", OLD_KEYS),
     ]
 )
 MESSAGE = StructType(
@@ -31,7 +38,8 @@ def explode_changes(messages: DataFrame, col: str = "value") -> DataFrame:
     """One row per change: ``kind, schema, table, columns map<string,string>``.
 
     Column values are kept as JSON text (numbers as their literal), typed
-    later by :func:`typed_columns`.
+    later by :func:`typed_columns`.  A delete carries only its key, under
+    ``oldkeys``; its ``columns`` are those key columns.
     """
     parsed = messages.select(F.from_json(F.col(col), MESSAGE).alias("m"))
     changes = F.coalesce(F.col("m.changes"), F.col("m.change"), F.array().cast(ArrayType(CHANGE)))
@@ -39,7 +47,10 @@ def explode_changes(messages: DataFrame, col: str = "value") -> DataFrame:
         F.col("c.kind").alias("kind"),
         F.col("c.schema").alias("schema"),
         F.col("c.table").alias("table"),
-        F.map_from_arrays("c.columnnames", "c.columnvalues").alias("columns"),
+        F.coalesce(
+            F.map_from_arrays("c.columnnames", "c.columnvalues"),
+            F.map_from_arrays("c.oldkeys.keynames", "c.oldkeys.keyvalues"),
+        ).alias("columns"),
     )
 
 

@@ -309,3 +309,12 @@ def test_watermark_drops_late_rows_and_emits_closed_windows(spark, tmp_dir):
     # the late row never changes the closed 02:00 window; the new row closes windows up to 10:00
     assert (2, 1) in second and (2, 2) not in second
     assert {h for h, _ in second} == set(range(0, 10))
+
+
+def test_cdc_delete_uses_old_keys(spark):
+    msgs = spark.createDataFrame(
+        [('{"change":[{"kind":"delete","table":"t","oldkeys":{"keynames":["a"],"keyvalues":[7]}}]}',)],
+        "value string",
+    )
+    row = cdc.typed_columns(cdc.explode_changes(msgs), "a int, b string").first()
+    assert (row.kind, row.a, row.b) == ("delete", 7, None)
