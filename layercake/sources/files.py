@@ -60,9 +60,16 @@ def read_json(
     return df
 
 
-def read_flat_json(spark: SparkSession, path: str, fmt: str = "auto", sep: str = ".") -> DataFrame | None:
-    """JSON objects (a single object counts as a one-row file) flattened to columns."""
-    df = read_json(spark, path, fmt)
+def read_flat_json(spark: SparkSession, path: str, fmt: str = "auto", sep: str = ".",
+                   schema: StructType | str | None = None,
+                   sampling_ratio: float | None = None) -> DataFrame | None:
+    """JSON objects (a single object counts as a one-row file) flattened to columns.
+
+    Without ``schema`` the structure is inferred from every record (one
+    extra pass, but no field of a drifting source is missed);
+    ``sampling_ratio`` trades that pass for a sample on very large landings.
+    """
+    df = read_json(spark, path, fmt, schema=schema, sampling_ratio=sampling_ratio)
     return None if df is None else flatten(df, sep)
 
 
