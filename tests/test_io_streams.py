@@ -318,3 +318,14 @@ def test_cdc_delete_uses_old_keys(spark):
     )
     row = cdc.typed_columns(cdc.explode_changes(msgs), "a int, b string").first()
     assert (row.kind, row.a, row.b) == ("delete", 7, None)
+
+
+def test_event_time_with_offset_is_normalised(spark):
+    df = spark.createDataFrame(
+        [('{"device_id":"d","device_type":"t","timestamp":"2024-01-01T02:00:00+02:00","temperature":20.5}',)],
+        "value string",
+    )
+    pts = ev.event_points(df).collect()
+    assert [str(r["time"]) for r in pts] == ["2024-01-01 00:00:00"]
+    parsed = ev.parse_events(df).first()
+    assert str(parsed["event_time"]) == "2024-01-01 00:00:00" and parsed["temperature"] == 20.5
