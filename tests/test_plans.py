@@ -44,3 +44,23 @@ def test_keyed_windows_partition_by_block(spark):
 
 def test_integrity_is_anti_join(spark):
     assert inspect.count_nodes(_q(spark, "referential_integrity"), r"LeftAnti") == 1
+
+
+def test_serving_prunes_day_partitions(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from layercake.operators import serving
+    from layercake.plans.event_keys import points
+    from layercake.sinks import tables
+
+    path = os.path.join(tmp_dir, "points")
+    pts = points(spark, SF_SMALL).withColumn("dt", F.date_format("time", "yyyy-MM-dd"))
+    tables.write_layout(pts, path, ["dt"])
+    stored = spark.read.parquet(path)
+    got = serving.field_points(stored, "2024-01-31 00:00:00", "2 days", day_col="dt")
+    plan = inspect.physical_plan(got)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-29" in plan
+    want = serving.field_points(pts, "2024-01-31 00:00:00", "2 days")
+    assert sorted(got.collect()) == sorted(want.collect())
