@@ -82,7 +82,9 @@ def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema:
         keys=keys, tie_break=tie_break, digits=digits, decimal_scale=decimal_scale,
     )
     out_path = f"{snapshot_base}_indicators"
-    ind.write.mode("overwrite").parquet(out_path)
+    # Files sorted by series and date (row-group min/max then prune date
+    # ranges); a total order across files would only add a range shuffle.
+    ind.sortWithinPartitions(*keys, F.col("Date").asc_nulls_last()).write.mode("overwrite").parquet(out_path)
     result = spark.read.parquet(out_path)
     return result, quality.verdict(result, F.col("Close").isNull())
 
