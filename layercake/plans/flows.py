@@ -56,10 +56,13 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
     # partition overwrite, so re-landing a day replaces that day's rows,
     # snapshots and health stats instead of duplicating them.
     tables.write_layout(keyed, data_path, list(layout_cols))
-    landed = keyed.sparkSession.read.parquet(data_path)
+    landed = keyed.sparkSession.read.schema(keyed.schema).parquet(data_path)
     tables.write_layout(tables.schema_snapshots(landed, list(layout_cols)), meta_path, list(layout_cols))
-    tables.write_layout(quality.health(landed, list(layout_cols), data_cols), health_path, list(layout_cols))
-    return keyed.sparkSession.read.parquet(health_path)
+    health = quality.health(landed, list(layout_cols), data_cols)
+    tables.write_layout(health, health_path, list(layout_cols))
+    # Read back with the written schema: partition discovery would otherwise
+    # turn a yyyy-MM-dd text key into a DATE.
+    return keyed.sparkSession.read.schema(health.schema).parquet(health_path)
 
 
 def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema: str,
