@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import line_dedup, near_dedup
+from layercake.llm import bpe, line_dedup, near_dedup, packing
 from layercake.llm.common import prepare
 from layercake.session import table
 
@@ -78,3 +80,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op7_bpe_roundtrip")
+def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode_ids(encoded, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
