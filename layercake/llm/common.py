@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from layercake.session import configure, scratch_path
 
@@ -33,9 +34,9 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def train_rows(frame: DataFrame, key: str, folds: int, held: int) -> DataFrame:
-    """The rows whose crc32(key as text) modulo ``folds`` is not ``held``."""
-    return frame.where(~held_out(key, folds, held))
+def with_column(schema: StructType, name: str, kind: str) -> StructType:
+    """A copy of a schema with one more column."""
+    return StructType(list(schema.fields)).add(name, kind)
 
 
 def held_out(key: str, folds: int, held: int):

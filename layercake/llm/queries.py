@@ -9,8 +9,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, line_dedup, near_dedup, packing
-from layercake.llm.common import prepare
+from layercake.llm import bpe, line_dedup, near_dedup, packing, toxicity
+from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,15 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), folds=4, held=2)
+    return toxicity.score(docs, model, score_col="score").select(
+        "doc_id",
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
