@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, line_dedup, near_dedup, packing, toxicity
+from layercake.llm import bpe, line_dedup, near_dedup, packing, quality, toxicity
 from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
@@ -107,3 +107,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), folds=5, held=0)
+    return quality.score(docs, model, score_col="score").select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
