@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, line_dedup, near_dedup, packing, quality, toxicity
+from layercake.llm import ann, bpe, line_dedup, near_dedup, packing, quality, toxicity, vector_dedup
 from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
@@ -119,3 +119,33 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+_OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT vec_id, e FROM v WHERE e IS NOT NULL AND list_aggregate(list_transform(e, lambda x: abs(x)), 'sum') > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x
+), comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+links AS (SELECT x, count(*) AS n FROM pairs GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN comp ON comp.x = vec_id LEFT JOIN links ON links.x = vec_id
+"""
+
+
+@query("op6_vector_dedup", _OP6_SQL)
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
