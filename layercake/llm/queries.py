@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import ann, bpe, line_dedup, near_dedup, packing, quality, toxicity, vector_dedup
+from layercake.llm import ann, bpe, line_dedup, near_dedup, packing, quality, toxicity, url_filter, vector_dedup, warc
 from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
@@ -149,3 +149,66 @@ FROM embeddings JOIN comp ON comp.x = vec_id LEFT JOIN links ON links.x = vec_id
 @query("op6_vector_dedup", _OP6_SQL)
 def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+#: The rules of the url query, fixed by its contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op4_url_filter")
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+_OP10_SQL = r"""
+WITH source AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, 'sha256:' || sha256(coalesce(html, '')) AS payload_digest FROM pages
+), ids AS (
+  SELECT *, md5('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '') || '|' || payload_digest) AS h
+  FROM source
+), named AS (
+  SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS refers_to
+  FROM ids
+), kinds AS (
+  SELECT named.*, k AS record_type, md5(k || '|' || refers_to) AS g, md5('conversion|' || refers_to) AS c
+  FROM named, (VALUES ('metadata'), ('conversion')) AS t(k)
+), stripped AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(payload,
+    '<!--.*?-->', '', 'gs'), '(?is)<script\b.*?</script[^>]*>', '', 'g'), '(?is)<style\b.*?</style[^>]*>', '', 'g'),
+    '(?i)</?(?:BLOCKS)\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS raw
+  FROM kinds
+), decoded AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+    '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS chars
+  FROM stripped
+), texts AS (
+  SELECT *, trim(regexp_replace(regexp_replace(chars, '[ \t\r\f\x0B]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text,
+    trim(regexp_replace(regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title', 1), '[ \t\r\n\f\x0B]+', ' ', 'g')) AS title,
+    lower(regexp_extract(payload, '(?i)<html[^>]*\blang\s*=\s*["'']?([a-zA-Z-]+)', 1)) AS language,
+    len(regexp_extract_all(payload, '(?i)<a\s[^>]*?(href)\s*=', 1)) AS links
+  FROM decoded
+), blocks AS (
+  SELECT *, CASE WHEN record_type = 'conversion' THEN text ELSE
+    'title: ' || title || chr(13) || chr(10) || 'language: ' || language || chr(13) || chr(10)
+    || 'links: ' || links || chr(13) || chr(10) || 'source-payload-digest: ' || payload_digest || chr(13) || chr(10)
+    || 'conversion-record-id: <urn:uuid:' || c[1:8] || '-' || c[9:12] || '-' || c[13:16] || '-' || c[17:20] || '-' || c[21:32] || '>'
+    || chr(13) || chr(10) || 'source-headers:' || chr(13) || chr(10) || ' HTTP/1.1 200 OK' || chr(13) || chr(10)
+    || ' Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || ' Content-Length: ' || strlen(payload) || chr(13) || chr(10)
+    END AS block
+  FROM texts
+)
+SELECT page_id, record_type,
+  '<urn:uuid:' || g[1:8] || '-' || g[9:12] || '-' || g[13:16] || '-' || g[17:20] || '-' || g[21:32] || '>' AS record_id,
+  refers_to, url AS target_uri, payload_digest, 'sha256:' || sha256(block) AS block_digest,
+  CAST(strlen(block) AS BIGINT) AS content_length
+FROM blocks
+""".replace("BLOCKS", warc.BLOCKS)
+
+
+@query("op10_warc_derivatives", _OP10_SQL)
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepare(spark), sf_dir, "pages")
+    return warc.derivatives(warc.responses(pages)).select(
+        F.col("source_id").alias("page_id"),
+        "record_type", "record_id", "refers_to", "target_uri", "payload_digest", "block_digest", "content_length",
+    )
