@@ -34,7 +34,7 @@ BITS, PARTS = 64, 8
 CELLS = 1 << (BITS // PARTS)
 SAMPLE_ROWS = 10_000  # vectors that train the rotation, at most
 RADIUS = 31
-TASK_ROWS = 4096
+TASK_ROWS = 65_536  # a query returns at most k rows from each task that it probes
 CLOSE = 1e-9  # products this near are told apart by an exact second look
 
 
