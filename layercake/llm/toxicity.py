@@ -251,7 +251,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
         labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", folds, held))
         .groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.max("toxic").alias("toxic"))
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(marks, F.col("_id") == F.col("_doc"))
+    # Labels grow with the documents: joined by a shuffle at every size.
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(
+        marks.hint("merge"), F.col("_id") == F.col("_doc")
+    )
     tuning = F.pmod(F.xxhash64("_id"), F.lit(TUNING)) == 0
     counts = staged(
         rows.where(~tuning).select("text", "toxic")
