@@ -13,8 +13,8 @@ from pyspark.sql.types import StructType
 from layercake.session import configure, scratch_path
 
 #: Rows and bytes of one Arrow batch sent to Python; bounds a task's memory whatever the texts' lengths.
-BATCH_ROWS = "2000"
-BATCH_BYTES = "16m"
+BATCH_ROWS = "1000"
+BATCH_BYTES = "8m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -39,11 +39,11 @@ def _bucket(codes: np.ndarray) -> np.ndarray:
 def features(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bucket, place in ``data``) of all features of texts that lie one after another.
 
-    Each kind of feature is yielded a few megabytes of text at a time, in
+    Each kind of feature is yielded a megabyte of text at a time, in
     order of place; n-grams stay within a text, and pairs of words too.
     """
-    for at in range(0, len(data), 4 * SEGMENT):
-        end = min(at + 4 * SEGMENT, len(data))
+    for at in range(0, len(data), SEGMENT):
+        end = min(at + SEGMENT, len(data))
         part = data[at : min(end + 3, len(data))].astype(np.uint32)
         code = part[: len(part) - 2] << np.uint32(16) | part[1 : len(part) - 1] << np.uint32(8) | part[2:] if len(part) > 2 else part[:0]
         for width in (3, 4):

@@ -55,23 +55,23 @@ def slot(codes: np.ndarray, table: str) -> np.ndarray:
     return (mix(codes + U64(0x9E3779B97F4A7C15)) & U64((1 << SLOT_BITS[table]) - 1)).astype(np.int64)
 
 
-def _groups(starts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of a few megabytes together; a longer text is alone."""
+def _groups(starts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of ``size`` bytes together at most; a longer text is alone."""
     i, n = 0, len(starts) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + 2 * SEGMENT, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + size, side="right")) - 1)
         yield i, j
         i = j
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) to (gram, ordinary, toxic), summed over a few megabytes of text."""
+    """(text, toxic) to (gram, ordinary, toxic), summed over two megabytes of text."""
     for batch in batches:
         data, starts = joined(batch.column(0))
         label = batch.column(1).to_numpy(zero_copy_only=False) == 1
-        for i, j in _groups(starts):
-            for at in range(int(starts[i]), int(starts[j]), 4 * SEGMENT):
-                end = min(at + 4 * SEGMENT + ORDER - 1, int(starts[j]))
+        for i, j in _groups(starts, 2 * SEGMENT):
+            for at in range(int(starts[i]), int(starts[j]), 2 * SEGMENT):
+                end = min(at + 2 * SEGMENT + ORDER - 1, int(starts[j]))
                 codes = grams(data[at:end])
                 place = np.arange(at, at + len(codes))
                 owner = np.searchsorted(starts, place, side="right") - 1
@@ -197,10 +197,10 @@ class Model:
         data, starts = joined(texts)
         n = np.maximum(np.diff(starts) - ORDER + 1, 0)
         total, peak = np.zeros(len(n)), np.full(len(n), -np.inf)
-        for i, j in _groups(starts):
-            for at in range(int(starts[i]), int(starts[j]), 4 * SEGMENT):
+        for i, j in _groups(starts, SEGMENT):
+            for at in range(int(starts[i]), int(starts[j]), SEGMENT):
                 # Positions at .. last belong to this step; windows that begin there reach a little further.
-                last = min(at + 4 * SEGMENT, int(starts[j]))
+                last = min(at + SEGMENT, int(starts[j]))
                 values = self._ratios(data[at : min(last + WINDOW + ORDER - 2, int(starts[j]))])
                 upto = np.concatenate([[0.0], np.cumsum(values)])
                 a = np.maximum(starts[i:j], at) - at
