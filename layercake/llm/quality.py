@@ -24,8 +24,8 @@ from layercake.llm.textscan import SEGMENT, SPACED, U64, byte_values, joined, mi
 
 BUCKET_BITS = 16
 DIM = 10
-SAMPLE_ROWS = 2_000  # labelled rows of each class that train the model, at most
-EPOCHS = 12
+SAMPLE_ROWS = 1_000  # labelled rows of each class that train the model, at most
+EPOCHS = 16
 RATE = 1.0
 
 _EXACT = byte_values(lower=False)
@@ -98,11 +98,13 @@ class Model:
 
 
 def fit(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = RATE) -> tuple[np.ndarray, float]:
-    """(weight of each bucket, bias) by per-document gradient steps with a falling rate."""
+    """(weight of each bucket, bias) by per-document gradient steps with a falling rate.
+
+    ``buckets`` and ``counts`` may be views of one flat array each; nothing of their size is copied.
+    """
     rng = np.random.default_rng(11)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, size=(1 << BUCKET_BITS, DIM))
     layer, bias = np.zeros((DIM, 2)), np.zeros(2)
-    shares = [c / max(1, c.sum()) for c in counts]
     steps, step = epochs * len(y), 0
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
@@ -110,7 +112,8 @@ def fit(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epoc
             step += 1
             if not len(buckets[i]):
                 continue
-            hidden = shares[i] @ vectors[buckets[i]]
+            share = counts[i] / counts[i].sum()
+            hidden = share @ vectors[buckets[i]]
             z = hidden @ layer + bias
             p = np.exp(z - z.max())
             p /= p.sum()
@@ -118,7 +121,7 @@ def fit(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epoc
             back = layer @ p
             layer -= lr * np.outer(hidden, p)
             bias -= lr * p
-            vectors[buckets[i]] -= lr * np.outer(shares[i], back)
+            vectors[buckets[i]] -= lr * np.outer(share, back)
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
@@ -161,7 +164,7 @@ def train(
     flat, at = list_parts(bags["buckets"])
     number, _ = list_parts(bags["counts"])
     parts = list(zip(at[:-1], at[1:]))
-    weight, bias = fit([flat[a:b] for a, b in parts], [number[a:b].astype(np.float64) for a, b in parts], y)
+    weight, bias = fit([flat[a:b] for a, b in parts], [number[a:b] for a, b in parts], y)
     bias += np.log(one / zero) - np.log(y.sum() / (len(y) - y.sum()))
     return Model(weight.astype(np.float32), float(bias), base)
 
