@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from layercake.llm.textscan import SEGMENT, U64, _power_tables, byte_values, joined, mix
 
@@ -260,7 +260,7 @@ def encode_texts(
     """
     added = [("ids", "binary"), ("n_tokens", "long")]
     if offsets:
-        added += [("byte_offsets", "array<long>"), ("char_offsets", "array<long>")]
+        added += [("byte_offsets", ArrayType(LongType())), ("char_offsets", ArrayType(LongType()))]
     docs = docs.drop(*[name for name, _ in added])
     at = docs.columns.index(text_col)
 
