@@ -97,9 +97,13 @@ def to_timestamp_auto(col: str | Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
-def convert_unix_times(df: DataFrame, candidates: Sequence[str] | None = None) -> DataFrame:
-    """Detect UNIX-time columns (see :func:`unix_time_columns`) and convert them."""
-    cols = unix_time_columns(df, candidates)
+def convert_unix_times(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """Convert the UNIX-time columns (see :func:`unix_time_columns`) among the named candidates.
+
+    Candidates are named per dataset: a large amount looks like a time, so
+    no column is converted unasked.
+    """
+    cols = unix_time_columns(df, list(candidates))
     return df.withColumns({c: to_timestamp_auto(c) for c in cols}) if cols else df
 
 

@@ -54,12 +54,14 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
     Same answer as ``LEFT JOIN ... WHERE d.key IS NULL``: a NULL fact key
     never matches, so it is an orphan; duplicate dimension keys do not
     multiply anything because an anti join emits each fact row at most once.
-    The dimension side is reduced to its distinct keys (partial aggregation
-    map-side), and the strategy is left to AQE, which broadcasts only once
-    the measured key set is below the broadcast threshold.
+    NULL keys take a branch of their own, without a join, and the dimension's
+    keys join as they are: nothing stands between exchange and sort, so AQE
+    splits a hot fact key, and broadcasts only a key set it has measured.
     """
-    keys = dim.select(F.col(dim_key).alias("__dim_key")).dropna().distinct()
-    return fact.join(keys, fact[fact_key] == keys["__dim_key"], "left_anti")
+    keys = dim.select(F.col(dim_key).alias("__dim_key")).where(F.col("__dim_key").isNotNull())
+    keyed = fact.where(F.col(fact_key).isNotNull())
+    known = keyed.join(keys, F.col(fact_key) == F.col("__dim_key"), "left_anti")
+    return known.union(fact.where(F.col(fact_key).isNull()))
 
 
 def referential_integrity(

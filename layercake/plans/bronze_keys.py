@@ -143,7 +143,7 @@ def q_parquet_snapshot(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     tables.write_snapshot(ev.filter("value <= 100"), base)
     current = tables.read_snapshot(spark, base)
-    tables.write_snapshot(current.unionByName(ev.filter("NOT (value <= 100)")), base)
+    tables.write_snapshot(current.unionByName(ev.filter("(value <= 100) IS NOT TRUE")), base)
     return tables.read_snapshot(spark, base)
 
 
@@ -155,7 +155,7 @@ def q_append_table(spark, sf_dir):
     name = "lc_append_" + path.rsplit("-", 1)[-1]
     ev = table(spark, sf_dir, "events")
     tables.save_or_append(ev.filter("value <= 50"), name, path)
-    tables.save_or_append(ev.filter("NOT (value <= 50)"), name, path)
+    tables.save_or_append(ev.filter("(value <= 50) IS NOT TRUE"), name, path)
     return spark.read.parquet(path).select(*EVENT_COLS)
 
 
@@ -172,7 +172,7 @@ def q_union_incremental(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     old_path, new_path = scratch_path(spark, "silver_old"), scratch_path(spark, "bronze_new")
     ev.filter("ts < TIMESTAMP '2024-01-16'").write.parquet(old_path)
-    tables.write_json(ev.filter("ts >= TIMESTAMP '2024-01-16'").drop("props"), new_path)
+    tables.write_json(ev.filter("(ts < TIMESTAMP '2024-01-16') IS NOT TRUE").drop("props"), new_path)
     old = files.read_parquet(spark, old_path)
     new = files.read_json(
         spark, new_path, "auto",
@@ -193,7 +193,7 @@ def q_object_manifest(spark, sf_dir):
     src, dst = scratch_path(spark, "media"), scratch_path(spark, "objects")
     docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND lang IS NOT NULL")
     docs.select("lang", "text").write.partitionBy("lang").text(src)
-    stored = tables.store_objects(files.read_objects(spark, src, "*.txt"), dst)
+    stored = tables.store_objects(files.read_objects(spark, src, "*.txt"), dst, root=src)
     return stored.groupBy("lang").agg(F.sum("length").cast("bigint").alias("total_bytes"))
 
 

@@ -104,7 +104,7 @@ def q_flow_silver(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     base, new_path = scratch_path(spark, "silver_flow"), scratch_path(spark, "silver_new_json")
     tables.write_snapshot(ev.filter("ts < TIMESTAMP '2024-01-16'"), base)
-    tables.write_json(ev.filter("ts >= TIMESTAMP '2024-01-16'"), new_path)
+    tables.write_json(ev.filter("(ts < TIMESTAMP '2024-01-16') IS NOT TRUE"), new_path)
     result, verdict = flows.silver(
         spark, new_path, base, EVENTS_DDL, keys=["event_type"], date_col="ts",
         close_col="value", tie_break=["event_id"],

@@ -40,7 +40,7 @@ def source_gate(source: DataFrame, universe: DataFrame, symbol_col: str, source_
 
 
 def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_cols: Sequence[str],
-           unix_candidates: Sequence[str] | None = None, sep: str = "_") -> DataFrame:
+           unix_candidates: Sequence[str] = (), sep: str = "_") -> DataFrame:
     """Normalise landed raw records, profile them, write the bronze layout.
 
     flatten -> UNIX-time detection -> NaN->NULL; the normalised rows are
@@ -56,7 +56,12 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
     # partition overwrite, so re-landing a day replaces that day's rows,
     # snapshots and health stats instead of duplicating them.
     tables.write_layout(keyed, data_path, list(layout_cols))
-    landed = keyed.sparkSession.read.schema(keyed.schema).parquet(data_path)
+    # Snapshots and health cover this run's groups only: earlier days keep the
+    # schema and the counts they were landed with.
+    run = keyed.select(*[F.col(c).alias(f"_run_{c}") for c in layout_cols]).distinct()
+    every = keyed.sparkSession.read.schema(keyed.schema).parquet(data_path)
+    same = [every[c].eqNullSafe(run[f"_run_{c}"]) for c in layout_cols]
+    landed = every.join(run, same, "left_semi")
     tables.write_layout(tables.schema_snapshots(landed, list(layout_cols)), meta_path, list(layout_cols))
     health = quality.health(landed, list(layout_cols), data_cols)
     tables.write_layout(health, health_path, list(layout_cols))
@@ -73,11 +78,17 @@ def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema:
 
     Raw rows are unioned with raw rows (by name) and the indicators are
     recomputed over the union, so a rerun never mixes raw and derived
-    columns.  The new raw snapshot is swapped in atomically.
+    columns; rows already in the snapshot are not added again.  The new raw
+    snapshot counts once its commit is written.
     """
     new = files.read_json(spark, new_json, "auto", schema=json_schema)
     old = tables.read_snapshot(spark, snapshot_base)
-    raw = new if old is None else old.unionByName(new, allowMissingColumns=True)
+    raw = new
+    if old is not None:
+        ids = [*keys, *tie_break, date_col]
+        seen = old.select(*[F.col(c).alias(f"_old_{c}") for c in ids])
+        fresh = new.join(seen, [new[c].eqNullSafe(seen[f"_old_{c}"]) for c in ids], "left_anti")
+        raw = old.unionByName(fresh, allowMissingColumns=True)
     tables.write_snapshot(raw, snapshot_base)
     current = tables.read_snapshot(spark, snapshot_base)
     ind = windows.indicators(

@@ -175,7 +175,7 @@ def q_health_merge(spark, sf_dir):
     configure(spark)
     events = table(spark, sf_dir, "events")
     morning = health_frame(events.filter(F.hour("ts") < 12))
-    afternoon = health_frame(events.filter(F.hour("ts") >= 12))
+    afternoon = health_frame(events.filter(F.coalesce(F.hour("ts") >= 12, F.lit(True))))
     return quality.merge_health(
         [morning, afternoon], ["run_date", "symbol", "dataset"]
     ).select("run_date", "symbol", "dataset", "metric", "column_name", "value")

@@ -22,14 +22,23 @@ from layercake.streaming import cdc, io, stateful
 from layercake.streaming.windows import tumbling
 
 WAVES = 4
-# Several micro-batches per run, so state is carried across batches.
-FILES_PER_TRIGGER = 16
-# Waves of eight days: a watermark delay of one wave never drops a row.
-WATERMARK_DELAY = "8 days"
+# A wave lands in at most so many files, and a trigger takes so many: at least
+# WAVES micro-batches, with state carried between them.
+FILES_PER_TRIGGER = 4
 
 
-def _wave(ts: str = "ts"):
-    return F.floor((F.dayofmonth(ts) - 1) / 8).cast("int")
+def _span(df, ts: str) -> tuple[int, int]:
+    """First and last event time in whole seconds (one row to the driver)."""
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    row = df.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b")).first()
+    return (row["a"] or 0), (row["b"] or 0)
+
+
+def _wave(df, ts: str = "ts"):
+    """Equal parts of the time that the data spans; rows without a time land first."""
+    first, last = _span(df, ts)
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    return F.coalesce(F.floor((seconds - first) * WAVES / (last - first + 1)), F.lit(0)).cast("int")
 
 
 def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str = "ts",
@@ -44,8 +53,8 @@ def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str =
         # are processed by as many tasks as the cluster has cores.
         df.select(*columns).repartition(spark.sparkContext.defaultParallelism).write.format(fmt).save(path)
         return path
-    staged = df.withColumn("_lc_wave", _wave(ts))
-    io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns)
+    staged = df.withColumn("_lc_wave", _wave(df, ts))
+    io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns, files=FILES_PER_TRIGGER)
     return path
 
 
@@ -165,21 +174,29 @@ def q_stream_temp_features(spark, sf_dir):
               date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
               CAST(COUNT(*) AS BIGINT) AS n,
               ROUND(AVG(value), 6) AS avg_temp, ROUND(AVG(value * 2), 6) AS avg_power
-       FROM events GROUP BY event_type, date_trunc('hour', ts)
-       HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
-              <= (SELECT MAX(ts) FROM events) - INTERVAL 8 DAY""",
+       FROM events WHERE ts IS NOT NULL GROUP BY event_type, date_trunc('hour', ts)""",
     group="stream",
 )
 def q_tumbling_sensor_avg(spark, sf_dir):
-    """Hourly averages per kind with a watermark; only closed windows are emitted."""
+    """Hourly averages per kind with a watermark; a last marker row closes every window.
+
+    Rows are at most one wave late, which is the watermark's delay; the
+    marker lies beyond that after the last row, and its own window stays open.
+    """
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
     path = _land(rows, "sensor_windows", ts="timestamp")
+    first, last = _span(rows, "timestamp")
+    late = (last - first) // WAVES + 1
+    marker = {"timestamp": F.timestamp_seconds(F.lit(last + late + 2 * 3600)).cast("timestamp_ntz"), "kind": F.lit("end of input")}
+    spark.range(1).select(
+        *[marker.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    ).write.mode("append").parquet(path)
     stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
     windows = tumbling(
         stream, "timestamp", {"id": "kind"},
         {"n": F.count(F.lit(1)), "avg_temp": F.avg("temperature"), "avg_power": F.avg("power")},
-        size="1 hour", delay=WATERMARK_DELAY,
+        size="1 hour", delay=f"{late} seconds",
     )
     res = _run(windows, "windows_stream", spark)
     return res.withColumns({"avg_temp": round_half_up("avg_temp", 6), "avg_power": round_half_up("avg_power", 6)})

@@ -7,9 +7,11 @@ disk in tests and to shared object storage on a cluster.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,34 +47,56 @@ def save_or_append(df: DataFrame, name: str, path: str | None = None, by_name: b
 
 
 # ------------------------------------------------------------------------ K4
-_POINTER = "_current"
+_COMMITS = "commits"
 
 
 def write_snapshot(df: DataFrame, base: str) -> str:
-    """Write ``df`` as a new immutable snapshot under ``base`` and swap to it.
+    """Write ``df`` as a new immutable snapshot under ``base`` and commit it.
 
     Spark cannot overwrite a path it is reading in the same plan, and a
     plain overwrite leaves readers with a half-written folder.  Each call
-    writes ``base/v=<id>`` completely, then replaces the one-line pointer
-    ``base/_current``; readers resolve the pointer.  Old snapshots stay
-    for time travel and are safe to vacuum later.
+    writes ``base/v=<id>`` completely, then APPENDS a numbered commit to
+    ``base/commits``; readers take the newest.  Nothing is ever deleted or
+    rewritten, so there is no moment without a current snapshot, and a crash
+    before the commit leaves the former one current.  One writer at a time.
     """
+    spark = df.sparkSession
+    number = (_newest_commit(spark, base) or (0, ""))[0] + 1
     version = f"{base}/v={uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(f"{base}/{_POINTER}")
+    spark.createDataFrame([(number, version)], _COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/{_COMMITS}")
     return version
 
 
-def current_snapshot(spark: SparkSession, base: str) -> str | None:
-    """Path of the snapshot ``base/_current`` points at (None if none yet)."""
+_COMMIT_SCHEMA = "number long, path string"
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path (with wildcards) is there; every other failure is raised."""
     try:
-        rows = spark.read.text(f"{base}/{_POINTER}").take(1)
-    except Exception:
+        spark.read.schema("x long").parquet(pattern)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def _newest_commit(spark: SparkSession, base: str) -> tuple[int, str] | None:
+    if not _exists(spark, f"{base}/{_COMMITS}"):
+        if _exists(spark, f"{base}/v=*"):
+            raise RuntimeError(f"{base} holds snapshots but no commit: restore {base}/{_COMMITS} or remove the folders")
         return None
-    return rows[0][0] if rows else None
+    row = spark.read.schema(_COMMIT_SCHEMA).parquet(f"{base}/{_COMMITS}").orderBy(F.desc("number")).first()
+    if row is None:
+        raise RuntimeError(f"{base}/{_COMMITS} holds no commit")
+    return row["number"], row["path"]
+
+
+def current_snapshot(spark: SparkSession, base: str) -> str | None:
+    """Path of the newest committed snapshot; None only if ``base`` has none at all."""
+    newest = _newest_commit(spark, base)
+    return newest[1] if newest else None
 
 
 def read_snapshot(spark: SparkSession, base: str, schema: StructType | None = None) -> DataFrame | None:
@@ -159,15 +183,26 @@ def schema_snapshots(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- K13
-def store_objects(objects: DataFrame, dest: str, key_prefix: str = "") -> DataFrame:
+def _below(path: Column, root: str | None) -> Column:
+    """The part of a path below ``root``, whatever scheme either is written with."""
+    bare = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    if root is None:
+        return bare
+    top = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/") + "/"
+    return F.when(bare.startswith(top), F.substr(bare, F.lit(len(top) + 1))).otherwise(bare)
+
+
+def store_objects(objects: DataFrame, dest: str, key_prefix: str = "", root: str | None = None) -> DataFrame:
     """Copy binary objects (``binaryFile`` rows) into an object table at ``dest``.
 
+    An object's key is its path below ``root``, the scanned folder (the whole
+    path without one): part files of different folders keep different keys.
     Each task writes its own files, so bytes never pass through the driver.
     Returns a lazy status frame over the written table (one row per object
     with its key and size) for the caller to check or log.
     """
     keyed = objects.select(
-        F.concat(F.lit(key_prefix), F.element_at(F.split("path", "/"), -1)).alias("key"),
+        F.concat(F.lit(key_prefix), _below(F.col("path"), root)).alias("key"),
         "path",
         "length",
         "modificationTime",

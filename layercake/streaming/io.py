@@ -121,17 +121,20 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def land_in_order(df: DataFrame, path: str, chunk: Column, n_chunks: int, key: str | None = None,
-                  fmt: str = "parquet", columns: Sequence[str] | None = None) -> None:
+                  fmt: str = "parquet", columns: Sequence[str] | None = None, files: int | None = None) -> None:
     """Land ``df`` as files in ``n_chunks`` arrival waves (chunk 0 first).
 
     Each wave is its own write, so file modification times follow ``chunk``;
     with ``key``, each key's rows of one wave sit in one file, so a stream
     reading a few files per trigger still sees each key in arrival order.
+    ``files`` bounds the files of a wave.
     """
     for i in range(n_chunks):
         part = df.filter(chunk == F.lit(i))
         if key:
-            part = part.repartition(key)
+            part = part.repartition(files, key) if files else part.repartition(key)
+        elif files:
+            part = part.repartition(files)
         if columns:
             part = part.select(*columns)
         part.write.mode("append").format(fmt).save(path)

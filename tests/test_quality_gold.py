@@ -117,7 +117,8 @@ def test_flatten_names_unique_and_empty_struct(spark, tmp_dir):
 def test_unix_detection(spark):
     df = spark.createDataFrame([(1704067207, 1704067207179, 5)], "s bigint, ms bigint, small bigint")
     assert reshape.unix_time_columns(df) == ["s", "ms"]
-    row = reshape.convert_unix_times(df).first()
+    row = reshape.convert_unix_times(df, ["s", "ms", "small"]).first()
+    assert reshape.convert_unix_times(df, []).schema == df.schema
     assert str(row["s"]) == "2024-01-01 00:00:07"
     assert row["ms"].microsecond == 179000 and row["small"] == 5
 
