@@ -144,8 +144,3 @@ def fixed(col: str | Column, digits: int = 4) -> Column:
     """Fixed-point text of a number (``%.<digits>f``), stable across engines."""
     c = F.col(col) if isinstance(col, str) else col
     return F.format_string(f"%.{digits}f", c)
-
-
-def tags_map(df: DataFrame, tag_cols: Mapping[str, str]) -> Column:
-    """Tags as ``map<string,string>`` for sinks that want one column."""
-    return F.create_map(*[x for k, c in tag_cols.items() for x in (F.lit(k), F.col(c))])

@@ -121,13 +121,6 @@ def schema_errors(df: DataFrame, expected: Mapping[str, str]) -> dict[str, str]:
     return errors
 
 
-def schema_errors_frame(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
-    errs = schema_errors(df, expected)
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        sorted(errs.items()), "column_name string, error string"
-    )
-
 
 def schema_conformance(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     """Per expected column: declared-type verdict plus values that would not
@@ -338,7 +331,3 @@ def merge_health(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     duplicates add per batch, as the accumulating report does)."""
     merged = reduce(lambda a, b: a.unionByName(b), frames)
     return merged.groupBy(*keys, "metric", "column_name").agg(F.sum("value").cast("bigint").alias("value"))
-
-
-def is_boolean(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, BooleanType)

@@ -161,7 +161,8 @@ def fixed_point_avg(total: Column, count: Column, unit: int, digits: int) -> Col
     error can move a value across a rounding boundary.
     """
     num = F.abs(total).cast("decimal(38,0)") * F.lit(2 * 10**digits) + count * F.lit(unit)
-    mag = F.floor(num / (count * F.lit(2 * unit)).cast("decimal(38,0)"))
+    den = (count * F.lit(2 * unit)).cast("decimal(38,0)")
+    mag = (num - num % den) / den  # whole by construction
     signed = F.when(total < 0, -mag).otherwise(mag)
     return F.when(count > 0, signed.cast("double") / F.lit(float(10**digits)))
 
@@ -193,7 +194,9 @@ def indicators(
     The moving averages then come from one running integer sum per block:
     ``sum(last n) = C_t - C_(t-n)`` with ``lag`` -- O(1) per row for any n,
     exact (integers cannot cancel), rounded HALF_UP to ``digits`` (default
-    6) independently of summation order.  Without it, averages are sliding
+    6) independently of summation order; decimals of a price beyond the scale
+    are rounded, so give at least as many as prices have.  A window with a
+    NaN or infinite price averages to NaN.  Without it, averages are sliding
     double frames.
     """
     close = F.col(close_col)
@@ -206,14 +209,21 @@ def indicators(
 
     def running(w: WindowSpec) -> list[dict[str, Column]]:
         unit, d = 10**decimal_scale, 6 if digits is None else digits
-        scaled = F.round(close * F.lit(unit)).cast("long")
+        finite = ~F.isnan(close) & (F.abs(close) < float("inf"))
+        scaled = F.when(finite, F.round(close * F.lit(unit))).cast("long")
+        odd = F.coalesce((~finite).cast("int"), F.lit(0))
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        first = {"_lc_c": F.sum(scaled).over(upto), "_lc_k": F.count(scaled).over(upto)}
+        first = {
+            "_lc_c": F.coalesce(F.sum(scaled).over(upto), F.lit(0)),
+            "_lc_k": F.count(scaled).over(upto),
+            "_lc_n": F.sum(odd).over(upto),
+        }
         second = {}
         for n in MA_LENGTHS:
             total = F.col("_lc_c") - F.coalesce(F.lag("_lc_c", n).over(w), F.lit(0))
             count = F.col("_lc_k") - F.coalesce(F.lag("_lc_k", n).over(w), F.lit(0))
-            second[f"MA{n}"] = fixed_point_avg(total, count, unit, d)
+            bad = F.col("_lc_n") - F.coalesce(F.lag("_lc_n", n).over(w), F.lit(0))
+            second[f"MA{n}"] = F.when(bad > 0, float("nan")).otherwise(fixed_point_avg(total, count, unit, d))
         second["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(*bb_frame))
         return [first, second]
 
@@ -229,7 +239,7 @@ def indicators(
             "BB_Lower": mid - BB_WIDTH * F.col("BB_Std"),
         }
     )
-    out = out.drop("_lc_c", "_lc_k")
+    out = out.drop("_lc_c", "_lc_k", "_lc_n")
     names = ["MA20", "MA50", "MA200", "BB_Mid", "BB_Std", "BB_Upper", "BB_Lower"]
     if digits is not None:
         out = out.withColumns({n: round_half_up(n, digits) for n in names})

@@ -72,7 +72,7 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
 
 def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema: str,
            keys: Sequence[str], date_col: str, close_col: str, tie_break: Sequence[str],
-           digits: int | None = 6, decimal_scale: int | None = 2) -> tuple[DataFrame, DataFrame]:
+           digits: int | None = 6, decimal_scale: int | None = 6) -> tuple[DataFrame, DataFrame]:
     """New raw JSON + the existing raw snapshot -> indicators; returns
     (indicators read back, verdict row).
 

@@ -28,14 +28,17 @@ def bars(spark, sf_dir):
     )
 
 
+PRICE_SCALE = 6  # decimals that prices may have
+
+
 def _indicator_sql(partition: str) -> str:
     def w(n: int) -> str:
         return f"({partition} ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
-    # Exact fixed-point average: cents summed as integers, divided with
-    # HALF_UP rounding at 6 decimals (prices are non-negative here).
+    # Exact average: millionths summed as integers, divided with HALF_UP
+    # rounding at 6 decimals (prices are non-negative here).
     def ma(n: int) -> str:
-        return (f"CAST((SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER {w(n)} * 20000"
+        return (f"CAST((SUM(CAST(ROUND(value * 1000000) AS BIGINT)) OVER {w(n)} * 2"
                 f" + COUNT(*) OVER {w(n)}) // (2 * COUNT(*) OVER {w(n)}) AS DOUBLE) / 1000000")
 
     return f"""SELECT event_type, event_id, Date, Close,
@@ -51,14 +54,14 @@ def _indicator_sql(partition: str) -> str:
 def q_silver_indicators(spark, sf_dir):
     configure(spark)
     return windows.indicators(
-        bars(spark, sf_dir), keys=["event_type"], tie_break=["event_id"], digits=6, decimal_scale=2
+        bars(spark, sf_dir), keys=["event_type"], tie_break=["event_id"], digits=6, decimal_scale=PRICE_SCALE
     )
 
 
 @register("silver_indicators_global", _indicator_sql(""), group="silver")
 def q_silver_indicators_global(spark, sf_dir):
     configure(spark)
-    return windows.indicators(bars(spark, sf_dir), tie_break=["event_id"], digits=6, decimal_scale=2)
+    return windows.indicators(bars(spark, sf_dir), tie_break=["event_id"], digits=6, decimal_scale=PRICE_SCALE)
 
 
 @register(

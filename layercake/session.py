@@ -34,13 +34,13 @@ _SESSION_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin session settings the operators rely on; idempotent."""
+    """Pin session settings the operators rely on; idempotent.
+
+    A setting that the session refuses is raised: results would differ.
+    """
     for key, value in _SESSION_SETTINGS.items():
-        try:
-            if spark.conf.get(key, None) != value:
-                spark.conf.set(key, value)
-        except Exception:  # static or locked conf in a managed session
-            pass
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     checkpoint_root(spark)
     ship_package(spark)
     return spark
@@ -86,6 +86,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="layercake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():

@@ -174,3 +174,12 @@ def test_null_order_values_sort_last(spark):
     _compare(got.withColumnRenamed("id", "event_id"), want, ["temp_lag_1", "temp_roll_mean_5"])
     # the NULL-time rows come after every timed row
     assert {r["event_id"]: r["temp_lag_1"] for r in want.collect()}[2] == 7.0
+
+
+def test_indicators_keep_four_decimals_and_survive_nan(spark):
+    prices = [10.0001, 10.0004, 10.00035, 9.9999, float("nan"), 12.3456]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(prices)], "Date int, Close double")
+    got = [r["MA20"] for r in windows.indicators(df, digits=6, decimal_scale=6).orderBy("Date").collect()]
+    for i in range(4):
+        assert abs(got[i] - sum(prices[: i + 1]) / (i + 1)) <= 5.1e-7
+    assert got[4] != got[4] and got[5] != got[5]
