@@ -6,12 +6,13 @@ that holds a third of the data is still spread over many bounded tasks.
 EMA without a per-row loop
 --------------------------
 ``s_n = d * s_(n-1) + a * x_n`` with ``s_0 = 0`` (``d = 1 - a``) unrolls to
-``s_n = a * sum_i d^(n-i) x_i``.  History older than ``h`` rows weighs
-``d^h``; with ``d^h <= 1e-18`` it is below double precision, so a halo of
-``h`` rows makes each block exact.  Inside a block, with ``j`` the row's
-place in its block, ``s_j = a * d^j * cumsum(d^-i x_i)``: one running sum,
-O(1) per row, no arrays.  Blocks are sized so ``d^-j`` stays far from
-overflow.
+``s_n = a * sum_i d^(n-i) x_i``.  Rows are cut into blocks of positions; with
+``j`` the row's place in its block, the readings of the block itself give
+``d^j * cumsum(a * d^-j * x)``: one running sum, O(1) per row, no arrays.
+What came before is ONE number per block: each block is summed up as its own
+weighted total, and the block totals follow the same recurrence with the
+decay ``d^block_rows``.  That state enters the next block as a reading at
+place -1, so no history is cut.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ EMA_THRESHOLD = 5.0  # alert when |x - new_avg| > 5
 SEQUENCE_LENGTH = 20  # sliding window of the sequence scorer
 SCORE_THRESHOLD = 5.0  # alert when |observed - predicted| > 5.0
 
-_NEGLIGIBLE = 1e-18
+# Places of a block whose weights d^-j stay below 1e72.
+_EMA_WEIGHT_DIGITS = 72
+# A finite double times less than 1e-640 is zero, whatever its value.
+_VANISHED_DIGITS = 640
 
 
-def ema_horizon(alpha: float) -> int:
-    """Rows after which older history weighs less than 1e-18."""
-    decay = 1.0 - alpha
-    if not 0.0 < decay < 1.0:
-        raise ValueError("alpha must be in (0, 1)")
-    return int(math.ceil(math.log(_NEGLIGIBLE) / math.log(decay)))
+def _rows_of_decay(decay: float, digits: int) -> int:
+    """Rows after which a reading weighs ``10^-digits``."""
+    return int(math.ceil(digits * math.log(10) / -math.log(decay)))
 
 
 def ema(
@@ -49,45 +50,57 @@ def ema(
     value: str,
     alpha: float = EMA_ALPHA,
     out: str = "ema",
-    method: str = "prefix",
+    block_rows: int | None = None,
     **layout,
 ) -> DataFrame:
     """Exponential moving average per key, seeded with 0 (see module doc).
 
-    ``method="prefix"`` (default) is the O(1)-per-row running-sum form,
-    within ~1e-15 relative of the recurrence.  ``method="recurrence"``
-    replays ``s = (1-a)*s + a*x`` over the last ``horizon`` readings with
-    ``aggregate`` -- the same float operations as a sequential loop, so it
-    agrees with one to the last bit, at O(horizon) work per row.
+    Agrees with a sequential loop within ~1e-15 relative, whatever the
+    history (readings of more than about 1e230 would overflow a block's
+    sum).  Rows with a NULL reading are left out.  From a NaN or infinite
+    reading on, a key's average is NaN or infinite, as in the recurrence.
+    The block totals of one key (a row per ``block_rows`` readings) are the
+    only rows that meet in one task.
     """
     decay = 1.0 - alpha
-    halo = ema_horizon(alpha)
-    if method == "recurrence":
-        horizon = max(halo + 1, 400)
-
-        def cols(w: WindowSpec) -> dict[str, Column]:
-            window = F.collect_list(value).over(w.rowsBetween(-(horizon - 1), 0))
-            step = lambda acc, x: acc * F.lit(decay) + x * F.lit(alpha)
-            return {out: F.aggregate(window, F.lit(0.0).cast("double"), step)}
-
-        return rolling(df.filter(F.col(value).isNotNull()), keys, order, horizon - 1, cols, **layout)
-    if method != "prefix":
-        raise ValueError(f"unknown method {method!r}")
-    # d^-(block+halo) must stay finite: 4 * halo keeps the exponent near 200.
-    layout.setdefault("block_rows", 4 * halo)
-    j = "_lc_j"
+    if not 0.0 < decay < 1.0:
+        raise ValueError("alpha must be in (0, 1)")
+    size = int(block_rows or _rows_of_decay(decay, _EMA_WEIGHT_DIGITS))
     base = df.filter(F.col(value).isNotNull())
-    laid = block_layout(base, keys, order, halo, **layout)
-    # Two window steps over the same (keys, block) partitioning share one
-    # exchange: the place j in the block, then the running weighted sum.
-    w = Window.partitionBy(*keys, BLK).orderBy(POS)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    weighted = F.col(value) * F.pow(F.lit(decay), -F.col(j))
+    laid = block_layout(base, keys, order, 0, size, **layout)
+    x = F.col(value).cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
+    place = (F.col(POS) - F.col(BLK) * size).cast("double")
+    power = lambda exponent: F.pow(F.lit(decay), exponent)
+    totals = laid.groupBy(*keys, BLK).agg(
+        F.coalesce(F.sum(F.when(finite, alpha * x * power(size - 1 - place))), F.lit(0.0)).alias("_lc_total"),
+        F.sum(F.when(~finite, x)).alias("_lc_odd"),
+    )
+    # The state at a block's start: the recurrence over the totals before it.
+    # The frame ends where nothing that a double can hold is left.
+    per_key = Window.partitionBy(*keys).orderBy(BLK)
+    reach = _rows_of_decay(decay, _VANISHED_DIGITS) // size + 2
+    before = F.collect_list("_lc_total").over(per_key.rowsBetween(-reach, -1))
+    state = F.aggregate(before, F.lit(0.0), lambda acc, t: acc * F.lit(decay**size) + t)
+    carried = totals.select(
+        *keys,
+        BLK,
+        (F.col(BLK) * size - 1).alias(POS),
+        F.lit(True).alias(HALO),
+        (state * decay).alias("_lc_part"),
+        F.sum("_lc_odd").over(per_key.rowsBetween(Window.unboundedPreceding, -1)).alias("_lc_odd"),
+        F.row_number().over(per_key).alias("_lc_nth"),
+    ).filter("_lc_nth > 1").drop("_lc_nth")
+    own = laid.withColumns(
+        {"_lc_part": F.when(finite, alpha * x * power(-place)), "_lc_odd": F.when(~finite, x)}
+    )
+    running = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    smooth = power(place) * F.sum("_lc_part").over(running)
     return (
-        laid.withColumn(j, (F.row_number().over(w) - 1).cast("double"))
-        .withColumn(out, F.lit(alpha) * F.pow(F.lit(decay), F.col(j)) * F.sum(weighted).over(running))
+        own.unionByName(carried, allowMissingColumns=True)
+        .withColumn(out, F.coalesce(F.sum("_lc_odd").over(running), smooth))
         .filter(~F.col(HALO))
-        .drop(j, POS, BLK, HALO)
+        .drop("_lc_part", "_lc_odd", POS, BLK, HALO)
     )
 
 
@@ -99,17 +112,22 @@ def ema_anomalies(
     alpha: float = EMA_ALPHA,
     threshold: float = EMA_THRESHOLD,
     digits: int | None = None,
-    method: str = "prefix",
     **layout,
 ) -> DataFrame:
     """EMA per key plus ``alert = |x - new_ema| > threshold`` (strict)."""
-    out = ema(df, keys, order, value, alpha, method=method, **layout)
+    out = ema(df, keys, order, value, alpha, **layout)
     out = out.withColumn("alert", F.abs(F.col(value) - F.col("ema")) > F.lit(threshold))
     if digits is not None:
-        out = out.withColumn("ema", round_half_up("ema", digits))
+        out = out.withColumn("ema", round_ema("ema", digits))
     return out
 
 
+def round_ema(col: str | Column, digits: int) -> Column:
+    """Round an average, noise first: early ones are often exact decimal ties,
+    which the last bits of a double must not decide."""
+    return round_half_up(round_half_up(col, digits + 3), digits)
+
+
 def trailing_window(
     df: DataFrame,
     keys: Sequence[str],

@@ -32,10 +32,12 @@ def _w(n: int, partition: str = "PARTITION BY user_id") -> str:
     return f"({partition} ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-EMA_SQL = f"""SELECT device_id, event_id, ts, temperature, ROUND(ema, 6) AS ema,
+# The detector's recurrence over a device's whole history.
+EMA_SQL = """SELECT device_id, event_id, ts, temperature, ROUND(ROUND(ema, 9), 6) AS ema,
        abs(temperature - ema) > 5 AS alert
 FROM (SELECT user_id AS device_id, event_id, ts, value AS temperature,
-        list_reduce(list_prepend(CAST(0.0 AS DOUBLE), list(value) OVER {_w(400)}),
+        list_reduce(list_prepend(CAST(0.0 AS DOUBLE), list(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                                                ROWS UNBOUNDED PRECEDING)),
                     lambda acc, x: acc * CAST(0.9 AS DOUBLE) + x * CAST(0.1 AS DOUBLE)) AS ema
       FROM events WHERE value IS NOT NULL)"""
 
@@ -44,9 +46,7 @@ FROM (SELECT user_id AS device_id, event_id, ts, value AS temperature,
 def q_ema_anomaly(spark, sf_dir):
     configure(spark)
     df = readings(spark, sf_dir).drop("humidity")
-    # The recurrence replays the detector's own float operations (bit-equal to
-    # a sequential loop); method="prefix" is the O(1) form for long histories.
-    return sequences.ema_anomalies(df, KEYS, ORDER, "temperature", digits=6, method="recurrence")
+    return sequences.ema_anomalies(df, KEYS, ORDER, "temperature", digits=6)
 
 
 @register(

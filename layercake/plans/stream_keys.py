@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from layercake.functions.numeric import round_half_up
 from layercake.functions import events as ev
+from layercake.operators.sequences import round_ema
 from layercake.plans.event_keys import POINTS_SQL, sensor_rows
 from layercake.plans.registry import register
 from layercake.plans.sequence_keys import EMA_SQL, TEMP_FEATURES_SQL, _score_sql, readings
@@ -132,7 +133,7 @@ def q_stream_ema_anomaly(spark, sf_dir):
         ["device_id", "event_id", "ts", "temperature"],
     )
     res = _run(out, "ema_stream", spark)
-    return res.withColumn("ema", round_half_up("ema", 6))
+    return res.withColumn("ema", round_ema("ema", 6))
 
 
 @register("stream_sequence_score", _score_sql(), group="stream")

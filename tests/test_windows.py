@@ -81,7 +81,7 @@ def test_property_lag_and_roll(spark, block, ranges):
 
 
 def test_ema_long_keys_match_recursion(spark):
-    """Keys far longer than the 394-row halo, cut into small blocks."""
+    """Keys of many blocks."""
     df = spark.read.parquet(f"{SF_CHECK}/events.parquet").select("event_type", "event_id", "ts", "value")
     got = sequences.ema(df, ["event_type"], ["ts", "event_id"], "value", block_rows=450, ranges=4)
     rows = sorted(got.collect(), key=lambda r: (r["event_type"], r["ts"], r["event_id"]))
@@ -133,16 +133,36 @@ def test_fixed_point_averages_exact_across_blocks(spark):
     assert {r["event_id"]: r["MA50"] for r in got} == want
 
 
-def test_ema_recurrence_bit_exact(spark):
-    df = _events(spark).select(F.col("user_id").alias("device_id"), "event_id", "ts", F.col("value").alias("temperature"))
-    got = sequences.ema(df, ["device_id"], ["ts", "event_id"], "temperature", method="recurrence",
-                        block_rows=500, ranges=3).collect()
-    state: dict[int, float] = {}
-    want = {}
-    for r in sorted(df.collect(), key=lambda r: (r["device_id"], r["ts"], r["event_id"])):
-        s = state.get(r["device_id"], 0.0) * 0.9 + r["temperature"] * 0.1
-        state[r["device_id"]] = want[r["event_id"]] = s
-    assert {r["event_id"]: r["ema"] for r in got} == want
+def _loop(values):
+    s, out = 0.0, []
+    for v in values:
+        s = s * 0.9 + v * 0.1
+        out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [None, 60, 7])
+def test_ema_forgets_nothing(spark, block_rows):
+    """A spike 500 rows back still shows; NULL keys are a series; ties of blocks and keys."""
+    series = {"spike": [1e20] + [1.0] * 600, None: [float(i % 17) for i in range(130)], "one": [3.5]}
+    df = spark.createDataFrame(
+        [(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)] + [("spike", -1, None)], "k string, i int, v double"
+    )
+    got = sequences.ema(df, ["k"], ["i"], "v", block_rows=block_rows, ranges=3).collect()
+    assert len(got) == df.count() - 1
+    for k, vs in series.items():
+        mine = [r["ema"] for r in sorted((r for r in got if r["k"] == k), key=lambda r: r["i"])]
+        assert mine == pytest.approx(_loop(vs), rel=1e-12)
+    assert next(r for r in got if r["k"] == "spike" and r["i"] == 500)["ema"] > 1.0001
+
+
+def test_ema_odd_readings_stay(spark):
+    for odd in (float("nan"), float("inf")):
+        vs = [1.0] * 20 + [odd] + [2.0] * 40
+        df = spark.createDataFrame(list(enumerate(vs)), "i int, v double")
+        got = [r["ema"] for r in sequences.ema(df, [], ["i"], "v", block_rows=16, ranges=2).orderBy("i").collect()]
+        assert got[:20] == pytest.approx(_loop(vs[:20]))
+        assert [repr(g) for g in got[20:]] == [repr(w) for w in _loop(vs)[20:]]
 
 
 def test_hot_key_is_split_and_exact(spark):
