@@ -19,3 +19,42 @@ def round_half_up(col: str | Column, digits: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     scale = float(10**digits)
     return F.round(c * F.lit(scale), 0) / F.lit(scale)
+
+
+def fixed_point_avg(total: Column, count: Column, unit: int, digits: int) -> Column:
+    """``total / (count * unit)`` rounded HALF_UP to ``digits``, exactly.
+
+    ``total`` is an integer sum of values scaled by ``unit``.  The rounding
+    is integer arithmetic on decimal(38,0), so no summation order or float
+    error can move a value across a rounding boundary.
+    """
+    num = F.abs(total).cast("decimal(38,0)") * F.lit(2 * 10**digits) + count * F.lit(unit)
+    den = (count * F.lit(2 * unit)).cast("decimal(38,0)")
+    mag = (num - num % den) / den  # whole by construction
+    signed = F.when(total < 0, -mag).otherwise(mag)
+    return F.when(count > 0, signed.cast("double") / F.lit(float(10**digits)))
+
+
+#: Decimals that :func:`exact_avg` keeps of a double (more than a double of ordinary size has).
+EXACT_DECIMALS = 9
+
+
+def exact_avg(col: str | Column, digits: int = 6) -> Column:
+    """Aggregate: the mean of a double column, rounded HALF_UP to ``digits``.
+
+    Values are summed as whole billionths, so the result does not depend on
+    the order of rows.  NULLs do not count; a NaN or infinite value makes
+    the mean NaN; no value makes it NULL.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    unit = 10**EXACT_DECIMALS
+    odd = F.isnan(c) | (F.abs(c) == float("inf"))
+    total = F.sum(F.when(~odd, F.round(c * F.lit(float(unit))).cast("decimal(28,0)")))
+    mean = fixed_point_avg(total, F.count(c).cast("decimal(20,0)"), unit, digits)
+    return F.when(F.coalesce(F.bool_or(odd), F.lit(False)), float("nan")).otherwise(mean)
+
+
+def fixed_text(col: str | Column, digits: int = 6) -> Column:
+    """A double as text with ``digits`` decimals (``NaN`` as it is)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(F.isnan(c), "NaN").otherwise(c.cast(f"decimal(38,{digits})").cast("string"))

@@ -207,22 +207,31 @@ def null_errors_frame(stats: DataFrame, required: Sequence[str]) -> DataFrame:
     return stats.select(stack.alias("n")).select("n.*").filter("null_count > 0")
 
 
-def bound_errors_frame(
-    stats: DataFrame, columns: Sequence[str], bounds: Mapping[str, tuple[float | None, float | None]]
-) -> DataFrame:
-    """Tall ``(column_name, error)``: missing columns and violated bounds."""
-    rows = []
+def _bound_messages(
+    columns: Sequence[str], bounds: Mapping[str, tuple[float | None, float | None]]
+) -> dict[str, Column]:
+    """Message of each bounded column over :func:`check_stats` ('' where all is well)."""
+    out = {}
     for c, (lo, hi) in bounds.items():
         if c not in columns:
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(MSG_COLUMN_NOT_FOUND).alias("error")))
+            out[c] = F.lit(MSG_COLUMN_NOT_FOUND)
             continue
         parts = []
         if lo is not None:
             parts.append(F.when(F.col(f"`below__{c}`"), F.lit(MSG_BELOW_MIN.format(bound=_fmt(lo)))))
         if hi is not None:
             parts.append(F.when(F.col(f"`above__{c}`"), F.lit(MSG_ABOVE_MAX.format(bound=_fmt(hi)))))
-        if parts:
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.concat_ws(MSG_JOIN, *parts).alias("error")))
+        out[c] = F.concat_ws(MSG_JOIN, *parts) if parts else F.lit("")
+    return out
+
+
+def bound_errors_frame(
+    stats: DataFrame, columns: Sequence[str], bounds: Mapping[str, tuple[float | None, float | None]]
+) -> DataFrame:
+    """Tall ``(column_name, error)``: missing columns and violated bounds."""
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), text.alias("error")) for c, text in _bound_messages(columns, bounds).items()
+    ]
     if not rows:
         return stats.sparkSession.createDataFrame([], "column_name string, error string")
     return stats.select(F.explode(F.array(*rows)).alias("e")).select("e.*").filter("error <> ''")
@@ -238,7 +247,10 @@ def validate_all(
 
     Columns: ``schema_valid, nulls_valid, min_max_valid, overall_valid,
     schema_errors, null_errors, min_max_errors`` (error counts) and
-    ``errors`` (a JSON object of all messages).
+    ``errors``, a JSON object of every message by check and column:
+    ``{"schema": {column: message}, "nulls": {column: null count},
+    "min_max": {column: message}}`` (columns without an error are left out,
+    in the order of the arguments).
     """
     required = list(df.columns if required is None else required)
     bounds = dict(bounds or {})
@@ -246,18 +258,20 @@ def validate_all(
     stats = check_stats(df, required, bounds)
     nulls = [F.when(F.col(f"`null__{c}`") > 0, F.lit(c)) for c in required if c in df.columns]
     null_list = F.filter(F.array(*nulls), lambda x: x.isNotNull()) if nulls else F.array().cast("array<string>")
-    bound_flags = []
-    for c, (lo, hi) in bounds.items():
-        if c not in df.columns:
-            bound_flags.append(F.lit(True))
-            continue
-        flag = F.lit(False)
-        if lo is not None:
-            flag = flag | F.col(f"`below__{c}`")
-        if hi is not None:
-            flag = flag | F.col(f"`above__{c}`")
-        bound_flags.append(flag)
-    n_bound = reduce(lambda a, b: a + b, [f.cast("int") for f in bound_flags], F.lit(0))
+    bound_texts = _bound_messages(df.columns, bounds)
+    n_bound = reduce(lambda a, b: a + b, [(t != "").cast("int") for t in bound_texts.values()], F.lit(0))
+
+    def messages(entries: Mapping[str, Column]) -> Column:
+        """A struct whose empty fields are NULL, which to_json leaves out."""
+        return F.struct(*[t.alias(c) for c, t in entries.items()]) if entries else F.create_map().cast("map<string,string>")
+
+    errors = F.to_json(
+        F.struct(
+            messages({c: F.lit(t) for c, t in s_err.items()}).alias("schema"),
+            messages({c: F.nullif(F.col(f"`null__{c}`"), F.lit(0)) for c in required if c in df.columns}).alias("nulls"),
+            messages({c: F.nullif(t, F.lit("")) for c, t in bound_texts.items()}).alias("min_max"),
+        )
+    )
     out = stats.select(
         F.lit(len(s_err) == 0).alias("schema_valid"),
         (F.size(null_list) == 0).alias("nulls_valid"),
@@ -265,6 +279,7 @@ def validate_all(
         F.lit(len(s_err)).cast("bigint").alias("schema_errors"),
         F.size(null_list).cast("bigint").alias("null_errors"),
         n_bound.cast("bigint").alias("min_max_errors"),
+        errors.alias("errors"),
     )
     return out.withColumn(
         "overall_valid", F.col("schema_valid") & F.col("nulls_valid") & F.col("min_max_valid")

@@ -230,10 +230,10 @@ def model_scorer(make_predict_fn: Callable, length: int = SEQUENCE_LENGTH, batch
     )
 
     def scorer(value: str, w: WindowSpec, n: int) -> Column:
-        window = F.collect_list(F.col(value).cast("float")).over(w.rowsBetween(-(n - 1), 0))
+        window = F.collect_list(F.col(value).cast("double")).over(w.rowsBetween(-(n - 1), 0))
         # Fixed-width tensors: short (warm-up) windows are left-padded with
         # zeros; their predictions are masked by score_sequences.
-        pad = F.array_repeat(F.lit(0.0).cast("float"), F.lit(n) - F.size(window))
+        pad = F.array_repeat(F.lit(0.0), F.lit(n) - F.size(window))
         return udf(F.concat(pad, window))
 
     return scorer

@@ -34,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from layercake.functions.numeric import round_half_up
+from layercake.functions.numeric import fixed_point_avg, round_half_up
 
 POS = "_lc_pos"
 BLK = "_lc_blk"
@@ -153,20 +153,6 @@ def _apply(df: DataFrame, stages) -> DataFrame:
     return df
 
 
-def fixed_point_avg(total: Column, count: Column, unit: int, digits: int) -> Column:
-    """``total / (count * unit)`` rounded HALF_UP to ``digits``, exactly.
-
-    ``total`` is an integer sum of values scaled by ``unit``.  The rounding
-    is integer arithmetic on decimal(38,0), so no summation order or float
-    error can move a value across a rounding boundary.
-    """
-    num = F.abs(total).cast("decimal(38,0)") * F.lit(2 * 10**digits) + count * F.lit(unit)
-    den = (count * F.lit(2 * unit)).cast("decimal(38,0)")
-    mag = (num - num % den) / den  # whole by construction
-    signed = F.when(total < 0, -mag).otherwise(mag)
-    return F.when(count > 0, signed.cast("double") / F.lit(float(10**digits)))
-
-
 # --------------------------------------------------------------- indicators
 # Moving-average lengths and Bollinger width of the silver job.
 MA_LENGTHS = (20, 50, 200)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from layercake.functions import events as ev
+from layercake.functions.numeric import exact_avg, fixed_text
 from layercake.operators import serving
 from layercake.plans.registry import register
 from layercake.session import configure, table
@@ -131,6 +132,25 @@ def q_serve_device_last(spark, sf_dir):
     return serving.latest_per_series(points(spark, sf_dir), ASOF, DEVICE_LOOKBACK)
 
 
+@register(
+    "serve_one_device",
+    POINTS_SQL
+    + f""", seen AS (SELECT * FROM pts WHERE {_window_sql("'1 day'")})
+      SELECT measurement, device_id, device_type, location_id, field, time, value_num, value_str
+      FROM (SELECT *, row_number() OVER (
+               PARTITION BY measurement, device_id, device_type, location_id, field
+               ORDER BY time DESC, value_num DESC NULLS LAST, value_str DESC NULLS LAST) AS rn
+            FROM seen WHERE device_id = (SELECT MIN(device_id) FROM seen)) WHERE rn = 1""",
+    group="serving",
+)
+def q_serve_one_device(spark, sf_dir):
+    """Latest values of ONE device: the first by name that was seen in the window."""
+    configure(spark)
+    pts = points(spark, sf_dir)
+    device = serving.devices_seen(pts, ASOF, DEVICE_LOOKBACK).agg(F.min("device_id")).first()[0]
+    return serving.latest_per_series(pts, ASOF, DEVICE_LOOKBACK, device_id=device or "")
+
+
 @register(
     "serve_temperature",
     POINTS_SQL
@@ -157,15 +177,12 @@ def sensor_rows(events):
     )
 
 
-def hourly_averages(rows):
-    """Tumbling one-hour averages per kind, exact to 6 decimals (fixed point)."""
+def hourly_averages(rows, key: str = "kind"):
+    """Tumbling one-hour averages per ``key`` as ``id``, exact to 6 decimals."""
     w = F.window(F.col("timestamp").cast("timestamp"), "1 hour")
     return (
-        rows.groupBy(w.alias("w"), F.col("kind").alias("id"))
-        .agg(
-            F.avg(F.col("temperature").cast("decimal(18,2)")).alias("avg_temp"),
-            F.avg(F.col("power").cast("decimal(18,2)")).alias("avg_power"),
-        )
+        rows.groupBy(w.alias("w"), F.col(key).alias("id"))
+        .agg(exact_avg("temperature").alias("avg_temp"), exact_avg("power").alias("avg_power"))
         .select(
             "id",
             F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -177,15 +194,24 @@ def hourly_averages(rows):
 
 
 def _exact_avg_sql(col: str) -> str:
-    """Micro-units of avg(col) rounded HALF_UP (non-negative fixed-point input)."""
-    return f"((SUM(CAST(ROUND({col} * 100) AS BIGINT)) * 20000 + COUNT(*)) // (2 * COUNT(*)))"
+    """Micro-units of avg(col) rounded HALF_UP (non-negative values of up to 9 decimals)."""
+    return (f"((SUM(CAST(ROUND({col} * 1000000000) AS HUGEINT)) * 2 + COUNT({col}) * 1000)"
+            f" // (COUNT({col}) * 2000))")
 
 
 HOURLY_SQL = f"""WITH h AS (
     SELECT event_type AS id, date_trunc('hour', ts) AS window_start,
            date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
            {_exact_avg_sql("value")} AS t_micro, {_exact_avg_sql("value * 2")} AS p_micro
-    FROM events GROUP BY event_type, date_trunc('hour', ts))"""
+    FROM events WHERE ts IS NOT NULL GROUP BY event_type, date_trunc('hour', ts))"""
+
+
+def sensor_text():
+    """The text of one row of averages.  Fixed values: the template's words."""
+    return F.concat(
+        F.lit("Sensor "), F.col("id").cast("string"), F.lit(": avg_temp="), fixed_text("avg_temp"),
+        F.lit(", avg_power="), fixed_text("avg_power"),
+    )
 
 
 def _micro_text(c: str) -> str:
@@ -204,9 +230,4 @@ def _micro_text(c: str) -> str:
 def q_row_to_text(spark, sf_dir):
     configure(spark)
     avgs = hourly_averages(sensor_rows(table(spark, sf_dir, "events")))
-    out = ev.row_text(
-        avgs,
-        ["Sensor ", F.col("id"), ": avg_temp=", F.col("avg_temp").cast("string"),
-         ", avg_power=", F.col("avg_power").cast("string")],
-    )
-    return out.select("id", "window_start", "window_end", "text")
+    return ev.row_text(avgs, [sensor_text()]).select("id", "window_start", "window_end", "text")

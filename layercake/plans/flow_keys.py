@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from layercake.operators import vectors
 from layercake.plans import flows
 from layercake.plans.bronze_keys import EVENTS_DDL
-from layercake.plans.event_keys import sensor_rows
+from layercake.plans.event_keys import hourly_averages, sensor_rows, sensor_text
 from layercake.plans.gold_keys import PRICE_THRESHOLD, RULES_SQL
 from layercake.plans.registry import register
 from layercake.plans.silver_keys import _indicator_sql
@@ -15,9 +15,6 @@ from layercake.session import configure, scratch_path, table
 from layercake.sinks import tables
 from layercake.sources import files
 
-# Width of the test vectors (the collection itself is 1536 wide).
-TEST_DIM = 64
-
 
 @register(
     "source_gate",
@@ -136,26 +133,16 @@ def q_flow_gold(spark, sf_dir):
 @register(
     "embed_rows",
     """SELECT user_id AS id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS timestamp,
-              64 AS dim, CAST(4.0 AS FLOAT) AS n_tokens
-       FROM events GROUP BY user_id, date_trunc('hour', ts)""",
+              1536 AS dim, CAST(4.0 AS FLOAT) AS n_tokens
+       FROM events WHERE ts IS NOT NULL GROUP BY user_id, date_trunc('hour', ts)""",
     group="vectors",
 )
 def q_embed_rows(spark, sf_dir):
     """Device-hour averages -> text -> hashed embedding -> vector rows stored and read back."""
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
-    hourly = rows.groupBy(F.window(F.col("timestamp").cast("timestamp"), "1 hour").alias("w"), "id").agg(
-        F.avg(F.col("temperature").cast("decimal(18,2)")).alias("avg_temp"),
-        F.avg(F.col("power").cast("decimal(18,2)")).alias("avg_power"),
-    )
-    text = hourly.select(
-        "id",
-        F.col("w.start").alias("window_start"),
-        F.concat(F.lit("Sensor "), F.col("id").cast("string"), F.lit(": avg_temp="),
-                 F.col("avg_temp").cast("string"), F.lit(", avg_power="),
-                 F.col("avg_power").cast("string")).alias("text"),
-    )
-    vec = vectors.vector_rows(vectors.embed(text, dim=TEST_DIM), "id", "embedding", "window_start", TEST_DIM)
+    text = hourly_averages(rows, "id").withColumn("text", sensor_text())
+    vec = vectors.vector_rows(vectors.embed(text), "id", "embedding", "window_start")
     path = vectors.write_vectors(vec, scratch_path(spark, "sensor_embeddings"))
     stored = spark.read.parquet(path)
     return stored.select(

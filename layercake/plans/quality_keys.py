@@ -27,7 +27,7 @@ EXPECTED_SCHEMA = {
     "device": "object",
 }
 REQUIRED = ["event_id", "value", "user_id"]
-ALL_BOUNDS = {"value": (0, 500)}
+ALL_BOUNDS = {"value": (0, 100), "missing_col": (0, 1)}
 
 
 def docs_with_labels(spark, sf_dir):
@@ -98,18 +98,30 @@ def q_min_max_check(spark, sf_dir):
 
 @register(
     "validate_all",
-    """SELECT false AS schema_valid,
-              (nulls = 0) AS nulls_valid,
-              (bad = 0) AS min_max_valid,
-              CAST(2 AS BIGINT) AS schema_errors,
-              CAST(nulls AS BIGINT) AS null_errors,
-              CAST(bad AS BIGINT) AS min_max_errors,
-              false AS overall_valid
-       FROM (SELECT (CAST(COUNT(*) FILTER (WHERE event_id IS NULL) > 0 AS INT)
-                   + CAST(COUNT(*) FILTER (WHERE value IS NULL OR isnan(value)) > 0 AS INT)
-                   + CAST(COUNT(*) FILTER (WHERE user_id IS NULL) > 0 AS INT)) AS nulls,
-                    CAST(coalesce(bool_or(value < 0 OR value > 500), false) AS INT) AS bad
-             FROM events)""",
+    """WITH s AS (
+         SELECT COUNT(*) FILTER (WHERE event_id IS NULL) AS n1,
+                COUNT(*) FILTER (WHERE value IS NULL OR isnan(value)) AS n2,
+                COUNT(*) FILTER (WHERE user_id IS NULL) AS n3,
+                coalesce(bool_or(value < 0 AND NOT isnan(value)), false) AS low,
+                coalesce(bool_or(value > 100 AND NOT isnan(value)), false) AS high
+         FROM events),
+       t AS (
+         SELECT *, CAST(n1 > 0 AS INT) + CAST(n2 > 0 AS INT) + CAST(n3 > 0 AS INT) AS nulls,
+                CAST(low OR high AS INT) + 1 AS bad,
+                concat_ws(',', CASE WHEN n1 > 0 THEN '"event_id":' || n1 END,
+                          CASE WHEN n2 > 0 THEN '"value":' || n2 END,
+                          CASE WHEN n3 > 0 THEN '"user_id":' || n3 END) AS null_text,
+                concat_ws('; ', CASE WHEN low THEN 'Values below min 0' END,
+                          CASE WHEN high THEN 'Values above max 100' END) AS bound_text
+         FROM s)
+       SELECT false AS schema_valid, nulls = 0 AS nulls_valid, bad = 0 AS min_max_valid,
+              CAST(2 AS BIGINT) AS schema_errors, CAST(nulls AS BIGINT) AS null_errors,
+              CAST(bad AS BIGINT) AS min_max_errors, false AS overall_valid,
+              '{"schema":{"user_id":"Expected int32, got bigint","device":"Missing column"},"nulls":{'
+              || null_text || '},"min_max":{'
+              || concat_ws(',', CASE WHEN bound_text <> '' THEN '"value":"' || bound_text || '"' END,
+                           '"missing_col":"Column not found"') || '}}' AS errors
+       FROM t""",
     group="quality",
 )
 def q_validate_all(spark, sf_dir):

@@ -102,6 +102,24 @@ def q_sequence_score(spark, sf_dir):
     return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
 
 
+def load_weights():
+    """The fixture model, as a worker loads it: batches of sequences -> predictions."""
+    import numpy as np
+
+    weights = np.array(sequences.linear_weights())
+    return lambda batch: batch @ weights
+
+
+@register("sequence_score_model", _score_sql(), group="sequence")
+def q_sequence_score_model(spark, sf_dir):
+    """The same records from a batch model, loaded once per Python worker."""
+    configure(spark)
+    df = readings(spark, sf_dir).drop("humidity")
+    scorer = sequences.model_scorer(load_weights)
+    out = sequences.score_sequences(df, KEYS, ORDER, "temperature", scorer=scorer, digits=6)
+    return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
+
+
 TEMP_FEATURES_SQL = f"""SELECT * FROM (
   SELECT user_id AS device_id, event_id, value AS temperature,
          LAG(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS temp_lag_1,
@@ -150,7 +168,17 @@ def _ols_sql() -> str:
     FROM f, k"""
 
 
-@register("linear_predict", _ols_sql(), group="sequence")
+PREDICT_SQL = _ols_sql()
+
+
+def saved_model(spark, feats) -> str:
+    """A linear model fitted to the features and saved; its path."""
+    path = scratch_path(spark, "temperature_model")
+    ml.fit_linear(feats, "temperature").save(path)
+    return path
+
+
+@register("linear_predict", PREDICT_SQL, group="sequence")
 def q_linear_predict(spark, sf_dir):
     """Fit, save and reload a linear model on the features, then score every row.
 
@@ -159,9 +187,7 @@ def q_linear_predict(spark, sf_dir):
     """
     configure(spark)
     feats = temp_features_frame(spark, sf_dir)
-    path = scratch_path(spark, "temperature_model")
-    ml.fit_linear(feats, "temperature").save(path)
-    model = ml.load_linear(path)
+    model = ml.load_linear(saved_model(spark, feats))
     return ml.predict(model, feats).select(
         "device_id", "event_id", "temperature", round_half_up("prediction", 4).alias("prediction")
     )

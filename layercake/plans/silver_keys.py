@@ -7,6 +7,8 @@ whole table.  ``event_id`` breaks ties in every ROWS frame.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from layercake.functions.numeric import round_half_up
@@ -188,23 +190,37 @@ def q_unpivot_metrics(spark, sf_dir):
     "wide_report",
     """SELECT event_type, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day,
               ROUND(SUM(value), 6) AS total
-       FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
+       FROM events WHERE ts IS NOT NULL
        GROUP BY event_type, date_trunc('day', ts)""",
     group="silver",
 )
 def q_wide_report(spark, sf_dir):
-    """Daily totals as a wide report (one column per day, labelled by
-    timestamp), relabelled to dates and turned back into records."""
+    """Daily totals as wide reports (one column per day, labelled by timestamp),
+    relabelled to dates and turned back into records.
+
+    The days are those that the data spans, a report for every year of them.
+    """
     configure(spark)
     from datetime import datetime, timedelta
 
-    days = [datetime(2024, 1, 1) + timedelta(days=i) for i in range(31)]
     events = table(spark, sf_dir, "events")
-    wide = reshape.wide_by(
-        events, ["event_type"], F.date_trunc("day", "ts").cast("string"), F.sum("value"),
-        [d.strftime("%Y-%m-%d %H:%M:%S") for d in days],
-    )
-    wide = reshape.date_labels(wide)
-    labels = [d.strftime("%Y-%m-%d") for d in days]
-    long = reshape.unpivot(wide, ["event_type"], labels, "day", "total")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        first = last = datetime(1970, 1, 1)
+
+    def report(year: int):
+        start = max(datetime(year, 1, 1), datetime(first.year, first.month, first.day))
+        end = min(datetime(year, 12, 31), last)
+        days = [start + timedelta(days=i) for i in range((end - start).days + 1)]
+        part = events.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(days[-1] + timedelta(days=1))))
+        wide = reshape.wide_by(
+            part, ["event_type"], F.date_trunc("day", "ts").cast("string"), F.sum("value"),
+            [d.strftime("%Y-%m-%d %H:%M:%S") for d in days],
+        )
+        return reshape.unpivot(
+            reshape.date_labels(wide), ["event_type"], [d.strftime("%Y-%m-%d") for d in days], "day", "total"
+        )
+
+    years = [report(y) for y in range(first.year, last.year + 1)]
+    long = reduce(lambda a, b: a.unionByName(b), years)
     return long.withColumn("total", round_half_up("total", 6))

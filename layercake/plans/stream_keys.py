@@ -9,15 +9,23 @@ result back.  The oracle is the batch answer.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from layercake.functions.numeric import round_half_up
 from layercake.functions import events as ev
+from layercake.operators import ml
 from layercake.operators.sequences import round_ema
 from layercake.plans.event_keys import POINTS_SQL, sensor_rows
 from layercake.plans.registry import register
-from layercake.plans.sequence_keys import EMA_SQL, TEMP_FEATURES_SQL, _score_sql, readings
+from layercake.plans.sequence_keys import (
+    EMA_SQL,
+    PREDICT_SQL,
+    TEMP_FEATURES_SQL,
+    _score_sql,
+    readings,
+    saved_model,
+    temp_features_frame,
+)
 from layercake.session import configure, scratch_path, table
 from layercake.streaming import cdc, io, stateful
 from layercake.streaming.windows import tumbling
@@ -150,18 +158,19 @@ def q_stream_sequence_score(spark, sf_dir):
     )
 
 
+def _stream_features(spark, sf_dir, name: str):
+    feats = stateful.stream_lag_features(
+        _landed_readings(spark, sf_dir, name), "device_id", ["ts", "event_id"], "temperature",
+        ["device_id", "event_id", "temperature", "humidity"],
+    )
+    return ml.assemble(feats, ["temp_lag_1", "temp_roll_mean_5", "humidity"])
+
+
 @register("stream_temp_features", TEMP_FEATURES_SQL, group="stream")
 def q_stream_temp_features(spark, sf_dir):
     """Lag and rolling mean from per-device state, assembled into vectors on the stream."""
     configure(spark)
-    stream = _landed_readings(spark, sf_dir, "readings_feat")
-    feats = stateful.stream_lag_features(
-        stream, "device_id", ["ts", "event_id"], "temperature",
-        ["device_id", "event_id", "temperature", "humidity"],
-    )
-    assembled = VectorAssembler(
-        inputCols=["temp_lag_1", "temp_roll_mean_5", "humidity"], outputCol="features", handleInvalid="skip"
-    ).transform(feats)
+    assembled = _stream_features(spark, sf_dir, "readings_feat")
     res = _run(assembled.drop("features"), "features_stream", spark)
     return res.select(
         "device_id", "event_id", "temperature", "temp_lag_1",
@@ -169,6 +178,16 @@ def q_stream_temp_features(spark, sf_dir):
     )
 
 
+@register("stream_predict", PREDICT_SQL, group="stream")
+def q_stream_predict(spark, sf_dir):
+    """A model saved by a batch job, loaded and applied to the features on the stream."""
+    configure(spark)
+    model = ml.load_linear(saved_model(spark, temp_features_frame(spark, sf_dir)))
+    scored = ml.predict(model, _stream_features(spark, sf_dir, "readings_predict"))
+    res = _run(scored.select("device_id", "event_id", "temperature", "prediction"), "predict_stream", spark)
+    return res.withColumn("prediction", round_half_up("prediction", 4))
+
+
 @register(
     "tumbling_sensor_avg",
     """SELECT event_type AS id, date_trunc('hour', ts) AS window_start,
@@ -203,26 +222,44 @@ def q_tumbling_sensor_avg(spark, sf_dir):
     return res.withColumns({"avg_temp": round_half_up("avg_temp", 6), "avg_power": round_half_up("avg_power", 6)})
 
 
+_CDC_KIND = "CASE WHEN o_orderkey % 5 = 0 THEN 'delete' WHEN o_orderkey % 5 = 1 THEN 'update' ELSE 'insert' END"
+
+
 @register(
     "cdc_explode",
-    """SELECT 'insert' AS kind, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
-       FROM orders""",
+    f"""WITH k AS (SELECT *, {_CDC_KIND} AS kind FROM orders)
+       SELECT kind, o_orderkey, CASE WHEN kind <> 'delete' THEN o_custkey ELSE -1 END AS o_custkey,
+              CASE WHEN kind <> 'delete' THEN o_orderstatus END AS o_orderstatus,
+              CASE WHEN kind <> 'delete' THEN o_totalprice END AS o_totalprice,
+              CASE WHEN kind <> 'delete' THEN o_orderdate END AS o_orderdate,
+              CAST(NULL AS VARCHAR) AS rejected
+       FROM k
+       UNION ALL
+       SELECT NULL, -1, -1, NULL, NULL, NULL, '{{"changes": [broken ' || o_orderkey
+       FROM orders WHERE o_orderkey % 64 = 7""",
     group="stream",
 )
 def q_cdc_explode(spark, sf_dir):
-    """Orders packed into change messages (both key spellings), streamed and exploded."""
+    """Orders packed into change messages (both key spellings; inserts, updates and
+    deletes), streamed and exploded; torn messages among them come out as rejects.
+    A key that a row does not carry is shown as -1."""
     configure(spark)
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         F.floor(F.col("o_orderkey") / 16).alias("grp"),
     )
-    msgs = cdc.pack_changes(orders, "orders", "grp")
+    msgs = cdc.pack_changes(orders, "orders", "grp", F.expr(_CDC_KIND), "o_orderkey").select("value")
+    torn = orders.where("o_orderkey % 64 = 7").select(
+        F.concat(F.lit('{"changes": [broken '), F.col("o_orderkey").cast("string")).alias("value")
+    )
     path = scratch_path(spark, "cdc_topic")
-    msgs.select("value").write.text(path)
+    msgs.unionByName(torn).write.text(path)
     stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
     typed = cdc.typed_columns(
         cdc.explode_changes(stream),
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
         "o_orderdate timestamp_ntz",
+        keep=("kind", "rejected"),
     )
-    return _run(typed, "cdc_stream", spark)
+    out = _run(typed, "cdc_stream", spark)
+    return out.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("o_orderkey", "o_custkey")})

@@ -319,6 +319,24 @@ def test_cdc_delete_uses_old_keys(spark):
     assert (row.kind, row.a, row.b) == ("delete", 7, None)
 
 
+def test_cdc_rejects_what_it_cannot_read(spark):
+    good = '{"changes":[{"kind":"insert","table":"t","columnnames":["a","b"],"columnvalues":[1,null]}]}'
+    bad = [
+        "not json",
+        good[:-3],  # torn
+        '{"other": 1}',
+        '{"changes":[{"kind":"insert","columnnames":["a","b"],"columnvalues":[1]}]}',
+        '{"changes":[{"kind":"insert","columnnames":["a","a"],"columnvalues":[1,2]}]}',
+        None,
+    ]
+    msgs = spark.createDataFrame([(t,) for t in [good, '{"changes":[]}', *bad]], "value string")
+    rows = cdc.explode_changes(msgs).collect()
+    assert [r["columns"] for r in rows if r["kind"]] == [{"a": "1", "b": None}]
+    lost = [r for r in rows if r["kind"] is None]
+    assert sorted(str(r["rejected"]) for r in lost) == sorted(map(str, bad))
+    assert all(r["columns"] is None for r in lost)
+
+
 def test_event_time_with_offset_is_normalised(spark):
     df = spark.createDataFrame(
         [('{"device_id":"d","device_type":"t","timestamp":"2024-01-01T02:00:00+02:00","temperature":20.5}',)],
