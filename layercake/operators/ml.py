@@ -5,22 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features", handle_invalid: str = "skip") -> DataFrame:
-    """Dense feature vector; rows with a NULL/NaN input are skipped.
+def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features", handle_invalid: str = "keep") -> DataFrame:
+    """Dense feature vector; no row is lost.
 
-    The default ``error`` mode would fail on the first row of every device
-    (its lag is NULL), so ``skip`` is the working choice.
+    With ``keep`` a NULL input is a NaN in the vector (the first row of every
+    device has no lag), which :func:`fit_linear` leaves out and
+    :func:`predict` answers with NULL; ``skip`` drops such rows.
     """
     return VectorAssembler(inputCols=list(inputs), outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
+def _complete(features: str) -> Column:
+    return ~F.exists(vector_to_array(features), F.isnan)
+
+
 def fit_linear(df: DataFrame, label: str, features: str = "features") -> LinearRegressionModel:
-    """Least-squares fit (normal equations: one distributed pass)."""
-    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0).fit(df)
+    """Least-squares fit (normal equations: one distributed pass) over the rows without a missing value."""
+    whole = df.filter(_complete(features) & F.col(label).isNotNull() & ~F.isnan(label))
+    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0).fit(whole)
 
 
 def load_linear(path: str) -> LinearRegressionModel:
@@ -28,4 +36,7 @@ def load_linear(path: str) -> LinearRegressionModel:
 
 
 def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:
-    return model.transform(df)
+    """Adds the model's prediction: NULL where a feature is missing."""
+    out = model.getPredictionCol()
+    scored = model.transform(df)
+    return scored.withColumn(out, F.when(_complete(model.getFeaturesCol()), F.col(out)))

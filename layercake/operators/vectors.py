@@ -33,11 +33,14 @@ def hashed_embedding(df: DataFrame, text_col: str = "text", out: str = "embeddin
 
 
 def udf_embedding(embed: Callable[[pd.Series], list], dim: int = EMBEDDING_DIM):
-    """Wrap a batch embedder as a pandas UDF returning ``array<float>``."""
+    """Wrap a batch embedder as a pandas UDF returning ``array<float>`` of ``dim`` entries (others are an error)."""
 
     @F.pandas_udf(ArrayType(FloatType()))
     def _embed(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(embed(texts)))
+        vectors = list(embed(texts))
+        if len(vectors) != len(texts) or any(len(v) != dim for v in vectors):
+            raise ValueError(f"the embedder must give {dim} numbers for each text")
+        return pd.Series(vectors)
 
     return _embed
 

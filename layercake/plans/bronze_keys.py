@@ -181,18 +181,62 @@ def q_union_incremental(spark, sf_dir):
     return old.unionByName(new, allowMissingColumns=True).select(*EVENT_COLS)
 
 
+def _report(spark, report: dict):
+    """A schema report as rows (one per column)."""
+    rows = [(report["type"], c, t, report["rows_sampled"]) for c, t in report["columns"].items()]
+    return spark.createDataFrame(rows, "format string, column_name string, type string, rows_sampled bigint")
+
+
+def _report_sql(fmt: str, types: dict[str, str], rows: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{fmt}' AS format, '{c}' AS column_name, '{t}' AS type, CAST({rows} AS BIGINT) AS rows_sampled FROM events"
+        for c, t in types.items()
+    )
+
+
+@register(
+    "csv_schema_report",
+    _report_sql(
+        "csv", {"event_id": "int", "ts": "timestamp", "event_type": "string", "value": "double"}, "LEAST(COUNT(*), 10)"
+    ),
+    group="bronze",
+)
+def q_csv_schema_report(spark, sf_dir):
+    """Types of a landed CSV from its header and first ten rows (the sample is the feature)."""
+    configure(spark)
+    path = scratch_path(spark, "csv_report")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    events.write.option("header", True).csv(path)
+    return _report(spark, files.csv_schema_sample(spark, path))
+
+
+@register(
+    "json_schema_report",
+    _report_sql(
+        "json", {"event_id": "bigint", "ts": "string", "event_type": "string", "value": "double"}, "COUNT(*)"
+    ),
+    group="bronze",
+)
+def q_json_schema_report(spark, sf_dir):
+    """Types and row count of landed JSON lines."""
+    configure(spark)
+    path = scratch_path(spark, "json_report")
+    table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value").write.json(path)
+    return _report(spark, files.json_schema_profile(spark, path))
+
+
 @register(
     "object_manifest",
-    """SELECT lang, CAST(SUM(strlen(text) + 1) AS BIGINT) AS total_bytes
-       FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL GROUP BY lang""",
+    """SELECT lang, CAST(SUM(strlen(coalesce(text, '')) + 1) AS BIGINT) AS total_bytes
+       FROM documents GROUP BY lang""",
     group="bronze",
 )
 def q_object_manifest(spark, sf_dir):
     """Documents landed as text files per language, scanned as objects and stored."""
     configure(spark)
     src, dst = scratch_path(spark, "media"), scratch_path(spark, "objects")
-    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND lang IS NOT NULL")
-    docs.select("lang", "text").write.partitionBy("lang").text(src)
+    docs = table(spark, sf_dir, "documents").select("lang", F.coalesce("text", F.lit("")).alias("text"))
+    docs.write.partitionBy("lang").text(src)
     stored = tables.store_objects(files.read_objects(spark, src, "*.txt"), dst, root=src)
     return stored.groupBy("lang").agg(F.sum("length").cast("bigint").alias("total_bytes"))
 

@@ -120,12 +120,11 @@ def q_sequence_score_model(spark, sf_dir):
     return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
 
 
-TEMP_FEATURES_SQL = f"""SELECT * FROM (
-  SELECT user_id AS device_id, event_id, value AS temperature,
+TEMP_FEATURES_SQL = f"""SELECT user_id AS device_id, event_id, value AS temperature,
          LAG(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS temp_lag_1,
          ROUND(AVG(value) OVER {_w(5)}, 6) AS temp_roll_mean_5,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity
-  FROM events) WHERE temp_lag_1 IS NOT NULL AND humidity IS NOT NULL"""
+  FROM events"""
 
 
 def temp_features_frame(spark, sf_dir):
@@ -136,7 +135,7 @@ def temp_features_frame(spark, sf_dir):
 
 @register("temp_features", TEMP_FEATURES_SQL, group="sequence")
 def q_temp_features(spark, sf_dir):
-    """Lag and 5-row mean per device, assembled; rows with a missing feature skipped."""
+    """Lag and 5-row mean per device, assembled; a missing feature stays missing."""
     configure(spark)
     return temp_features_frame(spark, sf_dir).select(
         "device_id", "event_id", "temperature", "temp_lag_1", "temp_roll_mean_5", "humidity"
@@ -151,16 +150,16 @@ def _ols_sql() -> str:
     b2 = f"({a}*(d2*{i}-{f}*d3) - d1*({b}*{i}-{f}*{c}) + {c}*({b}*d3-d2*{c})) / {det}"
     b3 = f"({a}*({e}*d3-d2*{f}) - {b}*({b}*d3-d2*{c}) + d1*({b}*{f}-{e}*{c})) / {det}"
     return f"""WITH f AS (
-      SELECT * FROM (
         SELECT user_id AS device_id, event_id, value AS y,
                LAG(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS x1,
                AVG(value) OVER {_w(5)} AS x2,
                CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x3
-        FROM events) WHERE x1 IS NOT NULL AND x3 IS NOT NULL),
+        FROM events),
     s AS (SELECT covar_pop(x1, x1) AS c11, covar_pop(x1, x2) AS c12, covar_pop(x1, x3) AS c13,
                  covar_pop(x2, x2) AS c22, covar_pop(x2, x3) AS c23, covar_pop(x3, x3) AS c33,
                  covar_pop(x1, y) AS d1, covar_pop(x2, y) AS d2, covar_pop(x3, y) AS d3,
-                 avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my FROM f),
+                 avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my
+          FROM f WHERE x1 IS NOT NULL AND x3 IS NOT NULL),
     k AS (SELECT {b1} AS b1, {b2} AS b2, {b3} AS b3, m1, m2, m3, my FROM s)
     SELECT f.device_id, f.event_id, f.y AS temperature,
            ROUND(k.my - k.b1 * k.m1 - k.b2 * k.m2 - k.b3 * k.m3

@@ -92,6 +92,29 @@ def q_stream_scan(spark, sf_dir):
     return _run(stream, "events_stream", spark).select(*events.columns)
 
 
+TOPICS = [f"topic_{i}" for i in range(5)]
+
+
+@register(
+    "stream_topics",
+    "SELECT 'topic_' || (event_id % 5) AS topic, event_id, user_id, value FROM events",
+    group="stream",
+)
+def q_stream_topics(spark, sf_dir):
+    """Five topics read as one stream of messages that know their topic."""
+    configure(spark)
+    path = scratch_path(spark, "topics")
+    topic = F.concat(F.lit("topic_"), (F.col("event_id") % len(TOPICS)).cast("string"))
+    table(spark, sf_dir, "events").select(
+        topic.alias("topic"), F.to_json(F.struct("event_id", "user_id", "value")).alias("value")
+    ).write.partitionBy("topic").text(path)
+    for name in TOPICS:  # a topic without messages still exists
+        spark.createDataFrame([], "value string").write.mode("append").text(f"{path}/topic={name}")
+    stream = io.topic_files(spark, {t: f"{path}/topic={t}" for t in TOPICS}, max_files_per_trigger=FILES_PER_TRIGGER)
+    message = F.from_json("value", "event_id bigint, user_id bigint, value double")
+    return _run(stream.select("topic", message.alias("m")).select("topic", "m.*"), "topics_stream", spark)
+
+
 @register("stream_points", POINTS_SQL + " SELECT * FROM pts", group="stream")
 def q_stream_points(spark, sf_dir):
     """JSON messages (a topic stand-in) -> points -> idempotent batch writes."""
