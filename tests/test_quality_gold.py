@@ -149,3 +149,34 @@ def test_verdict(spark):
 def test_cast_decimal_half_away(spark):
     df = spark.createDataFrame([("2.5",), ("-2.5",), ("2.4",)], "v string").selectExpr("CAST(v AS DECIMAL(4,1)) AS v")
     assert [r[0] for r in clean.cast_columns(df, {"v": "int"}).collect()] == [3, -3, 2]
+
+
+def test_exact_avg_keeps_decimals_and_nan(spark):
+    from layercake.functions.numeric import exact_avg, fixed_text
+
+    rows = [("a", 10.0001), ("a", 10.0004), ("a", None), ("b", 1.0), ("b", float("nan")), ("c", None), ("d", -0.25)]
+    df = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(exact_avg("v").alias("m"))
+    got = {r["k"]: r["t"] for r in df.select("k", fixed_text("m").alias("t")).collect()}
+    assert got == {"a": "10.000250", "b": "NaN", "c": None, "d": "-0.250000"}
+
+
+def test_missing_features_give_null_predictions(spark):
+    from layercake.operators import ml
+
+    rows = [(1.0, 3.0), (2.0, 5.0), (3.0, 7.0), (None, 9.0)]
+    feats = ml.assemble(spark.createDataFrame(rows, "x double, y double"), ["x"])
+    got = {r["x"]: r["prediction"] for r in ml.predict(ml.fit_linear(feats, "y"), feats).collect()}
+    assert got[None] is None and abs(got[2.0] - 5.0) < 1e-9 and len(got) == 4
+
+
+def test_validate_all_returns_every_message(spark):
+    import json
+
+    df = spark.createDataFrame([(1, None), (None, float("nan"))], "a int, b double")
+    row = quality.validate_all(df, {"a": "bigint", "z": "int"}, ["a", "b"], {"a": (2, 3), "y": (0, 1)}).first()
+    assert json.loads(row["errors"]) == {
+        "schema": {"a": "Expected bigint, got int", "z": "Missing column"},
+        "nulls": {"a": 1, "b": 2},
+        "min_max": {"a": "Values below min 2", "y": "Column not found"},
+    }
+    assert (row["schema_errors"], row["null_errors"], row["min_max_errors"]) == (2, 2, 2)
