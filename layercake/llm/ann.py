@@ -10,8 +10,14 @@
    ``radius // 8``: probing all cells that near, in all eight indexes, meets
    every code within the radius.  Those are ranked by their inner products
    on the original vectors, in double precision.
-4. Queries whose radius holds fewer neighbours than asked for are searched
-   again at the full radius, which is exact.
+4. What the radius misses is measured on this table: the true neighbours of
+   a bounded sample of its queries, found exactly, are looked up among their
+   codes.  If fewer than ``recall`` of them lie within the radius, or a
+   sampled query loses half of its own, codes tell too little here (norms far
+   apart, many dimensions), and all queries are searched at the full radius,
+   which is exact.  So are single queries whose radius holds fewer neighbours
+   than asked for.  One index serves the full radius: it meets each row once,
+   where the eight at radius 31 meet about three times all rows.
 
 Cells are dealt to tasks in groups, and a group with many rows is split, so
 that a task holds about ``TASK_ROWS`` rows however many vectors share a code.
@@ -34,6 +40,8 @@ BITS, PARTS = 64, 8
 CELLS = 1 << (BITS // PARTS)
 SAMPLE_ROWS = 10_000  # vectors that train the rotation, at most
 RADIUS = 31
+RECALL = 0.98  # share of the sampled queries' true neighbours that the radius must hold
+SAMPLE_QUERIES = 256  # queries that measure it, at most
 TASK_ROWS = 65_536  # a query returns at most k rows from each task that it probes
 CLOSE = 1e-9  # products this near are told apart by an exact second look
 
@@ -72,6 +80,11 @@ def _encoder(dim: int, norm: float, centre: np.ndarray, projection: np.ndarray,
     return run
 
 
+def _parts(radius: int) -> int:
+    """Indexes that a search needs: at the full radius each holds all rows within reach."""
+    return PARTS if radius < BITS else 1
+
+
 def _probes(radius: int, groups: int):
     """(vec_id, vec, code) of queries, once for each group of cells within the substrings' radius."""
     near = radius // PARTS
@@ -83,7 +96,7 @@ def _probes(radius: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             code = batch.column(2).to_numpy().view(np.uint64)
-            for j in range(PARTS):
+            for j in range(_parts(radius)):
                 row, group = np.nonzero(reach[((code >> np.uint64(8 * j)) & np.uint64(CELLS - 1)).astype(np.int64)])
                 table = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -161,7 +174,7 @@ def _neighbours(rows: DataFrame, queries: DataFrame, dim: int, count: int, radiu
     """(query_id, vec_id, score): the k best of each query within the radius, and pairs found twice once."""
     groups = int(min(CELLS, max(1, count // TASK_ROWS)))
     index = rows.select(
-        "vec_id", "vec", "code", F.explode(F.array(*[F.lit(j) for j in range(PARTS)])).alias("part")
+        "vec_id", "vec", "code", F.explode(F.array(*[F.lit(j) for j in range(_parts(radius))])).alias("part")
     ).withColumn("cells", F.expr(f"CAST(shiftrightunsigned(code, 8 * part) & {CELLS - 1} AS INT) % {groups}"))
     # At most PARTS * CELLS rows.
     sizes = F.broadcast(
@@ -186,13 +199,65 @@ def _neighbours(rows: DataFrame, queries: DataFrame, dim: int, count: int, radiu
     return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
 
 
+def _exact(dim: int, ids: np.ndarray, x: np.ndarray, code: np.ndarray, k: int):
+    """(vec_id, vec, code) to the k best rows of a task for each sampled query, with the distance of their codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))
+        low = np.full(len(x), -np.inf)
+        for batch in batches:
+            own, there = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            product = x @ matrix(batch.column(1), dim).T
+            q, e = np.nonzero((ids[:, None] != own[None, :]) & (product >= low[:, None] - CLOSE))
+            apart = np.bitwise_count(code[q] ^ there[e]).astype(np.int32)
+            held = tuple(np.concatenate(z) for z in zip(held, (q, own[e], product[q, e], apart)))
+            order = np.lexsort((held[1], -held[2], held[0]))
+            held = tuple(z[order] for z in held)
+            new = np.append(True, (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))[: len(order)]
+            held = tuple(z[new] for z in held)  # a row that is there twice counts once
+            first = np.flatnonzero(np.append(True, held[0][1:] != held[0][:-1])[: len(held[0])])
+            rank = np.arange(len(held[0])) - np.repeat(first, np.diff(np.append(first, len(held[0]))))
+            held = tuple(z[rank < k] for z in held)
+            last = rank[rank < k] == k - 1
+            low[held[0][last]] = held[2][last]
+        yield pa.RecordBatch.from_arrays([pa.array(z) for z in held], names=["ask", "vec_id", "score", "apart"])
+
+    return run
+
+
+def _reaches(coded: DataFrame, asked: DataFrame, dim: int, radius: int, k: int, recall: float) -> bool:
+    """Whether the radius holds enough of the true neighbours of a sample of the queries."""
+    # At most SAMPLE_QUERIES rows, and k neighbours of each.
+    sample = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).toArrow()
+    if not sample.num_rows:
+        return True
+    run = _exact(dim, sample["vec_id"].to_numpy(), matrix(sample["vec"], dim), sample["code"].to_numpy().view(np.uint64), k)
+    best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
+    shares = (
+        coded.mapInArrow(run, "ask long, vec_id long, score double, apart int")
+        .groupBy("ask", "vec_id").agg(F.max("score").alias("score"), F.min("apart").alias("apart"))
+        .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        .groupBy("ask").agg(F.avg((F.col("apart") <= radius).cast("double")).alias("share"))
+        .agg(F.avg("share").alias("mean"), F.min("share").alias("low")).first()
+    )
+    return shares["mean"] is None or (shares["mean"] >= recall and shares["low"] > 0.5)
+
+
 def nearest(
-    frame: DataFrame, queries: DataFrame, k: int = 20, radius: int = RADIUS, id_col: str = "vec_id", vector_col: str = "embedding"
+    frame: DataFrame,
+    queries: DataFrame,
+    k: int = 20,
+    radius: int = RADIUS,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of ``frame`` with the largest inner product for each query.
 
     Approximate: a neighbour beyond Hamming distance ``radius`` of the query's
-    code is missed (radius 64 finds all).  Both frames have the same columns;
+    code is missed (radius 64 finds all), unless a sample of the queries shows
+    that the radius holds less than ``recall`` of the neighbours; then the
+    search is exact.  Both frames have the same columns;
     a query never finds a row with its own id.  Vectors that are NULL, zero,
     hold NULL or non-finite components, or have another dimension than most,
     take no part, nor do rows with a NULL id; repeated rows count once.  Ties
@@ -216,6 +281,8 @@ def nearest(
     asks, _ = usable(queries, id_col, vector_col)
     asks = asks.where(F.size("vec") == dim).select("vec_id", as_float)
     asked = asks.mapInArrow(_encoder(dim, stats["norm"], *learnt, query=True), code_schema)
+    if radius < BITS and not _reaches(coded, asked, dim, radius, k, recall):
+        radius = BITS
     found = staged(_neighbours(coded, asked, dim, stats["n"], radius, k), "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k)
     short = staged(asked.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "ann-short")

@@ -148,6 +148,26 @@ def test_nearest_neighbours_reach_recall(spark):
     assert len(hits) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["mixed norms", "one outlier", "384 dimensions"])
+def test_nearest_neighbours_reach_recall_on_other_tables(spark, kind):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 384 if kind == "384 dimensions" else 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "mixed norms":
+        x *= rng.lognormal(sigma=1.0, size=len(x))[:, None]
+    if kind == "one outlier":
+        x[1] *= 10
+    x = x.astype(np.float32).astype(np.float64)
+    rows = _vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = ann.nearest(rows, rows.where("vec_id % 20 = 0")).toPandas()
+    hits = []
+    for q, g in got.groupby("query_id"):
+        score = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:20]
+        hits.append(len(set(order) & set(g["vec_id"])) / 20)
+    assert len(hits) == 150 and np.mean(hits) >= 0.98 and min(hits) >= 0.5
+
+
 def test_nearest_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(100, None, 0), (101, [0.0] * 3, 0), (102, [1.0, nan, 0.0], 0), (103, [1.0, None, 0.0], 0), (104, [inf, 0.0, 0.0], 0), (105, [1.0], 0), (None, [1.0, 0.0, 0.0], 0)]
