@@ -13,8 +13,11 @@ bytes, which keeps a short expression visible in a text of any length.  A logist
 training documents kept out of the counts, gives the score.
 
 Counts are gathered and smoothed in Spark over every training document; they
-grow with it.  What is broadcast is their ratio by hashed slot, a fixed size
-(2**22 and twice 2**20 numbers).
+grow with it.  Every n-gram keeps its own ratio, and an unseen one backs off.
+Up to ``TABLE_KINDS`` n-grams the ratios are broadcast, in hash tables sized
+for them whose slots name their n-gram.  With more they stay a stored table:
+documents are dealt into blocks, the distinct n-grams of a block are joined
+with it, and a block is scored with the ratios that it needs.
 """
 
 from __future__ import annotations
@@ -33,7 +36,10 @@ from layercake.llm.textscan import ALNUM, SEGMENT, U64, joined, mix
 ORDER = 6  # bytes of an n-gram
 WINDOW = 12  # n-grams of a window
 DISCOUNT = 0.75
-SLOT_BITS = {"gram": 22, "context": 20, "low": 20}
+TABLES = ("gram", "context", "low")
+TABLE_KINDS = 1 << 21  # n-grams that are broadcast, at most
+BLOCK_BYTES = 4 << 20  # text of a block that is scored by a join
+EMPTY = U64(0xFFFFFFFFFFFFFFFF)  # no n-gram: those are 48 bits at most
 TUNING = 8  # one training document in so many fits the curve instead of the counts
 TUNING_ROWS = 20_000  # of them, at most so many
 
@@ -51,8 +57,22 @@ def grams(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def slot(codes: np.ndarray, table: str) -> np.ndarray:
-    return (mix(codes + U64(0x9E3779B97F4A7C15)) & U64((1 << SLOT_BITS[table]) - 1)).astype(np.int64)
+def slot(codes: np.ndarray, size: int) -> np.ndarray:
+    return (mix(codes + U64(0x9E3779B97F4A7C15)) & U64(size - 1)).astype(np.int64)
+
+
+def slotted(codes: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code, ratio) of each slot of a hash table at most two thirds full; a code lies in the first free slot from its own on."""
+    size = 1 << max(4, int(1.5 * len(codes)).bit_length())
+    keys, values = np.full(size, EMPTY), np.full(size, np.nan, dtype=np.float32)
+    left, at = np.arange(len(codes)), slot(codes, size)
+    while len(left):
+        free = keys[at] == EMPTY
+        keys[at[free]] = codes[left[free]]  # of several codes one stays
+        won = keys[at] == codes[left]
+        values[at[won]] = ratio[left[won]]
+        left, at = left[~won], (at[~won] + 1) & (size - 1)
+    return keys, values
 
 
 def _groups(starts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
@@ -92,7 +112,7 @@ def _discounted(count: Column, total: Column, kinds: Column, below: Column) -> C
 
 
 def ratios(counts: DataFrame) -> dict[str, DataFrame]:
-    """Log-ratios toxic to ordinary from (gram, ordinary, toxic), each as (code, weight, ratio).
+    """Log-ratios toxic to ordinary from (gram, ordinary, toxic), each as (code, ratio).
 
     ``gram``: of each n-gram that occurs; ``context``: what an unseen byte
     after five seen ones adds to ``low``, the ratio of the last four bytes.
@@ -123,7 +143,6 @@ def ratios(counts: DataFrame) -> dict[str, DataFrame]:
     low = staged(
         low.join(tail, "tail").select(
             "low",
-            "pooled",
             *[_discounted(F.col(c), F.col(f"n_{c}"), F.col(f"k_{c}"), shared).alias(f"p_{c}") for c in classes],
         ),
         "kn-low",
@@ -132,48 +151,22 @@ def ratios(counts: DataFrame) -> dict[str, DataFrame]:
         counts.join(context, "context").join(low, "low")
         .select(
             "gram",
-            (F.col("ordinary") + F.col("toxic")).alias("weight"),
             *[_discounted(F.col(c), F.col(f"n_{c}"), F.col(f"k_{c}"), F.col(f"p_{c}")).alias(f"q_{c}") for c in classes],
         )
     )
     left = {c: F.when(F.col(f"n_{c}") > 0, DISCOUNT * F.col(f"k_{c}") / F.col(f"n_{c}")).otherwise(1.0) for c in classes}
     return {
-        "gram": gram.select(F.col("gram").alias("code"), "weight", F.log(F.col("q_toxic") / F.col("q_ordinary")).alias("ratio")),
+        "gram": gram.select(F.col("gram").alias("code"), F.log(F.col("q_toxic") / F.col("q_ordinary")).alias("ratio")),
         "context": context.select(
             F.col("context").alias("code"),
-            F.expr("n_ordinary + n_toxic").alias("weight"),
             F.log(left["toxic"] / left["ordinary"]).alias("ratio"),
         ),
         "low": low.select(
-            F.col("low").alias("code"), F.col("pooled").alias("weight"), F.log(F.col("p_toxic") / F.col("p_ordinary")).alias("ratio")
+            F.col("low").alias("code"), F.log(F.col("p_toxic") / F.col("p_ordinary")).alias("ratio")
         ),
     }
 
 
-def _slotted(table: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            weight, ratio = batch.column(1).to_numpy().astype(np.float64), batch.column(2).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot(batch.column(0).to_numpy().view(U64), table)), pa.array(weight), pa.array(weight * ratio)],
-                names=["slot", "weight", "sum"],
-            )
-
-    return run
-
-
-def _filled(frame: DataFrame, table: str) -> np.ndarray:
-    """The ratios by slot, weighted where codes share one; NaN marks an empty slot.  At most one row a slot is collected."""
-    rows = (
-        frame.mapInArrow(_slotted(table), "slot long, weight double, sum double")
-        .groupBy("slot").agg((F.sum("sum") / F.sum("weight")).cast("float").alias("ratio"))
-        .toArrow()
-    )
-    out = np.full(1 << SLOT_BITS[table], np.nan, dtype=np.float32)
-    out[rows["slot"].to_numpy()] = rows["ratio"].to_numpy()
-    return out
-
-
 @dataclass
 class Model:
     gram: np.ndarray
@@ -181,14 +174,31 @@ class Model:
     low: np.ndarray
     curve: np.ndarray  # intercept, weights of the window's and the document's mean log-ratio
     base: float  # share of toxic training documents
+    keys: dict[str, np.ndarray] | None = None  # the code of each slot; without them a slot serves whatever falls in it
+    stored: DataFrame | None = None  # (key, ratio) instead of slots, if there are too many to broadcast
+
+    def _find(self, table: str, codes: np.ndarray) -> np.ndarray:
+        """Ratios of codes, NaN for a code that the table does not hold."""
+        values = getattr(self, table)
+        at = slot(codes, len(values))
+        if self.keys is None:
+            return values[at].astype(np.float64)
+        keys, out, left = self.keys[table], np.full(len(codes), np.nan), np.arange(len(codes))
+        while len(left):
+            there = keys[at]
+            hit = there == codes[left]
+            out[left[hit]] = values[at[hit]]
+            on = ~hit & (there != EMPTY)
+            left, at = left[on], (at[on] + 1) & (len(keys) - 1)
+        return out
 
     def _ratios(self, data: np.ndarray) -> np.ndarray:
         codes = grams(data)
-        out = self.gram[slot(codes, "gram")].astype(np.float64)
+        out = self._find("gram", codes)
         new = np.flatnonzero(np.isnan(out))
         codes = codes[new]
-        out[new] = np.nan_to_num(self.context[slot(codes >> U64(8), "context")]) + np.nan_to_num(
-            self.low[slot(codes & U64(0xFFFFFFFF), "low")]
+        out[new] = np.nan_to_num(self._find("context", codes >> U64(8))) + np.nan_to_num(
+            self._find("low", codes & U64(0xFFFFFFFF))
         )
         return out
 
@@ -223,6 +233,64 @@ class Model:
         return np.where(n > 0, 1 / (1 + np.exp(-np.clip(z, -500, 500))), self.base)
 
 
+def _model(tables: dict[str, tuple[np.ndarray, np.ndarray]], curve: np.ndarray, base: float) -> Model:
+    """A model from (codes, ratios) of each table."""
+    slots = {name: slotted(*tables[name]) for name in TABLES}
+    return Model(**{name: values for name, (_, values) in slots.items()}, curve=curve, base=base, keys={name: keys for name, (keys, _) in slots.items()})
+
+
+def _key(code: Column | np.ndarray, table: str):
+    """A code with its table's number in the top byte."""
+    number = TABLES.index(table) << 56
+    return code + (U64(number) if isinstance(code, np.ndarray) else F.lit(number))
+
+
+def _kinds(block: pa.Table) -> pa.Table:
+    """(block, text) of one block to (block, key): all that its n-grams may look up, once."""
+    data, starts = joined(block.column(1).combine_chunks())
+    found = {name: [np.zeros(0, U64)] for name in TABLES}
+    for at in range(0, int(starts[-1]), SEGMENT):
+        codes = np.unique(grams(data[at : min(at + SEGMENT + ORDER - 1, int(starts[-1]))]))
+        for name, part in zip(TABLES, (codes, codes >> U64(8), codes & U64(0xFFFFFFFF))):
+            found[name].append(np.unique(part))
+    keys = np.concatenate([_key(np.unique(np.concatenate(found[name])), name) for name in TABLES])
+    return pa.table({"block": pa.array(np.full(len(keys), block.column(0)[0].as_py(), np.int64)), "key": pa.array(keys.view(np.int64))})
+
+
+def _applied(docs: DataFrame, model: Model, text_col: str, call, added: list[tuple[str, str]]) -> DataFrame:
+    """``docs`` and the columns ``added`` (name, type) that ``call(model, texts)`` returns."""
+    names, schema = [name for name, _ in added], docs.schema
+    for name, kind in added:
+        schema = with_column(schema, name, kind)
+    columns, at = docs.columns, docs.columns.index(text_col)
+    if model.stored is None:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                new = call(shared.value, batch.column(at))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, new)], names=[*columns, *names])
+
+        return docs.mapInArrow(run, schema)
+    curve, base = model.curve, model.base
+    size = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()[0] or 0
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(size // BLOCK_BYTES + 1))
+    # Written, so that a row is in the same block both times.
+    placed = staged(docs.select(block.alias("_block"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]), "kn-blocks")
+    looked = placed.select(F.col("_block").alias("block"), f"_c{at}").groupBy("block").applyInArrow(_kinds, "block long, key long")
+    ratios_of = looked.join(model.stored.hint("merge"), "key").select("block", "key", "ratio")
+
+    def score_block(rows: pa.Table, known: pa.Table) -> pa.Table:
+        key, ratio = known["key"].to_numpy().view(U64), known["ratio"].to_numpy()
+        number = key >> U64(56)
+        own = {name: number == U64(i) for i, name in enumerate(TABLES)}
+        some = _model({name: (key[m] & U64((1 << 56) - 1), ratio[m]) for name, m in own.items()}, curve, base)
+        new = call(some, rows.column(at + 1).combine_chunks())
+        return pa.table([*rows.columns[1:], *map(pa.array, new)], names=[*columns, *names])
+
+    return placed.groupBy("_block").cogroup(ratios_of.groupBy("block")).applyInArrow(score_block, schema)
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic regression with a slight ridge, by Newton's method."""
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
@@ -262,18 +330,17 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
         .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
         "kn-counts",
     )
-    tables = {name: _filled(frame, name) for name, frame in ratios(counts).items()}
-    model = Model(**tables, curve=np.zeros(3), base=0.5)
-    shared = spark.sparkContext.broadcast(model)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            peak, mean, n = shared.value.measures(batch.column(0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(peak), pa.array(mean), pa.array(n), batch.column(1).cast(pa.int32())], names=["peak", "mean", "n", "label"]
-            )
-
-    points = rows.where(tuning).select("text", "toxic").mapInArrow(measure, "peak double, mean double, n long, label int")
+    tables = ratios(counts)
+    if counts.count() <= TABLE_KINDS:
+        # At most TABLE_KINDS rows each.
+        kept = {name: frame.select("code", F.col("ratio").cast("float").alias("ratio")).toArrow() for name, frame in tables.items()}
+        model = _model({name: (t["code"].to_numpy().view(U64), t["ratio"].to_numpy()) for name, t in kept.items()}, np.zeros(3), 0.5)
+    else:
+        keyed = [frame.select(_key(F.col("code"), name).alias("key"), F.col("ratio").cast("float").alias("ratio")) for name, frame in tables.items()]
+        none = np.full(1, np.nan, np.float32)
+        model = Model(none, none, none, np.zeros(3), 0.5, stored=staged(keyed[0].unionByName(keyed[1]).unionByName(keyed[2]), "kn-ratios"))
+    tuned = rows.where(tuning).select("text", F.col("toxic").cast("int").alias("label"))
+    points = _applied(tuned, model, "text", Model.measures, [("peak", "double"), ("mean", "double"), ("n", "long")]).drop("text")
     points = points.where("n > 0").orderBy(F.xxhash64("peak", "mean"), "label").limit(TUNING_ROWS).toArrow()
     y = points["label"].to_numpy()
     if len(y):
@@ -291,14 +358,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     A text of fewer than five bytes (NULL and empty too) scores the share of
     toxic training documents.  A column of the same name is replaced.
     """
-    docs = docs.drop(score_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(shared.value.scores(batch.column(at)))], names=[*batch.schema.names, score_col]
-            )
-
-    return docs.mapInArrow(run, with_column(docs.schema, score_col, "double"))
+    return _applied(docs.drop(score_col), model, text_col, lambda m, texts: [m.scores(texts)], [(score_col, "double")])

@@ -251,6 +251,45 @@ def test_classifiers_on_odd_tables(spark, module, column):
         assert module.score(docs.limit(0), model).count() == 0
 
 
+def _random_toxicity(spark):
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = ["".join(rng.choice(letters, size=4000)) for _ in range(60)]
+    docs = _docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    return docs, labels, texts
+
+
+def test_every_ngram_keeps_its_ratio_and_unseen_ones_back_off(spark, monkeypatch):
+    docs, labels, texts = _random_toxicity(spark)
+    tables = {}
+    ratios = toxicity.ratios
+    monkeypatch.setattr(toxicity, "ratios", lambda counts: tables.update(ratios(counts)) or tables)
+    model = toxicity.train(docs, labels)
+    exact = {name: {r["code"]: r["ratio"] for r in frame.collect()} for name, frame in tables.items()}
+    new = "".join(np.random.default_rng(10).choice(list("abcdefghijklmnopqrstuvwxyz"), size=20_000))
+    for text in (new, texts[0], texts[1]):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        want = [
+            exact["gram"][g] if g in exact["gram"] else exact["context"].get(g >> 8, 0.0) + exact["low"].get(g & 0xFFFFFFFF, 0.0)
+            for g in toxicity.grams(data).tolist()
+        ]
+        assert np.allclose(model._ratios(data), want, atol=1e-5)
+
+
+def test_toxicity_scores_alike_by_broadcast_and_by_join(spark, monkeypatch):
+    docs, labels, _ = _random_toxicity(spark)
+    odd = _docs(spark, ["", "x", "a", "word " * 300_000], ids=[None, 7, 7, 900]).unionByName(docs).withColumn("block", F.lit("clash"))
+    want = sorted(tuple(r) for r in toxicity.score(odd.na.fill({"doc_id": -1}), toxicity.train(docs, labels)).collect())
+    monkeypatch.setattr(toxicity, "TABLE_KINDS", 0)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 1 << 16)
+    model = toxicity.train(docs, labels)
+    got = sorted(tuple(r) for r in toxicity.score(odd.na.fill({"doc_id": -1}), model).collect())
+    assert model.stored is not None and [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[-1] for r in got], [r[-1] for r in want], atol=1e-6)
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
 def test_long_texts_measure_alike_in_pieces():
     import pyarrow as pa
 
