@@ -17,8 +17,8 @@ from layercake.llm.common import prepare, staged
 from layercake.llm.line_dedup import lower_ascii
 
 DAMPING = 0.85
-ROUNDS = 30
-TOLERANCE = 1e-6
+TOLERANCE = 1e-6  # share of its own rank that a host may still move by in the last round
+LEAST = 1e-300  # smaller moves are rounding
 #: Hosts of absolute and scheme-relative links.
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -57,7 +57,9 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(host, trust, distrust) from (src, dst, weight) and (kind, host, seed).
 
     Kind ``trust`` starts at its seeds and follows links; ``distrust`` follows
-    them backwards.  Each kind's seeds share a mass of one.
+    them backwards.  Each kind's seeds share a mass of one.  Rounds end when
+    none reached a new host or moved a rank by more than TOLERANCE of itself,
+    whatever the number of hosts that share the mass.
     """
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -71,11 +73,12 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         seeds.join(F.broadcast(mass), "kind").where("seed > 0").select("kind", "host", (F.col("seed") / F.col("mass")).alias("seed")), "seeds"
     )
     rank = start.select("kind", "host", F.col("seed").alias("rank"))
-    for _ in range(ROUNDS):
+    unknown = F.lit(None).cast("double").alias("old")
+    while True:
         moved = flows.join(rank, (flows["kind"] == rank["kind"]) & (flows["src"] == rank["host"])).select(
-            flows["kind"], F.col("dst").alias("host"), (DAMPING * F.col("share") * F.col("rank")).alias("gain"), F.lit(0.0).alias("old")
+            flows["kind"], F.col("dst").alias("host"), (DAMPING * F.col("share") * F.col("rank")).alias("gain"), unknown
         )
-        base = start.select("kind", "host", ((1 - DAMPING) * F.col("seed")).alias("gain"), F.lit(0.0).alias("old"))
+        base = start.select("kind", "host", ((1 - DAMPING) * F.col("seed")).alias("gain"), unknown)
         was = rank.select("kind", "host", F.lit(0.0).alias("gain"), F.col("rank").alias("old"))
         new = staged(
             moved.unionByName(base).unionByName(was)
@@ -83,7 +86,8 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
             "ranks",
         )
         rank = new.select("kind", "host", "rank")
-        if new.where(F.abs(F.col("rank") - F.col("old")) > TOLERANCE).isEmpty():
+        moves = F.col("old").isNull() | (F.abs(F.col("rank") - F.col("old")) > TOLERANCE * F.col("rank") + LEAST)
+        if new.where(moves).isEmpty():
             break
     return rank.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),

@@ -219,6 +219,22 @@ def test_url_rules_and_propagation(spark):
     assert url_filter.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_copies_of_a_link_graph_get_the_same_verdicts(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TOLERANCE", 1e-3)
+
+    def verdicts(copies):
+        links = [
+            (f"{host}{i}.com", f"{to}{i}.{'net' if to == 'bad' else 'com'}")
+            for i in range(copies) for host, to in (("a", "bad"), ("b", "a"), ("c", "b"), ("d", "c"))
+        ]
+        rows = [(f"http://{host}/", f'<a href="http://{to}/">') for host, to in links] + [(f"http://bad{i}.net/", "") for i in range(copies)]
+        pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+        return {(r["host"][0], r["verdict"]) for r in url_filter.judge(pages, queries.URL_RULES).collect()}
+
+    one = verdicts(1)
+    assert {v for _, v in one} == {"block"} and verdicts(1500) == one
+
+
 # 5 and 9 classifiers
 
 
