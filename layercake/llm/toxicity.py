@@ -40,8 +40,8 @@ TABLES = ("gram", "context", "low")
 TABLE_KINDS = 1 << 21  # n-grams that are broadcast, at most
 BLOCK_BYTES = 4 << 20  # text of a block that is scored by a join
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)  # no n-gram: those are 48 bits at most
-TUNING = 8  # one training document in so many fits the curve instead of the counts
-TUNING_ROWS = 20_000  # of them, at most so many
+TUNING = 8  # one training document of a class in so many fits the curve instead of the counts
+TUNING_ROWS = 20_000  # of each class, at most so many
 
 _NORMAL = np.where(ALNUM, np.arange(256), 0x20).astype(U64)
 _NORMAL[65:91] = np.arange(97, 123)
@@ -311,8 +311,12 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
     """Count both classes on the labelled rows outside fold ``held`` and fit the curve.
 
     Only labels 0 and 1 with a doc_id count; of several labels of a document
-    the larger holds.  Without labels of both classes every score is the
-    share of toxic rows (a half without any).
+    the larger holds.  Each class gives one document in TUNING, and at least
+    one of two, to the curve; its intercept is then set for the true shares.
+    With a single document of a class, which the counts need, the curve is
+    the plain log-ratio of the worst window on top of the shares.  Without
+    labels of both classes every score is the share of toxic rows (a half
+    without any).
     """
     spark = prepare(docs.sparkSession)
     marks = (
@@ -323,9 +327,19 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(
         marks.hint("merge"), F.col("_id") == F.col("_doc")
     )
-    tuning = F.pmod(F.xxhash64("_id"), F.lit(TUNING)) == 0
+    # Of documents that are there and long enough to measure, so that each class has its share.
+    there = docs.where(F.octet_length(text_col) >= ORDER - 1).select(F.col(id_col).cast("long").alias("_there")).distinct()
+    known = staged(marks.join(there.hint("merge"), F.col("_doc") == F.col("_there"), "left_semi"), "kn-known")
+    shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    n = [shares.get(label, 0) for label in (0, 1)]
+    held_back = [0 if k < 2 else min(-(-k // TUNING), TUNING_ROWS) for k in n]
+    order = F.xxhash64("_doc", F.lit("toxicity"))
+    picked = [known.where(F.col("toxic") == label).orderBy(order, "_doc").limit(held_back[label]) for label in (0, 1)]
+    # At most 2 * TUNING_ROWS ids: broadcast.
+    picked = F.broadcast(staged(picked[0].unionByName(picked[1]).select(F.col("_doc").alias("_picked")), "kn-picked"))
+    is_picked = F.col("_id") == F.col("_picked")
     counts = staged(
-        rows.where(~tuning).select("text", "toxic")
+        rows.join(picked, is_picked, "left_anti").select("text", "toxic")
         .mapInArrow(_count, "gram long, ordinary long, toxic long")
         .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
         "kn-counts",
@@ -339,16 +353,20 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
         keyed = [frame.select(_key(F.col("code"), name).alias("key"), F.col("ratio").cast("float").alias("ratio")) for name, frame in tables.items()]
         none = np.full(1, np.nan, np.float32)
         model = Model(none, none, none, np.zeros(3), 0.5, stored=staged(keyed[0].unionByName(keyed[1]).unionByName(keyed[2]), "kn-ratios"))
-    tuned = rows.where(tuning).select("text", F.col("toxic").cast("int").alias("label"))
-    points = _applied(tuned, model, "text", Model.measures, [("peak", "double"), ("mean", "double"), ("n", "long")]).drop("text")
-    points = points.where("n > 0").orderBy(F.xxhash64("peak", "mean"), "label").limit(TUNING_ROWS).toArrow()
+    tuned = rows.join(picked, is_picked, "left_semi").select("_id", "text", F.col("toxic").cast("int").alias("label"))
+    points = _applied(tuned, model, "text", Model.measures, [("peak", "double"), ("mean", "double"), ("n", "long")])
+    # One row a document, of rows that share an id one that can be measured.
+    points = (
+        points.where("n > 0").groupBy("_id").agg(F.min(F.struct("peak", "mean", "label")).alias("p")).select("_id", "p.*").toArrow()
+    ).sort_by("_id")
     y = points["label"].to_numpy()
-    if len(y):
-        model.base = float((y.sum() + 1) / (len(y) + 2))
+    model.base = (n[1] + 1) / (n[0] + n[1] + 2)
+    prior = float(np.log(model.base / (1 - model.base)))
     if 0 < y.sum() < len(y):
         model.curve = fit_curve(np.column_stack([points["peak"].to_numpy(), points["mean"].to_numpy()]), y.astype(float))
+        model.curve[0] += np.log(n[1] / n[0]) - np.log(y.sum() / (len(y) - y.sum()))
     else:
-        model.curve = np.array([np.log(model.base / (1 - model.base)), 0.0, 0.0])
+        model.curve = np.array([prior, float(WINDOW) if min(n) else 0.0, 0.0])
     return model
 
 

@@ -306,6 +306,21 @@ def test_toxicity_scores_alike_by_broadcast_and_by_join(spark, monkeypatch):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("toxic", [1, 2, 5])
+def test_few_toxic_labels_still_tell_texts_apart(spark, toxic):
+    # Ids whose xxhash64 is no multiple of 8: none of the toxic documents is in a slice by that hash.
+    free = [r["id"] for r in spark.range(400).where("pmod(xxhash64(id), 8) <> 0 AND crc32(CAST(CAST(id AS STRING) AS BINARY)) % 4 <> 2").collect()]
+    bad, seen = free[:toxic], set(free[:toxic])
+    rng = np.random.default_rng(12)
+    texts = [" ".join(rng.choice(WORDS, size=40)) + (" vile hateful slur" if i in seen else "") for i in range(400)]
+    docs = _docs(spark, texts + [" ".join(rng.choice(WORDS, size=40)) + " vile hateful slur"])
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i in seen)) for i in range(400)], "doc_id long, toxic int"))
+    score = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, model).collect()}
+    ordinary = [score[i] for i in range(400) if i not in seen]
+    assert min(score[i] for i in [*bad, 400]) > max(ordinary)
+    assert score[400] >= 0.3 and np.mean(np.array(ordinary) >= 0.3) <= 0.05
+
+
 def test_long_texts_measure_alike_in_pieces():
     import pyarrow as pa
 
