@@ -19,17 +19,21 @@
    than asked for.  One index serves the full radius: it meets each row once,
    where the eight at radius 31 meet about three times all rows.
 
-Cells are dealt to tasks in groups, and a group with many rows is split, so
-that a task holds about ``TASK_ROWS`` rows however many vectors share a code.
+Cells are dealt to tasks in groups.  The rows of a group are split into
+blocks, and so are the queries that probe it: each pair of blocks is a row
+group of its own, so that a task holds about ``TASK_ROWS`` rows and
+``TASK_QUERIES`` queries (fewer of more than 64 dimensions) however many
+vectors share a code and however many queries there are.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,6 +47,8 @@ RADIUS = 31
 RECALL = 0.98  # share of the sampled queries' true neighbours that the radius must hold
 SAMPLE_QUERIES = 256  # queries that measure it, at most
 TASK_ROWS = 65_536  # a query returns at most k rows from each task that it probes
+TASK_QUERIES = 32_768
+TILE = 4096  # rows whose products with 1,024 queries are held at a time
 CLOSE = 1e-9  # products this near are told apart by an exact second look
 
 
@@ -85,13 +91,44 @@ def _parts(radius: int) -> int:
     return PARTS if radius < BITS else 1
 
 
-def _probes(radius: int, groups: int):
-    """(vec_id, vec, code) of queries, once for each group of cells within the substrings' radius."""
+def _reach(radius: int, groups: int) -> np.ndarray:
+    """(cell of a query, group): whether the group has a cell within the substrings' radius."""
     near = radius // PARTS
     value = np.arange(CELLS, dtype=np.uint8)
     reach = np.zeros((CELLS, groups), dtype=bool)
     for cell in range(CELLS):
         reach[cell, np.unique(np.flatnonzero(np.bitwise_count(value ^ np.uint8(cell)) <= near) % groups)] = True
+    return reach
+
+
+def _blocks(rows: DataFrame, queries: DataFrame, dim: int, count: int, radius: int) -> tuple[DataFrame, int]:
+    """((part, cells, salts, asks): blocks of rows and of queries of each group of cells, number of groups)."""
+    most_rows, most_asks = (max(1, n * BITS // max(BITS, dim)) for n in (TASK_ROWS, TASK_QUERIES))
+    groups = int(min(CELLS, max(1, count // most_rows)))
+
+    def cells(frame: DataFrame) -> np.ndarray:
+        """How many codes have each value of each substring; PARTS * CELLS rows are collected at most."""
+        out = np.zeros((PARTS, CELLS), dtype=np.int64)
+        parts = F.explode(F.array(*[F.lit(j) for j in range(_parts(radius))])).alias("part")
+        for r in frame.select("code", parts).groupBy("part", _cell().alias("cell")).count().collect():
+            out[r["part"], r["cell"]] = r["count"]
+        return out
+
+    held, asked = cells(rows), cells(queries) @ _reach(radius, groups)
+    sizes = []
+    for part in range(_parts(radius)):
+        of = np.bincount(np.arange(CELLS) % groups, weights=held[part], minlength=groups).astype(np.int64)
+        sizes += [(part, g, int(-(-of[g] // most_rows)), int(-(-asked[part, g] // most_asks))) for g in range(groups) if of[g] and asked[part, g]]
+    return rows.sparkSession.createDataFrame(sizes, "part int, cells int, salts int, asks int"), groups
+
+
+def _cell() -> Column:
+    return F.expr(f"CAST(shiftrightunsigned(code, 8 * part) & {CELLS - 1} AS INT)")
+
+
+def _probes(radius: int, groups: int):
+    """(vec_id, vec, code) of queries, once for each group of cells within the substrings' radius."""
+    reach = _reach(radius, groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +158,7 @@ def _search(dim: int, radius: int, k: int):
     near = radius // PARTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["part", "cells", "salt"]):
+        for group in runs(batches, ["part", "cells", "salt", "ask"]):
             is_query = group["is_query"].to_numpy()
             if is_query.all() or not is_query.any():
                 continue
@@ -136,22 +173,22 @@ def _search(dim: int, radius: int, k: int):
             held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
             bound = np.full(len(x), -np.inf)
             for lo, hi in zip(edges, np.append(edges[1:], len(order))):
-                e = order[lo:hi]  # the rows of one cell, and the queries that probe it
-                q = np.flatnonzero(np.bitwise_count(cell_a ^ cell_b[e[0]]) <= near)
-                for at in range(0, len(q), 1024):
-                    p = q[at : at + 1024]
+                # The rows of one cell, and the queries that probe it.
+                q = np.flatnonzero(np.bitwise_count(cell_a ^ cell_b[order[lo]]) <= near)
+                for at, to in itertools.product(range(0, len(q), 1024), range(lo, hi, TILE)):
+                    p, e = q[at : at + 1024], order[to : min(to + TILE, hi)]
                     product = x[p] @ y[e].T
                     good = (np.bitwise_count(a[p][:, None] ^ b[e][None, :]) <= radius) & (own[p][:, None] != ids[e][None, :])
                     good &= product >= bound[p][:, None] - CLOSE
                     i, j = np.nonzero(good)
                     held = tuple(np.concatenate(z) for z in zip(held, (p[i], e[j], product[i, j])))
-                if len(held[0]) > 4 * k * len(x):
-                    keep = _best(held[0], held[2], k, CLOSE)
-                    held = tuple(z[keep] for z in held)
-                    n = np.bincount(held[0], minlength=len(x))
-                    low = np.full(len(x), np.inf)
-                    np.minimum.at(low, held[0], held[2])
-                    bound = np.where(n >= k, low, -np.inf)
+                    if len(held[0]) > 4 * k * len(x):
+                        keep = _best(held[0], held[2], k, CLOSE)
+                        held = tuple(z[keep] for z in held)
+                        n = np.bincount(held[0], minlength=len(x))
+                        low = np.full(len(x), np.inf)
+                        np.minimum.at(low, held[0], held[2])
+                        bound = np.where(n >= k, low, -np.inf)
             if not len(held[0]):
                 continue
             q, e, _ = (z[_best(held[0], held[2], k, CLOSE)] for z in held)
@@ -172,28 +209,24 @@ def _search(dim: int, radius: int, k: int):
 
 def _neighbours(rows: DataFrame, queries: DataFrame, dim: int, count: int, radius: int, k: int) -> DataFrame:
     """(query_id, vec_id, score): the k best of each query within the radius, and pairs found twice once."""
-    groups = int(min(CELLS, max(1, count // TASK_ROWS)))
+    sizes, groups = _blocks(rows, queries, dim, count, radius)
+    sizes = F.broadcast(sizes)  # at most PARTS * CELLS rows
     index = rows.select(
         "vec_id", "vec", "code", F.explode(F.array(*[F.lit(j) for j in range(_parts(radius))])).alias("part")
-    ).withColumn("cells", F.expr(f"CAST(shiftrightunsigned(code, 8 * part) & {CELLS - 1} AS INT) % {groups}"))
-    # At most PARTS * CELLS rows.
-    sizes = F.broadcast(
-        staged(
-            index.groupBy("part", "cells").agg(F.ceil(F.count("*") / TASK_ROWS).cast("int").alias("salts")), "ann-cells"
+    ).withColumn("cells", _cell() % groups)
+
+    def dealt(frame: DataFrame, own: str, other: str, is_query: bool) -> DataFrame:
+        """Each row in its own block, once for each block of the other side."""
+        block = {own: F.pmod(F.xxhash64("vec_id"), F.col(f"{own}s")).cast("int"), other: F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))}
+        return frame.join(sizes, ["part", "cells"]).select(
+            "part", "cells", block["salt"].alias("salt"), block["ask"].alias("ask"), F.lit(is_query).alias("is_query"), "vec_id", "vec", "code"
         )
-    )
-    index = index.join(sizes, ["part", "cells"]).select(
-        "part", "cells", F.expr("CAST(pmod(xxhash64(vec_id), salts) AS INT)").alias("salt"), F.lit(False).alias("is_query"), "vec_id", "vec", "code"
-    )
-    asked = (
-        queries.mapInArrow(_probes(radius, groups), "vec_id long, vec array<float>, code long, part int, cells int")
-        .join(sizes, ["part", "cells"])
-        .select("part", "cells", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(True).alias("is_query"), "vec_id", "vec", "code")
-    )
+
+    asked = queries.mapInArrow(_probes(radius, groups), "vec_id long, vec array<float>, code long, part int, cells int")
     found = (
-        index.unionByName(asked)
-        .repartition("part", "cells", "salt")
-        .sortWithinPartitions("part", "cells", "salt", "is_query", "vec_id")
+        dealt(index, "salt", "ask", False).unionByName(dealt(asked, "ask", "salt", True))
+        .repartition("part", "cells", "salt", "ask")
+        .sortWithinPartitions("part", "cells", "salt", "ask", "is_query", "vec_id")
         .mapInArrow(_search(dim, radius, k), "query_id long, vec_id long, score double")
     )
     return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

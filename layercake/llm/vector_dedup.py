@@ -28,6 +28,7 @@ SAMPLE_ROWS = 20_000  # vectors that train the centres, at most
 BLOCK = 2048  # vectors of a block
 TILE = 1024
 MARGIN = 1e-9  # rounding, in favour of comparing
+ROUNDING = 1e-12  # of a squared distance, in favour of comparing
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
@@ -55,12 +56,15 @@ def _assign(dim: int, centres: np.ndarray, cosine: float):
     reach = np.sqrt(2 - 2 * cosine) + MARGIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apart = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2)
+        square = (centres**2).sum(axis=1)
         for batch in batches:
             near = _unit(matrix(batch.column(2), dim)) @ centres.T
             home = np.argmax(near, axis=1)
             own = near[np.arange(len(home)), home]
-            goes = own[:, None] - near <= reach * apart[home] + MARGIN
+            # Distances from the home cells' centres only, by products; what rounding takes from one is less than ROUNDING.
+            kinds, at = np.unique(home, return_inverse=True)
+            apart = np.sqrt(np.maximum(square[kinds][:, None] + square[None, :] - 2 * (centres[kinds] @ centres.T), 0) + ROUNDING)
+            goes = own[:, None] - near <= reach * apart[at] + MARGIN
             goes &= np.arange(len(centres))[None, :] >= home[:, None]
             row, cell = np.nonzero(goes)
             table = batch.take(pa.array(row))

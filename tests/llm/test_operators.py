@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import re
+import tempfile
+import tracemalloc
+import uuid
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -168,6 +173,44 @@ def test_nearest_neighbours_reach_recall_on_other_tables(spark, kind):
     assert len(hits) == 150 and np.mean(hits) >= 0.98 and min(hits) >= 0.5
 
 
+def test_nearest_neighbours_meet_in_bounded_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(1500, 16)).astype(np.float32)
+    x[500:900] = x[500]  # many rows of one code
+    rows = _vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    want = [tuple(r) for r in ann.nearest(rows, rows, k=5, radius=ann.BITS).orderBy("query_id", "rank").collect()]
+    seen = tempfile.mkdtemp(prefix="layercake-test-")
+    runs = ann.runs
+
+    def watched(batches, keys):
+        for group in runs(batches, keys):
+            asks = int(np.sum(group["is_query"].to_numpy()))
+            open(f"{seen}/{asks}_{group.num_rows - asks}_{uuid.uuid4().hex}", "w").close()
+            yield group
+
+    for name, value in (("TASK_ROWS", 200), ("TASK_QUERIES", 100), ("TILE", 64), ("runs", watched)):
+        monkeypatch.setattr(ann, name, value, raising=False)
+    for radius in (ann.RADIUS, ann.BITS):
+        got = [tuple(r) for r in ann.nearest(rows, rows, k=5, radius=radius).orderBy("query_id", "rank").collect()]
+        assert [r[:3] for r in got] == [r[:3] for r in want] or radius < ann.BITS
+        assert len(got) == 7500
+    sizes = [tuple(map(int, name.split("_")[:2])) for name in os.listdir(seen)]
+    assert sizes and max(a for a, _ in sizes) <= 160 and max(b for _, b in sizes) <= 300
+
+
+def test_centre_distances_stay_small_whatever_the_number_of_cells():
+    centres = np.random.default_rng(14).normal(size=(700, 32))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 1]), pa.array([1, 1]), pa.array(centres[:2].tolist())], names=["vec_id", "weight", "vec"]
+    )
+    tracemalloc.start()
+    out = list(vector_dedup._assign(32, centres, 0.9)(iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert out[0].num_rows >= 2 and peak < 10 << 20  # all pairs of centres times 32 numbers are 125 MB
+
+
 def test_nearest_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(100, None, 0), (101, [0.0] * 3, 0), (102, [1.0, nan, 0.0], 0), (103, [1.0, None, 0.0], 0), (104, [inf, 0.0, 0.0], 0), (105, [1.0], 0), (None, [1.0, 0.0, 0.0], 0)]
