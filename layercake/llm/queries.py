@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import ann, bpe, line_dedup, near_dedup, packing, quality, toxicity, url_filter, vector_dedup, warc
+from layercake.llm import ann, bpe, line_dedup, merkle, near_dedup, packing, quality, toxicity, url_filter, vector_dedup, warc
 from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
@@ -212,3 +212,93 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source_id").alias("page_id"),
         "record_type", "record_id", "refers_to", "target_uri", "payload_digest", "block_digest", "content_length",
     )
+
+
+#: crc32 of an integer's decimal text; DuckDB has none, so its bytes are fed bit by bit.
+_CRC32 = """(4294967295 - list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split(CAST({} AS VARCHAR), ''), lambda ch: [CAST(ord(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+
+def _tree_sql(levels: int) -> str:
+    """CTEs n0, n1, ...: the nodes of each level, with their siblings, of trees over nodes (grp, pos, digest)."""
+    out = []
+    for k in range(levels + 1):
+        up = f"""(
+    SELECT grp, pos // f AS pos, CASE WHEN any_value(f) > 1 THEN sha256(string_agg(digest, '' ORDER BY pos))
+      ELSE any_value(digest) END AS digest FROM n{k - 1} GROUP BY grp, pos // f)""" if k else "nodes"
+        out.append(f"""n{k} AS (
+  SELECT *, CASE WHEN f > 1 THEN coalesce(string_agg(digest, '') OVER (PARTITION BY grp, pos // f ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+    CASE WHEN f > 1 THEN coalesce(string_agg(digest, '') OVER (PARTITION BY grp, pos // f ORDER BY pos
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r
+  FROM (SELECT grp, pos, digest, CASE WHEN count(*) OVER (PARTITION BY grp) > 1 THEN 16 ELSE 1 END AS f FROM {up})
+)""")
+    return ",\n".join(out)
+
+
+def _op13_sql(levels: int = 6) -> str:
+    """The manifest of up to 16 ** levels rows a source, and as many sources."""
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+    fixed = " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields)
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def text(t):
+        return f"coalesce(strlen({t}) || ':' || {t}, '-')"
+
+    inner = _tree_sql(levels).replace("nodes", "leaves")
+    outer = _tree_sql(levels)
+    for k in range(levels + 1):
+        outer = outer.replace(f"n{k} AS", f"s{k} AS").replace(f"FROM n{k} ", f"FROM s{k} ")
+    joins, sibs = [], []
+    for tree, grp, start in (("n", "d.source", "d.pos"), ("s", "0", "o.pos")):
+        pos = start
+        for k in range(levels):
+            name = f"{tree}_{k}"
+            joins.append(f"JOIN {tree}{k} AS {name} ON {name}.grp IS NOT DISTINCT FROM {grp} AND {name}.pos = {pos}")
+            pos = f"{tree}_{k}.pos // {tree}_{k}.f"
+            sibs += [f"{tree}_{k}.l", f"{tree}_{k}.r"]
+        joins.append(f"JOIN {tree}{levels} AS {tree}_{levels} ON {tree}_{levels}.grp IS NOT DISTINCT FROM {grp}")
+        if tree == "n":
+            joins.append("JOIN over_sources o ON o.source IS NOT DISTINCT FROM d.source")
+    steps = [(t, k) for t in "ns" for k in range(levels)]
+    chain, last = [], "met"
+    for i, (t, k) in enumerate(steps):
+        step = f"CASE WHEN {t}{k}_f > 1 THEN sha256({t}{k}_l || told || {t}{k}_r) ELSE told END"
+        chain.append(f"f{i} AS (SELECT * REPLACE ({step} AS told) FROM {last})")
+        last = f"f{i}"
+    kept = ", ".join(f"{t}_{k}.{c} AS {t}{k}_{c}" for t, k in steps for c in "lrf")
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, source, sha256({fixed} || {text('text')}) AS leaf, CASE WHEN {_CRC32.format('doc_id')} % 5 = 0
+    THEN sha256({fixed} || {text(lower)}) ELSE sha256({fixed} || {text('text')}) END AS told FROM documents
+), docs AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed
+), leaves AS (SELECT source AS grp, pos, leaf AS digest FROM docs),
+{inner}, over_sources AS (
+  SELECT grp AS source, digest, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos FROM n{levels}
+), nodes AS (SELECT 0 AS grp, pos, digest FROM over_sources),
+{outer}, met AS (
+  SELECT d.doc_id, d.leaf, d.told, n_{levels}.digest AS subroot, s_{levels}.digest AS root,
+    sha256({" || ".join(sibs)}) AS proof_sha256, {kept}
+  FROM docs d {" ".join(joins)}
+), {", ".join(chain)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, told AS folded_root, told = root AS verified FROM {last}
+"""
+
+
+@query("op13_merkle_manifest", _op13_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        "doc_id", "source", merkle.leaf_digest(*head, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.leaf_digest(*head, lower)).alias("told"),
+    )
+    proven = merkle.proofs(leaves, group="source", order=["doc_id"])
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("told", "leaf"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
