@@ -163,9 +163,12 @@ def _prove(nodes: DataFrame, carry: Sequence[str], above=None) -> DataFrame:
         .groupBy("grp", "block")
         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("node", "top", "root", "path")])
     )
-    below = met.select("grp", "top", "root", F.explode(_descend(F.col("node"), F.col("path"), DEPTH)).alias("e"))
-    names = ["digest", *carry]
-    return below.select("grp", "top", "root", *[F.col(f"e.leaf.{c}").alias(c) for c in names], F.col("e.path").alias("path"))
+    # Everything goes through the exploded struct: filters on columns beside it make the optimizer prune them wrongly.
+    whole = F.transform(
+        _descend(F.col("node"), F.col("path"), DEPTH), lambda e: F.struct("grp", "top", "root", e["leaf"].alias("leaf"), e["path"].alias("path"))
+    )
+    names = {c: f"e.{c}" for c in ("grp", "top", "root")} | {c: f"e.leaf.{c}" for c in ["digest", *carry]} | {"path": "e.path"}
+    return met.select(F.explode(whole).alias("e")).select(*[F.col(place).alias(c) for c, place in names.items()])
 
 
 def _over_groups(tops: DataFrame) -> DataFrame:
