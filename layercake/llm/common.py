@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from layercake.session import configure, scratch_path
 
@@ -34,6 +34,17 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def map_arrow(frame: DataFrame, function, schema: StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name (it takes none with a dot); the function sees them by position."""
+    plain = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema.fields)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in function(batches):
+            yield batch.rename_columns(plain.names)
+
+    return frame.toDF(*[f"c{i}" for i in range(len(frame.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
 def with_column(schema: StructType, name: str, kind: str) -> StructType:
     """A copy of a schema with one more column."""
     return StructType(list(schema.fields)).add(name, kind)

@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import ann, bpe, line_dedup, merkle, near_dedup, packing, quality, toxicity, url_filter, vector_dedup, warc
+from layercake.llm import ann, bpe, line_dedup, merkle, near_dedup, packing, pii, quality, toxicity, url_filter, vector_dedup, warc
 from layercake.llm.common import held_out, prepare
 from layercake.session import table
 
@@ -302,3 +302,21 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
         merkle.fold(F.coalesce("told", "leaf"), F.col("proof")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_pii")
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and base_sha256 are of the spans found in the source itself; spans lists all."""
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, keep_text=False)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
