@@ -313,10 +313,13 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def count(spans, kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("spans", lambda s: s["base"])
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        *[count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
