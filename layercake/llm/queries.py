@@ -9,8 +9,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import ann, bpe, line_dedup, merkle, near_dedup, packing, pii, quality, toxicity, url_filter, vector_dedup, warc
-from layercake.llm.common import held_out, prepare
+from layercake.llm import ann, bpe, line_dedup, merkle, near_dedup, packing, pii, prefix_trie, quality, toxicity, url_filter, vector_dedup, warc
+from layercake.llm.common import held_out, prepare, staged
 from layercake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -323,3 +323,43 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+_OP11_SQL = f"""
+WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shares AS (SELECT *, {_CRC32.format('conv_id')} % 9 AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts[1:c.h], []), c.ts[c.h + 1:]) AS ts
+  FROM shares c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), members AS (
+  SELECT conv_id, ts[1:d] AS key, d, d = len(ts) AS ended FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM members GROUP BY key, d
+), families AS (SELECT key[1:d - 1] AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * strlen(n.key[d].t) END AS saved
+  FROM nodes n LEFT JOIN families f ON f.key = n.key
+), subtrees AS (
+  SELECT key[1:a] AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM counted) GROUP BY 1
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s ON s.key = c.key LEFT JOIN nodes p ON c.d > 0 AND p.d = c.d - 1 AND p.key = c.key[1:c.d - 1]
+"""
+
+
+@query("op11_prefix_trie", _OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation c begins with the first h turns of conversation c - c % 5; its own follow after as many."""
+    own = staged(prefix_trie.sequences(table(prepare(spark), sf_dir, "conversations"), "conv_id", "turn", "role", "text"), "convs")
+    heads = own.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    shares = own.withColumn("h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int"))
+    turns = F.expr("concat(slice(coalesce(head, slice(turns, 1, 0)), 1, h), slice(turns, h + 1, size(turns)))")
+    rebuilt = shares.join(heads, F.col("conv_id") - F.col("conv_id") % 5 == F.col("base"), "left")
+    nodes = prefix_trie.prefix_nodes(rebuilt.select("conv_id", turns.alias("turns")))
+    return nodes.withColumnRenamed("ends", "ends_sha256")
