@@ -7,7 +7,12 @@ key into one task: a key holding a third of 100 TB sinks the job, and the
 keyless form (``Window.orderBy(t)``) is a single-partition sort of
 everything.
 
-:func:`block_layout` keeps the result exact while bounding every task:
+:func:`rolling` cuts the rows into ranges of (keys, order) whose bounds are
+literals (:func:`range_layout`) and sends the last ``h`` rows before a bound
+on to the next range, all in one exchange.
+
+:func:`block_layout` cuts rows at exact positions instead, for recurrences
+that need a row's place (the EMA of :mod:`layercake.operators.sequences`):
 
 1. range-partition on ``(keys, order)`` (sampled bounds, so equal-sized
    ranges even when one key dominates) and sort within each range;
@@ -17,10 +22,6 @@ everything.
 3. cut positions into blocks of ``block_rows``; the last ``halo`` rows of
    each block are also emitted, flagged as halo, into the next block.
 
-A window partitioned by ``(keys, block)`` and ordered by position then sees
-every row's ``halo`` predecessors of the same key, and no group exceeds
-``block_rows + halo`` rows.  Halo copies are dropped after the window.
-
 The tagged ranges are pinned with a reliable ``checkpoint()`` into the
 session's shared checkpoint folder, so the counts and the rows agree even
 if executors are lost and partitions are recomputed.
@@ -28,13 +29,19 @@ if executors are lost and partitions are recomputed.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import chain
+from operator import add
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType
 
-from layercake.functions.numeric import fixed_point_avg, round_half_up
+from layercake.functions.numeric import MOST_PARTS, exact_mean, exact_parts, finite, round_half_up
+from layercake.sinks.tables import JSON_OPTIONS
 
 POS = "_lc_pos"
 BLK = "_lc_blk"
@@ -113,6 +120,121 @@ def block_layout(
     )
 
 
+# ------------------------------------------------------------- one exchange
+#: Rows that one range of :func:`range_layout` aims at, and the fewest worth a task of their own.
+RANGE_ROWS, SMALL_RANGE = 1 << 20, 1 << 13
+#: Ranges at most: their bounds are literals of the plan.  Beyond, ranges grow.
+MAX_RANGES = 8192
+#: Sampled rows a range, and in all at least; the driver sorts out the bounds from them.
+SAMPLES_PER_RANGE, LEAST_SAMPLES = 32, 2048
+#: Places up to which comparing with each is cheaper than a search.
+FEW_PLACES = 32
+_ROW = "_lc_row"
+
+
+def _place(keys: Sequence[str], order: Sequence[str]) -> Column:
+    """What rows are ordered by, as one struct: keys (NULL first), then each order value (NULL last)."""
+    parts = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    for i, o in enumerate(order):
+        parts += [F.col(o).isNull().alias(f"n{i}"), F.col(o).alias(f"o{i}")]
+    return F.struct(*parts)
+
+
+def _upto(row: Column, places: list[str], kind: DataType) -> Column:
+    """How many of the sorted places (JSON texts) lie at or before a row; a binary search in a literal array if many."""
+    if len(places) <= FEW_PLACES:
+        return reduce(add, [(F.from_json(F.lit(p), kind, JSON_OPTIONS) <= row).cast("int") for p in places])
+    array = F.from_json(F.lit("[" + ",".join(places) + "]"), ArrayType(kind), JSON_OPTIONS)
+    steps = [1 << b for b in range(len(places).bit_length() - 1, -1, -1)]
+
+    def step(low: Column, width: Column) -> Column:
+        at = low + width
+        inside = F.element_at(array, F.least(at, F.lit(len(places)))) <= row
+        return F.when((at <= len(places)) & inside, at).otherwise(low)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
+def range_layout(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    halo: int,
+    block_rows: int | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add ``_lc_blk`` and ``_lc_halo``: ranges of rows in (keys, order), each with the rows before it, one a partition.
+
+    Rows are cut into ranges by *places* (values of keys and order) that
+    stand in the plan as literals, so a row's range is a deterministic
+    expression: nothing is written, a window over ``(keys, _lc_blk)`` needs
+    one exchange, and a repeated task deals its rows out as before.
+
+    The places come from a hash sample of the rows (mergeable, the same
+    whatever the partitioning) of bounded size.  A range's *margin* is an
+    earlier sampled place with at least ``halo`` rows of the bound's key in
+    between; rows from there to the bound are also sent to the range,
+    flagged as halo.  Rows between are counted, and a margin with too few is
+    moved back, so frames are whole for certain.
+
+    ``order`` must make rows unique within a key, otherwise a ROWS frame is
+    not deterministic in any engine.  ``df`` is read up to three times for
+    its key and order columns alone, so it should be a table rather than a
+    long computation.
+    """
+    keys, order = list(keys), list(order)
+    spark = df.sparkSession
+    rows = df.select(_place(keys, order).alias(_ROW))
+    kind = rows.schema[_ROW].dataType
+    total = rows.count()
+    if ranges is None:
+        few = min(spark.sparkContext.defaultParallelism, total // SMALL_RANGE)
+        ranges = min(max(-(-total // (block_rows or RANGE_ROWS)), few), MAX_RANGES)
+    whole = df.withColumns({BLK: F.lit(0), HALO: F.lit(False)})
+    if ranges <= 1 or not total:
+        return whole
+    one_in = max(1, total // max(LEAST_SAMPLES, SAMPLES_PER_RANGE * ranges))
+    chosen = F.pmod(F.xxhash64(_ROW), F.lit(one_in)) == 0
+    picked = rows.where(chosen).agg(F.array_sort(F.collect_set(_ROW)).alias("s"))
+    sample = picked.select(F.transform("s", lambda r: F.to_json(r, JSON_OPTIONS)).alias("t")).first()["t"]
+    at = sorted({i * len(sample) // ranges for i in range(1, ranges)} - {0})
+    if not at:
+        return whole
+    bounds = [sample[i] for i in at]
+    own = _upto(F.col(_ROW), bounds, kind)
+    back = [max(0, i - (halo if one_in == 1 else 4 * halo // one_in + 2)) if halo else i for i in at]
+
+    def key_of(place: str) -> list:
+        fields = json.loads(place)
+        return [fields.get(f"k{i}") for i in range(len(keys))]
+
+    while True:
+        # The empty object is the place of all NULLs, before every row.
+        margins = [sample[i] if i else "{}" for i in back]
+        last = _upto(F.col(_ROW), margins, kind)
+        if one_in == 1 or not halo:
+            break
+        place = rows.select(own.alias("own"), last.alias("last")).where("last > own")
+        between = place.select(F.explode(F.sequence(F.col("own") + 1, "last")).alias("b"))
+        found = {r["b"]: r["count"] for r in between.groupBy("b").count().collect()}
+        short = [
+            i for i, (bound, m) in enumerate(zip(bounds, back))
+            if m and found.get(i + 1, 0) < halo and key_of(sample[m]) == key_of(bound)
+        ]
+        if not short:
+            break
+        for i in short:
+            back[i] = max(0, at[i] - 4 * (at[i] - back[i]))
+        back = [min(back[i:]) for i in range(len(back))]
+    blocks = F.transform(F.sequence("_lc_own", "_lc_last"), lambda b: F.struct(b.alias(BLK), (b > F.col("_lc_own")).alias(HALO)))
+    return (
+        df.withColumn(_ROW, _place(keys, order))
+        .withColumns({"_lc_own": own, "_lc_last": last})
+        .select(*df.columns, F.inline(blocks))
+        .repartitionById(len(bounds) + 1, BLK)
+    )
+
+
 def rolling(
     df: DataFrame,
     keys: Sequence[str],
@@ -121,8 +243,7 @@ def rolling(
     make_columns: Callable[[WindowSpec], dict[str, Column] | list[dict[str, Column]]],
     block_rows: int | None = None,
     ranges: int | None = None,
-    pin: str = "checkpoint",
-    method: str = "blocks",
+    method: str = "ranges",
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``halo`` rows back.
 
@@ -131,20 +252,22 @@ def rolling(
     turn (a later stage may window over an earlier one; all stages share one
     exchange and sort); frames are set by the caller with
     ``w.rowsBetween(-n, 0)`` (``n <= halo``).  Running aggregates
-    (``unboundedPreceding``) start at the block's halo, which is exact for
+    (``unboundedPreceding``) start at the range's halo, which is exact for
     anything that forgets history older than ``halo`` rows.
 
-    ``method="partition"`` is the plain ``partitionBy(keys)`` plan (one task
-    per key, one task overall without keys), kept as a yardstick.
+    Rows are dealt out by :func:`range_layout`: one exchange, and a key of
+    any size meets many tasks.  ``method="partition"`` is the plain
+    ``partitionBy(keys)`` plan (one task per key, one task overall without
+    keys), kept as a yardstick.
     """
     keys, order = list(keys), list(order)
+    ordered = [F.col(o).asc_nulls_last() for o in order]
     if method == "partition":
-        ordered = [F.col(o).asc_nulls_last() for o in order]
         w = Window.partitionBy(*keys).orderBy(*ordered) if keys else Window.orderBy(*ordered)
         return _apply(df, make_columns(w))
-    laid = block_layout(df, keys, order, halo, block_rows, ranges, pin)
-    w = Window.partitionBy(*keys, BLK).orderBy(POS)
-    return _apply(laid, make_columns(w)).filter(~F.col(HALO)).drop(*_INTERNAL)
+    laid = range_layout(df, keys, order, halo, block_rows, ranges)
+    w = Window.partitionBy(*keys, BLK).orderBy(*ordered)
+    return _apply(laid, make_columns(w)).filter(~F.col(HALO)).drop(BLK, HALO)
 
 
 def _apply(df: DataFrame, stages) -> DataFrame:
@@ -167,7 +290,6 @@ def indicators(
     keys: Sequence[str] = (),
     tie_break: Sequence[str] = (),
     digits: int | None = None,
-    decimal_scale: int | None = None,
     **layout,
 ) -> DataFrame:
     """MA20/MA50/MA200, Bollinger mid/std/upper/lower over ROWS frames.
@@ -176,47 +298,52 @@ def indicators(
     (NULL for a one-row frame).  ``keys`` makes one series per key; with no
     keys the whole table is one series (exact, without a one-task sort).
 
-    ``decimal_scale`` treats prices as fixed-point with that many decimals.
-    The moving averages then come from one running integer sum per block:
-    ``sum(last n) = C_t - C_(t-n)`` with ``lag`` -- O(1) per row for any n,
-    exact (integers cannot cancel), rounded HALF_UP to ``digits`` (default
-    6) independently of summation order; decimals of a price beyond the scale
-    are rounded, so give at least as many as prices have.  A window with a
-    NaN or infinite price averages to NaN.  Without it, averages are sliding
-    double frames.
+    The averages are exact sums of any doubles, divided by their count: a
+    price is split into whole parts of 31 bits (as many as the table's
+    largest and smallest prices need, see ``numeric.exact_parts``), whose
+    running sums are integers, so ``sum(last n) = C_t - C_(t-n)`` costs O(1)
+    per row for any n, cancels without loss and does not depend on the order
+    of summation.  Where prices differ by more than about ``2**70``, frames
+    are summed one by one by ``math.fsum`` in Arrow batches: the same values
+    at O(n) per row.  NULL prices do not count; NaN and infinite ones act as in
+    ``avg``.  ``digits`` rounds the results half up, after the noise of the
+    last bits.
     """
-    close = F.col(close_col)
-    bb_frame = (-(BB_LENGTH - 1), 0)
-
-    def sliding(w: WindowSpec) -> dict[str, Column]:
-        out = {f"MA{n}": F.avg(close).over(w.rowsBetween(-(n - 1), 0)) for n in MA_LENGTHS}
-        out["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(*bb_frame))
-        return out
-
-    def running(w: WindowSpec) -> list[dict[str, Column]]:
-        unit, d = 10**decimal_scale, 6 if digits is None else digits
-        finite = ~F.isnan(close) & (F.abs(close) < float("inf"))
-        scaled = F.when(finite, F.round(close * F.lit(unit))).cast("long")
-        odd = F.coalesce((~finite).cast("int"), F.lit(0))
+    close = F.col(close_col).cast("double")
+    parts, odd = exact_parts(df, close)
+
+    def cols(w: WindowSpec) -> list[dict[str, Column]]:
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        first = {
-            "_lc_c": F.coalesce(F.sum(scaled).over(upto), F.lit(0)),
-            "_lc_k": F.count(scaled).over(upto),
-            "_lc_n": F.sum(odd).over(upto),
-        }
-        second = {}
+        split = {f"_lc_p{i}": part for i, part in enumerate(parts.split(close))}
+        pieces = list(split)
+        counted = F.when(finite(close), 1) if odd else close
+        first = {p: F.coalesce(F.sum(p).over(upto), F.lit(0)) for p in pieces} | {"_lc_n": F.count(counted).over(upto)}
+        if odd:  # a row's number, and where a NaN or an infinite price stood last
+            split["_lc_i"] = F.row_number().over(w)
+            first |= {f"_lc_odd{i}": F.max(F.when(test, F.col("_lc_i"))).over(upto) for i, test in enumerate(_odd_tests(close))}
+        second = {f"_lc_b{n}": F.lag(F.struct(*pieces, "_lc_n"), n).over(w) for n in MA_LENGTHS}
+        second["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(-(BB_LENGTH - 1), 0))
+        sums = {n: [F.col(c) - F.coalesce(F.col(f"_lc_b{n}.{c}"), F.lit(0)) for c in [*pieces, "_lc_n"]] for n in MA_LENGTHS}
+        # The steps of all lengths run together.
+        steps = [dict(chain(*(s.items() for s in each))) for each in zip(*(parts.total(sums[n][:-1], f"MA{n}") for n in MA_LENGTHS))]
+        means = {}
         for n in MA_LENGTHS:
-            total = F.col("_lc_c") - F.coalesce(F.lag("_lc_c", n).over(w), F.lit(0))
-            count = F.col("_lc_k") - F.coalesce(F.lag("_lc_k", n).over(w), F.lit(0))
-            bad = F.col("_lc_n") - F.coalesce(F.lag("_lc_n", n).over(w), F.lit(0))
-            second[f"MA{n}"] = F.when(bad > 0, float("nan")).otherwise(fixed_point_avg(total, count, unit, d))
-        second["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(*bb_frame))
-        return [first, second]
+            mean = F.when(sums[n][-1] > 0, F.col(f"MA{n}") / sums[n][-1])
+            if odd:
+                nan, up, down = [F.coalesce(F.col(f"_lc_odd{i}") > F.col("_lc_i") - n, F.lit(False)) for i in range(3)]
+                mean = F.when(nan | (up & down), float("nan")).when(up, float("inf")).when(down, float("-inf")).otherwise(mean)
+            means[f"MA{n}"] = mean
+        return [split, first, second, *steps, means]
 
-    cols = sliding if decimal_scale is None else running
+    def listed(w: WindowSpec) -> list[dict[str, Column]]:
+        frames = {f"MA{n}": F.collect_list(close).over(w.rowsBetween(-(n - 1), 0)) for n in MA_LENGTHS}
+        frames["BB_Std"] = F.stddev_samp(close).over(w.rowsBetween(-(BB_LENGTH - 1), 0))
+        mean = exact_mean()
+        return [frames, {f"MA{n}": mean(f"MA{n}") for n in MA_LENGTHS}]
 
     halo = max(MA_LENGTHS + (BB_LENGTH,)) - 1
-    out = rolling(df, keys, [date_col, *tie_break], halo, cols, **layout)
+    made = cols if parts.count <= MOST_PARTS else listed
+    out = rolling(df, keys, [date_col, *tie_break], halo, made, **layout)
     mid = F.col(f"MA{BB_LENGTH}")
     out = out.withColumns(
         {
@@ -225,8 +352,11 @@ def indicators(
             "BB_Lower": mid - BB_WIDTH * F.col("BB_Std"),
         }
     )
-    out = out.drop("_lc_c", "_lc_k", "_lc_n")
     names = ["MA20", "MA50", "MA200", "BB_Mid", "BB_Std", "BB_Upper", "BB_Lower"]
     if digits is not None:
-        out = out.withColumns({n: round_half_up(n, digits) for n in names})
+        out = out.withColumns({n: round_half_up(round_half_up(n, digits + 3), digits) for n in names})
     return out.select(*[c for c in df.columns if c not in names], *names)
+
+
+def _odd_tests(x: Column) -> list[Column]:
+    return [F.isnan(x), x == float("inf"), x == float("-inf")]

@@ -72,7 +72,7 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
 
 def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema: str,
            keys: Sequence[str], date_col: str, close_col: str, tie_break: Sequence[str],
-           digits: int | None = 6, decimal_scale: int | None = 6) -> tuple[DataFrame, DataFrame]:
+           digits: int | None = 6) -> tuple[DataFrame, DataFrame]:
     """New raw JSON + the existing raw snapshot -> indicators; returns
     (indicators read back, verdict row).
 
@@ -93,7 +93,7 @@ def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema:
     current = tables.read_snapshot(spark, snapshot_base)
     ind = windows.indicators(
         current.select(*keys, *tie_break, F.col(date_col).alias("Date"), F.col(close_col).alias("Close")),
-        keys=keys, tie_break=tie_break, digits=digits, decimal_scale=decimal_scale,
+        keys=keys, tie_break=tie_break, digits=digits,
     )
     out_path = f"{snapshot_base}_indicators"
     # Files sorted by series and date (row-group min/max then prune date

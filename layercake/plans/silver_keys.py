@@ -30,25 +30,21 @@ def bars(spark, sf_dir):
     )
 
 
-PRICE_SCALE = 6  # decimals that prices may have
-
-
 def _indicator_sql(partition: str) -> str:
     def w(n: int) -> str:
         return f"({partition} ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
-    # Exact average: millionths summed as integers, divided with HALF_UP
-    # rounding at 6 decimals (prices are non-negative here).
+    # Rounded at nine decimals first: many averages of prices are exact ties
+    # at the sixth, which the last bit of a sum must not decide.
     def ma(n: int) -> str:
-        return (f"CAST((SUM(CAST(ROUND(value * 1000000) AS BIGINT)) OVER {w(n)} * 2"
-                f" + COUNT(*) OVER {w(n)}) // (2 * COUNT(*) OVER {w(n)}) AS DOUBLE) / 1000000")
+        return f"ROUND(ROUND(AVG(value) OVER {w(n)}, 9), 6)"
 
     return f"""SELECT event_type, event_id, Date, Close,
-        MA20, MA50, MA200, MA20 AS BB_Mid, ROUND(BB_Std, 6) AS BB_Std,
-        ROUND(MA20 + 2 * BB_Std, 6) AS BB_Upper, ROUND(MA20 - 2 * BB_Std, 6) AS BB_Lower
+        MA20, MA50, MA200, MA20 AS BB_Mid, ROUND(ROUND(BB_Std, 9), 6) AS BB_Std,
+        ROUND(ROUND(mean + 2 * BB_Std, 9), 6) AS BB_Upper, ROUND(ROUND(mean - 2 * BB_Std, 9), 6) AS BB_Lower
       FROM (SELECT event_type, event_id, ts AS Date, value AS Close,
               {ma(20)} AS MA20, {ma(50)} AS MA50, {ma(200)} AS MA200,
-              STDDEV_SAMP(value) OVER {w(20)} AS BB_Std
+              AVG(value) OVER {w(20)} AS mean, STDDEV_SAMP(value) OVER {w(20)} AS BB_Std
             FROM events)"""
 
 
@@ -56,14 +52,14 @@ def _indicator_sql(partition: str) -> str:
 def q_silver_indicators(spark, sf_dir):
     configure(spark)
     return windows.indicators(
-        bars(spark, sf_dir), keys=["event_type"], tie_break=["event_id"], digits=6, decimal_scale=PRICE_SCALE
+        bars(spark, sf_dir), keys=["event_type"], tie_break=["event_id"], digits=6
     )
 
 
 @register("silver_indicators_global", _indicator_sql(""), group="silver")
 def q_silver_indicators_global(spark, sf_dir):
     configure(spark)
-    return windows.indicators(bars(spark, sf_dir), tie_break=["event_id"], digits=6, decimal_scale=PRICE_SCALE)
+    return windows.indicators(bars(spark, sf_dir), tie_break=["event_id"], digits=6)
 
 
 @register(

@@ -17,7 +17,7 @@ def empty(spark):
 
 def test_windows_on_empty(spark, empty):
     bars = empty.select("device_id", "event_id", F.col("ts").alias("Date"), F.col("temperature").alias("Close"))
-    assert windows.indicators(bars, keys=["device_id"], tie_break=["event_id"], decimal_scale=2).count() == 0
+    assert windows.indicators(bars, keys=["device_id"], tie_break=["event_id"]).count() == 0
     assert sequences.ema(empty, ["device_id"], ["ts", "event_id"], "temperature").count() == 0
     assert sequences.score_sequences(empty, ["device_id"], ["ts", "event_id"], "temperature").count() == 0
 

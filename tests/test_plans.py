@@ -32,14 +32,15 @@ def test_fused_checks_scan_once(spark):
     assert inspect.count_nodes(_q(spark, "health_report"), r"FileScan parquet") == 1
 
 
-def test_keyed_windows_partition_by_block(spark):
-    plan = inspect.physical_plan(_q(spark, "silver_indicators"))
-    window_lines = [l for l in plan.splitlines() if "Window [" in l and "_lc_blk" in l]
-    assert window_lines, plan
-    # the only single-partition exchange is over the per-range counts
-    for line in plan.splitlines():
-        if "SinglePartition" in line:
-            assert "_lc_pid" in plan
+def test_windows_partition_by_range(spark):
+    """With or without keys, a window's rows meet by range: nothing goes to a single partition."""
+    from layercake.operators import windows
+    from layercake.plans.silver_keys import bars
+
+    for keys in (["event_type"], []):
+        plan = inspect.physical_plan(windows.indicators(bars(spark, SF_SMALL), keys=keys, tie_break=["event_id"], ranges=3))
+        window_lines = [line for line in plan.splitlines() if "Window [" in line and "_lc_blk" in line]
+        assert window_lines and "SinglePartition" not in plan, plan
 
 
 def test_integrity_is_anti_join(spark):

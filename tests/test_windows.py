@@ -70,7 +70,7 @@ def test_block_layout_bounds_groups(spark):
 def test_property_lag_and_roll(spark, block, ranges):
     df = _events(spark).select(F.col("user_id").alias("device_id"), "event_id", "ts", F.col("value").alias("temperature"))
     got = sequences.lag_features(df, ["device_id"], ["ts", "event_id"], "temperature",
-                                 block_rows=block, ranges=ranges, pin="persist")
+                                 block_rows=block, ranges=ranges)
     w = Window.partitionBy("device_id").orderBy("ts", "event_id")
     want = df.select(
         "event_id",
@@ -118,7 +118,7 @@ def test_fixed_point_averages_exact_across_blocks(spark):
     from fractions import Fraction
 
     df = _events(spark).select("event_id", "event_type", F.col("ts").alias("Date"), F.col("value").alias("Close"))
-    got = windows.indicators(df, keys=["event_type"], tie_break=["event_id"], digits=6, decimal_scale=2,
+    got = windows.indicators(df, keys=["event_type"], tie_break=["event_id"], digits=6,
                              block_rows=256, ranges=3).collect()
     rows = sorted(df.collect(), key=lambda r: (r["event_type"], r["Date"], r["event_id"]))
     hist: dict[str, list[int]] = {}
@@ -199,7 +199,67 @@ def test_null_order_values_sort_last(spark):
 def test_indicators_keep_four_decimals_and_survive_nan(spark):
     prices = [10.0001, 10.0004, 10.00035, 9.9999, float("nan"), 12.3456]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(prices)], "Date int, Close double")
-    got = [r["MA20"] for r in windows.indicators(df, digits=6, decimal_scale=6).orderBy("Date").collect()]
+    got = [r["MA20"] for r in windows.indicators(df, digits=6).orderBy("Date").collect()]
     for i in range(4):
         assert abs(got[i] - sum(prices[: i + 1]) / (i + 1)) <= 5.1e-7
     assert got[4] != got[4] and got[5] != got[5]
+
+
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_averages_of_any_doubles_equal_fsum(spark, ranges):
+    """Huge, tiny, negative, seven-decimal and cancelling prices; NULL, NaN and infinite ones act as in avg."""
+    import random
+
+    rng = random.Random(1)
+    nan, inf = float("nan"), float("inf")
+    series = {
+        "mixed": [rng.choice([1e13, 4e-7, -1e13, 0.1234567, 2e8, 0.0, None, 3.3]) for _ in range(700)],
+        "wide": [rng.choice([1e300, -1e300, 1e-300, 1.5, 5e-324]) for _ in range(300)],
+        "odd": [rng.choice([1.1, 2.2, 3.3] + [nan, inf, -inf, None] * (i % 90 == 0)) for i in range(700)],
+        "none": [None] * 3,
+    }
+
+    def mean(values):
+        values = [v for v in values if v is not None]
+        if any(math.isnan(v) for v in values) or {inf, -inf} <= set(values):
+            return nan
+        odd = [v for v in values if math.isinf(v)]
+        return odd[0] if odd else math.fsum(values) / len(values) if values else None
+
+    for names in (["mixed"], ["wide", "none"], ["mixed", "odd"]):
+        rows = [(k, i, v) for k in names for i, v in enumerate(series[k])]
+        df = spark.createDataFrame(rows, "k string, Date int, Close double")
+        got = {(r["k"], r["Date"]): r for r in windows.indicators(df, keys=["k"], ranges=ranges).collect()}
+        assert len(got) == len(rows)
+        for k, i, _ in rows:
+            for n in windows.MA_LENGTHS:
+                want = mean(series[k][max(0, i - n + 1) : i + 1])
+                assert repr(got[k, i][f"MA{n}"]) == repr(want), (k, i, n)
+
+
+def test_margins_are_moved_back_until_frames_are_whole(spark, monkeypatch):
+    """A sample so thin that margins begin too near the bounds; long and short keys, NULLs in keys and order."""
+    monkeypatch.setattr(windows, "LEAST_SAMPLES", 40)
+    monkeypatch.setattr(windows, "SAMPLES_PER_RANGE", 4)
+    df = spark.range(20_000).select(
+        F.when(F.col("id") < 9_000, F.lit("hot")).when(F.col("id") < 9_500, F.lit(None)).otherwise((F.col("id") % 90).cast("string")).alias("k"),
+        F.when(F.col("id") % 1000 > 0, F.col("id") * 7919 % 20_011).alias("t"), F.col("id").alias("event_id"),
+        (F.col("id") % 37).cast("double").alias("v"),
+    )
+    got = windows.rolling(df, ["k"], ["t", "event_id"], 499, lambda w: {"s": F.sum("v").over(w.rowsBetween(-499, 0)), "l": F.lag("v", 499).over(w)}, ranges=9)
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "event_id")
+    want = df.select("event_id", F.sum("v").over(w.rowsBetween(-499, 0)).alias("s"), F.lag("v", 499).over(w).alias("l"))
+    _compare(got, want, ["s", "l"])
+
+
+def test_one_exchange_and_no_checkpoint(spark):
+    """The plan deals the rows out once, by literals; nothing is written for it."""
+    from layercake.plans import inspect
+
+    df = spark.read.parquet(f"{SF_CHECK}/events.parquet").select("event_id", F.col("ts").alias("Date"), F.col("value").alias("Close"))
+    for keys in ([], ["event_id"]):
+        got = windows.indicators(df, keys=keys, tie_break=["event_id"], ranges=6)
+        plan = inspect.physical_plan(got)
+        assert plan.count("Exchange shufflepartitionidpassthrough") == 1 and plan.count("Exchange") == 1
+        assert "from_json" not in plan and "RDDScan" not in plan and plan.count("FileScan parquet") == 1
+        assert "Window" in plan
