@@ -96,18 +96,24 @@ def q_flow_bronze(spark, sf_dir):
 
 @register("flow_silver", _indicator_sql("PARTITION BY event_type"), group="flow")
 def q_flow_silver(spark, sf_dir):
-    """Existing raw snapshot + newly landed JSON -> indicators, verdict, swap."""
+    """Two landings: the first days, some prices wrong; then the rest, with the corrections."""
     configure(spark)
     ev = table(spark, sf_dir, "events")
-    base, new_path = scratch_path(spark, "silver_flow"), scratch_path(spark, "silver_new_json")
-    tables.write_snapshot(ev.filter("ts < TIMESTAMP '2024-01-16'"), base)
-    tables.write_json(ev.filter("(ts < TIMESTAMP '2024-01-16') IS NOT TRUE"), new_path)
-    result, verdict = flows.silver(
-        spark, new_path, base, EVENTS_DDL, keys=["event_type"], date_col="ts",
-        close_col="value", tie_break=["event_id"],
-    )
-    if verdict.first()["validation_status"] != "VALID":
-        raise ValueError("silver validation failed: NULL Close")
+    base = scratch_path(spark, "silver_flow")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    wrong = F.col("event_id") % 500 == 3
+    landings = [
+        ev.where(early).withColumn("value", F.when(wrong, F.col("value") + 1000).otherwise(F.col("value"))),
+        ev.where(~early | wrong),
+    ]
+    for landing in landings:
+        new_path = scratch_path(spark, "silver_new_json")
+        tables.write_json(landing, new_path)
+        result, verdict, _ = flows.silver(
+            spark, new_path, base, EVENTS_DDL, keys=["event_type"], date_col="ts", close_col="value", tie_break=["event_id"],
+        )
+        if verdict.first()["validation_status"] != "VALID":
+            raise ValueError("silver validation failed: NULL Close")
     return result
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.functions import reshape
-from layercake.operators import gold, quality, windows
+from layercake.operators import gold, incremental, quality, windows
 from layercake.sinks import tables
 from layercake.sources import files
 
@@ -70,37 +70,29 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
     return keyed.sparkSession.read.schema(health.schema).parquet(health_path)
 
 
-def silver(spark: SparkSession, new_json: str, snapshot_base: str, json_schema: str,
+def silver(spark: SparkSession, new_json: str, store_base: str, json_schema: str,
            keys: Sequence[str], date_col: str, close_col: str, tie_break: Sequence[str],
-           digits: int | None = 6) -> tuple[DataFrame, DataFrame]:
-    """New raw JSON + the existing raw snapshot -> indicators; returns
-    (indicators read back, verdict row).
-
-    Raw rows are unioned with raw rows (by name) and the indicators are
-    recomputed over the union, so a rerun never mixes raw and derived
-    columns; rows already in the snapshot are not added again.  The new raw
-    snapshot counts once its commit is written.
+           digits: int | None = 6) -> tuple[DataFrame, DataFrame, incremental.Run]:
+    """New raw JSON into a day-partitioned store of indicators; returns
+    (indicators read back, verdict row of the days computed in this run, the run).
+
+    Raw rows meet raw rows, and indicators are computed again only where the
+    new rows reach (see :mod:`layercake.operators.incremental`), so a rerun
+    never mixes raw and derived columns and changes nothing.  A row with
+    known keys, tie-break and date replaces the stored one: corrections
+    count.  Raw rows and indicators become current together.
     """
     new = files.read_json(spark, new_json, "auto", schema=json_schema)
-    old = tables.read_snapshot(spark, snapshot_base)
-    raw = new
-    if old is not None:
-        ids = [*keys, *tie_break, date_col]
-        seen = old.select(*[F.col(c).alias(f"_old_{c}") for c in ids])
-        fresh = new.join(seen, [new[c].eqNullSafe(seen[f"_old_{c}"]) for c in ids], "left_anti")
-        raw = old.unionByName(fresh, allowMissingColumns=True)
-    tables.write_snapshot(raw, snapshot_base)
-    current = tables.read_snapshot(spark, snapshot_base)
-    ind = windows.indicators(
-        current.select(*keys, *tie_break, F.col(date_col).alias("Date"), F.col(close_col).alias("Close")),
-        keys=keys, tie_break=tie_break, digits=digits,
-    )
-    out_path = f"{snapshot_base}_indicators"
-    # Files sorted by series and date (row-group min/max then prune date
-    # ranges); a total order across files would only add a range shuffle.
-    ind.sortWithinPartitions(*keys, F.col("Date").asc_nulls_last()).write.mode("overwrite").parquet(out_path)
-    result = spark.read.parquet(out_path)
-    return result, quality.verdict(result, F.col("Close").isNull())
+    store = incremental.Store(spark, store_base, keys, date_col, close_col, tie_break, digits)
+    run = store.update(new)
+    result = store.indicators()
+    if result is None:  # nothing yet
+        empty = new.limit(0).select(*keys, *tie_break, F.col(date_col).alias("Date"), F.col(close_col).alias("Close"))
+        result = windows.indicators(empty, keys=keys, tie_break=tie_break, digits=digits)
+    parts = tables.current_parts(spark, store_base).get(incremental.INDICATORS, {})
+    written = [parts[d] for d in run.computed]
+    checked = spark.read.schema(result.schema).parquet(*written) if written else result.limit(0)
+    return result, quality.verdict(checked, F.col("Close").isNull()), run
 
 
 def gold_flow(spark: SparkSession, silver_df: DataFrame, dim: DataFrame, rules_sql: str,

@@ -71,7 +71,7 @@ def write_snapshot(df: DataFrame, base: str) -> str:
 _COMMIT_SCHEMA = "number long, path string"
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
+def exists(spark: SparkSession, pattern: str) -> bool:
     """Whether a path (with wildcards) is there; every other failure is raised."""
     try:
         spark.read.schema("x long").parquet(pattern)
@@ -83,8 +83,8 @@ def _exists(spark: SparkSession, pattern: str) -> bool:
 
 
 def _newest_commit(spark: SparkSession, base: str) -> tuple[int, str] | None:
-    if not _exists(spark, f"{base}/{_COMMITS}"):
-        if _exists(spark, f"{base}/v=*"):
+    if not exists(spark, f"{base}/{_COMMITS}"):
+        if exists(spark, f"{base}/v=*"):
             raise RuntimeError(f"{base} holds snapshots but no commit: restore {base}/{_COMMITS} or remove the folders")
         return None
     row = spark.read.schema(_COMMIT_SCHEMA).parquet(f"{base}/{_COMMITS}").orderBy(F.desc("number")).first()
@@ -107,6 +107,37 @@ def read_snapshot(spark: SparkSession, base: str, schema: StructType | None = No
     return reader.parquet(path)
 
 
+# ---------------------------------------------------------- partition manifest
+_PARTS = "parts"
+_PARTS_SCHEMA = "number long, kind string, part string, path string"
+
+
+def commit_parts(spark: SparkSession, base: str, entries: list[tuple[str, str, str]]) -> int:
+    """Make (kind, part, path) entries current, all at once, by appending one numbered file to ``base/parts``.
+
+    Later numbers win; an empty path takes a part out.  Like snapshots,
+    nothing is rewritten, and files that no entry names do not count.  One
+    writer at a time.
+    """
+    number = 1
+    if exists(spark, f"{base}/{_PARTS}"):
+        number += spark.read.schema(_PARTS_SCHEMA).parquet(f"{base}/{_PARTS}").agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+    rows = [(number, *entry) for entry in entries]
+    spark.createDataFrame(rows, _PARTS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/{_PARTS}")
+    return number
+
+
+def current_parts(spark: SparkSession, base: str) -> dict[str, dict[str, str]]:
+    """kind -> part -> path; the driver holds one row per kind and part (a day, say)."""
+    if not exists(spark, f"{base}/{_PARTS}"):
+        return {}
+    newest = spark.read.schema(_PARTS_SCHEMA).parquet(f"{base}/{_PARTS}").groupBy("kind", "part").agg(F.max_by("path", "number").alias("path"))
+    out: dict[str, dict[str, str]] = {}
+    for row in newest.where("path <> ''").collect():
+        out.setdefault(row["kind"], {})[row["part"]] = row["path"]
+    return out
+
+
 # ------------------------------------------------------------------ JSON/K6
 # Spark's JSON default keeps milliseconds only; bronze keeps microseconds.
 TS_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

@@ -40,7 +40,7 @@ def test_silver_rerun_adds_no_row_twice(spark, tmp_dir):
     tables.write_json(rows, new)
     schema = "id bigint, sym string, d timestamp_ntz, p double"
     for _ in range(2):
-        out, _ = flows.silver(spark, new, base, schema, ["sym"], "d", "p", ["id"])
+        out, _, _ = flows.silver(spark, new, base, schema, ["sym"], "d", "p", ["id"])
         assert out.count() == 6
 
 
