@@ -55,13 +55,9 @@ def bronze(raw: DataFrame, out_root: str, group_cols: Sequence[Column], layout_c
     # Every output is partitioned like the data and written with dynamic
     # partition overwrite, so re-landing a day replaces that day's rows,
     # snapshots and health stats instead of duplicating them.
-    tables.write_layout(keyed, data_path, list(layout_cols))
     # Snapshots and health cover this run's groups only: earlier days keep the
-    # schema and the counts they were landed with.
-    run = keyed.select(*[F.col(c).alias(f"_run_{c}") for c in layout_cols]).distinct()
-    every = keyed.sparkSession.read.schema(keyed.schema).parquet(data_path)
-    same = [every[c].eqNullSafe(run[f"_run_{c}"]) for c in layout_cols]
-    landed = every.join(run, same, "left_semi")
+    # schema and the counts they were landed with, and are not read.
+    landed = tables.land_layout(keyed, data_path, list(layout_cols))
     tables.write_layout(tables.schema_snapshots(landed, list(layout_cols)), meta_path, list(layout_cols))
     health = quality.health(landed, list(layout_cols), data_cols)
     tables.write_layout(health, health_path, list(layout_cols))

@@ -11,7 +11,7 @@ import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -200,6 +200,32 @@ def write_layout(
     return path
 
 
+_PART_TEXT = "\x1f"
+
+
+def _part_text(cols: list[str]) -> Column:
+    """A row's partition as one text (NULL is told from every value)."""
+    return F.concat_ws(_PART_TEXT, *[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols])
+
+
+def land_layout(df: DataFrame, path: str, partition_cols: list[str], **kw) -> DataFrame:
+    """:func:`write_layout`, and what it wrote read back: the partitions of this run alone.
+
+    The write itself reports the partitions it meets (an observed set, as
+    many texts as folders written), so the input is read once.  They become
+    literals of a partition filter: reading back costs the run, whatever the
+    layout holds besides.
+    """
+    back = df.sparkSession.read.schema(df.schema)
+    if df.isEmpty():  # a frame that is empty by its plan reports nothing
+        write_layout(df, path, partition_cols, **kw)
+        return back.parquet(path).limit(0)
+    seen = Observation()
+    observed = df.observe(seen, F.collect_set(_part_text(partition_cols)).alias("parts"))
+    write_layout(observed, path, partition_cols, **kw)
+    return back.parquet(path).where(_part_text(partition_cols).isin(seen.get["parts"]))
+
+
 # ------------------------------------------------------------------------ K7
 def schema_snapshots(df: DataFrame, keys: list[str]) -> DataFrame:
     """One schema row per key group present in ``df`` (e.g. day x dataset).

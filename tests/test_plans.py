@@ -65,3 +65,23 @@ def test_serving_prunes_day_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-29" in plan
     want = serving.field_points(pts, "2024-01-31 00:00:00", "2 days")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_landing_a_day_reads_that_day(spark, tmp_dir):
+    """Bronze prunes to the run's partitions by literals: two runs read two days, not three."""
+    from pyspark.sql import functions as F
+
+    from layercake.sinks import tables
+
+    def day(d, kinds):
+        return spark.createDataFrame([(i, d, k) for i in range(5) for k in kinds], "id int, dt string, dataset string")
+
+    first = tables.land_layout(day("2024-01-01", ["a", None]), tmp_dir, ["dt", "dataset"])
+    second = tables.land_layout(day("2024-01-02", ["a", "b=c", "d e"]), tmp_dir, ["dt", "dataset"])
+    plan = inspect.physical_plan(second)
+    assert "PartitionFilters: [" in plan and "2024-01-02" in plan and "2024-01-01" not in plan
+    rows = {(r["dt"], r["dataset"]): r["count"] for f in (first, second) for r in f.groupBy("dt", "dataset").count().collect()}
+    assert rows == {("2024-01-01", "a"): 5, ("2024-01-01", None): 5, **{("2024-01-02", k): 5 for k in ("a", "b=c", "d e")}}
+    files = second.select(F.input_file_name()).distinct().collect()
+    assert files and all("dt=2024-01-02" in f[0] for f in files)
+    assert tables.land_layout(day("2024-01-03", []), tmp_dir, ["dt", "dataset"]).count() == 0
