@@ -128,6 +128,12 @@ def round_ema(col: str | Column, digits: int) -> Column:
     return round_half_up(round_half_up(col, digits + 3), digits)
 
 
+def _frame_values(value: str | Column, w: WindowSpec, length: int) -> Column:
+    """The last ``length`` readings, oldest first; a NULL reading keeps its place."""
+    x = F.col(value) if isinstance(value, str) else value
+    return F.transform(F.collect_list(F.struct(x.alias("x"))).over(w.rowsBetween(-(length - 1), 0)), lambda s: s["x"])
+
+
 def trailing_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -137,14 +143,15 @@ def trailing_window(
     out: str = "window",
     **layout,
 ) -> DataFrame:
-    """Last ``length`` values per key (oldest first) and ``prediction_ready``.
+    """Last ``length`` readings per key (oldest first) and ``prediction_ready``.
 
     ``collect_list`` over a bounded ROWS frame keeps frame order, so the
-    array is the truncated sliding window the streaming scorer keeps.
+    array is the truncated sliding window the streaming scorer keeps.  A
+    NULL reading is an element of it, as it is a row of a ROWS frame.
     """
 
     def cols(w: WindowSpec) -> dict[str, Column]:
-        return {out: F.collect_list(value).over(w.rowsBetween(-(length - 1), 0))}
+        return {out: _frame_values(value, w, length)}
 
     res = rolling(df, keys, order, length - 1, cols, **layout)
     return res.withColumns(
@@ -186,7 +193,9 @@ def score_sequences(
 
     Every input row yields ``kind='warmup'`` (fewer than ``length`` values
     seen) or ``kind='prediction'``; a prediction with
-    ``|observed - prediction| > threshold`` adds a ``kind='alert'`` row.
+    ``|observed - prediction| > threshold`` adds a ``kind='alert'`` row.  A
+    NULL reading takes a place in the window, which then has no prediction;
+    with a NaN one the prediction is NaN.  Neither alerts.
     ``scorer(value, window, length)`` returns the prediction column; the
     default is the linear fixture scorer.  A model scorer can be plugged in
     with :func:`model_scorer` (Arrow batches, model loaded once per worker).
@@ -204,7 +213,8 @@ def score_sequences(
     pred = F.when(ready, F.col("prediction"))
     if digits is not None:
         pred = round_half_up(pred, digits)
-    alert = ready & (F.abs(F.col(value) - F.col("prediction")) > F.lit(threshold))
+    gap = F.abs(F.col(value) - F.col("prediction"))
+    alert = ready & ~F.isnan(gap) & (gap > F.lit(threshold))  # NaN is the greatest double in SQL
     kinds = F.when(alert, F.array(F.lit("prediction"), F.lit("alert"))).otherwise(
         F.array(F.when(ready, F.lit("prediction")).otherwise(F.lit("warmup")))
     )
@@ -230,11 +240,14 @@ def model_scorer(make_predict_fn: Callable, length: int = SEQUENCE_LENGTH, batch
     )
 
     def scorer(value: str, w: WindowSpec, n: int) -> Column:
-        window = F.collect_list(F.col(value).cast("double")).over(w.rowsBetween(-(n - 1), 0))
+        window = _frame_values(F.col(value).cast("double"), w, n)
         # Fixed-width tensors: short (warm-up) windows are left-padded with
-        # zeros; their predictions are masked by score_sequences.
+        # zeros; their predictions are masked by score_sequences.  So are
+        # those of windows with gaps, which the model never sees.
+        known = F.transform(window, lambda x: F.when(x.isNull() | F.isnan(x), 0.0).otherwise(x))
         pad = F.array_repeat(F.lit(0.0), F.lit(n) - F.size(window))
-        return udf(F.concat(pad, window))
+        made = F.when(F.exists(window, lambda x: F.isnan(x)), float("nan")).otherwise(udf(F.concat(pad, known)))
+        return F.when(~F.exists(window, lambda x: x.isNull()), made)
 
     return scorer
 

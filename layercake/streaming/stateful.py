@@ -1,12 +1,22 @@
 """Keyed stateful stream operators (``applyInPandasWithState`` or ``transformWithStateInPandas``).
 
-State per device is tiny (the last EMA, or the last N readings); each
+State per device is small (the last EMA, or the last N readings); each
 micro-batch hands a device's new rows to one pandas call, which orders them
 by event time then id, continues the recurrence vectorised with numpy, and
-updates the state.  Across micro-batches rows are taken in arrival order;
-within one they are ordered, so files that arrive in time order reproduce
-the batch operators exactly.  The RocksDB state store (set by
+updates the state.  The RocksDB state store (set by
 :func:`layercake.session.configure`) keeps state off-heap and checkpointed.
+
+Order of rows.  With a ``delay``, rows wait in the device's state until the
+watermark passes them, and are released in event order by rows or by a
+timer: files may arrive in any order within the delay, and results do not
+depend on how they are cut into micro-batches.  Rows later than the delay
+are dropped, as by every watermark; rows without a time have no place in a
+series and come out at once, with NULL results.  Without a ``delay`` rows
+are ordered within a micro-batch and taken in arrival order across them.
+
+One reading rule, the same as in batch (:mod:`layercake.operators.sequences`):
+a NULL reading takes a place in every window and has no value, a NaN one has
+the value NaN.
 """
 
 from __future__ import annotations
@@ -16,13 +26,17 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DoubleType,
+    FloatType,
     IntegerType,
     StringType,
     StructField,
@@ -31,6 +45,11 @@ from pyspark.sql.types import (
 
 from layercake.operators.sequences import EMA_ALPHA, EMA_THRESHOLD, SCORE_THRESHOLD, SEQUENCE_LENGTH
 
+# Names without a leading underscore: the transform API renames such columns.
+_TIME = "lc_time"
+_MISSING = "lc_missing_"  # + column: whether its double is NULL (pandas cannot tell it from NaN)
+_NO_TIME = np.iinfo(np.int64).min
+
 
 def ema_continue(x: np.ndarray, start: float, alpha: float) -> np.ndarray:
     """EMA of ``x`` continuing from ``start``: ``s = (1-a)*s + a*x`` per reading.
@@ -44,208 +63,292 @@ def ema_continue(x: np.ndarray, start: float, alpha: float) -> np.ndarray:
     return np.fromiter(steps, dtype=np.float64, count=len(x) + 1)[1:]
 
 
-def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    chunks = list(rows)
-    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    # lexsort: last key is primary; numpy avoids pandas' per-call sort overhead.
-    idx = np.lexsort([pdf[c].to_numpy() for c in reversed(list(order))])
-    return pdf.take(idx).reset_index(drop=True)
+def _doubles(values: np.ndarray, missing: np.ndarray) -> pd.arrays.FloatingArray:
+    """Doubles in which NULL and NaN differ."""
+    return pd.arrays.FloatingArray(np.ascontiguousarray(values, dtype=np.float64), np.ascontiguousarray(missing, dtype=bool))
 
 
-def _state_value(state, default):
-    """One round trip: ``get`` returns None when the key has no state yet."""
-    got = state.get()
-    return default if got is None else got[0]
+def _pack(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
-class EmaAnomalyProcessor(StatefulProcessor):
-    """State: the device's EMA (0 before its first reading)."""
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(packed)).read_all().to_pandas()
 
-    def __init__(self, value: str, order: Sequence[str], passthrough: Sequence[str],
-                 alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD):
-        self.value, self.order, self.passthrough = value, list(order), list(passthrough)
-        self.alpha, self.threshold = alpha, threshold
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("ema", StructType([StructField("ema", DoubleType())]))
+class _Steps:
+    """A recurrence over one device's rows: ``step(ordered rows, state)`` gives (output, new state)."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows, self.order)
-        pdf = pdf[pdf[self.value].notna()]
-        if pdf.empty:
-            return
-        prev = _state_value(self.state, 0.0)
-        x = pdf[self.value].to_numpy(dtype=np.float64)
-        ema = ema_continue(x, prev, self.alpha)
-        self.state.update((float(ema[-1]),))
-        out = pdf[self.passthrough].copy()
-        out["ema"] = ema
-        out["alert"] = np.abs(x - ema) > self.threshold
-        yield out
+    fields: list[StructField]
+    initial: tuple
 
-    def close(self) -> None:
-        pass
+    def __init__(self, value: str, passthrough: Sequence[str], doubles: Sequence[str]):
+        self.value, self.passthrough, self.doubles = value, list(passthrough), set(doubles)
 
+    def readings(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        missing = rows[_MISSING + self.value].to_numpy(dtype=bool)
+        return np.where(missing, 0.0, rows[self.value].to_numpy(dtype=np.float64)), missing
 
-class TrailingProcessor(StatefulProcessor):
-    """State: the device's last ``keep`` readings (oldest first).
+    def passed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        out = rows[self.passthrough].reset_index(drop=True)
+        for c in self.passthrough:
+            if c in self.doubles:
+                out[c] = _doubles(rows[c].to_numpy(), rows[_MISSING + c].to_numpy(dtype=bool))
+        return out
 
-    ``mode='features'`` emits lag-1 and the ``roll``-row mean; ``mode='score'``
-    emits warm-up / prediction / alert records of the linear sequence scorer.
-    """
 
-    def __init__(self, value: str, order: Sequence[str], passthrough: Sequence[str], mode: str,
-                 length: int = SEQUENCE_LENGTH, roll: int = 5, threshold: float = SCORE_THRESHOLD):
-        self.value, self.order, self.passthrough = value, list(order), list(passthrough)
-        self.mode, self.length, self.roll, self.threshold = mode, length, roll, threshold
-        self.keep = (length if mode == "score" else roll) - 1
+class EmaSteps(_Steps):
+    """State: the device's EMA (0 before its first reading).  Rows with a NULL reading are left out."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "buf", StructType([StructField("buf", ArrayType(DoubleType()))])
-        )
+    fields = [StructField("ema", DoubleType())]
+    initial = (0.0,)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows, self.order)
-        if pdf.empty:
-            return
-        buf = list(_state_value(self.state, []))
-        x = pdf[self.value].to_numpy(dtype=np.float64)
-        full = np.concatenate([np.asarray(buf, dtype=np.float64), x])
-        base = len(buf)
-        self.state.update((full[-self.keep :].tolist() if self.keep else [],))
-        if self.mode == "features":
-            yield self._features(pdf, full, base)
-        else:
-            yield self._score(pdf, full, base)
-
-    def _features(self, pdf: pd.DataFrame, full: np.ndarray, base: int) -> pd.DataFrame:
-        idx = np.arange(base, len(full))
-        out = pdf[self.passthrough].copy()
-        lag = pd.array(full[np.maximum(idx - 1, 0)], dtype="Float64")
-        lag[idx == 0] = pd.NA  # a device's first reading has no lag: NULL, not NaN
-        out["temp_lag_1"] = lag
-        csum = np.concatenate([[0.0], np.cumsum(full)])
-        lo = np.maximum(idx + 1 - self.roll, 0)
-        out[f"temp_roll_mean_{self.roll}"] = (csum[idx + 1] - csum[lo]) / (idx + 1 - lo)
+    def __init__(self, value, passthrough, doubles, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD):
+        super().__init__(value, passthrough, doubles)
+        self.alpha, self.threshold = alpha, threshold
+
+    def step(self, rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame | None, tuple]:
+        rows = rows[~rows[_MISSING + self.value].to_numpy(dtype=bool)]
+        if rows.empty:
+            return None, state
+        x, _ = self.readings(rows)
+        ema = ema_continue(x, state[0], self.alpha)
+        out = self.passed(rows)
+        out["ema"] = _doubles(ema, np.zeros(len(ema), bool))
+        with np.errstate(invalid="ignore"):
+            out["alert"] = np.abs(x - ema) > self.threshold
+        return out, (float(ema[-1]),)
+
+    def untimed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        out = self.passed(rows)
+        out["ema"] = _doubles(np.zeros(len(out)), np.ones(len(out), bool))
+        out["alert"] = pd.array([pd.NA] * len(out), dtype="boolean")
+        return out
+
+
+class TrailingSteps(_Steps):
+    """State: the device's last readings (oldest first) and which of them are NULL.
+
+    ``mode='features'`` gives lag-1 and the ``roll``-row mean; ``mode='score'``
+    warm-up / prediction / alert records of the linear sequence scorer.
+    """
+
+    fields = [StructField("buf", ArrayType(DoubleType())), StructField("missing", ArrayType(BooleanType()))]
+    initial = ([], [])
+
+    def __init__(self, value, passthrough, doubles, mode: str, length: int = SEQUENCE_LENGTH, roll: int = 5,
+                 threshold: float = SCORE_THRESHOLD):
+        super().__init__(value, passthrough, doubles)
+        self.mode, self.length, self.roll, self.threshold = mode, length, roll, threshold
+        self.keep = max((length if mode == "score" else roll) - 1, 1)
+
+    def step(self, rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame | None, tuple]:
+        x, missing = self.readings(rows)
+        base = len(state[0])
+        full = np.concatenate([np.asarray(state[0], dtype=np.float64), x])
+        gone = np.concatenate([np.asarray(state[1], dtype=bool), missing])
+        made = self._features if self.mode == "features" else self._score
+        with np.errstate(invalid="ignore", over="ignore"):
+            out = made(self.passed(rows), full, gone, base)
+        return out, (full[-self.keep :].tolist(), gone[-self.keep :].tolist())
+
+    def _frames(self, full: np.ndarray, gone: np.ndarray, base: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The last n readings at each new row, which of them are NULL, and which lie before the first."""
+        at = np.arange(base, len(full))
+        view = np.lib.stride_tricks.sliding_window_view
+        values = view(np.concatenate([np.zeros(n - 1), full]), n)[at]
+        missing = view(np.concatenate([np.zeros(n - 1, bool), gone]), n)[at]
+        before = np.arange(n) < (n - 1 - at)[:, None]
+        return values, missing, before
+
+    def _features(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, base: int) -> pd.DataFrame:
+        at = np.arange(base, len(full))
+        last = np.maximum(at - 1, 0)
+        out["temp_lag_1"] = _doubles(full[last], gone[last] | (at == 0))
+        values, missing, before = self._frames(full, gone, base, self.roll)
+        none = missing | before
+        count = (~none).sum(axis=1)
+        mean = np.where(none, 0.0, values).sum(axis=1) / np.maximum(count, 1)
+        out[f"temp_roll_mean_{self.roll}"] = _doubles(mean, count == 0)
         return out
 
-    def _score(self, pdf: pd.DataFrame, full: np.ndarray, base: int) -> pd.DataFrame:
+    def _score(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, base: int) -> pd.DataFrame:
         n = self.length
-        idx = np.arange(base, len(full))
-        window_len = np.minimum(idx + 1, n)
-        weights = np.arange(1, n + 1, dtype=np.float64)
-        padded = np.concatenate([np.full(n - 1, np.nan), full])
-        views = np.lib.stride_tricks.sliding_window_view(padded, n)[idx]
-        pred = views @ weights / float(n * (n + 1) / 2)
-        ready = window_len == n
-        x = full[idx]
-        out = pdf[self.passthrough].copy()
-        out["window_len"] = window_len.astype(np.int32)
-        masked = pd.array(np.where(ready, pred, 0.0), dtype="Float64")
-        masked[~ready] = pd.NA  # warm-up rows have no prediction: NULL, not NaN
-        out["prediction"] = masked
-        out["observed"] = x
+        values, missing, before = self._frames(full, gone, base, n)
+        ready = ~before.any(axis=1)
+        prediction = values @ np.arange(1, n + 1, dtype=np.float64) / float(n * (n + 1) / 2)
+        unknown = ~ready | missing.any(axis=1)
+        out["window_len"] = (n - before.sum(axis=1)).astype(np.int32)
+        out["prediction"] = _doubles(np.where(unknown, 0.0, prediction), unknown)
+        out["observed"] = _doubles(full[base:], gone[base:])
         out["kind"] = np.where(ready, "prediction", "warmup")
-        alerts = out[ready & (np.abs(x - np.where(ready, pred, 0.0)) > self.threshold)].copy()
+        alerts = out[~unknown & (np.abs(full[base:] - prediction) > self.threshold)].copy()
         alerts["kind"] = "alert"
         return pd.concat([out, alerts], ignore_index=True)
 
-    def close(self) -> None:
-        pass
+    def untimed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        out = self.passed(rows)
+        none = _doubles(np.zeros(len(out)), np.ones(len(out), bool))
+        if self.mode == "features":
+            return out.assign(**{"temp_lag_1": none, f"temp_roll_mean_{self.roll}": none})
+        x, missing = self.readings(rows)
+        empty = pd.array([pd.NA] * len(out), dtype="Int32")
+        return out.assign(window_len=empty, prediction=none, observed=_doubles(x, missing), kind="warmup")
 
 
-class _InBandState:
-    """Adapter: GroupState behind the ValueState calls the processors use."""
+def _times(rows: pd.DataFrame) -> np.ndarray:
+    """Event times in microseconds; _NO_TIME where there is none."""
+    return rows[_TIME].to_numpy(dtype="datetime64[us]").view(np.int64)
 
-    def __init__(self, group_state):
-        self.gs = group_state
 
-    def get(self):
-        return self.gs.get if self.gs.exists else None
+def _released(rows: pd.DataFrame, order: Sequence[str], watermark: int | None) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
+    """(rows to take now in event order, rows that wait, rows without a time)."""
+    if watermark is None:
+        now, wait, untimed = rows, rows.iloc[:0], rows.iloc[:0]
+    else:
+        t = _times(rows)
+        due = t <= watermark * 1000
+        now, wait, untimed = rows[due & (t != _NO_TIME)], rows[~due], rows[t == _NO_TIME]
+    # lexsort: the last key is the primary one; numpy avoids pandas' per-call overhead.
+    return now.take(np.lexsort([now[c].to_numpy() for c in reversed(list(order))])), wait, untimed
 
-    def update(self, value):
-        self.gs.update(value)
 
+def _wake(wait: pd.DataFrame, watermark: int) -> int:
+    """When (in milliseconds of the watermark) the first waiting row can go."""
+    return max(int(_times(wait).min()) // 1000, watermark) + 1
 
-def _grouped(processor: StatefulProcessor):
-    def run(key, pdfs, group_state):
-        processor.state = _InBandState(group_state)
-        yield from processor.handleInputRows(key, pdfs, None)
 
-    return run
+class KeyedProcessor(StatefulProcessor):
+    """The steps on ``transformWithStateInPandas``: value state, list state of waiting rows (packed per
+    micro-batch), event-time timers."""
+
+    def __init__(self, steps: _Steps, order: Sequence[str], delayed: bool):
+        self.steps, self.order, self.delayed = steps, list(order), delayed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", StructType(self.steps.fields))
+        if self.delayed:
+            self.waiting = handle.getListState("waiting", StructType([StructField("rows", BinaryType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._advance(list(rows), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance([], timerValues)
 
+    def _advance(self, chunks: list[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        watermark = timers.getCurrentWatermarkInMs() if self.delayed else None
+        held = [_unpack(row[0]) for row in self.waiting.get()] if self.delayed and self.waiting.exists() else []
+        if not held and not chunks:
+            return
+        now, wait, untimed = _released(pd.concat([*held, *chunks], ignore_index=True), self.order, watermark)
+        if self.delayed:
+            if len(wait):
+                self.waiting.put([(_pack(wait),)])
+                self.handle.registerTimer(_wake(wait, watermark))
+            else:
+                self.waiting.clear()
+        if len(untimed):
+            yield self.steps.untimed(untimed)
+        if len(now):
+            out, state = self.steps.step(now, self.state.get() or self.steps.initial)
+            self.state.update(state)
+            if out is not None:
+                yield out
+
+    def close(self) -> None:
+        pass
+
+
+def _grouped(steps: _Steps, order: Sequence[str], delayed: bool):
+    """The steps on ``applyInPandasWithState``; waiting rows travel with the state."""
+    width = len(steps.fields)
 
-def _schema(df: DataFrame, cols: Sequence[str], extra: Sequence[StructField]) -> StructType:
-    return StructType([df.schema[c] for c in cols] + list(extra))
+    def run(key, pdfs, group):
+        state, packed = (group.get[:width], group.get[width]) if group.exists else (steps.initial, None)
+        watermark = group.getCurrentWatermarkMs() if delayed else None
+        chunks = ([_unpack(packed)] if packed else []) + ([] if group.hasTimedOut else list(pdfs))
+        if not chunks:
+            return
+        now, wait, untimed = _released(pd.concat(chunks, ignore_index=True), order, watermark)
+        if len(untimed):
+            yield steps.untimed(untimed)
+        if len(now):
+            out, state = steps.step(now, state)
+            if out is not None:
+                yield out
+        group.update((*state, _pack(wait) if len(wait) else None))
+        if len(wait):
+            group.setTimeoutTimestamp(_wake(wait, watermark))
+
+    return run
 
 
-def _run_keyed(df: DataFrame, key: str, processor: StatefulProcessor, out: StructType,
-               state: StructType, api: str) -> DataFrame:
-    """Apply ``processor`` per key with the chosen state API.
+def _run_keyed(df: DataFrame, key: str, order: Sequence[str], steps: _Steps, out: StructType, api: str,
+               delay: str | None) -> DataFrame:
+    """Apply ``steps`` per key with the chosen state API.
 
     ``api="grouped"`` (default) uses ``applyInPandasWithState``: the state
     travels in-band with each group's Arrow batch, about twice as fast as
     ``api="transform"`` (``transformWithStateInPandas``), whose state calls
     are separate round trips, when keys are many and state is small.
     """
+    df = df.withColumns({_MISSING + c: F.col(c).isNull() for c in {*steps.doubles, steps.value}})
+    if delay:
+        df = df.withColumn(_TIME, F.col(order[0]).cast("timestamp")).withWatermark(_TIME, delay)
     if api == "grouped":
-        return df.groupBy(key).applyInPandasWithState(
-            _grouped(processor), out, state, "append", GroupStateTimeout.NoTimeout
-        )
+        state = StructType([*steps.fields, StructField("waiting", BinaryType())])
+        timeout = GroupStateTimeout.EventTimeTimeout if delay else GroupStateTimeout.NoTimeout
+        return df.groupBy(key).applyInPandasWithState(_grouped(steps, list(order), bool(delay)), out, state, "append", timeout)
     if api == "transform":
         return df.groupBy(key).transformWithStateInPandas(
-            statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="None"
+            statefulProcessor=KeyedProcessor(steps, order, bool(delay)), outputStructType=out, outputMode="Append",
+            timeMode="EventTime" if delay else "None",
         )
     raise ValueError(f"unknown state api {api!r}")
 
 
-_EMA_STATE = StructType([StructField("ema", DoubleType())])
-_BUF_STATE = StructType([StructField("buf", ArrayType(DoubleType()))])
+def _keyed(df: DataFrame, key, order, value, passthrough, made, extra: list[StructField], api, delay) -> DataFrame:
+    doubles = [c for c in passthrough if isinstance(df.schema[c].dataType, (DoubleType, FloatType))]
+    out = StructType([df.schema[c] for c in passthrough] + extra)
+    return _run_keyed(df, key, order, made(value, passthrough, doubles), out, api, delay)
 
 
-def stream_ema_anomalies(df: DataFrame, key: str, order: Sequence[str], value: str,
-                         passthrough: Sequence[str], api: str = "grouped", **kw) -> DataFrame:
+def stream_ema_anomalies(df: DataFrame, key: str, order: Sequence[str], value: str, passthrough: Sequence[str],
+                         api: str = "grouped", delay: str | None = None, **kw) -> DataFrame:
     """Streaming twin of :func:`layercake.operators.sequences.ema_anomalies`."""
-    schema = _schema(df, passthrough, [StructField("ema", DoubleType()), StructField("alert", BooleanType())])
-    return _run_keyed(df, key, EmaAnomalyProcessor(value, order, passthrough, **kw), schema, _EMA_STATE, api)
+    extra = [StructField("ema", DoubleType()), StructField("alert", BooleanType())]
+    return _keyed(df, key, order, value, passthrough, lambda *a: EmaSteps(*a, **kw), extra, api, delay)
 
 
-def stream_lag_features(df: DataFrame, key: str, order: Sequence[str], value: str,
-                        passthrough: Sequence[str], roll: int = 5, api: str = "grouped") -> DataFrame:
+def stream_lag_features(df: DataFrame, key: str, order: Sequence[str], value: str, passthrough: Sequence[str],
+                        roll: int = 5, api: str = "grouped", delay: str | None = None) -> DataFrame:
     """Streaming twin of :func:`layercake.operators.sequences.lag_features`."""
-    schema = _schema(
-        df, passthrough,
-        [StructField("temp_lag_1", DoubleType()), StructField(f"temp_roll_mean_{roll}", DoubleType())],
-    )
-    proc = TrailingProcessor(value, order, passthrough, "features", roll=roll)
-    return _run_keyed(df, key, proc, schema, _BUF_STATE, api)
+    extra = [StructField("temp_lag_1", DoubleType()), StructField(f"temp_roll_mean_{roll}", DoubleType())]
+    return _keyed(df, key, order, value, passthrough, lambda *a: TrailingSteps(*a, "features", roll=roll), extra, api, delay)
 
 
-def stream_score_sequences(df: DataFrame, key: str, order: Sequence[str], value: str,
-                           passthrough: Sequence[str], length: int = SEQUENCE_LENGTH,
-                           api: str = "grouped") -> DataFrame:
+def stream_score_sequences(df: DataFrame, key: str, order: Sequence[str], value: str, passthrough: Sequence[str],
+                           length: int = SEQUENCE_LENGTH, api: str = "grouped", delay: str | None = None) -> DataFrame:
     """Streaming twin of :func:`layercake.operators.sequences.score_sequences`."""
-    schema = _schema(
-        df, passthrough,
-        [
-            StructField("window_len", IntegerType()),
-            StructField("prediction", DoubleType()),
-            StructField("observed", DoubleType()),
-            StructField("kind", StringType()),
-        ],
-    )
-    proc = TrailingProcessor(value, order, passthrough, "score", length=length)
-    return _run_keyed(df, key, proc, schema, _BUF_STATE, api)
+    extra = [
+        StructField("window_len", IntegerType()), StructField("prediction", DoubleType()),
+        StructField("observed", DoubleType()), StructField("kind", StringType()),
+    ]
+    return _keyed(df, key, order, value, passthrough, lambda *a: TrailingSteps(*a, "score", length=length), extra, api, delay)
 
 
 __all__ = [
-    "EmaAnomalyProcessor",
-    "TrailingProcessor",
+    "EmaSteps",
+    "KeyedProcessor",
+    "TrailingSteps",
     "ema_continue",
     "stream_ema_anomalies",
     "stream_lag_features",
     "stream_score_sequences",
 ]
-
-

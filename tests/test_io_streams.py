@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from layercake.functions import events as ev
@@ -346,3 +347,93 @@ def test_event_time_with_offset_is_normalised(spark):
     assert [str(r["time"]) for r in pts] == ["2024-01-01 00:00:00"]
     parsed = ev.parse_events(df).first()
     assert str(parsed["event_time"]) == "2024-01-01 00:00:00" and parsed["temperature"] == 20.5
+
+
+# One reading rule: NULL, NaN, spikes and late files, in batch and stream.
+
+
+def _gappy(spark, with_nan=True):
+    """Two devices: NULL runs, NaN, a 1e20 spike, equal times."""
+    x = F.col("id")
+    value = (
+        F.when(x % 37 < 2, F.lit(None)).when((x == 61) | (x == 200), F.lit(float("nan") if with_nan else 5.0))
+        .when(x == 120, F.lit(1e20)).otherwise(F.round(F.sin(x.cast("double")) * 20, 3))
+    )
+    return spark.range(400).select(
+        F.concat(F.lit("d"), (x % 3 == 0).cast("string")).alias("device_id"), x.alias("event_id"),
+        F.expr("timestamp_ntz '2024-03-01' + make_dt_interval(0, 0, CAST(id DIV 2 AS INT))").alias("ts"),
+        value.alias("temperature"), F.when(x % 5 > 0, x * 0.5).alias("humidity"),
+    )
+
+
+def _shape(rows, columns):
+    def text(v):
+        return f"{v:.9g}" if isinstance(v, float) else str(v)
+
+    return sorted(" ".join(f"{c}={text(r[c])}" for c in columns) for r in rows)
+
+
+def _streamed(spark, tmp_dir, df, per_trigger, make, name, files=16):
+    """Land rows in ``files`` files, each with a slice of time but rows swapped with the next file; then an end marker."""
+    src = os.path.join(tmp_dir, "src")
+    if not os.path.exists(src):
+        slot = F.floor(F.col("event_id") * files / 400)
+        moved = F.when((F.col("event_id") % 7 == 0) & (slot < files - 1), slot + 1).otherwise(slot).cast("int")
+        for i in range(files):
+            df.withColumn("w", moved).where(F.col("w") == i).drop("w").coalesce(1).write.mode("append").parquet(src)
+        end = df.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]).withColumn(
+            "ts", F.expr("timestamp_ntz '2025-01-01'"))
+        end.coalesce(1).write.mode("append").parquet(src)
+    out = os.path.join(tmp_dir, name)
+    stream = make(io.file_source(spark, src, "parquet", df.schema, max_files_per_trigger=per_trigger))
+    io.run_available(stream, io.parquet_batch_writer(out), out + "_ck", state_partitions=2)
+    return io.read_batches(spark, out).where("event_id IS NOT NULL").collect()
+
+
+ORDER = ["ts", "event_id"]
+
+
+@pytest.mark.parametrize("api, per_trigger", [("grouped", 1), ("grouped", 4), ("grouped", 16), ("transform", 4)])
+def test_streams_with_gaps_and_late_files_equal_batch(spark, tmp_dir, api, per_trigger):
+    df = _gappy(spark).cache()
+    kept = ["device_id", "event_id", "temperature", "humidity"]
+    features = [*kept, "temp_lag_1", "temp_roll_mean_5"]
+    got = _streamed(spark, tmp_dir, df, per_trigger, lambda s: stateful.stream_lag_features(
+        s, "device_id", ORDER, "temperature", kept, api=api, delay="2 minutes"), "features")
+    assert _shape(got, features) == _shape(sequences.lag_features(df, ["device_id"], ORDER, "temperature").collect(), features)
+
+    scored = ["device_id", "event_id", "window_len", "prediction", "observed", "kind"]
+    got = _streamed(spark, tmp_dir, df, per_trigger, lambda s: stateful.stream_score_sequences(
+        s, "device_id", ORDER, "temperature", kept[:2], api=api, delay="2 minutes"), "score")
+    assert _shape(got, scored) == _shape(sequences.score_sequences(df, ["device_id"], ORDER, "temperature").collect(), scored)
+
+    smooth = ["device_id", "event_id", "ema", "alert"]
+    clean = _gappy(spark, with_nan=False)
+    got = _streamed(spark, tmp_dir, df, per_trigger, lambda s: stateful.stream_ema_anomalies(
+        s.where("temperature IS NULL OR NOT isnan(temperature)"), "device_id", ORDER, "temperature", kept, api=api, delay="2 minutes"), "ema")
+    want = sequences.ema_anomalies(clean.where("event_id NOT IN (61, 200)"), ["device_id"], ORDER, "temperature").collect()
+    assert _shape(got, smooth) == _shape(want, smooth)
+
+
+def test_model_and_default_scorer_agree_on_gaps(spark):
+    from layercake.plans.sequence_keys import load_weights
+
+    df = _gappy(spark)
+    default = sequences.score_sequences(df, ["device_id"], ORDER, "temperature").collect()
+    model = sequences.score_sequences(df, ["device_id"], ORDER, "temperature", scorer=sequences.model_scorer(load_weights)).collect()
+    columns = ["event_id", "window_len", "prediction", "observed", "kind"]
+    assert _shape(default, columns) == _shape(model, columns)
+    nan = [r for r in default if r["prediction"] is not None and r["prediction"] != r["prediction"]]
+    assert nan and all(r["kind"] == "prediction" for r in nan)
+    windows = sequences.trailing_window(df, ["device_id"], ORDER, "temperature").collect()
+    assert max(r["window_len"] for r in windows) == 20 and any(None in r["window"] for r in windows if r["window_len"] == 20)
+
+
+def test_rows_without_a_time_come_out_at_once(spark, tmp_dir):
+    df = _gappy(spark).where("event_id < 30").withColumn("ts", F.when(F.col("event_id") != 9, F.col("ts")))
+    got = _streamed(spark, tmp_dir, df, 1, lambda s: stateful.stream_lag_features(
+        s, "device_id", ORDER, "temperature", ["device_id", "event_id"], delay="2 minutes"), "out", files=2)
+    rest = sequences.lag_features(df.where("ts IS NOT NULL"), ["device_id"], ORDER, "temperature").collect()
+    columns = ["device_id", "event_id", "temp_lag_1", "temp_roll_mean_5"]
+    assert _shape([r for r in got if r["event_id"] != 9], columns) == _shape(rest, columns)
+    assert [(r["temp_lag_1"], r["temp_roll_mean_5"]) for r in got if r["event_id"] == 9] == [(None, None)]
