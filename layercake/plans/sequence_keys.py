@@ -102,6 +102,30 @@ def q_sequence_score(spark, sf_dir):
     return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
 
 
+# Readings with gaps: NULL, NaN and a spike at fixed events.
+GAPS_SQL = """CASE WHEN event_id % 97 = 5 THEN NULL WHEN event_id % 389 = 7 THEN CAST('NaN' AS DOUBLE)
+                   WHEN event_id % 1009 = 11 THEN 1e4 ELSE value END"""
+
+
+def gappy_readings(spark, sf_dir):
+    return readings(spark, sf_dir).withColumn("temperature", F.expr(GAPS_SQL.replace("value", "temperature")))
+
+
+def _gap_score_sql() -> str:
+    scored = _score_sql().replace("FROM events)", f"FROM (SELECT * REPLACE ({GAPS_SQL} AS value) FROM events))")
+    # NaN is the greatest double in SQL, but a reading that is none alerts nobody.
+    return scored + " AND NOT isnan(observed - prediction)"
+
+
+@register("sequence_gaps", _gap_score_sql(), group="sequence")
+def q_sequence_gaps(spark, sf_dir):
+    """NULL readings take a place in the window, NaN ones give NaN; both through the batch model."""
+    configure(spark)
+    df = gappy_readings(spark, sf_dir).drop("humidity")
+    out = sequences.score_sequences(df, KEYS, ORDER, "temperature", scorer=sequences.model_scorer(load_weights), digits=6)
+    return out.select("device_id", "event_id", "ts", "window_len", "prediction", "observed", "kind")
+
+
 def load_weights():
     """The fixture model, as a worker loads it: batches of sequences -> predictions."""
     import numpy as np
@@ -127,6 +151,9 @@ TEMP_FEATURES_SQL = f"""SELECT user_id AS device_id, event_id, value AS temperat
   FROM events"""
 
 
+GAP_FEATURES_SQL = TEMP_FEATURES_SQL.replace("FROM events", f"FROM (SELECT * REPLACE ({GAPS_SQL} AS value) FROM events)")
+
+
 def temp_features_frame(spark, sf_dir):
     df = sequences.lag_features(readings(spark, sf_dir), KEYS, ORDER, "temperature")
     feats = ml.assemble(df, ["temp_lag_1", "temp_roll_mean_5", "humidity"])

@@ -2,13 +2,16 @@
 
 Each key lands data derived from the supplied tables as files in arrival
 waves (time ordered, several files per wave), runs the stream with an
-``availableNow`` trigger, a few files per micro-batch and a checkpoint in
+``availableNow`` trigger, micro-batches bounded in bytes and a checkpoint in
 shared storage, writes each micro-batch idempotently, and reads the
 result back.  The oracle is the batch answer.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
 from layercake.functions.numeric import round_half_up
@@ -19,35 +22,44 @@ from layercake.plans.event_keys import POINTS_SQL, sensor_rows
 from layercake.plans.registry import register
 from layercake.plans.sequence_keys import (
     EMA_SQL,
+    GAP_FEATURES_SQL,
     PREDICT_SQL,
     TEMP_FEATURES_SQL,
     _score_sql,
+    gappy_readings,
     readings,
     saved_model,
     temp_features_frame,
 )
 from layercake.session import configure, scratch_path, table
+from layercake.sources import files
 from layercake.streaming import cdc, io, stateful
 from layercake.streaming.windows import tumbling
 
-WAVES = 4
-# A wave lands in at most so many files, and a trigger takes so many: at least
-# WAVES micro-batches, with state carried between them.
-FILES_PER_TRIGGER = 4
+# Arrival waves: at least WAVES, of equal row counts and at most WAVE_ROWS while MOST_WAVES last;
+# a wave's files grow in number with its rows.
+WAVES, WAVE_ROWS, MOST_WAVES = 4, 1 << 20, 64
+FILES, FILE_ROWS = 4, 1 << 17
+#: Bytes that a micro-batch takes at most; less where the input is small, so that state is carried between several.
+BYTES_PER_TRIGGER = 64 << 20
+
+
+def _seconds(ts: str):
+    return F.unix_seconds(F.col(ts).cast("timestamp"))
 
 
-def _span(df, ts: str) -> tuple[int, int]:
-    """First and last event time in whole seconds (one row to the driver)."""
-    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
-    row = df.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b")).first()
-    return (row["a"] or 0), (row["b"] or 0)
+def _waves(df, ts: str = "ts") -> tuple[list[int], int]:
+    """(first second of each wave but the first, rows): quantiles, so a far-off time leaves the waves even."""
+    rows = df.count()
+    n = min(max(WAVES, -(-rows // WAVE_ROWS)), MOST_WAVES)
+    bounds = df.agg(F.percentile_approx(_seconds(ts), [i / n for i in range(1, n)], 10_000).alias("b")).first()["b"]
+    return list(bounds or []), rows
 
 
-def _wave(df, ts: str = "ts"):
-    """Equal parts of the time that the data spans; rows without a time land first."""
-    first, last = _span(df, ts)
-    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
-    return F.coalesce(F.floor((seconds - first) * WAVES / (last - first + 1)), F.lit(0)).cast("int")
+def _wave(bounds: list[int], ts: str = "ts"):
+    """A row's wave; rows without a time land first."""
+    passed = [F.coalesce(_seconds(ts) > b, F.lit(False)).cast("int") for b in bounds]
+    return reduce(add, passed, F.lit(0)).cast("int")
 
 
 def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str = "ts",
@@ -62,11 +74,19 @@ def _land(df, name: str, key: str | None = None, fmt: str = "parquet", ts: str =
         # are processed by as many tasks as the cluster has cores.
         df.select(*columns).repartition(spark.sparkContext.defaultParallelism).write.format(fmt).save(path)
         return path
-    staged = df.withColumn("_lc_wave", _wave(df, ts))
-    io.land_in_order(staged, path, F.col("_lc_wave"), WAVES, key, fmt, columns, files=FILES_PER_TRIGGER)
+    bounds, rows = _waves(df, ts)
+    n = len(bounds) + 1
+    wave_files = max(FILES, -(-rows // (n * FILE_ROWS)))
+    io.land_in_order(df, path, _wave(bounds, ts), n, key, fmt, columns, files=wave_files, stage=scratch_path(spark, f"{name}_stage"))
     return path
 
 
+def _stream(spark, path: str, schema, fmt: str = "parquet"):
+    """The landed files as a stream, admitted by bytes."""
+    total = files.object_manifest(spark, path).agg(F.sum("length")).first()[0] or 0
+    return io.file_source(spark, path, fmt, schema, max_bytes_per_trigger=max(1, min(BYTES_PER_TRIGGER, total // WAVES)))
+
+
 def _run(stream, name: str, spark):
     """Run to completion; state partitions = the cluster's default parallelism."""
     out, ck = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ckpt")
@@ -85,7 +105,7 @@ def q_stream_scan(spark, sf_dir):
     configure(spark)
     events = table(spark, sf_dir, "events")
     path = _land(events, "events_stream", ordered=False)
-    stream = io.file_source(spark, path, "parquet", events.schema, FILES_PER_TRIGGER)
+    stream = _stream(spark, path, events.schema)
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
         "ts", F.col("ts").cast("timestamp_ntz")
     )
@@ -110,7 +130,7 @@ def q_stream_topics(spark, sf_dir):
     ).write.partitionBy("topic").text(path)
     for name in TOPICS:  # a topic without messages still exists
         spark.createDataFrame([], "value string").write.mode("append").text(f"{path}/topic={name}")
-    stream = io.topic_files(spark, {t: f"{path}/topic={t}" for t in TOPICS}, max_files_per_trigger=FILES_PER_TRIGGER)
+    stream = io.topic_files(spark, {t: f"{path}/topic={t}" for t in TOPICS}, max_bytes_per_trigger=BYTES_PER_TRIGGER)
     message = F.from_json("value", "event_id bigint, user_id bigint, value double")
     return _run(stream.select("topic", message.alias("m")).select("topic", "m.*"), "topics_stream", spark)
 
@@ -121,7 +141,7 @@ def q_stream_points(spark, sf_dir):
     configure(spark)
     msgs = ev.sensor_messages(table(spark, sf_dir, "events"))
     path = _land(msgs, "sensor_topic", fmt="text", ordered=False)
-    stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
+    stream = _stream(spark, path, None, "text")
     return _run(ev.event_points(stream), "sensor_points_stream", spark)
 
 
@@ -144,14 +164,14 @@ def q_sensor_points(spark, sf_dir):
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
     path = _land(rows, "silver_sensor", ts="timestamp", ordered=False)
-    stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
+    stream = _stream(spark, path, rows.schema)
     return _run(ev.sensor_points(stream), "sensor_rows_stream", spark)
 
 
 def _landed_readings(spark, sf_dir, name: str):
     df = readings(spark, sf_dir)
     path = _land(df, name, key="device_id")
-    return io.file_source(spark, path, "parquet", df.schema, FILES_PER_TRIGGER)
+    return _stream(spark, path, df.schema)
 
 
 @register("stream_ema_anomaly", EMA_SQL, group="stream")
@@ -211,6 +231,43 @@ def q_stream_predict(spark, sf_dir):
     return res.withColumn("prediction", round_half_up("prediction", 4))
 
 
+def _mark_end(rows, path: str, ts: str, beyond: int, marker: dict) -> int:
+    """How late rows of a wave can be, in seconds; lands a last row far enough after all to let them go."""
+    first, last = rows.agg(F.min(_seconds(ts)), F.max(_seconds(ts))).first()
+    first, last = first or 0, last or 0
+    edges = [first, *_waves(rows, ts)[0], last]
+    late = max(b - a for a, b in zip(edges, edges[1:])) + 1
+    marker = marker | {ts: F.timestamp_seconds(F.lit(last + late + beyond)).cast("timestamp_ntz")}
+    rows.sparkSession.range(1).select(
+        *[marker.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    ).write.mode("append").parquet(path)
+    return late
+
+
+@register("stream_gaps", GAP_FEATURES_SQL, group="stream")
+def q_stream_gaps(spark, sf_dir):
+    """Features over readings with NULL, NaN and spikes, a fifth of them landing three hours late: the
+    event-time buffer puts them back in order.  A last marker row releases all others and stays."""
+    configure(spark)
+    held = 3 * 3600
+    df = gappy_readings(spark, sf_dir)
+    came = F.when(F.col("event_id") % 5 == 0, F.col("ts") + F.expr(f"INTERVAL {held} SECONDS")).otherwise(F.col("ts"))
+    path = _land(df.withColumn("came", came), "readings_gaps", ts="came")
+    late = _mark_end(df.withColumn("came", came), path, "came", 0, {})
+    spark.range(1).select(
+        *[(F.expr("TIMESTAMP_NTZ '2200-01-01'") if c == "ts" else F.lit(None)).cast(t).alias(c) for c, t in [*df.dtypes, ("came", "timestamp_ntz")]]
+    ).write.mode("append").parquet(path)
+    stream = _stream(spark, path, df.withColumn("came", came).schema).drop("came").where("ts IS NOT NULL")
+    feats = stateful.stream_lag_features(
+        stream, "device_id", ["ts", "event_id"], "temperature", ["device_id", "event_id", "temperature", "humidity"],
+        delay=f"{late + held} seconds",
+    )
+    res = _run(feats, "gaps_stream", spark)
+    return res.select(
+        "device_id", "event_id", "temperature", "temp_lag_1", round_half_up("temp_roll_mean_5", 6).alias("temp_roll_mean_5"), "humidity",
+    )
+
+
 @register(
     "tumbling_sensor_avg",
     """SELECT event_type AS id, date_trunc('hour', ts) AS window_start,
@@ -229,13 +286,8 @@ def q_tumbling_sensor_avg(spark, sf_dir):
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
     path = _land(rows, "sensor_windows", ts="timestamp")
-    first, last = _span(rows, "timestamp")
-    late = (last - first) // WAVES + 1
-    marker = {"timestamp": F.timestamp_seconds(F.lit(last + late + 2 * 3600)).cast("timestamp_ntz"), "kind": F.lit("end of input")}
-    spark.range(1).select(
-        *[marker.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
-    ).write.mode("append").parquet(path)
-    stream = io.file_source(spark, path, "parquet", rows.schema, FILES_PER_TRIGGER)
+    late = _mark_end(rows, path, "timestamp", 2 * 3600, {"kind": F.lit("end of input")})
+    stream = _stream(spark, path, rows.schema)
     windows = tumbling(
         stream, "timestamp", {"id": "kind"},
         {"n": F.count(F.lit(1)), "avg_temp": F.avg("temperature"), "avg_power": F.avg("power")},
@@ -277,7 +329,7 @@ def q_cdc_explode(spark, sf_dir):
     )
     path = scratch_path(spark, "cdc_topic")
     msgs.unionByName(torn).write.text(path)
-    stream = io.file_source(spark, path, "text", max_files_per_trigger=FILES_PER_TRIGGER)
+    stream = _stream(spark, path, None, "text")
     typed = cdc.typed_columns(
         cdc.explode_changes(stream),
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "

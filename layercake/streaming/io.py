@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def kafka_source(spark: SparkSession, servers: str, topics: Sequence[str] | str,
@@ -37,9 +37,13 @@ def kafka_source(spark: SparkSession, servers: str, topics: Sequence[str] | str,
 
 
 def file_source(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None,
-                max_files_per_trigger: int | None = None, **options) -> DataFrame:
+                max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+                **options) -> DataFrame:
     """A directory of files as a stream; new files are new data.
 
+    A micro-batch admits files up to a number of bytes (at least one file),
+    which bounds it whatever the directory holds, or up to a number of files.
+
     ``fmt='text'`` yields one ``value`` string per line (the offline stand-in
     for a message topic).  Other formats require ``schema``: a streaming
     file source never infers one.
@@ -49,6 +53,8 @@ def file_source(spark: SparkSession, path: str, fmt: str, schema: StructType | s
         reader = reader.schema(schema)
     elif fmt != "text":
         raise ValueError("streaming file sources need an explicit schema")
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -121,14 +127,21 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def land_in_order(df: DataFrame, path: str, chunk: Column, n_chunks: int, key: str | None = None,
-                  fmt: str = "parquet", columns: Sequence[str] | None = None, files: int | None = None) -> None:
+                  fmt: str = "parquet", columns: Sequence[str] | None = None, files: int | None = None,
+                  stage: str | None = None) -> None:
     """Land ``df`` as files in ``n_chunks`` arrival waves (chunk 0 first).
 
     Each wave is its own write, so file modification times follow ``chunk``;
     with ``key``, each key's rows of one wave sit in one file, so a stream
     reading a few files per trigger still sees each key in arrival order.
-    ``files`` bounds the files of a wave.
+    ``files`` bounds the files of a wave.  With a scratch folder ``stage``
+    the rows are first written there by wave, so that a wave reads its own
+    part instead of all of ``df``.
     """
+    if stage:
+        df.withColumn("_lc_part", chunk).write.partitionBy("_lc_part").parquet(stage)
+        df = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_lc_part", IntegerType())])).parquet(stage)
+        chunk = F.col("_lc_part")
     for i in range(n_chunks):
         part = df.filter(chunk == F.lit(i))
         if key:

@@ -106,3 +106,31 @@ def test_stream_over_three_months_equals_one_pass(spark, tmp_dir, per_trigger):
         assert [r["ema"] for r in got if r["device_id"] == device] == pytest.approx(emas)
     if per_trigger == 1:  # few keys leave some files of a wave out
         assert len([d for d in os.listdir(out) if d.startswith("batch=")]) >= stream_keys.WAVES
+
+
+def test_waves_stay_even_with_a_far_off_time(spark, tmp_dir):
+    """Waves are quantiles of the rows, files and micro-batches go by size."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") == 7, F.expr("timestamp_ntz '1970-01-01'")).when(F.col("id") != 8, F.expr("timestamp_ntz '2024-01-20' + make_dt_interval(0, 0, CAST(id AS INT))")).alias("ts"),
+    )
+    bounds, n = stream_keys._waves(rows)
+    sizes = [r["count"] for r in rows.groupBy(stream_keys._wave(bounds).alias("w")).count().collect()]
+    assert n == 4000 and len(sizes) == stream_keys.WAVES and max(sizes) < 1.1 * min(sizes)
+    path = stream_keys._land(rows, "even")
+    stream = stream_keys._stream(spark, path, rows.schema)
+    out = os.path.join(tmp_dir, "out")
+    io.run_available(stream, io.parquet_batch_writer(out), os.path.join(tmp_dir, "ck"))
+    got = io.read_batches(spark, out)
+    assert got.count() == 4000 and len([d for d in os.listdir(out) if d.startswith("batch=")]) >= stream_keys.WAVES - 1
+    assert stream_keys._waves(rows.limit(0))[1] == 0
+
+
+def test_a_restarted_stream_admitted_by_bytes_reads_each_file_once(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, p) for p in ("src", "out", "ck"))
+    for day in range(2):
+        spark.range(day * 1000, day * 1000 + 1000).repartition(5).write.mode("append").parquet(src)
+        stream = io.file_source(spark, src, "parquet", "id long", max_bytes_per_trigger=1)
+        io.run_available(stream, io.parquet_batch_writer(out), ck)
+        assert io.read_batches(spark, out).distinct().count() == io.read_batches(spark, out).count() == (day + 1) * 1000
+    assert len([d for d in os.listdir(out) if d.startswith("batch=")]) == 10
