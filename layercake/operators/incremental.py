@@ -4,7 +4,9 @@ A store is a folder of day partitions with an appended manifest
 (:func:`layercake.sinks.tables.commit_parts`):
 
 * ``raw``: the rows of a day, one per id; the newest run's row wins;
-* ``indicators``: the same rows with their window columns;
+* ``indicators``: the same rows with their window columns, in date order:
+  a day's files hold neighbouring ranges of time and are sorted inside;
+* ``files``: of each of those files the first and last date and the rows;
 * ``counts``: rows per series of a day;
 * ``tails``: of the last two days, the rows of each series up to the day's
   end that a window can still reach (199 for MA200).
@@ -34,7 +36,7 @@ from layercake.sinks import tables
 
 DAY = "_day"
 REACH = max(windows.MA_LENGTHS) - 1
-RAW, INDICATORS, COUNTS, TAILS = "raw", "indicators", "counts", "tails"
+RAW, INDICATORS, COUNTS, TAILS, FILES = "raw", "indicators", "counts", "tails", "files"
 
 
 @dataclass
@@ -83,6 +85,39 @@ class Store:
         rows.hint("rebalance", DAY).sortWithinPartitions(DAY, *ordered).write.partitionBy(DAY).parquet(path)
         return path
 
+    def _write_in_order(self, rows: DataFrame, run: str) -> str:
+        """Write indicators by day and time, ranges of rows to a file, and record what each file holds."""
+        path = f"{self.base}/{INDICATORS}/run={run}"
+        place = [F.col(DAY), F.col("Date").asc_nulls_last(), *self.tie_break, *self.keys]
+        rows.repartitionByRange(*place).sortWithinPartitions(*place).write.partitionBy(DAY).parquet(path)
+        written = self.spark.read.schema(rows.schema).parquet(path)
+        held = written.groupBy(F.col("_metadata.file_path").alias("file"), DAY).agg(
+            F.min("Date").alias("first"), F.max("Date").alias("last"), F.count(F.lit(1)).alias("n"),
+            F.min(F.struct("Date", *self.tie_break, *self.keys)).alias("least"),
+        )
+        held.withColumn("day", F.col(DAY)).write.partitionBy(DAY).parquet(f"{self.base}/{FILES}/run={run}")
+        return path
+
+    def files(self) -> DataFrame | None:
+        """The current indicator files in date order: file, day, first, last, n, and ``before``, the rows of all files before."""
+        days = tables.current_parts(self.spark, self.base).get(FILES)
+        if not days:
+            return None
+        # One row a file: that many the driver lists for every scan.
+        order = Window.orderBy("day", "least").rowsBetween(Window.unboundedPreceding, -1)
+        held = self._read([days[d] for d in sorted(days)])
+        return held.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).drop("least")
+
+    def positions(self) -> DataFrame | None:
+        """The indicators with ``position``: a row's place in date order, read off its file and its place there."""
+        days = tables.current_parts(self.spark, self.base).get(INDICATORS)
+        if not days:
+            return None
+        rows = self._read([days[d] for d in sorted(days)])
+        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+        at = self.files().select(F.col("file").alias("_file"), "before")
+        return placed.join(at, "_file").withColumn("position", F.col("before") + F.col("_index")).drop("_file", "_index", "before")
+
     def indicators(self) -> DataFrame | None:
         """The current indicators; None if nothing was ever committed."""
         days = tables.current_parts(self.spark, self.base).get(INDICATORS)
@@ -179,8 +214,9 @@ class Store:
         others = [computed[d] for d in body_days if d in computed]
         if others and self.keys:
             made = made.unionByName(_join(self._read(others), series, self.keys, "left_anti").withColumn(DAY, day_of("Date")))
-        path = self._write(made, INDICATORS, run)
+        path = self._write_in_order(made, run)
         entries = [(INDICATORS, d, f"{path}/{DAY}={d}") for d in body_days]
+        entries += [(FILES, d, f"{self.base}/{FILES}/run={run}/{DAY}={d}") for d in body_days]
         entries += [(kind, d, known[d]) for kind, known in ((RAW, raw), (COUNTS, counts)) for d in changed]
 
         # Tails of the last two days, where this run reached them.

@@ -9,15 +9,18 @@ through the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
+from layercake.sinks import tables
+
 # Fixed value: width of the sensor embedding collection.
 EMBEDDING_DIM = 1536
 TOKEN_PATTERN = "[ \\t\\n\\r\\f]+"
@@ -69,6 +72,54 @@ def vector_rows(df: DataFrame, id_col: str, emb_col: str, time_col: str, dim: in
 
 
 def write_vectors(df: DataFrame, path: str) -> str:
-    """Vector rows appended to a Parquet collection (one file per task)."""
+    """Vector rows appended to a Parquet collection (one file per task); a repeated call appends them again."""
     df.write.mode("append").parquet(path)
     return path
+
+
+#: Buckets of a new collection; a collection keeps the number it began with.
+BUCKETS = 64
+_VECTORS, _LAYOUT, _BUCKET = "vectors", "layout", "bucket"
+
+
+def upsert_vectors(df: DataFrame, base: str, buckets: int = BUCKETS) -> int:
+    """Insert vector rows, or replace those of the same (id, timestamp); returns the commit's number.
+
+    The collection is cut into buckets by a hash of the id.  A run lands its
+    rows by bucket, joins only the buckets they fall into, writes those anew
+    and makes them current in one commit: the same batch twice leaves one
+    copy, a run that fails leaves the former state, and readers never see
+    half a batch.  Of several rows of a batch for one (id, timestamp) the
+    greatest vector counts.  One writer at a time.
+    """
+    spark = df.sparkSession
+    parts = tables.current_parts(spark, base)
+    buckets = int(parts.get(_LAYOUT, {}).get("buckets", buckets))
+    current = parts.get(_VECTORS, {})
+    run = uuid.uuid4().hex
+    keys, schema = ["id", "timestamp"], "id bigint, embedding array<float>, timestamp bigint"
+    once = df.groupBy(*keys).agg(F.max("embedding").alias("embedding")).select("id", "embedding", "timestamp")
+    landed = f"{base}/landed/run={run}"
+    by_bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+    once.withColumn(_BUCKET, by_bucket).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(landed)
+    if not tables.exists(spark, f"{landed}/{_BUCKET}=*"):
+        return 0
+    new = spark.read.schema(schema).parquet(landed).drop(_BUCKET)
+    touched = sorted(str(r[0]) for r in spark.read.schema(f"{_BUCKET} int").parquet(landed).distinct().collect())
+    held = [current[b] for b in touched if b in current]
+    merged = new
+    if held:
+        old = spark.read.schema(schema).parquet(*held)
+        same = [old[k].eqNullSafe(new[k]) for k in keys]
+        merged = old.join(new.select(*keys), same, "left_anti").unionByName(new)
+    path = f"{base}/{_VECTORS}/run={run}"
+    merged.withColumn(_BUCKET, by_bucket).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(path)
+    entries = [(_VECTORS, b, f"{path}/{_BUCKET}={b}") for b in touched]
+    return tables.commit_parts(spark, base, [*entries, (_LAYOUT, "buckets", str(buckets))])
+
+
+def read_vectors(spark: SparkSession, base: str) -> DataFrame:
+    """The current rows of a collection."""
+    schema = "id bigint, embedding array<float>, timestamp bigint"
+    current = tables.current_parts(spark, base).get(_VECTORS, {})
+    return spark.read.schema(schema).parquet(*current.values()) if current else spark.createDataFrame([], schema)

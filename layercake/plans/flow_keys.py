@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from layercake.operators import vectors
+from layercake.operators import incremental, vectors
 from layercake.plans import flows
 from layercake.plans.bronze_keys import EVENTS_DDL
 from layercake.plans.event_keys import hourly_averages, sensor_rows, sensor_text
@@ -94,11 +94,8 @@ def q_flow_bronze(spark, sf_dir):
     return health.select("dt", "dataset", "metric", "column_name", F.col("value").cast("bigint"))
 
 
-@register("flow_silver", _indicator_sql("PARTITION BY event_type"), group="flow")
-def q_flow_silver(spark, sf_dir):
-    """Two landings: the first days, some prices wrong; then the rest, with the corrections."""
-    configure(spark)
-    ev = table(spark, sf_dir, "events")
+def _landed_store(spark, ev):
+    """The silver store of the events after two landings; every run must be valid."""
     base = scratch_path(spark, "silver_flow")
     early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
     wrong = F.col("event_id") % 500 == 3
@@ -109,12 +106,33 @@ def q_flow_silver(spark, sf_dir):
     for landing in landings:
         new_path = scratch_path(spark, "silver_new_json")
         tables.write_json(landing, new_path)
-        result, verdict, _ = flows.silver(
+        _, verdict, _ = flows.silver(
             spark, new_path, base, EVENTS_DDL, keys=["event_type"], date_col="ts", close_col="value", tie_break=["event_id"],
         )
         if verdict.first()["validation_status"] != "VALID":
             raise ValueError("silver validation failed: NULL Close")
-    return result
+    return incremental.Store(spark, base, ["event_type"], "ts", "value", ["event_id"])
+
+
+@register(
+    "silver_order",
+    """SELECT event_type, event_id, ts AS Date, value AS Close,
+              ROW_NUMBER() OVER (ORDER BY ts, event_id, event_type) - 1 AS position FROM events""",
+    group="flow",
+)
+def q_silver_order(spark, sf_dir):
+    """Where the rows of the silver files stand: the files' manifest and their rows' places are in date order."""
+    configure(spark)
+    placed = _landed_store(spark, table(spark, sf_dir, "events")).positions()
+    return placed.select("event_type", "event_id", "Date", "Close", "position")
+
+
+@register("flow_silver", _indicator_sql("PARTITION BY event_type"), group="flow")
+def q_flow_silver(spark, sf_dir):
+    """Two landings: the first days, some prices wrong; then the rest, with the corrections."""
+    configure(spark)
+    ev = table(spark, sf_dir, "events")
+    return _landed_store(spark, ev).indicators()
 
 
 @register(
@@ -144,13 +162,15 @@ def q_flow_gold(spark, sf_dir):
     group="vectors",
 )
 def q_embed_rows(spark, sf_dir):
-    """Device-hour averages -> text -> hashed embedding -> vector rows stored and read back."""
+    """Device-hour averages -> text -> hashed embedding -> vector rows, stored twice over and read back once."""
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
     text = hourly_averages(rows, "id").withColumn("text", sensor_text())
     vec = vectors.vector_rows(vectors.embed(text), "id", "embedding", "window_start")
-    path = vectors.write_vectors(vec, scratch_path(spark, "sensor_embeddings"))
-    stored = spark.read.parquet(path)
+    path = scratch_path(spark, "sensor_embeddings")
+    vectors.upsert_vectors(vec.where("id % 2 = 0"), path)
+    vectors.upsert_vectors(vec, path)
+    stored = vectors.read_vectors(spark, path)
     return stored.select(
         "id", "timestamp", F.size("embedding").alias("dim"),
         F.aggregate("embedding", F.lit(0.0).cast("float"), lambda a, x: a + x).alias("n_tokens"),

@@ -16,16 +16,26 @@ from layercake.functions.reshape import flatten
 from layercake.sinks.tables import JSON_OPTIONS
 
 
-def json_layout(spark: SparkSession, path: str) -> str:
-    """``"array"`` if the first non-blank character is ``[``, else ``"lines"``."""
+def array_files(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """(files whose first non-blank character is ``[``, number of files with any other).
+
+    Every file is judged by itself, in the tasks that hold its first block; the driver
+    gets one row a file.
+    """
     first = (
         spark.read.text(path)
-        .select(F.ltrim("value").alias("v"))
-        .filter(F.col("v") != "")
-        .limit(1)
-        .collect()
-    )
-    return "array" if first and first[0]["v"].startswith("[") else "lines"
+        .select("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"), F.ltrim("value").alias("v"))
+        .where((F.col("file_block_start") == 0) & (F.col("v") != ""))
+        .groupBy("file_path")
+        .agg(F.min_by(F.substring("v", 1, 1), "at").alias("c"))
+    ).collect()
+    return sorted(r["file_path"] for r in first if r["c"] == "["), sum(r["c"] != "[" for r in first)
+
+
+def json_layout(spark: SparkSession, path: str) -> str:
+    """``"array"`` if all files begin with ``[``, ``"lines"`` if none does, else ``"mixed"``."""
+    arrays, others = array_files(spark, path)
+    return "lines" if not arrays else "mixed" if others else "array"
 
 
 def read_json(
@@ -36,23 +46,36 @@ def read_json(
     view_name: str | None = None,
     sampling_ratio: float | None = None,
 ) -> DataFrame | None:
-    """JSON Lines or a JSON array; ``fmt`` is ``auto``, ``lines`` or ``array``.
-
-    A falsy ``path`` returns None (nothing to load).  JSON Lines split
-    across tasks; an array file is one task per file (multiLine), so large
-    arrays should be converted to Parquet at bronze.  With ``view_name`` the
-    frame is also registered as a replaceable temp view.
+    """JSON Lines or JSON arrays; ``fmt`` is ``auto``, ``lines`` or ``array``.
+
+    A falsy ``path`` returns None (nothing to load).  ``auto`` judges each
+    file by itself: a folder may hold both kinds, and keeps every record of
+    either (columns by name).  JSON Lines split across tasks; an array file
+    is one task per file (multiLine), so large arrays should be converted to
+    Parquet at bronze.  With ``view_name`` the frame is also registered as a
+    replaceable temp view.
     """
     if not path:
         return None
+
+    def read(paths: str | list[str], many_lines: bool, **more) -> DataFrame:
+        reader = spark.read.option("multiLine", many_lines).options(**JSON_OPTIONS, **more)
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif sampling_ratio:
+            reader = reader.option("samplingRatio", sampling_ratio)
+        return reader.json(paths)
+
     if fmt == "auto":
-        fmt = json_layout(spark, path)
-    reader = spark.read.option("multiLine", fmt == "array").options(**JSON_OPTIONS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif sampling_ratio:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    df = reader.json(path)
+        arrays, others = array_files(spark, path)
+        if arrays and others:
+            rest = sorted({r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()} - set(arrays))
+            more = {"basePath": path}
+            df = read(rest, False, **more).unionByName(read(arrays, True, **more), allowMissingColumns=True)
+        else:
+            df = read(path, bool(arrays))
+    else:
+        df = read(path, fmt == "array")
     if view_name:
         df.createOrReplaceTempView(view_name)
         if not spark.catalog.tableExists(view_name):

@@ -437,3 +437,85 @@ def test_rows_without_a_time_come_out_at_once(spark, tmp_dir):
     columns = ["device_id", "event_id", "temp_lag_1", "temp_roll_mean_5"]
     assert _shape([r for r in got if r["event_id"] != 9], columns) == _shape(rest, columns)
     assert [(r["temp_lag_1"], r["temp_roll_mean_5"]) for r in got if r["event_id"] == 9] == [(None, None)]
+
+
+def test_a_folder_of_arrays_and_lines_keeps_every_record(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    for name, text in {
+        "k=1/a.json": json.dumps([{"x": 1, "y": "a"}, {"x": 2, "y": "b"}], indent=2),
+        "k=1/b.json": '\n  {"x": 3, "y": "[c"}\n{"x": 4}\n',
+        "k=2/c.json": '  \n[{"x": 5, "z": 1.5}]',
+        "k=2/d.json": "",
+        "k=2/e.json": '{"x": 6}',
+    }.items():
+        os.makedirs(os.path.dirname(os.path.join(src, name)), exist_ok=True)
+        with open(os.path.join(src, name), "w") as f:
+            f.write(text)
+    assert files.json_layout(spark, src) == "mixed"
+    got = sorted((r["x"], r["y"], r["z"], r["k"]) for r in files.read_json(spark, src).collect())
+    assert got == [(1, "a", None, 1), (2, "b", None, 1), (3, "[c", None, 1), (4, None, None, 1), (5, None, 1.5, 2), (6, None, None, 2)]
+    typed = files.read_json(spark, src, schema="x long, y string")
+    assert sorted(r["x"] for r in typed.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def _murmur3(data: bytes, seed: int) -> int:
+    """MurmurHash3, 32 bits, with Spark's tail: the last bytes one by one, signed."""
+    def rot(x, r):
+        return ((x << r) | (x >> (32 - r))) & 0xFFFFFFFF
+
+    h, whole = seed, len(data) - len(data) % 4
+    pieces = [int.from_bytes(data[i : i + 4], "little") for i in range(0, whole, 4)]
+    pieces += [(b - 256 if b > 127 else b) & 0xFFFFFFFF for b in data[whole:]]
+    if len(data) % 4:
+        pieces = pieces[: whole // 4] + [int.from_bytes(data[whole:], "little")]
+    for i, k in enumerate(pieces):
+        k = rot(k * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+        h ^= k
+        if i < whole // 4:
+            h = (rot(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ (h >> shift)) * factor & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_embedding_entries_are_the_hashed_tokens(spark):
+    """Every one of the 1,536 numbers."""
+    from layercake.operators import vectors
+
+    texts = ["device 7 temperature 21.5 humidity 40", "a a a b", "", "Zählung groß"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for row in vectors.embed(df).collect():
+        want = [0.0] * vectors.EMBEDDING_DIM
+        for token in row["text"].lower().split():
+            want[_murmur3(token.encode(), 42) % vectors.EMBEDDING_DIM] += 1.0
+        assert row["embedding"] == want
+
+
+def test_upsert_keeps_one_copy(spark, tmp_dir, monkeypatch):
+    from layercake.operators import vectors
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "id bigint, embedding array<float>, timestamp bigint")
+
+    def stored():
+        return sorted((str(r["id"]), r["timestamp"], r["embedding"]) for r in vectors.read_vectors(spark, tmp_dir).collect())
+
+    assert stored() == [] and vectors.upsert_vectors(batch([]), tmp_dir) == 0
+    first = [(i, [float(i), 1.0], 10) for i in range(40)] + [(None, [0.5], 10)]
+    for number in (1, 2):
+        assert vectors.upsert_vectors(batch(first), tmp_dir, buckets=4) == number
+        assert stored() == sorted((str(i), t, v) for i, v, t in first)
+    vectors.upsert_vectors(batch([(3, [9.0, 9.0], 10), (3, [1.0, 1.0], 10), (3, [7.0, 7.0], 11), (None, [0.75], 10)]), tmp_dir, buckets=99)
+    want = {(str(i), t): v for i, v, t in first} | {("3", 10): [9.0, 9.0], ("3", 11): [7.0, 7.0], ("None", 10): [0.75]}
+    assert stored() == sorted((i, t, v) for (i, t), v in want.items())
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(vectors.tables, "commit_parts", lost)
+        with pytest.raises(RuntimeError):
+            vectors.upsert_vectors(batch([(5, [0.0, 0.0], 10)]), tmp_dir)
+    assert len(stored()) == len(want) and ("5", 10, [5.0, 1.0]) in stored()
