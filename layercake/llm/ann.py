@@ -10,14 +10,15 @@
    ``radius // 8``: probing all cells that near, in all eight indexes, meets
    every code within the radius.  Those are ranked by their inner products
    on the original vectors, in double precision.
-4. What the radius misses is measured on this table: the true neighbours of
-   a bounded sample of its queries, found exactly, are looked up among their
-   codes.  If fewer than ``recall`` of them lie within the radius, or a
-   sampled query loses half of its own, codes tell too little here (norms far
-   apart, many dimensions), and all queries are searched at the full radius,
-   which is exact.  So are single queries whose radius holds fewer neighbours
-   than asked for.  One index serves the full radius: it meets each row once,
-   where the eight at radius 31 meet about three times all rows.
+4. The radius is measured on this table: the true neighbours of a bounded
+   sample of its queries, found exactly, are looked up among their codes.
+   The smallest radius of ``RADII`` that holds at least ``recall`` of them,
+   and half of every sampled query's own, is taken, if its probes multiply
+   fewer pairs than there are.  Otherwise codes tell too little here (norms
+   far apart, many dimensions, vectors without clusters), and all queries are
+   searched at the full radius, which is exact: one index serves it and
+   meets each row once.  So are single queries whose radius holds fewer
+   neighbours than asked for.
 
 Cells are dealt to tasks in groups.  The rows of a group are split into
 blocks, and so are the queries that probe it: each pair of blocks is a row
@@ -43,13 +44,13 @@ from layercake.llm.vectors import matrix, usable
 BITS, PARTS = 64, 8
 CELLS = 1 << (BITS // PARTS)
 SAMPLE_ROWS = 10_000  # vectors that train the rotation, at most
-RADIUS = 31
+RADII = (7, 15, 23, 31)
 RECALL = 0.98  # share of the sampled queries' true neighbours that the radius must hold
 SAMPLE_QUERIES = 256  # queries that measure it, at most
 TASK_ROWS = 65_536  # a query returns at most k rows from each task that it probes
 TASK_QUERIES = 32_768
 TILE = 4096  # rows whose products with 1,024 queries are held at a time
-CLOSE = 1e-9  # products this near are told apart by an exact second look
+ULPS = 16  # rounding of a sum of products, a component and unit of the norms; products this near get a second look
 
 
 def learn_rotation(sample: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
@@ -75,10 +76,12 @@ def codes(x: np.ndarray, centre: np.ndarray, projection: np.ndarray) -> np.ndarr
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def _encoder(dim: int, norm: float, centre: np.ndarray, projection: np.ndarray, query: bool):
+def _encoder(dim: int, scale: float, norm: float, centre: np.ndarray, projection: np.ndarray, query: bool):
+    """Codes of vectors divided by ``scale``, the table's largest component: huge and tiny numbers have codes too."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1), dim)
+            x = matrix(batch.column(1), dim) / scale
             more = np.zeros(len(x)) if query else np.sqrt(np.maximum(norm**2 - (x**2).sum(axis=1), 0))
             code = codes(np.column_stack([x, more]), centre, projection)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code.view(np.int64))], names=["vec_id", "vec", "code"])
@@ -106,15 +109,7 @@ def _blocks(rows: DataFrame, queries: DataFrame, dim: int, count: int, radius: i
     most_rows, most_asks = (max(1, n * BITS // max(BITS, dim)) for n in (TASK_ROWS, TASK_QUERIES))
     groups = int(min(CELLS, max(1, count // most_rows)))
 
-    def cells(frame: DataFrame) -> np.ndarray:
-        """How many codes have each value of each substring; PARTS * CELLS rows are collected at most."""
-        out = np.zeros((PARTS, CELLS), dtype=np.int64)
-        parts = F.explode(F.array(*[F.lit(j) for j in range(_parts(radius))])).alias("part")
-        for r in frame.select("code", parts).groupBy("part", _cell().alias("cell")).count().collect():
-            out[r["part"], r["cell"]] = r["count"]
-        return out
-
-    held, asked = cells(rows), cells(queries) @ _reach(radius, groups)
+    held, asked = _histogram(rows, radius), _histogram(queries, radius) @ _reach(radius, groups)
     sizes = []
     for part in range(_parts(radius)):
         of = np.bincount(np.arange(CELLS) % groups, weights=held[part], minlength=groups).astype(np.int64)
@@ -144,6 +139,23 @@ def _probes(radius: int, groups: int):
     return run
 
 
+def _slack(x: np.ndarray, y: np.ndarray) -> float:
+    """What two ways of summing a product of these rows can differ by."""
+    if not len(x) or not len(y):
+        return 0.0
+    with np.errstate(over="ignore"):
+        norms = np.abs(x).max() * np.abs(y).max() * x.shape[1]
+    return float(ULPS * x.shape[1] * np.finfo(float).eps * norms) if np.isfinite(norms) else 0.0
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All inner products; where infinities of both signs meet, the smallest double."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = x @ y.T
+    out[np.isnan(out)] = -np.inf
+    return out
+
+
 def _best(query: np.ndarray, score: np.ndarray, k: int, slack: float) -> np.ndarray:
     """Positions whose score is not below their query's k-th best by more than ``slack``."""
     order = np.lexsort((-score, query))
@@ -165,6 +177,7 @@ def _search(dim: int, radius: int, k: int):
             asks, rows = group.filter(pa.array(is_query)), group.filter(pa.array(~is_query))
             shift = np.uint64(8 * group["part"][0].as_py())
             x, y = matrix(asks["vec"], dim), matrix(rows["vec"], dim)
+            close = _slack(x, y)
             ids, own = rows["vec_id"].to_numpy(), asks["vec_id"].to_numpy()
             a, b = asks["code"].to_numpy().view(np.uint64), rows["code"].to_numpy().view(np.uint64)
             cell_a, cell_b = ((c >> shift) & np.uint64(CELLS - 1) for c in (a, b))
@@ -177,13 +190,13 @@ def _search(dim: int, radius: int, k: int):
                 q = np.flatnonzero(np.bitwise_count(cell_a ^ cell_b[order[lo]]) <= near)
                 for at, to in itertools.product(range(0, len(q), 1024), range(lo, hi, TILE)):
                     p, e = q[at : at + 1024], order[to : min(to + TILE, hi)]
-                    product = x[p] @ y[e].T
+                    product = _products(x[p], y[e])
                     good = (np.bitwise_count(a[p][:, None] ^ b[e][None, :]) <= radius) & (own[p][:, None] != ids[e][None, :])
-                    good &= product >= bound[p][:, None] - CLOSE
+                    good &= product >= bound[p][:, None] - close
                     i, j = np.nonzero(good)
                     held = tuple(np.concatenate(z) for z in zip(held, (p[i], e[j], product[i, j])))
                     if len(held[0]) > 4 * k * len(x):
-                        keep = _best(held[0], held[2], k, CLOSE)
+                        keep = _best(held[0], held[2], k, close)
                         held = tuple(z[keep] for z in held)
                         n = np.bincount(held[0], minlength=len(x))
                         low = np.full(len(x), np.inf)
@@ -191,10 +204,12 @@ def _search(dim: int, radius: int, k: int):
                         bound = np.where(n >= k, low, -np.inf)
             if not len(held[0]):
                 continue
-            q, e, _ = (z[_best(held[0], held[2], k, CLOSE)] for z in held)
+            q, e, _ = (z[_best(held[0], held[2], k, close)] for z in held)
             score = np.zeros(len(q))
-            for d in range(dim):  # one order of summing for every pair: equal vectors score alike
-                score += x[q, d] * y[e, d]
+            with np.errstate(over="ignore", invalid="ignore"):
+                for d in range(dim):  # one order of summing for every pair: equal vectors score alike
+                    score += x[q, d] * y[e, d]
+            score[np.isnan(score)] = -np.inf
             order = np.lexsort((ids[e], -score, q))
             q, e, score = q[order], e[order], score[order]
             first = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
@@ -222,7 +237,7 @@ def _neighbours(rows: DataFrame, queries: DataFrame, dim: int, count: int, radiu
             "part", "cells", block["salt"].alias("salt"), block["ask"].alias("ask"), F.lit(is_query).alias("is_query"), "vec_id", "vec", "code"
         )
 
-    asked = queries.mapInArrow(_probes(radius, groups), "vec_id long, vec array<float>, code long, part int, cells int")
+    asked = queries.mapInArrow(_probes(radius, groups), "vec_id long, vec array<double>, code long, part int, cells int")
     found = (
         dealt(index, "salt", "ask", False).unionByName(dealt(asked, "ask", "salt", True))
         .repartition("part", "cells", "salt", "ask")
@@ -240,8 +255,9 @@ def _exact(dim: int, ids: np.ndarray, x: np.ndarray, code: np.ndarray, k: int):
         low = np.full(len(x), -np.inf)
         for batch in batches:
             own, there = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
-            product = x @ matrix(batch.column(1), dim).T
-            q, e = np.nonzero((ids[:, None] != own[None, :]) & (product >= low[:, None] - CLOSE))
+            y = matrix(batch.column(1), dim)
+            product = _products(x, y)
+            q, e = np.nonzero((ids[:, None] != own[None, :]) & (product >= low[:, None] - _slack(x, y)))
             apart = np.bitwise_count(code[q] ^ there[e]).astype(np.int32)
             held = tuple(np.concatenate(z) for z in zip(held, (q, own[e], product[q, e], apart)))
             order = np.lexsort((held[1], -held[2], held[0]))
@@ -258,29 +274,50 @@ def _exact(dim: int, ids: np.ndarray, x: np.ndarray, code: np.ndarray, k: int):
     return run
 
 
-def _reaches(coded: DataFrame, asked: DataFrame, dim: int, radius: int, k: int, recall: float) -> bool:
-    """Whether the radius holds enough of the true neighbours of a sample of the queries."""
+def _radius(coded: DataFrame, asked: DataFrame, dim: int, count: int, radii: tuple[int, ...], k: int, recall: float) -> int:
+    """The smallest radius that holds enough of the true neighbours of a sample of the queries; BITS if none pays."""
     # At most SAMPLE_QUERIES rows, and k neighbours of each.
     sample = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES).toArrow()
     if not sample.num_rows:
-        return True
+        return BITS
     run = _exact(dim, sample["vec_id"].to_numpy(), matrix(sample["vec"], dim), sample["code"].to_numpy().view(np.uint64), k)
     best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
+    within = [F.avg((F.col("apart") <= r).cast("double")).alias(f"r{r}") for r in radii]
     shares = (
         coded.mapInArrow(run, "ask long, vec_id long, score double, apart int")
         .groupBy("ask", "vec_id").agg(F.max("score").alias("score"), F.min("apart").alias("apart"))
         .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        .groupBy("ask").agg(F.avg((F.col("apart") <= radius).cast("double")).alias("share"))
-        .agg(F.avg("share").alias("mean"), F.min("share").alias("low")).first()
+        .groupBy("ask").agg(*within)
+        .agg(*[F.avg(f"r{r}").alias(f"mean{r}") for r in radii], *[F.min(f"r{r}").alias(f"low{r}") for r in radii]).first()
     )
-    return shares["mean"] is None or (shares["mean"] >= recall and shares["low"] > 0.5)
+    for r in sorted(radii):
+        mean, low = shares[f"mean{r}"], shares[f"low{r}"]
+        if mean is not None and mean >= recall and low > 0.5:
+            return r if products(coded, asked, r, count) < 1 else BITS
+    return BITS
+
+
+def products(coded: DataFrame, asked: DataFrame, radius: int, count: int) -> float:
+    """How many products a radius computes per row and query: 1 is a comparison of all."""
+    held, queries = _histogram(coded, radius), _histogram(asked, radius)
+    total = float(queries[0].sum()) * count
+    return float((held * (queries @ _reach(radius, CELLS))).sum()) / total if total else 0.0
+
+
+def _histogram(frame: DataFrame, radius: int) -> np.ndarray:
+    """How many codes have each value of each substring; PARTS * CELLS rows are collected at most."""
+    out = np.zeros((PARTS, CELLS), dtype=np.int64)
+    parts = F.explode(F.array(*[F.lit(j) for j in range(_parts(radius))])).alias("part")
+    for r in frame.select("code", parts).groupBy("part", _cell().alias("cell")).count().collect():
+        out[r["part"], r["cell"]] = r["count"]
+    return out
 
 
 def nearest(
     frame: DataFrame,
     queries: DataFrame,
     k: int = 20,
-    radius: int = RADIUS,
+    radius: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     recall: float = RECALL,
@@ -288,9 +325,11 @@ def nearest(
     """(query_id, rank, vec_id, score): the k rows of ``frame`` with the largest inner product for each query.
 
     Approximate: a neighbour beyond Hamming distance ``radius`` of the query's
-    code is missed (radius 64 finds all), unless a sample of the queries shows
-    that the radius holds less than ``recall`` of the neighbours; then the
-    search is exact.  Both frames have the same columns;
+    code is missed.  Without one, the radius is the smallest that holds
+    ``recall`` of the neighbours of a sample of the queries; where none does
+    at less cost than comparing all, and with radius 64, the search is exact.
+    Scores are sums of products in double precision on the vectors as they
+    are (infinite where they overflow, the least where infinities of both signs meet).  Both frames have the same columns;
     a query never finds a row with its own id.  Vectors that are NULL, zero,
     hold NULL or non-finite components, or have another dimension than most,
     take no part, nor do rows with a NULL id; repeated rows count once.  Ties
@@ -302,20 +341,22 @@ def nearest(
     rows, dim = usable(frame, id_col, vector_col)
     if not dim:
         return spark.createDataFrame([], schema)
-    as_float = F.col("vec").cast("array<float>").alias("vec")
-    norms = rows.select(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v)).alias("norm"))
+    as_double = F.col("vec").cast("array<double>").alias("vec")
+    rows = rows.select("vec_id", as_double)
+    scale = rows.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0]
+    norms = rows.select(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + (v / scale) * (v / scale))).alias("norm"))
     stats = norms.agg(F.max("norm").alias("norm"), F.count("*").alias("n")).first()
-    sample = rows.select("vec_id", as_float).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
-    x = matrix(sample["vec"], dim)
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
+    x = matrix(sample["vec"], dim) / scale
     more = np.sqrt(np.maximum(stats["norm"] ** 2 - (x**2).sum(axis=1), 0))
-    learnt = learn_rotation(np.column_stack([x, more]))
-    code_schema = "vec_id long, vec array<float>, code long"
-    coded = rows.select("vec_id", as_float).mapInArrow(_encoder(dim, stats["norm"], *learnt, query=False), code_schema)
+    learnt = (scale, stats["norm"], *learn_rotation(np.column_stack([x, more])))
+    code_schema = "vec_id long, vec array<double>, code long"
+    coded = rows.mapInArrow(_encoder(dim, *learnt, query=False), code_schema)
     asks, _ = usable(queries, id_col, vector_col)
-    asks = asks.where(F.size("vec") == dim).select("vec_id", as_float)
-    asked = asks.mapInArrow(_encoder(dim, stats["norm"], *learnt, query=True), code_schema)
-    if radius < BITS and not _reaches(coded, asked, dim, radius, k, recall):
-        radius = BITS
+    asks = asks.where(F.size("vec") == dim).select("vec_id", as_double)
+    asked = asks.mapInArrow(_encoder(dim, *learnt, query=True), code_schema)
+    if radius is None:
+        radius = _radius(coded, asked, dim, stats["n"], RADII, k, recall)
     found = staged(_neighbours(coded, asked, dim, stats["n"], radius, k), "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k)
     short = staged(asked.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "ann-short")

@@ -3,8 +3,13 @@
 Unit vectors are assigned to the cell of the nearest centre.  A pair of
 cosine t or more is at most d = sqrt(2 - 2 t) apart, so a partner of x in
 another cell can only lie there if x is within d of the plane midway between
-the two centres; x is copied to those cells (only to cells of larger number:
-each pair meets once), which makes the search within cells complete.
+the two centres.  Partners in all such cells at once do not exist: most lie
+far nearer.  So that distance is scaled by a factor calibrated on a hashed
+sample (:func:`border_factor`): each sampled vector gets partners at exactly
+cosine t in random directions, the hardest there are, and all but a share of
+``1 - recall`` of them must lie in a cell within the scaled distance.  x is
+copied to those cells (only to cells of larger number: each pair meets
+once).  ``recall=1`` keeps the whole distance and loses no link.
 Equal vectors are one row with a weight.  Cells are cut into blocks, each
 pair of blocks is a row group of its own, and a block returns at most one
 row per vector: its links and the smallest id that it reaches.
@@ -25,6 +30,10 @@ from layercake.llm.vectors import matrix, usable
 
 CELL_ROWS = 8192  # vectors of a cell, on average
 SAMPLE_ROWS = 20_000  # vectors that train the centres, at most
+ROWS_A_CENTRE = 8  # at least: larger tables have larger cells, which blocks cut
+RECALL = 0.9995  # share of partners at exactly the threshold that the cells must hold; closer ones are safer
+PARTNERS = 8  # simulated for each vector of the sample
+CALIBRATION_ROWS = 4096  # vectors that they are simulated for, at most
 BLOCK = 2048  # vectors of a block
 TILE = 1024
 MARGIN = 1e-9  # rounding, in favour of comparing
@@ -36,7 +45,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     rng = np.random.default_rng(3)
     centres = x[rng.choice(len(x), size=k, replace=False)]
     for _ in range(rounds):
-        home = np.argmax(x @ centres.T, axis=1)
+        home = np.concatenate([np.argmax(x[at : at + TILE] @ centres.T, axis=1) for at in range(0, len(x), TILE)])
         total = np.zeros_like(centres)
         np.add.at(total, home, x)
         size = np.linalg.norm(total, axis=1)
@@ -51,20 +60,63 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _assign(dim: int, centres: np.ndarray, cosine: float):
+def _excess(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(home cells, how far each vector lies from the plane towards each cell, times the centres' distance)."""
+    near = x @ centres.T
+    home = np.argmax(near, axis=1)
+    return home, near[np.arange(len(home)), home][:, None] - near
+
+
+def _apart(home: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Distances of all centres from the home cells' ones, by products; what rounding takes from one is less than ROUNDING."""
+    square = (centres**2).sum(axis=1)
+    kinds, at = np.unique(home, return_inverse=True)
+    far = np.sqrt(np.maximum(square[kinds][:, None] + square[None, :] - 2 * (centres[kinds] @ centres.T), 0) + ROUNDING)
+    return far[at]
+
+
+def _goes(x: np.ndarray, centres: np.ndarray, cosine: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(home cells, whether a vector may have a partner in each cell)."""
+    reach = factor * (np.sqrt(2 - 2 * cosine) + MARGIN)
+    home, excess = _excess(x, centres)
+    return home, excess <= reach * _apart(home, centres) + MARGIN
+
+
+def cells_met(x: np.ndarray, centres: np.ndarray, cosine: float, factor: float) -> float:
+    """Share of all cells that unit vectors are compared in, on average."""
+    return float(_goes(x, centres, cosine, factor)[1].mean())
+
+
+def border_factor(x: np.ndarray, centres: np.ndarray, cosine: float, recall: float) -> float:
+    """The part of the border distance within which a share ``recall`` of partners at the threshold are found."""
+    if recall >= 1 or len(centres) < 2:
+        return 1.0
+    rng = np.random.default_rng(4)
+    x, reach = x[:CALIBRATION_ROWS], np.sqrt(2 - 2 * cosine) + MARGIN
+    needed = []
+    for _ in range(PARTNERS):
+        away = rng.normal(size=x.shape)
+        away -= (away * x).sum(axis=1)[:, None] * x
+        norm = np.linalg.norm(away, axis=1)[:, None]
+        other = cosine * x + np.sqrt(max(1 - cosine**2, 0)) * away / np.where(norm > 0, norm, 1)
+        for at in range(0, len(x), TILE):
+            some, partner = x[at : at + TILE], other[at : at + TILE]
+            home, excess = _excess(some, centres)
+            there, back = _excess(partner, centres)
+            rows = np.arange(len(some))
+            # Either end may be the copied one: the one with the home cell of smaller number.
+            far = _apart(home, centres)[rows, there]
+            asks = np.where(home < there, excess[rows, there], back[rows, home])
+            needed.append(np.where(home == there, 0.0, asks / (reach * far)))
+    return float(min(1.0, np.quantile(np.concatenate(needed), recall, method="higher")))
+
+
+def _assign(dim: int, centres: np.ndarray, cosine: float, factor: float = 1.0):
     """(vec_id, weight, vec) to (.., cell, home): the home cell, and the later cells that may hold partners."""
-    reach = np.sqrt(2 - 2 * cosine) + MARGIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        square = (centres**2).sum(axis=1)
         for batch in batches:
-            near = _unit(matrix(batch.column(2), dim)) @ centres.T
-            home = np.argmax(near, axis=1)
-            own = near[np.arange(len(home)), home]
-            # Distances from the home cells' centres only, by products; what rounding takes from one is less than ROUNDING.
-            kinds, at = np.unique(home, return_inverse=True)
-            apart = np.sqrt(np.maximum(square[kinds][:, None] + square[None, :] - 2 * (centres[kinds] @ centres.T), 0) + ROUNDING)
-            goes = own[:, None] - near <= reach * apart[at] + MARGIN
+            home, goes = _goes(_unit(matrix(batch.column(2), dim)), centres, cosine, factor)
             goes &= np.arange(len(centres))[None, :] >= home[:, None]
             row, cell = np.nonzero(goes)
             table = batch.take(pa.array(row))
@@ -121,11 +173,19 @@ def _compare(dim: int, cosine: float):
     return run
 
 
-def near_duplicates(frame: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(
+    frame: DataFrame,
+    cosine: float = 0.9,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    recall: float = RECALL,
+) -> DataFrame:
     """One row per row of ``frame``: vec_id, n_links, component_id, kept.
 
     Two vectors are linked when their cosine, in double precision, is at least
-    ``cosine``.  ``n_links`` counts the other rows linked directly, repeated
+    ``cosine`` and they meet in a cell: all but a share of ``1 - recall`` of
+    pairs at exactly that cosine do, closer ones more surely, equal ones
+    always, and with ``recall=1`` all.  ``n_links`` counts the other rows linked directly, repeated
     ones too; ``component_id`` is the smallest vec_id reachable, and ``kept``
     marks the row that bears it.  Vectors that are NULL, zero, hold NULL or
     non-finite components or have another dimension than most link with
@@ -142,11 +202,13 @@ def near_duplicates(frame: DataFrame, cosine: float = 0.9, id_col: str = "vec_id
     rows = rows.select("vec_id", F.col("vec").cast("array<double>").alias("vec"))
     classes = staged(rows.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")).select("vec_id", "weight", "vec"), "equal-vectors")
     count = classes.count()
+    cells = max(1, -(-count // CELL_ROWS))
     sample = classes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vec").toArrow()
     x = _unit(matrix(sample["vec"], dim))
-    centres = spherical_kmeans(x, min(len(x), max(1, -(-count // CELL_ROWS))))
+    centres = spherical_kmeans(x, min(max(1, len(x) // ROWS_A_CENTRE), cells))
+    factor = border_factor(x, centres, cosine, recall)
     placed = staged(
-        classes.mapInArrow(_assign(dim, centres, cosine), "vec_id long, weight long, vec array<double>, cell int, home boolean"), "cells"
+        classes.mapInArrow(_assign(dim, centres, cosine, factor), "vec_id long, weight long, vec array<double>, cell int, home boolean"), "cells"
     )
     # One row a cell, of which there are as many as centres on the driver.
     sizes = F.broadcast(
