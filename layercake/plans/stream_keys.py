@@ -33,7 +33,7 @@ from layercake.plans.sequence_keys import (
 )
 from layercake.session import configure, scratch_path, table
 from layercake.sources import files
-from layercake.streaming import cdc, io, stateful
+from layercake.streaming import blocks, cdc, io, stateful
 from layercake.streaming.windows import tumbling
 
 # Arrival waves: at least WAVES, of equal row counts and at most WAVE_ROWS while MOST_WAVES last;
@@ -187,6 +187,19 @@ def q_stream_ema_anomaly(spark, sf_dir):
     return res.withColumn("ema", round_ema("ema", 6))
 
 
+@register("stream_ema_blocks", EMA_SQL, group="stream")
+def q_stream_ema_blocks(spark, sf_dir):
+    """The same records with the averages in a committed table: a hot device's rows of a micro-batch meet many tasks."""
+    configure(spark)
+    stream = _landed_readings(spark, sf_dir, "readings_blocks").drop("humidity")
+    out, state = scratch_path(spark, "ema_blocks_out"), scratch_path(spark, "ema_blocks_state")
+    sink = blocks.ema_batches(
+        state, out, "device_id", ["ts", "event_id"], "temperature", ["device_id", "event_id", "ts", "temperature"], buckets=8
+    )
+    io.run_available(stream, sink, scratch_path(spark, "ema_blocks_ckpt"))
+    return io.read_batches(spark, out).withColumn("ema", round_ema("ema", 6))
+
+
 @register("stream_sequence_score", _score_sql(), group="stream")
 def q_stream_sequence_score(spark, sf_dir):
     """Last-20-readings state per device; warm-up, prediction and alert records."""

@@ -134,3 +134,40 @@ def test_a_restarted_stream_admitted_by_bytes_reads_each_file_once(spark, tmp_di
         io.run_available(stream, io.parquet_batch_writer(out), ck)
         assert io.read_batches(spark, out).distinct().count() == io.read_batches(spark, out).count() == (day + 1) * 1000
     assert len([d for d in os.listdir(out) if d.startswith("batch=")]) == 10
+
+
+def test_a_hot_device_of_a_micro_batch_is_split(spark, tmp_dir, monkeypatch):
+    """Half of each batch is one device; averages equal the loop, over batches, replays and a lost commit."""
+    from layercake.streaming import blocks
+
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 101 == 1, F.lit(None)).otherwise(F.concat(F.lit("d"), (F.col("id") % 30).cast("string"))).alias("device_id"),
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 59 != 3, (F.col("id") % 23).cast("double") + F.when(F.col("id") == 1500, 1e6).otherwise(0.0)).alias("temperature"),
+    )
+    out, state = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "state")
+    sink = blocks.ema_batches(state, out, "device_id", ["event_id"], "temperature", ["device_id", "event_id"], buckets=4, block_rows=200, ranges=4)
+    batches = [df.where(f"event_id >= {2000 * i} AND event_id < {2000 * (i + 1)}") for i in range(3)]
+    sink(batches[0], 0)
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(blocks.tables, "commit_parts", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            sink(batches[1], 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a small batch would meet one task after all
+    try:
+        for i, batch in ((1, batches[1]), (1, batches[1]), (2, df.limit(0)), (3, batches[2])):
+            sink(batch, i)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, average = {}, {}
+    for r in df.where("temperature IS NOT NULL").orderBy("event_id").collect():
+        average[r["device_id"]] = 0.9 * average.get(r["device_id"], 0.0) + 0.1 * r["temperature"]
+        want[r["event_id"]] = average[r["device_id"]]
+    stored = io.read_batches(spark, out)
+    assert {r["event_id"]: r["ema"] for r in stored.collect()} == pytest.approx(want) and stored.count() == len(want)
+    tasks = spark.read.parquet(f"{out}/batch=3").where("device_id = 'hot'").select(F.input_file_name()).distinct().count()
+    assert tasks > 1
