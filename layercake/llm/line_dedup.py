@@ -159,7 +159,7 @@ def drop_repeated_lines(
         F.array_sort(F.array_union(short, F.coalesce("stay", F.array().cast("array<int>"))))
     )
     whole = docs.select(
-        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)],
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)],
         F.col(id_col).cast("long").alias("_id"),
         F.col(text_col).alias("_text"),
         F.xxhash64(F.col(text_col)).alias("_row"),

@@ -9,8 +9,18 @@ documents, so that an expression rare in either class costs both alike.
 
 Compared are length-normalised log-likelihoods: toxic minus ordinary, by
 byte, over the whole document and over its most toxic window of twelve
-bytes, which keeps a short expression visible in a text of any length.  A logistic curve over the two numbers, fitted on
-training documents kept out of the counts, gives the score.
+bytes, which keeps a short expression visible in a text of any length.
+
+In a language with few toxic documents the two byte models differ by the
+language more than by the expression.  So a third pair of models predicts
+words, each by the number of documents of the class that hold it (one
+count a document, discounted), backing off to the shared counts of all: a rare
+word costs both alike, and one that several toxic and no ordinary documents
+hold stands out, whatever its language.  Their measure is the mean
+log-ratio of the document's three most telling words.
+
+A logistic curve over the three numbers, fitted on training documents kept
+out of the counts, gives the score.
 
 Counts are gathered and smoothed in Spark over every training document; they
 grow with it.  Every n-gram keeps its own ratio, and an unseen one backs off.
@@ -24,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +42,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layercake.llm.common import held_out, prepare, staged, with_column
-from layercake.llm.textscan import ALNUM, SEGMENT, U64, joined, mix
+from layercake.llm.textscan import ALNUM, LOWERED, SEGMENT, U64, joined, mix, words
 
 ORDER = 6  # bytes of an n-gram
 WINDOW = 12  # n-grams of a window
 DISCOUNT = 0.75
-TABLES = ("gram", "context", "low")
+TABLES = ("gram", "context", "low", "word")
+TELLING = 3  # words whose ratios are averaged
+WORD_BITS = U64((1 << 48) - 1)  # of a word's hash
 TABLE_KINDS = 1 << 21  # n-grams that are broadcast, at most
 BLOCK_BYTES = 4 << 20  # text of a block that is scored by a join
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)  # no n-gram: those are 48 bits at most
@@ -106,6 +119,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _text_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, word) of each distinct word of each text."""
+    at, _, code = words(data, ALNUM, LOWERED)
+    owner, code = np.searchsorted(starts, at, side="right") - 1, code & WORD_BITS
+    order = np.lexsort((code, owner))
+    owner, code = owner[order], code[order]
+    new = np.ones(len(code), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])
+    return owner[new], code[new]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, toxic) to (word, ordinary, toxic): the documents that hold it, summed over a batch."""
+    for batch in batches:
+        owner, code = _text_words(*joined(batch.column(0)))
+        toxic = (batch.column(1).to_numpy(zero_copy_only=False) == 1)[owner]
+        kinds, back = np.unique(code, return_inverse=True)
+        n, bad = np.bincount(back, minlength=len(kinds)), np.bincount(back[toxic], minlength=len(kinds))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kinds.view(np.int64)), pa.array((n - bad).astype(np.int64)), pa.array(bad.astype(np.int64))],
+            names=["word", "ordinary", "toxic"],
+        )
+
+
+def word_ratios(counts: DataFrame) -> DataFrame:
+    """(code, ratio) from (word, ordinary, toxic): discounted document counts, backing off to those of both classes."""
+    classes = ("ordinary", "toxic")
+    total = counts.agg(
+        *[F.sum(c).alias(f"n_{c}") for c in classes], *[F.count(F.when(F.col(c) > 0, 1)).alias(f"k_{c}") for c in classes],
+        F.count("*").alias("kinds"),
+    ).first()  # one row
+    shared = (F.col("ordinary") + F.col("toxic") + 0.5) / F.lit((total["n_ordinary"] or 0) + (total["n_toxic"] or 0) + 0.5 * total["kinds"] + 1)
+    p = {c: _discounted(F.col(c), F.lit(total[f"n_{c}"] or 0), F.lit(total[f"k_{c}"]), shared) for c in classes}
+    return counts.select(F.col("word").alias("code"), F.log(p["toxic"] / p["ordinary"]).alias("ratio"))
+
+
 def _discounted(count: Column, total: Column, kinds: Column, below: Column) -> Column:
     """Absolute discounting into the distribution below; an unseen context leaves all to it."""
     return F.when(total > 0, (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * below) / total).otherwise(below)
@@ -172,7 +221,8 @@ class Model:
     gram: np.ndarray
     context: np.ndarray
     low: np.ndarray
-    curve: np.ndarray  # intercept, weights of the window's and the document's mean log-ratio
+    word: np.ndarray
+    curve: np.ndarray  # intercept, weights of the window's, the document's and its telling words' mean log-ratio
     base: float  # share of toxic training documents
     keys: dict[str, np.ndarray] | None = None  # the code of each slot; without them a slot serves whatever falls in it
     stored: DataFrame | None = None  # (key, ratio) instead of slots, if there are too many to broadcast
@@ -202,8 +252,21 @@ class Model:
         )
         return out
 
-    def measures(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(most toxic window's and whole text's mean log-ratio per byte, number of n-grams) of each text."""
+    def _telling(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Mean ratio of the TELLING most toxic words of each text; what it lacks of them counts as zero."""
+        owner, code = _text_words(data, starts)
+        ratio = np.nan_to_num(self._find("word", code))
+        some = ratio > 0
+        owner, ratio = owner[some], ratio[some]
+        order = np.lexsort((-ratio, owner))
+        owner, ratio = owner[order], ratio[order]
+        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+        rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+        best = rank < TELLING
+        return np.bincount(owner[best], weights=ratio[best], minlength=len(starts) - 1)[: len(starts) - 1] / TELLING
+
+    def measures(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(most toxic window's and whole text's mean log-ratio per byte, telling words' one, number of n-grams) of each text."""
         data, starts = joined(texts)
         n = np.maximum(np.diff(starts) - ORDER + 1, 0)
         total, peak = np.zeros(len(n)), np.full(len(n), -np.inf)
@@ -225,11 +288,11 @@ class Model:
                     best = np.maximum.reduceat(np.append(windows, -np.inf), cuts)[::2]
                     peak[i + long] = np.maximum(peak[i + long], best)
         peak = np.where(np.isfinite(peak), peak, total)  # a text shorter than a window
-        return peak / WINDOW, total / np.maximum(n, 1), n
+        return peak / WINDOW, total / np.maximum(n, 1), self._telling(data, starts), n
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        peak, mean, n = self.measures(texts)
-        z = self.curve[0] + self.curve[1] * peak + self.curve[2] * mean
+        *measured, n = self.measures(texts)
+        z = self.curve[0] + sum(w * x for w, x in zip(self.curve[1:], measured))
         return np.where(n > 0, 1 / (1 + np.exp(-np.clip(z, -500, 500))), self.base)
 
 
@@ -249,6 +312,7 @@ def _kinds(block: pa.Table) -> pa.Table:
     """(block, text) of one block to (block, key): all that its n-grams may look up, once."""
     data, starts = joined(block.column(1).combine_chunks())
     found = {name: [np.zeros(0, U64)] for name in TABLES}
+    found["word"].append(np.unique(_text_words(data, starts)[1]))
     for at in range(0, int(starts[-1]), SEGMENT):
         codes = np.unique(grams(data[at : min(at + SEGMENT + ORDER - 1, int(starts[-1]))]))
         for name, part in zip(TABLES, (codes, codes >> U64(8), codes & U64(0xFFFFFFFF))):
@@ -344,29 +408,35 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_
         .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
         "kn-counts",
     )
-    tables = ratios(counts)
-    if counts.count() <= TABLE_KINDS:
+    said = staged(
+        rows.join(picked, is_picked, "left_anti").select("text", "toxic")
+        .mapInArrow(_count_words, "word long, ordinary long, toxic long")
+        .groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
+        "kn-words",
+    )
+    tables = ratios(counts) | {"word": word_ratios(said)}
+    if counts.count() + said.count() <= TABLE_KINDS:
         # At most TABLE_KINDS rows each.
         kept = {name: frame.select("code", F.col("ratio").cast("float").alias("ratio")).toArrow() for name, frame in tables.items()}
-        model = _model({name: (t["code"].to_numpy().view(U64), t["ratio"].to_numpy()) for name, t in kept.items()}, np.zeros(3), 0.5)
+        model = _model({name: (t["code"].to_numpy().view(U64), t["ratio"].to_numpy()) for name, t in kept.items()}, np.zeros(4), 0.5)
     else:
         keyed = [frame.select(_key(F.col("code"), name).alias("key"), F.col("ratio").cast("float").alias("ratio")) for name, frame in tables.items()]
         none = np.full(1, np.nan, np.float32)
-        model = Model(none, none, none, np.zeros(3), 0.5, stored=staged(keyed[0].unionByName(keyed[1]).unionByName(keyed[2]), "kn-ratios"))
+        model = Model(none, none, none, none, np.zeros(4), 0.5, stored=staged(reduce(DataFrame.unionByName, keyed), "kn-ratios"))
     tuned = rows.join(picked, is_picked, "left_semi").select("_id", "text", F.col("toxic").cast("int").alias("label"))
-    points = _applied(tuned, model, "text", Model.measures, [("peak", "double"), ("mean", "double"), ("n", "long")])
+    points = _applied(tuned, model, "text", Model.measures, [("peak", "double"), ("mean", "double"), ("told", "double"), ("n", "long")])
     # One row a document, of rows that share an id one that can be measured.
     points = (
-        points.where("n > 0").groupBy("_id").agg(F.min(F.struct("peak", "mean", "label")).alias("p")).select("_id", "p.*").toArrow()
+        points.where("n > 0").groupBy("_id").agg(F.min(F.struct("peak", "mean", "told", "label")).alias("p")).select("_id", "p.*").toArrow()
     ).sort_by("_id")
     y = points["label"].to_numpy()
     model.base = (n[1] + 1) / (n[0] + n[1] + 2)
     prior = float(np.log(model.base / (1 - model.base)))
     if 0 < y.sum() < len(y):
-        model.curve = fit_curve(np.column_stack([points["peak"].to_numpy(), points["mean"].to_numpy()]), y.astype(float))
+        model.curve = fit_curve(np.column_stack([points[c].to_numpy() for c in ("peak", "mean", "told")]), y.astype(float))
         model.curve[0] += np.log(n[1] / n[0]) - np.log(y.sum() / (len(y) - y.sum()))
     else:
-        model.curve = np.array([prior, float(WINDOW) if min(n) else 0.0, 0.0])
+        model.curve = np.array([prior, float(WINDOW) if min(n) else 0.0, 0.0, 0.0])
     return model
 
 

@@ -369,10 +369,11 @@ def test_long_texts_measure_alike_in_pieces():
 
     rng = np.random.default_rng(6)
     model = toxicity.Model(
-        rng.normal(size=1 << 22).astype(np.float32), np.zeros(1 << 20, np.float32), np.zeros(1 << 20, np.float32), np.zeros(3), 0.5
-    )
+        rng.normal(size=1 << 22).astype(np.float32), np.zeros(1 << 20, np.float32), np.zeros(1 << 20, np.float32),
+        np.zeros(16, np.float32), np.zeros(4), 0.5,
+    )
     text = " ".join(rng.choice(WORDS, size=600_000))
-    peak, mean, n = model.measures(pa.array(["x", text, "short text here"]))
+    peak, mean, _, n = model.measures(pa.array(["x", text, "short text here"]))
     v = model._ratios(np.frombuffer(text.encode() + b"\n", dtype=np.uint8))
     upto = np.concatenate([[0], np.cumsum(v)])
     assert n[1] == len(v) and abs(mean[1] - v.mean()) < 1e-9
