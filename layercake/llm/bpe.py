@@ -17,9 +17,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StructType
 
+from layercake.llm.common import map_arrow
 from layercake.llm.textscan import SEGMENT, U64, _power_tables, byte_values, joined, mix
 
 _EXACT = byte_values(lower=False)
@@ -106,7 +108,7 @@ def from_json(path: str):
 
 
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Where chunks begin: places at which a match surely ends and another begins.
+    """Where chunks begin: places at which a match of a PROVEN pattern surely ends and another begins.
 
     These are white space after a character that is none, a change between
     an ASCII letter, digit and other visible ASCII character, except after
@@ -126,14 +128,32 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return at
 
 
+def cuttable(path: str, pattern: str | None) -> bool:
+    """Whether ``_cuts`` holds for a tokenizer: the proven pattern, or a JSON file with the byte-level one and nothing before it."""
+    if pattern is not None:
+        return pattern == PATTERN
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    split = whole.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    return bool(plain and not whole.get("normalizer"))
+
+
+def encoder(path: str, pattern: str | None = None) -> Encoder:
+    """An encoder for a rank file (with a pattern) or a tokenizers JSON file (without)."""
+    parts = from_ranks(path, pattern) if pattern is not None else from_json(path)
+    return Encoder(*parts, cuttable(path, pattern))
+
+
 class Encoder:
     """Encodes whole Arrow text columns; keeps the ids of distinct chunks between batches.
 
     Chunks are told apart by a 64-bit hash of their bytes.
     """
 
-    def __init__(self, tokenizer, table: list[bytes]):
-        self.tokenizer, self.table = tokenizer, table
+    def __init__(self, tokenizer, table: list[bytes], chunks: bool):
+        """With ``chunks`` texts are cut where that is proven to change no id; without, each text is encoded whole."""
+        self.tokenizer, self.table, self.chunks = tokenizer, table, chunks
         self.size = np.array([len(t) for t in table], dtype=np.int64)
         self._forget()
 
@@ -167,7 +187,8 @@ class Encoder:
         """(start, hash) of each chunk of texts that begin at ``begin`` and lie without gaps."""
         n = len(data)
         is_cut = np.zeros(n, dtype=bool)
-        is_cut[_cuts(data)] = True
+        if self.chunks:
+            is_cut[_cuts(data)] = True
         is_cut[0] = True
         is_cut[begin[begin < n]] = True
         at = np.flatnonzero(is_cut)
@@ -196,7 +217,7 @@ class Encoder:
                 if whole > lo:
                     hi = whole
                 else:
-                    inner = _cuts(data[lo:hi])
+                    inner = _cuts(data[lo:hi]) if self.chunks else ()
                     hi = lo + int(inner[-1]) if len(inner) else int(bounds[np.searchsorted(bounds, hi)])
             at, h = self._hashes(data[lo:hi], begin[np.searchsorted(begin, lo) : np.searchsorted(begin, hi)] - lo)
             ats.append(at + lo)
@@ -265,16 +286,16 @@ def encode_texts(
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*(from_ranks(path, pattern) if pattern is not None else from_json(path)))
+        coder = encoder(path, pattern)
         for batch in batches:
-            ids, begin = encoder.encode(batch.column(at))
+            ids, begin = coder.encode(batch.column(at))
             spans = list(zip(begin[:-1].tolist(), begin[1:].tolist()))
             columns = [
                 pa.array([ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
                 pa.array(np.diff(begin), pa.int64()),
             ]
             if offsets:
-                for of in (encoder.byte_offsets, encoder.char_offsets):
+                for of in (coder.byte_offsets, coder.char_offsets):
                     columns.append(pa.array([of(ids[a:b]) for a, b in spans], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *columns], names=[*batch.schema.names, *[name for name, _ in added]]
@@ -283,7 +304,7 @@ def encode_texts(
     schema = StructType(list(docs.schema.fields))
     for name, kind in added:
         schema = schema.add(name, kind)
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def decode_ids(frame: DataFrame, path: str, pattern: str | None = None, ids_col: str = "ids") -> DataFrame:
@@ -292,13 +313,13 @@ def decode_ids(frame: DataFrame, path: str, pattern: str | None = None, ids_col:
     at = frame.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*(from_ranks(path, pattern) if pattern is not None else from_json(path)))
+        coder = encoder(path, pattern)
         for batch in batches:
             decoded = [
-                None if x is None else encoder.decode(np.frombuffer(x, dtype="<u4")) for x in batch.column(at).to_pylist()
+                None if x is None else coder.decode(np.frombuffer(x, dtype="<u4")) for x in batch.column(at).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"]
             )
 
-    return frame.mapInArrow(run, StructType(list(frame.schema.fields)).add("decoded", "binary"))
+    return map_arrow(frame, run, StructType(list(frame.schema.fields)).add("decoded", "binary"))

@@ -25,12 +25,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
+def staged(frame: DataFrame, name: str, *parts: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: later steps, and
-    retries after a lost executor, start from the files instead of the whole lineage."""
+    retries after a lost executor, start from the files instead of the whole lineage.
+    With ``parts`` the files lie by those columns, and filters on them prune."""
     spark = frame.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    frame.write.parquet(path)
+    frame.write.partitionBy(*parts).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

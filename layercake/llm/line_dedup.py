@@ -1,20 +1,23 @@
 """Line dedup over levelled sorted runs of line hashes, in DataFrame functions only.
 
-``LineRuns`` keeps, for every line hash, in how many documents it was seen
-and the largest document id that holds it.  A batch adds one sorted run;
-once a level holds ``fanout`` runs they are merged into one run of the next
+``LineRuns`` keeps, for every line hash, in how many documents it was seen.
+A batch is merge-anti-joined with the runs, which tells its new lines, and
+adds one sorted run of its own; once a level holds ``fanout`` runs they are merged into one run of the next
 level, so a hash is rewritten once a level: O(log batches) times.  Runs are
 bucketed and sorted by hash with one fixed bucket count, so merging runs and
 joining a batch with them reads the runs without a shuffle.
 
-``drop_repeated_lines`` is the batch job on top of it: all documents are
-added in batches, the runs are merged, and each line whose hash is frequent
-is anti-joined away, except in the largest document that holds it.
+``drop_repeated_lines`` is the batch job on top of it.  Documents come in
+batches of descending ids, so the batch in which the runs do not yet hold a
+line also holds the largest document with it: that document is the line's
+keeper.  When all batches are in, the merged runs tell which lines are
+frequent, and each of those goes, except in its keeper.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +45,7 @@ def lines_of(text: Column) -> Column:
 
 
 class LineRuns:
-    """Levelled sorted runs of (hash, n_docs, max_doc)."""
+    """Levelled sorted runs of (hash, n_docs)."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
@@ -69,20 +72,19 @@ class LineRuns:
     def _merged(self, runs: list[str]) -> DataFrame:
         frame = self.spark.table(runs[0])
         for run in runs[1:]:
-            other = self.spark.table(run).select("hash", F.col("n_docs").alias("n2"), F.col("max_doc").alias("m2"))
+            other = self.spark.table(run).select("hash", F.col("n_docs").alias("n2"))
             # A merge of two sorted runs: same buckets on both sides, no shuffle.
             frame = frame.hint("merge").join(other, "hash", "full").select(
                 "hash",
                 (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n_docs"),
-                F.greatest("max_doc", "m2").alias("max_doc"),
             )
         return frame
 
     def totals(self) -> DataFrame:
-        """(hash, n_docs, max_doc) over everything added."""
+        """(hash, n_docs) over everything added."""
         runs = [run for level in self.levels for run in level]
         if not runs:
-            return self.spark.createDataFrame([], "hash binary, n_docs long, max_doc long")
+            return self.spark.createDataFrame([], "hash binary, n_docs long")
         return self._merged(runs)
 
     def unseen(self, lines: DataFrame) -> DataFrame:
@@ -92,15 +94,8 @@ class LineRuns:
         return lines
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of (hash, doc_id).  A document belongs to one batch, in which it counts once per hash.
-
-        To keep first sightings only, as a feed would, take ``unseen(batch)`` before adding the batch.
-        """
-        self._write(
-            lines.select("hash", "doc_id").distinct()
-            .groupBy("hash").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("max_doc")),
-            0,
-        )
+        """Add a batch of (hash, n_docs), one row a hash.  A document belongs to one batch, in which it counts once per hash."""
+        self._write(lines.select("hash", "n_docs"), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
@@ -109,6 +104,27 @@ class LineRuns:
                 self.spark.sql(f"DROP TABLE {run}")
             level += 1
 
+    def close(self) -> None:
+        """Take the runs out of the session's catalogue; their files stay in the scratch folder."""
+        for run in [run for level in self.levels for run in level]:
+            self.spark.sql(f"DROP TABLE {run}")
+        self.levels = []
+
+
+def keepers(hashed: DataFrame, store: LineRuns, batches: list[DataFrame]) -> DataFrame:
+    """(hash, keeper) of every line of the batches, which come in descending order of doc_id: the
+    batch's largest document with a line that the runs do not hold yet."""
+    found = []
+    for batch in batches:
+        lines = staged(
+            batch.select("hash", "doc_id").distinct()
+            .groupBy("hash").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper")),
+            "line-batch",
+        )
+        found.append(staged(store.unseen(lines).select("hash", "keeper"), "line-keepers"))
+        store.add(lines)
+    return reduce(DataFrame.unionByName, found)
+
 
 def drop_repeated_lines(
     docs: DataFrame,
@@ -136,20 +152,20 @@ def drop_repeated_lines(
         F.xxhash64(F.col(text_col)).alias("row"),
         F.posexplode(F.transform(lines_of(F.col(text_col)), line_key)).alias("pos", "key"),
     ).where((F.length("key") >= min_chars) & F.col("doc_id").isNotNull())
-    hashed = staged(
-        keyed.select(
-            (F.pmod(F.hash("doc_id"), F.lit(batches))).alias("batch"), "doc_id", "row", "pos", F.unhex(F.md5("key")).alias("hash")
-        ),
-        "line-hashes",
-    )
+    # One row to the driver: ids that cut the documents into batches of about equal numbers.
+    cuts = docs.agg(F.percentile_approx(F.col(id_col).cast("long"), [i / batches for i in range(batches - 1, 0, -1)], 1000).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or []), reverse=True)
+    number = reduce(lambda a, b: a + b, [(F.col("doc_id") <= c).cast("int") for c in cuts], F.lit(0))
+    hashed = staged(keyed.select(number.alias("batch"), "doc_id", "row", "pos", F.unhex(F.md5("key")).alias("hash")), "line-hashes", "batch")
     store = LineRuns(spark, fanout)
-    for batch in range(batches):
-        store.add(hashed.where(F.col("batch") == batch))
-    frequent = staged(store.totals().where(F.col("n_docs") >= min_docs).select("hash", "max_doc"), "frequent")
-    # The long lines that stay: an anti-join with the merged runs; positions are distinct per text.
+    kept_by = keepers(hashed, store, [hashed.where(F.col("batch") == i) for i in range(len(cuts) + 1)])
+    often = store.totals().where(F.col("n_docs") >= min_docs)
+    frequent = staged(often.join(kept_by.withColumnRenamed("hash", "h"), F.col("hash") == F.col("h")).select("hash", "keeper"), "frequent")
+    store.close()
+    # The long lines that stay: an anti-join with the frequent ones; positions are distinct per text.
     stay = (
         hashed.hint("merge")
-        .join(frequent.withColumnRenamed("hash", "h"), (F.col("hash") == F.col("h")) & (F.col("doc_id") != F.col("max_doc")), "left_anti")
+        .join(frequent.withColumnRenamed("hash", "h"), (F.col("hash") == F.col("h")) & (F.col("doc_id") != F.col("keeper")), "left_anti")
         .groupBy("doc_id", "row")
         .agg(F.collect_set("pos").alias("stay"))
     )

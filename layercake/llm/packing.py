@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from layercake.llm.bpe import Encoder, from_json
+from layercake.llm.bpe import encoder
 from layercake.llm.common import prepare, staged
 
 CAPACITY = 2048
@@ -83,10 +83,10 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*from_json(path))
+        coder = encoder(path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, begin = encoder.encode(batch.column(1))
+            ids, begin = coder.encode(batch.column(1))
             owner, piece, start, length, blob = [], [], [], [], []
             for i, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist())):
                 raw = ids[a:b].astype("<u4").tobytes() + end
