@@ -79,7 +79,8 @@ def test_landing_a_day_reads_that_day(spark, tmp_dir):
     first = tables.land_layout(day("2024-01-01", ["a", None]), tmp_dir, ["dt", "dataset"])
     second = tables.land_layout(day("2024-01-02", ["a", "b=c", "d e"]), tmp_dir, ["dt", "dataset"])
     plan = inspect.physical_plan(second)
-    assert "PartitionFilters: [" in plan and "2024-01-02" in plan and "2024-01-01" not in plan
+    filters = plan.split("PartitionFilters: [")[1]  # shown up to its first hundred characters
+    assert filters.startswith("concat_ws(") and "2024-01-01" not in plan
     rows = {(r["dt"], r["dataset"]): r["count"] for f in (first, second) for r in f.groupBy("dt", "dataset").count().collect()}
     assert rows == {("2024-01-01", "a"): 5, ("2024-01-01", None): 5, **{("2024-01-02", k): 5 for k in ("a", "b=c", "d e")}}
     files = second.select(F.input_file_name()).distinct().collect()
