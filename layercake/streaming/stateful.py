@@ -1,12 +1,16 @@
 """Keyed stateful stream operators (``applyInPandasWithState`` or ``transformWithStateInPandas``).
 
-State per device is small (the last EMA, or the last N readings); each
-micro-batch hands a device's new rows to one pandas call, which orders them
-by event time then id, continues the recurrence vectorised with numpy, and
-updates the state.  The RocksDB state store (set by
-:func:`layercake.session.configure`) keeps state off-heap and checkpointed.
-
-Order of rows.  With a ``delay``, rows wait in the device's state until the
+State per device is small (the last EMA, or the last N readings).  Devices
+are dealt into :data:`BUCKETS` by a hash, and a bucket is what the stream
+groups by: a micro-batch hands a bucket's new rows to one pandas call, which
+orders them by device, event time and id, continues all its devices'
+recurrences vectorised with numpy, and updates their state as one packed
+table.  So a call's fixed cost is paid per bucket and micro-batch, however
+many devices there are.  Rows of a NULL device have a bucket of their own.
+The RocksDB state store (set by :func:`layercake.session.configure`) keeps
+state off-heap and checkpointed.
+
+Order of rows.  With a ``delay``, rows wait in the bucket's state until the
 watermark passes them, and are released in event order by rows or by a
 timer: files may arrive in any order within the delay, and results do not
 depend on how they are cut into micro-batches.  Rows later than the delay
@@ -27,7 +31,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -35,9 +39,12 @@ from pyspark.sql.types import (
     ArrayType,
     BinaryType,
     BooleanType,
+    ByteType,
     DoubleType,
     FloatType,
     IntegerType,
+    LongType,
+    ShortType,
     StringType,
     StructField,
     StructType,
@@ -45,9 +52,13 @@ from pyspark.sql.types import (
 
 from layercake.operators.sequences import EMA_ALPHA, EMA_THRESHOLD, SCORE_THRESHOLD, SEQUENCE_LENGTH
 
+#: Groups that a stream's devices are dealt into; a checkpoint belongs to the number that it began with.
+BUCKETS = 256
+
 # Names without a leading underscore: the transform API renames such columns.
 _TIME = "lc_time"
-_MISSING = "lc_missing_"  # + column: whether its double is NULL (pandas cannot tell it from NaN)
+_KEY, _BUCKET = "lc_key", "lc_bucket"
+_MISSING = "lc_missing_"  # + column: whether its number is NULL (pandas cannot tell a double from NaN, and makes integers doubles)
 _NO_TIME = np.iinfo(np.int64).min
 
 
@@ -80,14 +91,23 @@ def _unpack(packed: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(bytes(packed)).read_all().to_pandas()
 
 
+def _by_key(state: pd.Series | None, rows: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Rows of the state, then new rows, brought together by key, each key's in the order they came:
+    (their places, their keys' numbers, the keys, how many rows the state has)."""
+    held = 0 if state is None else len(state)
+    codes, keys = pd.factorize(pd.concat([state, rows], ignore_index=True) if held else rows)
+    place = np.argsort(codes, kind="stable")
+    return place, codes[place], np.asarray(keys), held
+
+
 class _Steps:
-    """A recurrence over one device's rows: ``step(ordered rows, state)`` gives (output, new state)."""
+    """A recurrence over the rows of a bucket's devices: ``step(ordered rows, state)`` gives (output, new state).
 
-    fields: list[StructField]
-    initial: tuple
+    The state is a frame with the keys in ``_KEY``; None before the first rows.
+    """
 
-    def __init__(self, value: str, passthrough: Sequence[str], doubles: Sequence[str]):
-        self.value, self.passthrough, self.doubles = value, list(passthrough), set(doubles)
+    def __init__(self, value: str, passthrough: Sequence[str], numbers: dict[str, str]):
+        self.value, self.passthrough, self.numbers = value, list(passthrough), numbers
 
     def readings(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         missing = rows[_MISSING + self.value].to_numpy(dtype=bool)
@@ -96,32 +116,43 @@ class _Steps:
     def passed(self, rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[self.passthrough].reset_index(drop=True)
         for c in self.passthrough:
-            if c in self.doubles:
-                out[c] = _doubles(rows[c].to_numpy(), rows[_MISSING + c].to_numpy(dtype=bool))
+            if c in self.numbers:
+                missing = rows[_MISSING + c].to_numpy(dtype=bool)
+                if self.numbers[c] == "double":
+                    out[c] = _doubles(rows[c].to_numpy(), missing)
+                else:
+                    out[c] = pd.arrays.IntegerArray(rows[c].to_numpy(dtype=self.numbers[c]).copy(), missing.copy())
         return out
 
 
 class EmaSteps(_Steps):
-    """State: the device's EMA (0 before its first reading).  Rows with a NULL reading are left out."""
-
-    fields = [StructField("ema", DoubleType())]
-    initial = (0.0,)
+    """State: a device's EMA (0 before its first reading).  Rows with a NULL reading are left out."""
 
-    def __init__(self, value, passthrough, doubles, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD):
-        super().__init__(value, passthrough, doubles)
+    def __init__(self, value, passthrough, numbers, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD):
+        super().__init__(value, passthrough, numbers)
         self.alpha, self.threshold = alpha, threshold
 
-    def step(self, rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame | None, tuple]:
+    def step(self, rows: pd.DataFrame, state: pd.DataFrame | None) -> tuple[pd.DataFrame | None, pd.DataFrame | None]:
         rows = rows[~rows[_MISSING + self.value].to_numpy(dtype=bool)]
         if rows.empty:
             return None, state
+        place, codes, keys, held = _by_key(None if state is None else state[_KEY], rows[_KEY])
+        last = np.zeros(len(keys))
+        if held:
+            last[codes[place < held]] = state["ema"].to_numpy()[place[place < held]]
+        new = place >= held
+        rows, codes = rows.take(place[new] - held), codes[new]
         x, _ = self.readings(rows)
-        ema = ema_continue(x, state[0], self.alpha)
+        starts = np.flatnonzero(np.diff(codes, prepend=-1))
+        ema = np.empty(len(x))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(x)]):
+            ema[a:b] = ema_continue(x[a:b], last[codes[a]], self.alpha)
+            last[codes[a]] = ema[b - 1]
         out = self.passed(rows)
         out["ema"] = _doubles(ema, np.zeros(len(ema), bool))
         with np.errstate(invalid="ignore"):
             out["alert"] = np.abs(x - ema) > self.threshold
-        return out, (float(ema[-1]),)
+        return out, pd.DataFrame({_KEY: keys, "ema": last})
 
     def untimed(self, rows: pd.DataFrame) -> pd.DataFrame:
         out = self.passed(rows)
@@ -131,62 +162,61 @@ class EmaSteps(_Steps):
 
 
 class TrailingSteps(_Steps):
-    """State: the device's last readings (oldest first) and which of them are NULL.
+    """State: a device's last readings (oldest first) and which of them are NULL.
 
     ``mode='features'`` gives lag-1 and the ``roll``-row mean; ``mode='score'``
     warm-up / prediction / alert records of the linear sequence scorer.
     """
 
-    fields = [StructField("buf", ArrayType(DoubleType())), StructField("missing", ArrayType(BooleanType()))]
-    initial = ([], [])
-
-    def __init__(self, value, passthrough, doubles, mode: str, length: int = SEQUENCE_LENGTH, roll: int = 5,
+    def __init__(self, value, passthrough, numbers, mode: str, length: int = SEQUENCE_LENGTH, roll: int = 5,
                  threshold: float = SCORE_THRESHOLD):
-        super().__init__(value, passthrough, doubles)
+        super().__init__(value, passthrough, numbers)
         self.mode, self.length, self.roll, self.threshold = mode, length, roll, threshold
         self.keep = max((length if mode == "score" else roll) - 1, 1)
 
-    def step(self, rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame | None, tuple]:
+    def step(self, rows: pd.DataFrame, state: pd.DataFrame | None) -> tuple[pd.DataFrame | None, pd.DataFrame]:
         x, missing = self.readings(rows)
-        base = len(state[0])
-        full = np.concatenate([np.asarray(state[0], dtype=np.float64), x])
-        gone = np.concatenate([np.asarray(state[1], dtype=bool), missing])
+        place, codes, keys, held = _by_key(None if state is None else state[_KEY], rows[_KEY])
+        if held:
+            x, missing = np.concatenate([state["reading"].to_numpy(), x]), np.concatenate([state["missing"].to_numpy(dtype=bool), missing])
+        full, gone, new = x[place], missing[place], place >= held
+        first = np.searchsorted(codes, codes, "left")  # of the row's key
         made = self._features if self.mode == "features" else self._score
+        at = np.flatnonzero(new)
         with np.errstate(invalid="ignore", over="ignore"):
-            out = made(self.passed(rows), full, gone, base)
-        return out, (full[-self.keep :].tolist(), gone[-self.keep :].tolist())
+            out = made(self.passed(rows.take(place[new] - held)), full, gone, at, (np.arange(len(full)) - first)[at])
+        tail = np.searchsorted(codes, codes, "right") - np.arange(len(full)) <= self.keep
+        return out, pd.DataFrame({_KEY: keys[codes[tail]], "reading": full[tail], "missing": gone[tail]})
 
-    def _frames(self, full: np.ndarray, gone: np.ndarray, base: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The last n readings at each new row, which of them are NULL, and which lie before the first."""
-        at = np.arange(base, len(full))
+    def _frames(self, full: np.ndarray, gone: np.ndarray, at: np.ndarray, nth: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The last n readings at each new row, which of them are NULL, and which lie before its device's first."""
         view = np.lib.stride_tricks.sliding_window_view
         values = view(np.concatenate([np.zeros(n - 1), full]), n)[at]
         missing = view(np.concatenate([np.zeros(n - 1, bool), gone]), n)[at]
-        before = np.arange(n) < (n - 1 - at)[:, None]
-        return values, missing, before
+        before = np.arange(n) < (n - 1 - nth)[:, None]
+        return np.where(before, 0.0, values), missing & ~before, before
 
-    def _features(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, base: int) -> pd.DataFrame:
-        at = np.arange(base, len(full))
+    def _features(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, at: np.ndarray, nth: np.ndarray) -> pd.DataFrame:
         last = np.maximum(at - 1, 0)
-        out["temp_lag_1"] = _doubles(full[last], gone[last] | (at == 0))
-        values, missing, before = self._frames(full, gone, base, self.roll)
+        out["temp_lag_1"] = _doubles(full[last], gone[last] | (nth == 0))
+        values, missing, before = self._frames(full, gone, at, nth, self.roll)
         none = missing | before
         count = (~none).sum(axis=1)
         mean = np.where(none, 0.0, values).sum(axis=1) / np.maximum(count, 1)
         out[f"temp_roll_mean_{self.roll}"] = _doubles(mean, count == 0)
         return out
 
-    def _score(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, base: int) -> pd.DataFrame:
+    def _score(self, out: pd.DataFrame, full: np.ndarray, gone: np.ndarray, at: np.ndarray, nth: np.ndarray) -> pd.DataFrame:
         n = self.length
-        values, missing, before = self._frames(full, gone, base, n)
+        values, missing, before = self._frames(full, gone, at, nth, n)
         ready = ~before.any(axis=1)
         prediction = values @ np.arange(1, n + 1, dtype=np.float64) / float(n * (n + 1) / 2)
         unknown = ~ready | missing.any(axis=1)
         out["window_len"] = (n - before.sum(axis=1)).astype(np.int32)
         out["prediction"] = _doubles(np.where(unknown, 0.0, prediction), unknown)
-        out["observed"] = _doubles(full[base:], gone[base:])
+        out["observed"] = _doubles(full[at], gone[at])
         out["kind"] = np.where(ready, "prediction", "warmup")
-        alerts = out[~unknown & (np.abs(full[base:] - prediction) > self.threshold)].copy()
+        alerts = out[~unknown & (np.abs(full[at] - prediction) > self.threshold)].copy()
         alerts["kind"] = "alert"
         return pd.concat([out, alerts], ignore_index=True)
 
@@ -213,8 +243,9 @@ def _released(rows: pd.DataFrame, order: Sequence[str], watermark: int | None) -
         t = _times(rows)
         due = t <= watermark * 1000
         now, wait, untimed = rows[due & (t != _NO_TIME)], rows[~due], rows[t == _NO_TIME]
-    # lexsort: the last key is the primary one; numpy avoids pandas' per-call overhead.
-    return now.take(np.lexsort([now[c].to_numpy() for c in reversed(list(order))])), wait, untimed
+    # lexsort: the last key is the primary one (NULLs last); numpy avoids pandas' per-call overhead.
+    by = [now[c].to_numpy() for o in reversed(list(order)) for c in (o, _MISSING + o) if c in now]
+    return now.take(np.lexsort(by)), wait, untimed
 
 
 def _wake(wait: pd.DataFrame, watermark: int) -> int:
@@ -223,15 +254,15 @@ def _wake(wait: pd.DataFrame, watermark: int) -> int:
 
 
 class KeyedProcessor(StatefulProcessor):
-    """The steps on ``transformWithStateInPandas``: value state, list state of waiting rows (packed per
-    micro-batch), event-time timers."""
+    """The steps on ``transformWithStateInPandas``: value state (packed), list state of waiting rows (packed per
+    micro-batch), event-time timers.  A key is a bucket of devices."""
 
     def __init__(self, steps: _Steps, order: Sequence[str], delayed: bool):
         self.steps, self.order, self.delayed = steps, list(order), delayed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", StructType(self.steps.fields))
+        self.state = handle.getValueState("state", StructType([StructField("state", BinaryType())]))
         if self.delayed:
             self.waiting = handle.getListState("waiting", StructType([StructField("rows", BinaryType())]))
 
@@ -256,8 +287,10 @@ class KeyedProcessor(StatefulProcessor):
         if len(untimed):
             yield self.steps.untimed(untimed)
         if len(now):
-            out, state = self.steps.step(now, self.state.get() or self.steps.initial)
-            self.state.update(state)
+            packed = self.state.get()
+            out, state = self.steps.step(now, _unpack(packed[0]) if packed else None)
+            if state is not None:
+                self.state.update((_pack(state),))
             if out is not None:
                 yield out
 
@@ -267,10 +300,9 @@ class KeyedProcessor(StatefulProcessor):
 
 def _grouped(steps: _Steps, order: Sequence[str], delayed: bool):
     """The steps on ``applyInPandasWithState``; waiting rows travel with the state."""
-    width = len(steps.fields)
 
     def run(key, pdfs, group):
-        state, packed = (group.get[:width], group.get[width]) if group.exists else (steps.initial, None)
+        known, packed = group.get if group.exists else (None, None)
         watermark = group.getCurrentWatermarkMs() if delayed else None
         chunks = ([_unpack(packed)] if packed else []) + ([] if group.hasTimedOut else list(pdfs))
         if not chunks:
@@ -279,34 +311,55 @@ def _grouped(steps: _Steps, order: Sequence[str], delayed: bool):
         if len(untimed):
             yield steps.untimed(untimed)
         if len(now):
-            out, state = steps.step(now, state)
+            out, state = steps.step(now, _unpack(known) if known else None)
+            known = _pack(state) if state is not None else None
             if out is not None:
                 yield out
-        group.update((*state, _pack(wait) if len(wait) else None))
+        group.update((known, _pack(wait) if len(wait) else None))
         if len(wait):
             group.setTimeoutTimestamp(_wake(wait, watermark))
 
     return run
 
 
+_WIDTHS = {ByteType: "int8", ShortType: "int16", IntegerType: "int32", LongType: "int64"}
+
+
+def _key_value(df: DataFrame, key: str) -> Column:
+    """The key as an integer or a text that pandas can tell apart; NULL keys have their own bucket."""
+    kind, c = df.schema[key].dataType, F.col(key)
+    if type(kind) in _WIDTHS:
+        return F.coalesce(c.cast("bigint"), F.lit(0))
+    if isinstance(kind, (DoubleType, FloatType)):
+        c = c + F.lit(0.0)  # one zero
+    text = F.hex(c) if isinstance(kind, BinaryType) else F.to_json(F.struct(c)) if isinstance(kind, (ArrayType, StructType)) else c.cast("string")
+    return F.coalesce(text, F.lit(""))
+
+
 def _run_keyed(df: DataFrame, key: str, order: Sequence[str], steps: _Steps, out: StructType, api: str,
                delay: str | None) -> DataFrame:
-    """Apply ``steps`` per key with the chosen state API.
+    """Apply ``steps`` to the keys' rows, bucket by bucket, with the chosen state API.
 
     ``api="grouped"`` (default) uses ``applyInPandasWithState``: the state
-    travels in-band with each group's Arrow batch, about twice as fast as
-    ``api="transform"`` (``transformWithStateInPandas``), whose state calls
-    are separate round trips, when keys are many and state is small.
+    travels in-band with each group's Arrow batch; the state calls of
+    ``api="transform"`` (``transformWithStateInPandas``) are separate round
+    trips.
     """
-    df = df.withColumns({_MISSING + c: F.col(c).isNull() for c in {*steps.doubles, steps.value}})
+    made = {_MISSING + c: F.col(c).isNull() for c in steps.numbers}
+    made |= {c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c, kind in steps.numbers.items() if kind != "double"}
+    made[_KEY] = _key_value(df, key)
+    made[_BUCKET] = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(made[_KEY]), F.lit(BUCKETS))).cast("int")
+    if delay:
+        made[_TIME] = F.col(order[0]).cast("timestamp")
+    df = df.withColumns(made).select(*dict.fromkeys([*steps.passthrough, *order, steps.value, *made]))
     if delay:
-        df = df.withColumn(_TIME, F.col(order[0]).cast("timestamp")).withWatermark(_TIME, delay)
+        df = df.withWatermark(_TIME, delay)
     if api == "grouped":
-        state = StructType([*steps.fields, StructField("waiting", BinaryType())])
+        state = StructType([StructField("state", BinaryType()), StructField("waiting", BinaryType())])
         timeout = GroupStateTimeout.EventTimeTimeout if delay else GroupStateTimeout.NoTimeout
-        return df.groupBy(key).applyInPandasWithState(_grouped(steps, list(order), bool(delay)), out, state, "append", timeout)
+        return df.groupBy(_BUCKET).applyInPandasWithState(_grouped(steps, list(order), bool(delay)), out, state, "append", timeout)
     if api == "transform":
-        return df.groupBy(key).transformWithStateInPandas(
+        return df.groupBy(_BUCKET).transformWithStateInPandas(
             statefulProcessor=KeyedProcessor(steps, order, bool(delay)), outputStructType=out, outputMode="Append",
             timeMode="EventTime" if delay else "None",
         )
@@ -314,9 +367,10 @@ def _run_keyed(df: DataFrame, key: str, order: Sequence[str], steps: _Steps, out
 
 
 def _keyed(df: DataFrame, key, order, value, passthrough, made, extra: list[StructField], api, delay) -> DataFrame:
-    doubles = [c for c in passthrough if isinstance(df.schema[c].dataType, (DoubleType, FloatType))]
+    kinds = {c: df.schema[c].dataType for c in [*passthrough, *order, value]}
+    numbers = {c: _WIDTHS.get(type(t), "double") for c, t in kinds.items() if c == value or type(t) in _WIDTHS or isinstance(t, (DoubleType, FloatType))}
     out = StructType([df.schema[c] for c in passthrough] + extra)
-    return _run_keyed(df, key, order, made(value, passthrough, doubles), out, api, delay)
+    return _run_keyed(df, key, order, made(value, passthrough, numbers), out, api, delay)
 
 
 def stream_ema_anomalies(df: DataFrame, key: str, order: Sequence[str], value: str, passthrough: Sequence[str],
