@@ -51,3 +51,16 @@ def test_late_rows_wait_by_buckets_of_devices(spark, tmp_dir):
     assert got.schema["level"].dataType == df.schema["level"].dataType
     _same(got, sequences.lag_features(df, ["device_id"], ORDER, "temperature"), [*kept, "temp_lag_1", "temp_roll_mean_5"])
     assert groups <= stateful.BUCKETS + 1 < DEVICES
+
+
+@pytest.mark.parametrize("key", ["device_id", "name", "weight"])
+def test_recurrences_of_many_devices_go_on_in_one_call(spark, tmp_dir, key):
+    """Keys of every kind: integers, texts, doubles."""
+    df = _readings(spark).withColumns({"name": F.concat(F.lit("d"), F.col("device_id").cast("string")), "weight": (F.col("device_id") % 4096) / 8})
+    kept = [key, "event_id", "temperature"]
+    got, groups = _streamed(spark, tmp_dir, df, lambda s: stateful.stream_ema_anomalies(s, key, ORDER, "temperature", kept))
+    batch = sequences.ema_anomalies(df, [key], ORDER, "temperature")
+    rows = {r["event_id"]: r["ema"] for r in got.collect()}
+    want = {r["event_id"]: r["ema"] for r in batch.collect()}
+    assert rows.keys() == want.keys() and max(abs(rows[k] - want[k]) for k in want) < 1e-9
+    assert groups <= stateful.BUCKETS + 1 < DEVICES
