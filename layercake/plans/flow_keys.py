@@ -166,7 +166,7 @@ def q_embed_rows(spark, sf_dir):
     configure(spark)
     rows = sensor_rows(table(spark, sf_dir, "events"))
     text = hourly_averages(rows, "id").withColumn("text", sensor_text())
-    vec = vectors.vector_rows(vectors.embed(text), "id", "embedding", "window_start")
+    vec = vectors.vector_rows(vectors.embed(text, sparse=True), "id", "embedding", "window_start")
     path = scratch_path(spark, "sensor_embeddings")
     vectors.upsert_vectors(vec.where("id % 2 = 0"), path)
     vectors.upsert_vectors(vec, path)
