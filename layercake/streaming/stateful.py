@@ -116,7 +116,7 @@ class _Steps:
     def passed(self, rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[self.passthrough].reset_index(drop=True)
         for c in self.passthrough:
-            if c in self.numbers:
+            if self.numbers.get(c):
                 missing = rows[_MISSING + c].to_numpy(dtype=bool)
                 if self.numbers[c] == "double":
                     out[c] = _doubles(rows[c].to_numpy(), missing)
@@ -346,7 +346,7 @@ def _run_keyed(df: DataFrame, key: str, order: Sequence[str], steps: _Steps, out
     trips.
     """
     made = {_MISSING + c: F.col(c).isNull() for c in steps.numbers}
-    made |= {c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c, kind in steps.numbers.items() if kind != "double"}
+    made |= {c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c, kind in steps.numbers.items() if kind.startswith("int")}
     made[_KEY] = _key_value(df, key)
     made[_BUCKET] = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(made[_KEY]), F.lit(BUCKETS))).cast("int")
     if delay:
@@ -368,7 +368,8 @@ def _run_keyed(df: DataFrame, key: str, order: Sequence[str], steps: _Steps, out
 
 def _keyed(df: DataFrame, key, order, value, passthrough, made, extra: list[StructField], api, delay) -> DataFrame:
     kinds = {c: df.schema[c].dataType for c in [*passthrough, *order, value]}
-    numbers = {c: _WIDTHS.get(type(t), "double") for c, t in kinds.items() if c == value or type(t) in _WIDTHS or isinstance(t, (DoubleType, FloatType))}
+    widths = {c: "double" if isinstance(t, (DoubleType, FloatType)) else _WIDTHS.get(type(t), "") for c, t in kinds.items()}
+    numbers = {c: width for c, width in widths.items() if width or c == value}  # a decimal value passes as it is
     out = StructType([df.schema[c] for c in passthrough] + extra)
     return _run_keyed(df, key, order, made(value, passthrough, numbers), out, api, delay)
 
