@@ -10,6 +10,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layercake.session import scratch_path
+
 
 def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features", handle_invalid: str = "keep") -> DataFrame:
     """Dense feature vector; no row is lost.
@@ -26,9 +28,18 @@ def _complete(features: str) -> Column:
 
 
 def fit_linear(df: DataFrame, label: str, features: str = "features") -> LinearRegressionModel:
-    """Least-squares fit (normal equations: one distributed pass) over the rows without a missing value."""
-    whole = df.filter(_complete(features) & F.col(label).isNotNull() & ~F.isnan(label))
-    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0).fit(whole)
+    """Least-squares fit (normal equations) over the rows without a missing value.
+
+    Spark ML asks for the rows three times (their partitions, the sums, the
+    training summary), so they are written to scratch storage first: what
+    ``df`` is computed from runs once.
+    """
+    spark = df.sparkSession
+    whole = df.filter(_complete(features) & F.col(label).isNotNull() & ~F.isnan(label)).select(features, label)
+    path = scratch_path(spark, "fit_rows")
+    whole.write.parquet(path)
+    rows = spark.read.schema(whole.schema).parquet(path)
+    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0).fit(rows)
 
 
 def load_linear(path: str) -> LinearRegressionModel:

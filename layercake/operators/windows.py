@@ -214,13 +214,14 @@ def range_layout(
         last = _upto(F.col(_ROW), margins, kind)
         if one_in == 1 or not halo:
             break
+        # Only where a margin lies within the bound's own key can it have too few of that key's rows.
+        doubtful = [i for i, m in enumerate(back) if m and key_of(sample[m]) == key_of(bounds[i])]
+        if not doubtful:
+            break
         place = rows.select(own.alias("own"), last.alias("last")).where("last > own")
         between = place.select(F.explode(F.sequence(F.col("own") + 1, "last")).alias("b"))
         found = {r["b"]: r["count"] for r in between.groupBy("b").count().collect()}
-        short = [
-            i for i, (bound, m) in enumerate(zip(bounds, back))
-            if m and found.get(i + 1, 0) < halo and key_of(sample[m]) == key_of(bound)
-        ]
+        short = [i for i in doubtful if found.get(i + 1, 0) < halo]
         if not short:
             break
         for i in short:
